@@ -542,11 +542,11 @@ def kernel(source: str, keys: list[str], adjust: float, lo: str, hi: str, points
         "k_basis": f"""SELECT {k}, count(*) AS n, {lo} AS lo, {hi} AS hi,
             0.9::DOUBLE * {adjust} * least(stddev_samp(value), (quantile_cont(value, 0.75) - quantile_cont(value, 0.25)) / 1.34::DOUBLE)
               * power(count(*), -0.2::DOUBLE) AS bw FROM k_rows GROUP BY {k}""",
-        "k_at": f"""SELECT {", ".join("r." + c for c in keys)}, (value - lo) / ((hi - lo) / {points - 1}) AS at
+        "k_at": f"""SELECT {", ".join("r." + c for c in keys)}, (value - lo) / ((hi - lo) / {points - 1}) AS spot
             FROM k_rows r JOIN k_basis b ON {same('r', 'b')}""",
-        "k_node": f"SELECT {k}, least(floor(at)::BIGINT, {points - 2}) AS node, at FROM k_at",
-        "k_weights": f"""SELECT {k}, node, sum(w) AS w FROM (SELECT {k}, node, 1 - (at - node) AS w FROM k_node
-            UNION ALL SELECT {k}, node + 1, at - node FROM k_node) GROUP BY {k}, node""",
+        "k_node": f"SELECT {k}, least(floor(spot)::BIGINT, {points - 2}) AS node, spot FROM k_at",
+        "k_weights": f"""SELECT {k}, node, sum(w) AS w FROM (SELECT {k}, node, 1 - (spot - node) AS w FROM k_node
+            UNION ALL SELECT {k}, node + 1, spot - node FROM k_node) GROUP BY {k}, node""",
         "k_density": f"""SELECT {", ".join("w." + c for c in keys)}, i, min(lo + i * ((hi - lo) / {points - 1})) AS x,
             sum(w.w * exp(-0.5::DOUBLE * power((i - node) * ((hi - lo) / {points - 1}) / bw, 2))) / (min(n) * min(bw) * sqrt(2 * pi()))
               AS density, min(bw) AS bandwidth
