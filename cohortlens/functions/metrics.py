@@ -34,9 +34,10 @@ def numeric_metrics(truth: Column, estimate: Column) -> dict[str, Column]:
     d = truth - estimate
     rel = relative_error(truth, estimate)
     varies = (F.min(truth) < F.max(truth)) & (F.min(estimate) < F.max(estimate))
-    corr = F.corr(truth, estimate)
+    # Not corr(): it raises on a constant column under ANSI rules.
+    cov, product = F.covar_pop(truth, estimate), F.var_pop(truth) * F.var_pop(estimate)
     return {
-        "rsq": F.when(varies, corr * corr),
+        "rsq": F.when(varies & (product > 0), cov * cov / product),
         "mape": F.when(F.count(rel) == F.count(F.lit(1)), F.avg(rel) * 100),
         "rmse": F.sqrt(F.avg(d * d)),
     }

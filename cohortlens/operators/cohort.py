@@ -19,7 +19,7 @@ from cohortlens.config import (
     TRUTH,
 )
 from cohortlens.functions.scalars import NMOL_PER_MG, nan_to_null, normal_ci, overall_or, to_nmol
-from cohortlens.operators.joins import HOT_ROWS, attach, left_join_skewed
+from cohortlens.operators.joins import HOT_ROWS, attach, left_join_skewed, null_safe_join
 
 
 # ---- contracts -------------------------------------------------------------------------------------------------
@@ -178,7 +178,7 @@ def group_order(df: DataFrame, group: str = GROUP) -> DataFrame:
 
 def order_join(table: DataFrame, order: DataFrame, group: str = GROUP) -> DataFrame:
     """Attach ``ord`` to a result table: Overall is 0, groups outside the order keep their name and have none."""
-    with_order = attach(table, order.select(group, "ord"), [group])
+    with_order = null_safe_join(table, order.select(group, "ord"), [group])
     return with_order.withColumn("ord", F.when(F.col(group) == OVERALL, F.lit(0)).otherwise(F.col("ord")).cast("bigint"))
 
 

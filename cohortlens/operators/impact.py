@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from cohortlens.config import ESTIMATE, GROUP, OVERALL, TRUTH
 from cohortlens.functions.scalars import nan_to_null, p_value_band, pct_label, prefer_adjusted, ratio, ratio_label
 from cohortlens.operators.cohort import overall_first
-from cohortlens.operators.joins import attach
+from cohortlens.operators.joins import null_safe_join
 
 # Notes of the comparison table.
 ADJUSTED_NOTE = "PPV adjusted"
@@ -67,7 +67,7 @@ def join_ppv_overall(df: DataFrame, ppv: DataFrame) -> DataFrame:
 
 def join_ppv_group(df: DataFrame, ppv: DataFrame, on: Sequence[str] = (GROUP,)) -> DataFrame:
     """Attach ppv by group, null-safely; groups without one keep a missing value."""
-    return attach(df, ppv.select(*on, "ppv"), list(on))
+    return null_safe_join(df, ppv.select(*on, "ppv"), list(on))
 
 
 def with_ppv_adjustment(df: DataFrame) -> DataFrame:
@@ -161,9 +161,13 @@ def fisher_exact(df: DataFrame, keys: Sequence[str], a: str, n1: str, c: str, n2
     reach = F.lit(500.0) + 39 * F.sqrt(mean)
     least = F.greatest(F.lit(0).cast("bigint"), k - F.col("n2"), F.floor(mean - reach))
     most = F.least(k, F.col("n1"), F.ceil(mean + reach))
-    support = tables.select(*keys, "a", "n1", "n2", k.alias("k"), least.alias("least"), most.alias("most")).repartition(
-        *keys
-    ).select("*", F.explode(F.sequence("least", "most")).alias("v"))
+    # A stated number of partitions keeps the tables apart although they are one small row each before the explode.
+    tasks = df.sparkSession.sparkContext.defaultParallelism
+    support = (
+        tables.select(*keys, "a", "n1", "n2", k.alias("k"), least.alias("least"), most.alias("most"))
+        .repartition(tasks, *keys)
+        .select("*", F.explode(F.sequence("least", "most")).alias("v"))
+    )
     v = F.col("v")
     up = (F.col("k") - v + 1).cast("double") * (F.col("n1") - v + 1)
     down = v.cast("double") * (F.col("n2") - F.col("k") + v)
@@ -174,20 +178,16 @@ def fisher_exact(df: DataFrame, keys: Sequence[str], a: str, n1: str, c: str, n2
     summary = logs.groupBy(*keys).agg(
         F.max("logp").alias("top"), F.max(F.when(v == F.col("a"), F.col("logp"))).alias("seen")
     )
-    named = summary.select(*[F.col(x).alias(f"__{x}") for x in keys], "top", "seen")
-    same = F.lit(True)
-    for x in keys:
-        same = same & F.col(x).eqNullSafe(F.col(f"__{x}"))
     weight = F.exp(F.col("logp") - F.col("top"))
     as_extreme = weight <= F.exp(F.col("seen") - F.col("top")) * (1 + 1e-7)
     p = (
-        logs.join(named, same)
+        null_safe_join(logs, summary, keys, "inner")
         .groupBy(*keys)
         .agg(
             F.least(F.lit(1.0), F.coalesce(F.sum(F.when(as_extreme, weight)), F.lit(0.0)) / F.sum(weight)).alias("p_value")
         )
     )
-    return attach(df, p, keys)
+    return null_safe_join(df, p, keys)
 
 
 def detection_improvement(prevalence: DataFrame) -> DataFrame:

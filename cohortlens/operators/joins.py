@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 #: A lookup table is broadcast only when it is known to hold at most this many rows.
 BROADCAST_ROWS = 10_000
@@ -14,11 +14,6 @@ _HOT_KEYS = 100
 _TRACKED_KEYS = 10_000
 
 
-def null_safe(left: DataFrame, right: DataFrame, on: list[str]) -> Column:
-    """Equality on all of ``on`` under which NULL keys match each other."""
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in on])
-
-
 def settled(lookup: DataFrame) -> tuple[DataFrame, bool]:
     """Evaluate an aggregated table once: as a local table if it has at most ``BROADCAST_ROWS`` rows.
 
@@ -37,12 +32,16 @@ def attach(df: DataFrame, lookup: DataFrame, on: list[str], how: str = "left") -
     whose skewed ``df`` partitions adaptive execution may split.
     """
     lookup, small = settled(lookup)
-    if small:
-        lookup = F.broadcast(lookup)
-    renamed = lookup.select(
-        *[F.col(k).alias(f"__{k}") for k in on], *[c for c in lookup.columns if c not in on]
-    )
-    condition = reduce(lambda a, b: a & b, [df[k].eqNullSafe(renamed[f"__{k}"]) for k in on])
+    return null_safe_join(df, F.broadcast(lookup) if small else lookup, on, how)
+
+
+def null_safe_join(df: DataFrame, other: DataFrame, on: list[str], how: str = "left") -> DataFrame:
+    """Join under which NULL keys match each other; the keys appear once, from ``df``.
+
+    Used as it is for result tables, where both sides are aggregates and Spark picks the strategy from their sizes.
+    """
+    renamed = other.select(*[F.col(k).alias(f"__{k}") for k in on], *[c for c in other.columns if c not in on])
+    condition = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in on])
     return df.join(renamed, condition, how).drop(*[f"__{k}" for k in on])
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from cohortlens.config import ESTIMATE, GROUP, OVERALL, TRUTH
 from cohortlens.functions.scalars import group_label, measurement_type, overall_or
 from cohortlens.operators.cohort import order_join
-from cohortlens.operators.joins import attach
+from cohortlens.operators.joins import attach, null_safe_join, settled
 from cohortlens.operators.quantiles import exact_quantiles
 
 # Grid sizes, bandwidth constants and whisker length of the usual plotting defaults.
@@ -34,18 +34,19 @@ def fit_line(df: DataFrame, group: str = GROUP, truth: str = TRUTH, estimate: st
     fits = df.groupingSets([[group], []], group).agg(
         overall_or(group).alias("__name"),
         F.regr_count(y, x).alias("n"),
-        F.regr_slope(y, x).alias("slope"),
-        F.regr_intercept(y, x).alias("intercept"),
         F.regr_sxx(y, x).alias("sxx"),
         F.regr_syy(y, x).alias("syy"),
         F.regr_sxy(y, x).alias("sxy"),
         F.avg(x).alias("mean_x"),
+        F.avg(y).alias("mean_y"),
         F.min(x).alias("min_x"),
         F.max(x).alias("max_x"),
     )
-    sse = F.greatest(F.col("syy") - F.col("sxy") * F.col("sxy") / F.col("sxx"), F.lit(0.0))
+    slope = F.when(F.col("sxx") > 0, F.col("sxy") / F.col("sxx"))
+    sse = F.greatest(F.col("syy") - slope * F.col("sxy"), F.lit(0.0))
     return fits.select(
-        F.col("__name").alias(group), "n", "slope", "intercept",
+        F.col("__name").alias(group), "n", slope.alias("slope"),
+        (F.col("mean_y") - slope * F.col("mean_x")).alias("intercept"),
         F.when((F.col("n") > 2) & (F.col("sxx") > 0), F.sqrt(sse / (F.col("n") - 2))).alias("residual_se"),
         "sxx", "mean_x", "min_x", "max_x",
     )
@@ -91,7 +92,7 @@ def _kernel_density(long: DataFrame, keys: list[str], adjust: float, shared_rang
             {"lo": limits.select("lo").scalar(), "hi": limits.select("hi").scalar()}
         )
     iqr = exact_quantiles(long, keys, "value", {"q1": 0.25, "q3": 0.75})
-    basis = attach(spread, iqr, keys)
+    basis = null_safe_join(spread, iqr, keys)
     by_iqr = (F.col("q3") - F.col("q1")) / IQR_TO_SD
     scale = F.when(F.least(F.col("sd"), by_iqr) > 0, F.least(F.col("sd"), by_iqr)).when(F.col("sd") > 0, F.col("sd")).when(
         F.col("q1") != 0, F.abs("q1")
@@ -99,6 +100,7 @@ def _kernel_density(long: DataFrame, keys: list[str], adjust: float, shared_rang
     basis = basis.select(
         *keys, "n", "lo", "hi", (BANDWIDTH_FACTOR * adjust * scale * F.pow(F.col("n"), F.lit(-0.2))).alias("bw")
     ).filter(F.col("hi") > F.col("lo"))
+    basis, _ = settled(basis)
     step = (F.col("hi") - F.col("lo")) / (points - 1)
     at = (F.col("value") - F.col("lo")) / step
     node = F.least(F.floor(at), F.lit(points - 2).cast("bigint"))
@@ -118,7 +120,7 @@ def _kernel_density(long: DataFrame, keys: list[str], adjust: float, shared_rang
         ),
     )
     weights = nodes.groupBy(*keys, "node").agg(F.sum("w").alias("w"))
-    grid = attach(weights, basis, keys, "inner").withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
+    grid = null_safe_join(weights, basis, keys, "inner").withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
     z = (F.col("i") - F.col("node")) * step / F.col("bw")
     kernel = F.col("w") * F.exp(-0.5 * z * z)
     norm = F.col("n") * F.col("bw") * F.sqrt(2 * F.pi())
@@ -164,7 +166,7 @@ def box_stats(df: DataFrame, group: str = GROUP, value: str = TRUTH) -> DataFram
 
 def join_group_sizes(metrics: DataFrame, sizes: DataFrame, group: str = GROUP) -> DataFrame:
     """Attach ``pop_size`` to metric rows."""
-    return attach(metrics, sizes, [group])
+    return null_safe_join(metrics, sizes, [group])
 
 
 def performance_points(metrics: DataFrame, sizes: DataFrame, order: DataFrame, threshold: float = 150.0,

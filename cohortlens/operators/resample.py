@@ -37,6 +37,7 @@ _ROWS_PER_BUCKET = 250_000
 _COPIES_PER_CHUNK = 1024
 _PICKS_PER_CHUNK = 65_536
 _DRAWS_PER_TASK = 20_000_000
+_PICKS_PER_TASK = 1_000_000
 _MAX_TASKS = 50_000
 _BROADCAST_UNITS = 200_000
 _UNITS_PER_STEP = 16_384
@@ -129,11 +130,14 @@ class Resampler:
 
     # -- pieces shared by sums and weights --
 
+    def _tasks(self, draws: int, per_task: int) -> int:
+        """Number of tasks for that many draws (given to ``repartition``, so it is not merged down again)."""
+        parallel = self.units.sparkSession.sparkContext.defaultParallelism
+        return min(max(math.ceil(draws / per_task), parallel), _MAX_TASKS)
+
     def _chunks(self) -> DataFrame:
         """Units cut into runs of at most ``_COPIES_PER_CHUNK`` equal rows and spread evenly over the tasks."""
-        spark = self.units.sparkSession
-        tasks = math.ceil(self.rows * self.resamples / _DRAWS_PER_TASK)
-        tasks = min(max(tasks, spark.sparkContext.defaultParallelism), _MAX_TASKS)
+        tasks = self._tasks(self.rows * self.resamples, _DRAWS_PER_TASK)
         zero = F.lit(0).cast("bigint")
         runs = self.units.withColumn("at", F.explode(F.sequence(zero, F.col("copies") - 1, zero + _COPIES_PER_CHUNK)))
         return (
@@ -169,7 +173,8 @@ class Resampler:
         runs = needed.filter("missing > 0").withColumn(
             "first", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("missing") - 1, F.lit(_PICKS_PER_CHUNK).cast("bigint")))
         )
-        slots = runs.repartition("stratum", "replicate", "first").select(
+        expected = int(3 * math.sqrt(self.rows) * self.resamples)
+        slots = runs.repartition(self._tasks(expected, _PICKS_PER_TASK), "stratum", "replicate", "first").select(
             "stratum",
             "replicate",
             "size",

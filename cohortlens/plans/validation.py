@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 
 from cohortlens.config import GROUP, ID, PART_ESTIMATE, PART_UNCERTAINTY, TRUTH, ValidationConfig
 from cohortlens.operators import agreement, cohort, impact, plotdata, report, resample, summary
+from cohortlens.operators.joins import settled
 from cohortlens.sources.scratch import written
 
 
@@ -47,12 +48,12 @@ def validate(parts: DataFrame, measured: DataFrame, config: ValidationConfig = V
     joined, valid = tables.joined, tables.valid
     at = config.primary_threshold
     metrics = written(all_metrics(valid, config), "metrics")
-    order = cohort.group_order(valid)
-    sizes = cohort.group_sizes(valid)
-    prevalence = impact.prevalence_table(joined, metrics, config.thresholds)
-    improvement = written(impact.detection_improvement(prevalence), "improvement")
+    order, _ = settled(cohort.group_order(valid))
+    sizes, _ = settled(cohort.group_sizes(valid))
+    prevalence, _ = settled(impact.prevalence_table(joined, metrics, config.thresholds))
+    improvement, _ = settled(impact.detection_improvement(prevalence))
     nnt = impact.nnt(metrics, at)
-    lines = plotdata.fit_line(valid)
+    lines, _ = settled(plotdata.fit_line(valid))
     return {
         "demographics_overall": summary.demographics(valid),
         "demographics_by_ancestry_tidy": summary.demographics(valid, GROUP),
