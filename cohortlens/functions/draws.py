@@ -26,15 +26,19 @@ def draw60(*parts: Column | str | int) -> Column:
     return F.conv(F.substring(F.md5(F.concat_ws("|", *texts)), 1, 15), 16, 10).cast("bigint")
 
 
-def thinned_rate(n: int) -> float:
+#: How many standard deviations the expected total of a stratum's counts stays below its size.
+SLACK = 3.0
+
+
+def thinned_rate(n: int, slack: float = SLACK) -> float:
     """Poisson rate per row such that ``n`` rows rarely exceed ``n`` draws in total; 0 for very small ``n``."""
-    return max(0.0, 1.0 - 3.0 / math.sqrt(n)) if n > 0 else 0.0
+    return max(0.0, 1.0 - slack / math.sqrt(n)) if n > 0 else 0.0
 
 
 @lru_cache(maxsize=256)
-def poisson_cutoffs(n: int) -> tuple[int, ...]:
+def poisson_cutoffs(n: int, slack: float = SLACK) -> tuple[int, ...]:
     """A 53-bit uniform at or above the k-th cutoff means a count above k."""
-    rate = thinned_rate(n)
+    rate = thinned_rate(n, slack)
     term, total, cuts = math.exp(-rate), 0.0, []
     for k in range(_MAX_COUNT):
         total += term
@@ -52,14 +56,16 @@ def _mix(z: np.ndarray) -> np.ndarray:
     return z
 
 
-def poisson_counts(stratum_key: int, n: int, positions: np.ndarray, replicates: np.ndarray) -> np.ndarray:
+def poisson_counts(
+    stratum_key: int, n: int, positions: np.ndarray, replicates: np.ndarray, slack: float = SLACK
+) -> np.ndarray:
     """Counts (replicates x positions, uint8) of a thinned Poisson draw per row and replicate."""
     row = _mix(_U(stratum_key) + positions.astype(_U) * _U(POSITION_STEP))
     step = replicates.astype(_U) * _U(REPLICATE_STEP)
     u = _mix(row[None, :] + step[:, None])
     u >>= _U(64 - _UNIFORM_BITS)
     counts = np.zeros(u.shape, dtype=np.uint8)
-    for cut in poisson_cutoffs(n):
+    for cut in poisson_cutoffs(n, slack):
         above = u >= _U(cut)
         if not above.any():
             break

@@ -151,42 +151,40 @@ def fisher_exact(df: DataFrame, keys: Sequence[str], a: str, n1: str, c: str, n2
     about the square root of its total. Tables with a missing count, or margins of zero, get no p value here.
     """
     keys = list(keys)
-    big = lambda name: F.col(name).cast("bigint")
-    tables = df.select(*keys, big(a).alias("a"), big(n1).alias("n1"), big(c).alias("c"), big(n2).alias("n2")).filter(
-        "a is not null and c is not null and n1 is not null and n2 is not null and n1 + n2 > 0"
+
+    def count(name: str, out: str) -> Column:
+        return F.col(name).cast("bigint").alias(out)
+
+    tables = df.select(*keys, count(a, "__a"), count(n1, "__n1"), count(c, "__c"), count(n2, "__n2")).filter(
+        "__a is not null and __c is not null and __n1 is not null and __n2 is not null and __n1 + __n2 > 0"
     )
-    k = F.col("a") + F.col("c")
-    mean = k * F.col("n1") / (F.col("n1") + F.col("n2"))
+    seen, first, second = F.col("__a"), F.col("__n1"), F.col("__n2")
+    column = F.col("__a") + F.col("__c")
+    mean = column * first / (first + second)
     # log of the smallest positive double is about -745: deviations beyond this reach contribute exactly zero.
     reach = F.lit(500.0) + 39 * F.sqrt(mean)
-    least = F.greatest(F.lit(0).cast("bigint"), k - F.col("n2"), F.floor(mean - reach))
-    most = F.least(k, F.col("n1"), F.ceil(mean + reach))
+    least = F.greatest(F.lit(0).cast("bigint"), column - second, F.floor(mean - reach))
+    most = F.least(column, first, F.ceil(mean + reach))
     # A stated number of partitions keeps the tables apart although they are one small row each before the explode.
     tasks = df.sparkSession.sparkContext.defaultParallelism
     support = (
-        tables.select(*keys, "a", "n1", "n2", k.alias("k"), least.alias("least"), most.alias("most"))
+        tables.withColumns({"__least": least, "__most": most})
         .repartition(tasks, *keys)
-        .select("*", F.explode(F.sequence("least", "most")).alias("v"))
-    )
-    v = F.col("v")
-    up = (F.col("k") - v + 1).cast("double") * (F.col("n1") - v + 1)
-    down = v.cast("double") * (F.col("n2") - F.col("k") + v)
-    running = Window.partitionBy(*keys).orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    logs = support.withColumn(
-        "logp", F.sum(F.when(v > F.col("least"), F.log(up / down)).otherwise(F.lit(0.0))).over(running)
-    )
+        .withColumn("__v", F.explode(F.sequence("__least", "__most")))
+    )
+    v = F.col("__v")
+    up = (column - v + 1).cast("double") * (first - v + 1)
+    down = v.cast("double") * (second - column + v)
+    running = Window.partitionBy(*keys).orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    step = F.when(v > F.col("__least"), F.log(up / down)).otherwise(F.lit(0.0))
+    logs = support.select(*keys, "__v", "__a", F.sum(step).over(running).alias("__log"))
     summary = logs.groupBy(*keys).agg(
-        F.max("logp").alias("top"), F.max(F.when(v == F.col("a"), F.col("logp"))).alias("seen")
-    )
-    weight = F.exp(F.col("logp") - F.col("top"))
-    as_extreme = weight <= F.exp(F.col("seen") - F.col("top")) * (1 + 1e-7)
-    p = (
-        null_safe_join(logs, summary, keys, "inner")
-        .groupBy(*keys)
-        .agg(
-            F.least(F.lit(1.0), F.coalesce(F.sum(F.when(as_extreme, weight)), F.lit(0.0)) / F.sum(weight)).alias("p_value")
-        )
+        F.max("__log").alias("__top"), F.max(F.when(v == seen, F.col("__log"))).alias("__seen")
     )
+    weight = F.exp(F.col("__log") - F.col("__top"))
+    as_extreme = weight <= F.exp(F.col("__seen") - F.col("__top")) * (1 + 1e-7)
+    share = F.coalesce(F.sum(F.when(as_extreme, weight)), F.lit(0.0)) / F.sum(weight)
+    p = null_safe_join(logs, summary, keys, "inner").groupBy(*keys).agg(F.least(F.lit(1.0), share).alias("p_value"))
     return null_safe_join(df, p, keys)
 
 

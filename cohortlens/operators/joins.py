@@ -40,9 +40,9 @@ def null_safe_join(df: DataFrame, other: DataFrame, on: list[str], how: str = "l
 
     Used as it is for result tables, where both sides are aggregates and Spark picks the strategy from their sizes.
     """
-    renamed = other.select(*[F.col(k).alias(f"__{k}") for k in on], *[c for c in other.columns if c not in on])
-    condition = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in on])
-    return df.join(renamed, condition, how).drop(*[f"__{k}" for k in on])
+    renamed = other.select(*[F.col(k).alias(f"__key_{k}") for k in on], *[c for c in other.columns if c not in on])
+    condition = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__key_{k}")) for k in on])
+    return df.join(renamed, condition, how).drop(*[f"__key_{k}" for k in on])
 
 
 def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> list:

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from cohortlens.config import CLASS_METRICS, ESTIMATE, GROUP, ID, NUMERIC_METRICS, TRUTH
-from cohortlens.functions.draws import draw60, poisson_counts
+from cohortlens.functions.draws import SLACK, draw60, poisson_counts
 from cohortlens.functions.metrics import NUMERIC_SUMS, confusion_metrics, numeric_from_sums, numeric_terms
 from cohortlens.functions.scalars import nan_to_null, overall_or
 from cohortlens.operators.agreement import classified, pivot_longer
@@ -116,10 +116,13 @@ def resample_index(
 class Resampler:
     """Rows of a cohort with their strata and positions, ready to be resampled ``resamples`` times.
 
-    ``df`` needs the columns ``stratum``, ``keys``, ``truth`` and ``estimate``.
+    ``df`` needs the columns ``stratum``, ``keys``, ``truth`` and ``estimate``. ``slack`` only shifts work between the
+    two steps above; any value gives the same distribution.
     """
 
-    def __init__(self, df: DataFrame, keys: Sequence[str], truth: str, estimate: str, resamples: int, seed: int):
+    def __init__(self, df: DataFrame, keys: Sequence[str], truth: str, estimate: str, resamples: int, seed: int,
+                 slack: float = SLACK):
+        self.slack = slack
         self.keys, self.truth, self.estimate = list(keys), truth, estimate
         self.resamples, self.seed = resamples, seed
         narrow = df.select("stratum", *keys, truth, estimate)
@@ -221,7 +224,7 @@ class Resampler:
             + [T.StructField(n, T.DoubleType()) for n in names]
         )
         counted = held.sortWithinPartitions(*by, "start").mapInPandas(
-            _sums_of_counts(by, names, self.resamples), schema
+            _sums_of_counts(by, names, self.resamples, self.slack), schema
         )
         counted = counted.groupBy(*by, "replicate").agg(*[F.sum(n).alias(n) for n in names])
         counted = written(counted, "replicate-sums")
@@ -241,7 +244,7 @@ class Resampler:
             [fields[c] for c in content]
             + [T.StructField("replicate", T.IntegerType()), T.StructField("weight", T.LongType())]
         )
-        counts = written(held.mapInPandas(_counts_of_rows(content, self.resamples), schema), "replicate-counts")
+        counts = written(held.mapInPandas(_counts_of_rows(content, self.resamples, self.slack), schema), "replicate-counts")
         drawn = counts.groupBy("stratum", "replicate").agg(F.sum("weight").alias("drawn"))
         kept = counts.join(self._overfull(drawn), ["stratum", "replicate"], "left_anti")
         picked = self._picked(drawn, [F.col(c) for c in content if c != "stratum"]).withColumn(
@@ -269,16 +272,18 @@ def _positions(piece: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return piece["start"].to_numpy()[owner] + (np.arange(len(owner)) - first[owner]), owner
 
 
-def _counts(piece: pd.DataFrame, positions: np.ndarray, resamples: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _counts(
+    piece: pd.DataFrame, positions: np.ndarray, resamples: int, slack: float
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Replicate numbers with their Poisson counts, a few replicates at a time."""
     width = max(1, _CELLS_PER_STEP // len(positions))
     key, size = int(piece["stratum_key"].iloc[0]), int(piece["size"].iloc[0])
     for start in range(1, resamples + 1, width):
         replicates = np.arange(start, min(start + width, resamples + 1))
-        yield replicates, poisson_counts(key, size, positions, replicates)
+        yield replicates, poisson_counts(key, size, positions, replicates, slack)
 
 
-def _sums_of_counts(by: list[str], names: list[str], resamples: int):
+def _sums_of_counts(by: list[str], names: list[str], resamples: int, slack: float):
     """Per task: count-weighted sums by (stratum, keys, replicate); a bounded number of groups is held at a time."""
 
     def emit(held: dict[tuple, np.ndarray]) -> pd.DataFrame:
@@ -300,7 +305,7 @@ def _sums_of_counts(by: list[str], names: list[str], resamples: int):
                 for piece in _pieces(part):
                     positions, owner = _positions(piece)
                     values = piece[names].to_numpy()[owner]
-                    for replicates, counts in _counts(piece, positions, resamples):
+                    for replicates, counts in _counts(piece, positions, resamples, slack):
                         total[replicates - 1] += counts.astype(np.float64) @ values
             if len(held) > _HELD_GROUPS:
                 yield emit(held)
@@ -311,7 +316,7 @@ def _sums_of_counts(by: list[str], names: list[str], resamples: int):
     return run
 
 
-def _counts_of_rows(content: list[str], resamples: int):
+def _counts_of_rows(content: list[str], resamples: int, slack: float):
     """Per task: the positive counts of each row and replicate."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -320,7 +325,7 @@ def _counts_of_rows(content: list[str], resamples: int):
                 for piece in _pieces(part):
                     positions, owner = _positions(piece)
                     first = np.searchsorted(owner, np.arange(len(piece)))
-                    for replicates, counts in _counts(piece, positions, resamples):
+                    for replicates, counts in _counts(piece, positions, resamples, slack):
                         per_row = np.add.reduceat(counts.astype(np.int64), first, axis=1)
                         r, c = np.nonzero(per_row)
                         out = piece[content].iloc[c].reset_index(drop=True)

@@ -79,9 +79,8 @@ def summary_categorical(df: DataFrame, cols: Sequence[str], group: str | None =
 def summary_fallback(df: DataFrame, group: str | None = None, truth: str = TRUTH) -> DataFrame:
     """Cohort size and mean measured value, overall or per group, in one aggregation."""
     tagged = _overall_and_groups(df, group)
-    return tagged.groupBy("stratum").agg(
-        F.count(F.lit(1)).alias("cohort_size"), F.avg(nan_to_null(F.col(truth))).alias("mean_truth")
-    )
+    value = nan_to_null(F.col(truth)) if truth in df.columns else F.lit(None).cast("double")
+    return tagged.groupBy("stratum").agg(F.count(F.lit(1)).alias("cohort_size"), F.avg(value).alias("mean_truth"))
 
 
 def _number(c: Column, digits: int = 1) -> Column:

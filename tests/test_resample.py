@@ -67,21 +67,19 @@ def test_each_resample_has_the_stratum_size(cohort):
     assert all(w == sizes[s] for s, w in zip(got["stratum"], got["w"]))
 
 
-@pytest.mark.parametrize("rate", [None, 1.0, 1.2])
-def test_sums_agree_with_the_explicit_weights(cohort, monkeypatch, rate):
-    """Also with rates at which many or nearly all counts are discarded as too large."""
-    if rate is not None:
-        monkeypatch.setattr(draws, "thinned_rate", lambda n: rate)
-        # The workers import the module afresh; so they are given the cut-offs through the function they call.
-        draws.poisson_cutoffs.cache_clear()
-    r = resampler(cohort)
+@pytest.mark.parametrize("slack", [3.0, 0.0, -2.0, 1e9])
+def test_sums_agree_with_the_explicit_weights(cohort, slack):
+    """Also where half, nearly all or none of the counts are discarded, and where all draws are picks."""
+    r = resample.Resampler(resample.bootstrap_strata(cohort, "GIA"), ["GIA"], "lpa_nmol_max", "lpa_pred_nm", 12, 3, slack)
     w = r.weights().toPandas()
+    sizes = {row["stratum"]: row["size"] for row in r.strata.collect()}
+    totals = w.groupby(["stratum", "replicate"])["weight"].sum()
+    assert len(totals) == 12 * len(sizes) and all(n == sizes[s] for (s, _), n in totals.items())
     y, x = F.col("lpa_nmol_max"), F.col("lpa_pred_nm")
     sums = r.sums({"n": F.lit(1.0), "sy": y, "sxy": x * y}).toPandas().set_index(["GIA", "replicate"]).sort_index()
     w["sy"], w["sxy"] = w["weight"] * w["lpa_nmol_max"], w["weight"] * w["lpa_nmol_max"] * w["lpa_pred_nm"]
     want = w.groupby(["GIA", "replicate"])[["weight", "sy", "sxy"]].sum().sort_index()
     assert np.allclose(sums.to_numpy(), want.to_numpy())
-    draws.poisson_cutoffs.cache_clear()
 
 
 def test_overfull_replicates_are_redrawn(cohort):
