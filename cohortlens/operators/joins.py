@@ -45,10 +45,14 @@ def null_safe_join(df: DataFrame, other: DataFrame, on: list[str], how: str = "l
     return df.join(renamed, condition, how).drop(*[f"__key_{k}" for k in on])
 
 
-def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> list:
-    """At most ``_HOT_KEYS`` values of ``key`` that a frequent-items sketch puts above ``min_rows`` rows."""
-    top = df.agg(F.expr(f"approx_top_k(`{key}`, {_HOT_KEYS}, {_TRACKED_KEYS})").alias("top")).first()["top"]
-    return [row["item"] for row in top or [] if row["count"] > min_rows and row["item"] is not None]
+def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> tuple[list, bool]:
+    """At most ``_HOT_KEYS`` values that a frequent-items sketch puts above ``min_rows`` rows; whether NULL occurs."""
+    found = df.agg(
+        F.expr(f"approx_top_k(`{key}`, {_HOT_KEYS}, {_TRACKED_KEYS})").alias("top"),
+        F.count_if(F.col(key).isNull()).alias("nulls"),
+    ).first()
+    hot = [row["item"] for row in found["top"] or [] if row["count"] > min_rows and row["item"] is not None]
+    return hot, found["nulls"] > 0
 
 
 def left_join_skewed(
@@ -56,20 +60,20 @@ def left_join_skewed(
 ) -> DataFrame:
     """Null-safe LEFT join on ``key`` with ``left`` unique in ``key`` and ``right`` possibly dominated by few keys.
 
-    Spark cannot split a skewed right side of a left join. Keys that dominate ``right`` (a bounded list) are
-    therefore joined apart with the few matching ``left`` rows broadcast; every such key occurs in ``right``, so an
-    inner join loses nothing. All other keys take the ordinary join. ``hot_rows=None`` skips the look-up.
+    Spark cannot split a skewed right side of a left join. Keys that dominate ``right`` (a bounded list), and NULL
+    where it occurs there, are therefore joined apart with the few matching ``left`` rows broadcast; every such key
+    occurs in ``right``, so an inner join loses nothing. All other keys take an ordinary equality join, which reuses
+    a partitioning of ``left`` by ``key``. ``hot_rows=None`` skips the look-up and joins null-safely.
     """
-    hot = hot_keys(right, key, hot_rows) if hot_rows is not None else []
-
-    def plain(a: DataFrame, b: DataFrame) -> DataFrame:
-        return a.join(b, a[key].eqNullSafe(b[key]), "left").drop(b[key])
-
-    if not hot:
-        return plain(left, right)
-    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
-    hot_left = left.filter(is_hot)
-    hot_right = right.filter(is_hot)
-    joined_hot = hot_right.join(F.broadcast(hot_left), hot_right[key] == hot_left[key], "inner").drop(hot_right[key])
-    rest = plain(left.filter(~is_hot), right.filter(~is_hot))
+    if hot_rows is None:
+        return null_safe_join(left, right, [key])
+    hot, nulls = hot_keys(right, key, hot_rows)
+    if not hot and not nulls:
+        return left.join(right, key, "left")
+    apart = F.coalesce(F.col(key).isin(hot), F.lit(False)) if hot else F.lit(False)
+    if nulls:
+        apart = apart | F.col(key).isNull()
+    few = left.filter(apart)
+    joined_hot = null_safe_join(right.filter(apart), F.broadcast(few), [key], "inner")
+    rest = left.filter(~apart).join(right.filter(~apart), key, "left")
     return rest.unionByName(joined_hot.select(*rest.columns))

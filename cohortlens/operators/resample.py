@@ -58,8 +58,8 @@ def bootstrap_strata(df: DataFrame, level: str, pool: float = 0.1, seed: int = 0
     """
     if pool <= 0:
         return df.withColumn("stratum", F.coalesce(F.col(level).cast("string"), F.lit("NA")))
-    counts = df.groupBy(level).agg(F.count(F.lit(1)).alias("n"))
-    total = df.agg(F.count(F.lit(1))).scalar()
+    counts, _ = settled(df.groupBy(level).agg(F.count(F.lit(1)).alias("n")))
+    total = counts.agg(F.sum("n")).scalar()
     kept = counts.filter(F.col(level).isNotNull() & (F.col("n") / total >= pool)).select(level).collect()
     names = sorted(str(r[0]) for r in kept)
     if not names:
@@ -89,20 +89,24 @@ def resample_index(
     """
     content = ["stratum", *keys, truth, estimate]
     types = dict(zip(df.columns, [f.dataType for f in df.schema.fields]))
-    cells = df.groupBy(*content).agg(F.count(F.lit(1)).alias("copies"))
     rows = rows if rows is not None else df.count()
     digits = max(0, math.ceil(math.log(max(rows, 1) / _ROWS_PER_BUCKET, 16)))
-    tagged = cells.withColumn(
-        "tag", F.md5(F.concat_ws("|", *[_text(F.col(c), types[c]) for c in content]))
-    ).withColumn("bucket", F.substring("tag", 1, digits) if digits else F.lit(""))
+
+    def tag(table: DataFrame) -> DataFrame:
+        tagged = table.withColumn("tag", F.md5(F.concat_ws("|", *[_text(F.col(c), types[c]) for c in content])))
+        return tagged.withColumn("bucket", F.substring("tag", 1, digits) if digits else F.lit(""))
+
+    tagged = tag(df.groupBy(*content).agg(F.count(F.lit(1)).alias("copies")))
     within = Window.partitionBy("stratum", "bucket").orderBy("tag", truth, estimate, *keys)
     numbered = tagged.withColumn(
         "before", F.sum("copies").over(within.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("copies")
     )
     earlier = Window.partitionBy("stratum").orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # Bucket sizes come straight from the rows: map-side counting, next to nothing to shuffle.
     offsets = (
-        tagged.groupBy("stratum", "bucket")
-        .agg(F.sum("copies").alias("size"))
+        tag(df.select(*content))
+        .groupBy("stratum", "bucket")
+        .agg(F.count(F.lit(1)).alias("size"))
         .select(
             F.col("stratum").alias("s"),
             F.col("bucket").alias("k"),

@@ -98,6 +98,19 @@ def test_read_vcf(spark, tmp_path, suffix):
     ]
 
 
+def test_headers_of_one_cohort(spark, tmp_path):
+    (tmp_path / "a.vcf").write_text(VCF)
+    (tmp_path / "b.vcf").write_text(VCF.replace("160500000", "160500500"))
+    assert vcf.read_calls_vcf(spark, str(tmp_path)).count() == 8
+    (tmp_path / "c.vcf").write_text(VCF.replace("S1", "S9"))
+    with pytest.raises(Exception, match="header line"):
+        vcf.read_calls_vcf(spark, str(tmp_path)).collect()
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d" / "x.vcf").write_text("##only\n")
+    with pytest.raises(ValueError, match="header"):
+        vcf.read_calls_vcf(spark, str(tmp_path / "d"))
+
+
 def test_ragged_vcf_is_an_error(spark, tmp_path):
     path = tmp_path / "bad.vcf"
     path.write_text(VCF + "\t".join(["6", "1", ".", "A", "G", ".", ".", ".", "GT", "0|0"]) + "\n")

@@ -38,10 +38,18 @@ def test_left_join_null_safe_with_duplicates(two_tables):
 
 def test_hot_key_path_gives_the_same_rows(two_tables):
     plain = rows(cohort.join_pred_measured(*two_tables, hot_rows=None), "ID", "lpa_pred_nm", "lpa_nmol_max")
-    assert joins.hot_keys(two_tables[1], "ID", 10) == [4]
+    assert joins.hot_keys(two_tables[1], "ID", 10) == ([4], True)
     assert rows(cohort.join_pred_measured(*two_tables, hot_rows=10), "ID", "lpa_pred_nm", "lpa_nmol_max") == plain
 
 
+def test_null_on_one_side_only(two_tables):
+    pred, measured = two_tables
+    for a, b in ((pred.filter("ID is not null"), measured), (pred, measured.filter("ID is not null"))):
+        assert rows(cohort.join_pred_measured(a, b), "ID", "lpa_nmol_max") == rows(
+            cohort.join_pred_measured(a, b, hot_rows=None), "ID", "lpa_nmol_max"
+        )
+
+
 def test_hot_key_without_prediction_is_dropped(spark, two_tables):
     pred, measured = two_tables
     got = cohort.join_pred_measured(pred.filter("ID <> 4"), measured, hot_rows=10)

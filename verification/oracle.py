@@ -342,12 +342,16 @@ def continuous(stratum: str) -> str:
 
 def categorical(stratum: str, texts: tuple[str, ...]) -> str:
     parts = []
-    for c in (*texts, "HTN", "DM", "IHD"):
-        level = f'"{c}"' if c in texts else f'upper("{c}"::VARCHAR)'
-        counted = f"""SELECT {stratum} AS stratum, '{c}' AS variable, {level} AS level, count(*)::BIGINT AS n
+    for c in texts:
+        counted = f"""SELECT {stratum} AS stratum, '{c}' AS variable, "{c}" AS level, count(*)::BIGINT AS n
             FROM valid WHERE "{c}" IS NOT NULL GROUP BY 1, 3"""
         parts.append(f"SELECT *, n / sum(n) OVER (PARTITION BY stratum) * 100 AS pct FROM ({counted})")
-    return "SELECT * FROM (" + " UNION ALL ".join(f"({p})" for p in parts) + ") WHERE level <> 'FALSE'"
+    for c in ("HTN", "DM", "IHD"):
+        parts.append(
+            f"""SELECT {stratum} AS stratum, '{c}' AS variable, 'TRUE' AS level, count(*) FILTER ("{c}")::BIGINT AS n,
+            count(*) FILTER ("{c}") / count("{c}") * 100 AS pct FROM valid GROUP BY 1 HAVING count("{c}") > 0"""
+        )
+    return " UNION ALL ".join(f"({p})" for p in parts)
 
 
 add("summary_continuous", "valid", body=continuous('"GIA"'), doubles="p25 median p75")
