@@ -25,13 +25,17 @@ def settled(lookup: DataFrame) -> tuple[DataFrame, bool]:
     return lookup.sparkSession.createDataFrame(first_rows, schema=lookup.schema), True
 
 
-def attach(df: DataFrame, lookup: DataFrame, on: list[str], how: str = "left") -> DataFrame:
+def attach(
+    df: DataFrame, lookup: DataFrame, on: list[str], how: str = "left", small: bool | None = None
+) -> DataFrame:
     """Null-safe join of a large table with an aggregated one.
 
     A lookup of proven small size is broadcast, so ``df`` is not shuffled; a larger one takes a shuffled join,
-    whose skewed ``df`` partitions adaptive execution may split.
+    whose skewed ``df`` partitions adaptive execution may split. ``small`` is the answer of ``settled`` for a lookup
+    that went through it already.
     """
-    lookup, small = settled(lookup)
+    if small is None:
+        lookup, small = settled(lookup)
     return null_safe_join(df, F.broadcast(lookup) if small else lookup, on, how)
 
 

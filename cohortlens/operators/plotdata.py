@@ -83,16 +83,12 @@ def _kernel_density(long: DataFrame, keys: list[str], adjust: float, shared_rang
     Values are first spread over the grid nodes (linear binning), so the kernel sum runs over at most ``points``
     node weights per panel whatever the row count. The bandwidth is the usual rule of thumb from sd and IQR.
     """
-    spread = long.groupBy(*keys).agg(
-        F.stddev_samp("value").alias("sd"), F.min("value").alias("lo"), F.max("value").alias("hi")
-    )
+    spread = {"sd": F.stddev_samp("x"), "lo": F.min("x"), "hi": F.max("x")}
+    basis = exact_quantiles(long, keys, "value", {"q1": 0.25, "q3": 0.75}, spread)
+    basis, small = settled(basis)
     if shared_range:
-        limits = long.agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
-        spread = spread.withColumns(
-            {"lo": limits.select("lo").scalar(), "hi": limits.select("hi").scalar()}
-        )
-    iqr = exact_quantiles(long, keys, "value", {"q1": 0.25, "q3": 0.75})
-    basis = null_safe_join(spread, iqr, keys)
+        limits = basis.agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+        basis = basis.withColumns({"lo": limits.select("lo").scalar(), "hi": limits.select("hi").scalar()})
     by_iqr = (F.col("q3") - F.col("q1")) / IQR_TO_SD
     scale = F.when(F.least(F.col("sd"), by_iqr) > 0, F.least(F.col("sd"), by_iqr)).when(F.col("sd") > 0, F.col("sd")).when(
         F.col("q1") != 0, F.abs("q1")
@@ -100,11 +96,10 @@ def _kernel_density(long: DataFrame, keys: list[str], adjust: float, shared_rang
     basis = basis.select(
         *keys, "n", "lo", "hi", (BANDWIDTH_FACTOR * adjust * scale * F.pow(F.col("n"), F.lit(-0.2))).alias("bw")
     ).filter(F.col("hi") > F.col("lo"))
-    basis, _ = settled(basis)
     step = (F.col("hi") - F.col("lo")) / (points - 1)
     at = (F.col("value") - F.col("lo")) / step
     node = F.least(F.floor(at), F.lit(points - 2).cast("bigint"))
-    placed = attach(long.filter(F.col("value").isNotNull()), basis, keys, "inner").select(
+    placed = attach(long.filter(F.col("value").isNotNull()), basis, keys, "inner", small).select(
         *keys, node.alias("node"), (at - node).alias("part")
     )
     binned = placed.groupBy(*keys, "node").agg(

@@ -11,21 +11,24 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from cohortlens.operators.joins import attach
+from cohortlens.operators.joins import attach, null_safe_join, settled
 
 #: Relative rank error of the sketch is 1 / ACCURACY.
 ACCURACY = 20_000
 _MARGIN = 4.0 / ACCURACY
 
 
-def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float]) -> DataFrame:
+def exact_quantiles(
+    df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float], also: dict[str, Column] | None = None
+) -> DataFrame:
     """Linearly interpolated sample quantiles (type 7) per group, NULL and NaN ignored.
 
-    ``probs`` maps output column to probability. Result: ``keys``, ``n``, and one column per quantile.
+    ``probs`` maps output column to probability. ``also`` maps output column to a further aggregate of column ``x``
+    (the value), taken in the pass of the sketch. Result: ``keys``, ``n``, and one column per entry.
     """
-    keys = list(keys)
+    keys, also = list(keys), also or {}
     if not keys:
-        return exact_quantiles(df.withColumn("__all", F.lit(True)), ["__all"], value, probs).drop("__all")
+        return exact_quantiles(df.withColumn("__all", F.lit(True)), ["__all"], value, probs, also).drop("__all")
     rows = df.select(*keys, F.col(value).cast("double").alias("x")).filter(
         F.col("x").isNotNull() & ~F.isnan("x")
     )
@@ -37,6 +40,7 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[
     sketch = rows.groupBy(*keys).agg(
         F.percentile_approx("x", F.array(*[F.lit(e) for e in edges]), F.lit(ACCURACY)).alias("edge"),
         F.count(F.lit(1)).alias("n"),
+        *[c.alias(name) for name, c in also.items()],
     )
 
     def edge(p: float) -> Column:
@@ -49,8 +53,10 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[
         "n",
         *[F.when(small, F.lit(float("-inf"))).otherwise(edge(p)).alias(f"lo{i}") for i, p in enumerate(lows)],
         *[F.when(small, F.lit(float("inf"))).otherwise(edge(p)).alias(f"hi{i}") for i, p in enumerate(highs)],
+        *also,
     )
-    placed = attach(rows, sketch, keys)
+    sketch, is_small = settled(sketch)
+    placed = attach(rows, sketch.drop(*also), keys, small=is_small)
     x = F.col("x")
     inside = F.lit(False)
     region = F.lit(0)
@@ -84,7 +90,7 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[
         *[low.alias(f"{name}__l") for name, low, _, _ in outs],
         *[high.alias(f"{name}__h") for name, _, high, _ in outs],
     )
-    return result.select(
+    result = result.select(
         *keys,
         "n",
         *[
@@ -92,3 +98,4 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[
             for name, _, _, frac in outs
         ],
     )
+    return null_safe_join(result, sketch.select(*keys, *also), keys) if also else result

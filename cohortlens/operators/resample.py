@@ -130,10 +130,10 @@ class Resampler:
         self.keys, self.truth, self.estimate = list(keys), truth, estimate
         self.resamples, self.seed = resamples, seed
         narrow = df.select("stratum", *keys, truth, estimate)
-        self.strata, _ = settled(narrow.groupBy("stratum").agg(F.count(F.lit(1)).alias("size")))
+        self.strata, small = settled(narrow.groupBy("stratum").agg(F.count(F.lit(1)).alias("size")))
         self.rows = self.strata.agg(F.sum("size")).first()[0] or 0
         index = resample_index(narrow, keys, truth, estimate, self.rows)
-        self.units = written(attach(index, self.strata, ["stratum"]), "resample-index")
+        self.units = written(attach(index, self.strata, ["stratum"], small=small), "resample-index")
 
     # -- pieces shared by sums and weights --
 
