@@ -89,7 +89,7 @@ def an_ac(calls: DataFrame) -> DataFrame:
     )
     n_alt = F.size(F.split("alt", ","))
     each = F.transform(
-        F.sequence(F.lit(1), n_alt), lambda i: F.coalesce(F.col("by_allele").getItem(i), F.lit(0)).cast("string")
+        F.sequence(F.lit(1), n_alt), lambda i: F.coalesce(F.col("by_allele")[i], F.lit(0)).cast("string")
     )
     return per_variant.select(*VARIANT, "an", F.array_join(each, ",").alias("ac"))
 

@@ -435,8 +435,12 @@ def class_sums_by_cell(df: DataFrame, thresholds: Sequence[float], resamples: in
     rows = _class_rows(df, thresholds, pool, seed, group, truth, estimate, id_col)
     keys = ["stratum", group, "threshold", "truth", "called"]
     cells = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
-    blocks = cells.withColumn("stratum_key", draw60(seed, F.col("stratum"))).withColumn(
-        "block", F.explode(F.sequence(F.lit(0), F.lit((resamples - 1) // _REPLICATES_PER_TASK)))
+    # The number of partitions is stated: the cells are few, but the draws made from them are not.
+    n_blocks = (resamples - 1) // _REPLICATES_PER_TASK + 1
+    blocks = (
+        cells.withColumn("stratum_key", draw60(seed, F.col("stratum")))
+        .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
+        .repartition(n_blocks, "stratum", "block")
     )
     fields = {f.name: f for f in blocks.schema.fields}
     schema = T.StructType(

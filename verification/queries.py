@@ -100,7 +100,7 @@ def _(i):
         F.map_from_entries(F.collect_list(F.struct("sample", "gt"))).alias("gts")
     )
     with_names = per_variant.withColumn("s", names.scalar())
-    entries = F.transform("s", lambda s: F.concat(F.coalesce(F.col("gts").getItem(s), F.lit(".|.")), F.lit(":1")))
+    entries = F.transform("s", lambda s: F.concat(F.coalesce(F.col("gts")[s], F.lit(".|.")), F.lit(":1")))
     lines = with_names.select(
         F.concat_ws(
             "\t", "chrom", F.col("pos").cast("string"), F.lit("."), "ref", "alt", F.lit("."), F.lit("PASS"), F.lit("."),
