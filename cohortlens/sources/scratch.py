@@ -6,25 +6,17 @@ costs a re-read instead of a recomputation, and every later reader starts from a
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL_FALLBACK: dict[str, str] = {}
-
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder for intermediate tables: the session's setting, or a temporary one in local mode only."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    """The folder for intermediate tables: the session's setting, else the context's checkpoint folder."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _LOCAL_FALLBACK:
-        _LOCAL_FALLBACK[app] = tempfile.mkdtemp(prefix="cohortlens-")
-    return _LOCAL_FALLBACK[app]
+    return folder.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
