@@ -45,7 +45,7 @@ def _spans(kind: str, pattern: str) -> str:
     p = _literal(pattern)
     return f"""
   SELECT row, {secrets.KINDS.index(kind)} AS rank, '{kind}' AS kind, unnest(list_zip(
-      list_transform(range(len(m)), i -> list_sum(list_transform(p[1:i + 1], x -> length(x))) + coalesce(list_sum(list_transform(m[1:i], x -> length(x))), 0)),
+      list_transform(range(len(m)), lambda i: list_sum(list_transform(p[1:i + 1], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i], lambda x: length(x))), 0)),
       m)) AS s
   FROM (SELECT row, regexp_extract_all(text, {p}) AS m, string_split_regex(text, {p}) AS p FROM texts WHERE regexp_matches(text, {p}))"""
 
