@@ -89,4 +89,32 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 FROM texts LEFT JOIN per USING (row)
 """
 
-ORACLE: dict[str, str] = {"op2_secrets": OP2, "op4_mix": OP4}
+OP5 = """
+WITH usable AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id, sqrt(list_reduce(list_transform(list_zip(q.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])), lambda a, b: a + b)) AS score
+  FROM usable q JOIN usable c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+), ranked AS (
+  SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id))::INTEGER AS rank, vec_id, score FROM pairs
+)
+SELECT * FROM ranked WHERE rank <= 10
+"""
+
+# Base 32 of a SHA-1: 40 hexadecimal digits are 32 groups of 5 bits, 4 groups from every 5 digits.
+OP9 = """
+WITH hashed AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages
+), digests AS (
+  SELECT page_id, strlen(html)::BIGINT AS payload_bytes, array_to_string(list_transform(range(32), lambda i:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           (((('0x' || substr(hex, (i // 4)::INTEGER * 5 + 1, 5))::BIGINT >> ((3 - i % 4) * 5)::INTEGER) & 31) + 1)::INTEGER, 1)), '') AS payload_digest
+  FROM hashed
+), kept AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS keeper FROM digests)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = keeper THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> keeper THEN keeper END AS refers_to
+FROM kept
+"""
+
+ORACLE: dict[str, str] = {"op2_secrets": OP2, "op4_mix": OP4, "op5_neighbours": OP5, "op9_warc": OP9}

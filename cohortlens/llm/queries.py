@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortlens.llm import minhash, mixing, packing, quality, secrets
+from cohortlens.llm import minhash, mixing, neighbours, packing, quality, secrets, warc
 from cohortlens.llm.common import table
 
 
@@ -28,6 +28,11 @@ def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors, F.col("vec_id") % 100 == 0)
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     counts = "n_words word_chars n_symbols n_dup_lines n_repeat_words".split()
@@ -45,6 +50,11 @@ def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=2)
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = warc.archived(table(spark, sf_dir, "pages")).where("kind = 'record'")
+    return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_secrets, op4_mix, op6_quality_rules, op7_packing, op8_minhash)
+    f.__name__: f for f in (op2_secrets, op4_mix, op5_neighbours, op6_quality_rules, op7_packing, op8_minhash, op9_warc)
 }
