@@ -11,7 +11,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: A table of ids or of bounded values is broadcast only after it was counted and holds at most this many rows.
 BROADCAST_IDS = 200_000
 #: Rows that one window partition of a prefix sum orders, on average.
-_RUN_ROWS = 4096
+_RUN_ROWS = 512
 #: Bits of ``hash_key``.
 KEY_BITS = 60
 
