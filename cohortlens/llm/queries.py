@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortlens.llm import minhash, mixing, neighbours, packing, quality, secrets, warc
+from cohortlens.llm import minhash, mixing, neighbours, packing, quality, secrets, toxicity, warc
 from cohortlens.llm.common import table
 
 
@@ -24,6 +24,13 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return rows.select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -56,5 +63,5 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_secrets, op4_mix, op5_neighbours, op6_quality_rules, op7_packing, op8_minhash, op9_warc)
+    f.__name__: f for f in (op2_secrets, op3_toxicity, op4_mix, op5_neighbours, op6_quality_rules, op7_packing, op8_minhash, op9_warc)
 }
