@@ -8,8 +8,8 @@ Training (on the driver, from counts over a bounded sample of labelled documents
 is a positive example through its most suspicious segment, sentences of clean documents are negative through all of
 theirs. Landmarks are the most telling segments of both classes; their kernel matrix gives the Nyström features, on
 which a linear machine with squared hinge loss is fitted. Since all landmarks live in the finite space of three-letter
-subsequences, the machine folds into one weight per subsequence. A document's score is a logistic of its largest
-decision value, calibrated on the training documents.
+subsequences, the machine folds into one weight per subsequence. A document's score is the share of toxic ones among
+training documents of like largest decision value, pooled to rise with it.
 
 Defined cases: null or empty texts and texts without letters have the lowest decision value; documents without label do
 not train; with labels of one class every score is that class's share; repeated rows get equal scores; an empty table
@@ -33,7 +33,7 @@ from cohortlens.sources.scratch import written
 #: Labelled documents that train at most (those with the smallest hash of their id), and segments kept of either class.
 TRAINING_ROWS = 20_000
 TRAINING_SEGMENTS = 6_000
-LANDMARKS = 240
+LANDMARKS = 480
 DECAY, SPAN = 0.6, 6
 #: A longer word is read in overlapping windows of this many characters.
 WINDOW = 24
@@ -43,8 +43,10 @@ HELD_OUT = 5
 LOWEST = -2.0
 #: A segment counts as toxic from this evidence on (a chance of about 1 in 10 million).
 LEAST_EVIDENCE = 28.0
-ROUNDS = 3
-_COST = 4.0
+ROUNDS = 2
+_COST = 20.0
+#: Groups of training documents that calibration starts with.
+_POOLS = 100
 _REMEMBERED = 400_000
 _LETTERS = 32
 _SPACE = _LETTERS**3
@@ -57,24 +59,25 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string")) % HELD_OUT == 0
 
 
-def _code_table() -> dict[int, int]:
-    """Letters without accents are 1 to 26, other letters share the rest; all else is 0, a gap."""
-    return {c: c - 96 for c in range(97, 123)}
+#: Stands before a segment, as one more letter.
+_START = "\1"
 
 
 class _Codes(dict):
+    """Letters without their accents are 1 to 26, other letters share 27 to 30; all else is 0, a gap."""
+
     def __missing__(self, c: int) -> int:
         letter = chr(c)
         base = unicodedata.normalize("NFD", letter)[0]
         if "a" <= base <= "z":
             code = ord(base) - 96
         else:
-            code = 27 + c % 5 if letter.isalpha() else 0
+            code = 27 + c % 4 if letter.isalpha() else 0
         self[c] = code
         return code
 
 
-_codes = _Codes(_code_table())
+_codes = _Codes({ord(_START): 31})
 
 
 def segments(text: str | None) -> set[str]:
@@ -92,9 +95,9 @@ def segments(text: str | None) -> set[str]:
 
 def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(word, subsequence, value) of the normalised kernel features of every word."""
-    lengths = np.array([len(w) for w in words], np.int64)
+    lengths = np.array([len(w) + 1 for w in words], np.int64)
     gap = "\0" * (SPAN - 1)
-    joined = gap.join(words) + gap
+    joined = "".join([_START + w + gap for w in words])
     codes = np.array([_codes[c] for c in map(ord, joined)], np.int64)
     owner = np.repeat(np.arange(len(words)), lengths + len(gap))
     keys, values = [], []
@@ -115,9 +118,14 @@ def kernel(words: list[str], landmarks: np.ndarray) -> np.ndarray:
     """Kernel values of words against landmarks given as dense rows of features."""
     word, u, value = subsequences(words)
     out = np.zeros((len(words), len(landmarks)))
-    for at in range(0, len(word), 50_000):
-        part = slice(at, at + 50_000)
-        np.add.at(out, word[part], landmarks[:, u[part]].T * value[part, None])
+    by_feature = np.ascontiguousarray(landmarks.T)
+    first = np.searchsorted(word, np.arange(len(words) + 1))
+    for at in range(0, len(words), 256):
+        upto = min(at + 256, len(words))
+        part = slice(first[at], first[upto])
+        filled = at + np.flatnonzero(np.diff(first[at : upto + 1]))
+        if len(filled):
+            out[filled] = np.add.reduceat(by_feature[u[part]] * value[part, None], first[filled] - first[at])
     return out
 
 
@@ -144,12 +152,12 @@ def squared_hinge(z: np.ndarray, y: np.ndarray, weight: np.ndarray, cost: float
 
 @dataclass
 class Machine:
-    """Weight of every subsequence, offset, and the logistic that turns a decision value into a score."""
+    """Weight of every subsequence, offset, and the points between which a decision value becomes a score."""
 
     weights: np.ndarray
     offset: float
-    slope: float = 1.0
-    shift: float = 0.0
+    at: np.ndarray = field(default_factory=lambda: np.array([0.0]))
+    share: np.ndarray = field(default_factory=lambda: np.array([0.0]))
     _known: dict[str, float] = field(default_factory=dict, repr=False)
 
     def values(self, words: list[str]) -> np.ndarray:
@@ -171,9 +179,6 @@ class Machine:
             known.update(zip(part, self.values(part).tolist()))
         return [max(map(known.__getitem__, s), default=LOWEST) for s in sets]
 
-    def scores(self, decisions: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * decisions + self.shift, -500, 500)))
-
 
 def _segment_counts(sample: DataFrame) -> DataFrame:
     """(segment, toxic, clean): sentences of the sample's documents of either class that hold the segment."""
@@ -194,24 +199,27 @@ def _segment_counts(sample: DataFrame) -> DataFrame:
     return rows.groupBy("segment").agg(F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("clean"))
 
 
-def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and shift of a logistic regression on one feature, by damped Newton steps with a slight penalty."""
-    a = np.column_stack([x, np.ones(len(x))])
-    w = np.zeros(2)
-    for _ in range(60):
-        p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        gradient = a.T @ (p - y) + 1e-3 * w
-        hessian = a.T @ (a * (p * (1 - p))[:, None]) + np.diag([1e-3, 1e-3])
-        step = np.linalg.solve(hessian, gradient)
-        w = w - step / max(1.0, float(np.abs(step).max()) / 4)
-    return float(w[0]), float(w[1])
+def calibration(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Increasing decision values and their share of toxic documents: pooled until the shares never fall."""
+    order = np.argsort(x, kind="stable")
+    pools: list[list[float]] = []  # sum of decisions, toxic documents, documents
+    for part in np.array_split(order, min(len(x), _POOLS)):
+        pools.append([float(x[part].sum()), float(y[part].sum()), float(len(part))])
+        while len(pools) > 1 and pools[-2][1] * pools[-1][2] >= pools[-1][1] * pools[-2][2]:
+            last = pools.pop()
+            pools[-1] = [a + b for a, b in zip(pools[-1], last)]
+    at = np.array([d / n for d, _, n in pools])
+    share = np.array([(t + 0.05) / (n + 0.1) for _, t, n in pools])
+    # Beyond the outermost pools the score still rises, so order is kept.
+    at = np.concatenate([[min(LOWEST, at[0]) - 8.0], at, [at[-1] + 8.0]])
+    return at, np.concatenate([[share[0] / 2], share, [(1 + share[-1]) / 2]])
 
 
 def _fitted(toxic: list[str], clean: list[str]) -> Machine:
     """The machine of two lists of segments, the most telling first; the first of each are the landmarks."""
     half = LANDMARKS // 2
-    landmarks = _dense(toxic[:half] + clean[:half]).astype(float)
-    size, directions = np.linalg.eigh(landmarks @ landmarks.T + 1e-6 * np.eye(len(landmarks)))
+    landmarks = _dense(toxic[:half] + clean[:half])
+    size, directions = np.linalg.eigh((landmarks @ landmarks.T).astype(float) + 1e-6 * np.eye(len(landmarks)))
     root = directions / np.sqrt(np.maximum(size, 1e-6)) @ directions.T
     words = toxic + clean
     z = np.column_stack([kernel(words, landmarks) @ root, np.ones(len(words))])
@@ -221,6 +229,13 @@ def _fitted(toxic: list[str], clean: list[str]) -> Machine:
     return Machine(landmarks.T @ (root @ fitted[:-1]), float(fitted[-1]))
 
 
+def _disguised(words: list[str]) -> list[str]:
+    """The words with a sign between all letters, and with one letter or sign inserted."""
+    spaced = ["-".join(w) for w in words if 3 <= len(w) <= WINDOW // 2]
+    places = [(w, 1 + i % (len(w) - 1), "x.ae1"[i % 5]) for i, w in enumerate(words) if len(w) > 3]
+    return spaced + [w[:at] + sign + w[at:] for w, at, sign in places]
+
+
 def _evidence(toxic: Column, clean: Column, share: float) -> Column:
     """Twice the log-likelihood ratio of a segment's toxic sentences against their overall share; 0 if below it."""
     both = toxic + clean
@@ -233,12 +248,13 @@ def train(sample: DataFrame) -> Machine:
 
     Segments whose share of toxic sentences is no chance start as positives, random and frequent others as negatives.
     Each round then adds what the machine of the last round finds: the clean segments with the largest decision values,
-    and for the toxic sentences their segments that it calls toxic and that no clean sentence holds.
+    and segments of half the evidence that it calls toxic and that no clean sentence holds. Positives also train in
+    disguise: gapped, and with an inserted character.
     """
     sample = written(sample.select("text", "toxic"), "toxicity-sample")
     classes = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     share = classes.get(1, 0) / max(1, sum(classes.values()))
-    chance = Machine(np.zeros(_SPACE), 0.0, 0.0, float(np.log((share + 1e-9) / (1 - share + 1e-9))))
+    chance = Machine(np.zeros(_SPACE), 0.0, share=np.array([share]))
     if len(classes) < 2:
         return chance
     counts = written(_segment_counts(sample), "toxicity-segments")
@@ -258,15 +274,17 @@ def train(sample: DataFrame) -> Machine:
     common = take(plain, third // 2, F.col("clean").desc()) + take(plain, third, hash_key("segment", F.col("segment")))
     if not strong or not common:
         return chance
-    machine = _fitted(strong, list(dict.fromkeys(common)))
+    positive, negative = strong, list(dict.fromkeys(common))
+    machine = _fitted(positive + _disguised(positive), negative)
     for _ in range(ROUNDS):
+        likely = rated.where((F.col("clean") == 0) & (F.col("evidence") >= LEAST_EVIDENCE / 2))
+        more = take(decided_segments(likely, machine).where("decision > 0.25"), third // 2, F.col("evidence").desc())
         hard = take(decided_segments(plain, machine), third, F.col("decision").desc())
-        only = decided_segments(rated.where("clean = 0"), machine).where("decision > 0")
-        more = take(only, third // 2, F.col("toxic").desc(), F.col("decision").desc())
-        machine = _fitted(list(dict.fromkeys(strong + more)), list(dict.fromkeys(hard + common)))
+        positive, negative = list(dict.fromkeys(positive + more)), list(dict.fromkeys(hard + negative))
+        machine = _fitted(positive + _disguised(positive), negative)
     seen = decided(sample, machine).select("decision", "toxic").toArrow()
     x, t = seen.column("decision").to_numpy(), seen.column("toxic").to_numpy().astype(float)
-    machine.slope, machine.shift = _logistic(x, t)
+    machine.at, machine.share = calibration(x, t)
     return machine
 
 
@@ -311,7 +329,10 @@ def training_sample(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROW
 def scored(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> DataFrame:
     """Per document: doc_id, decision, score (0 to 1)."""
     machine = train(training_sample(docs, labels, rows))
-    logit = machine.slope * F.col("decision") + machine.shift
-    return decided(docs.select("doc_id", "text"), machine).select(
-        "doc_id", "decision", (1 / (1 + F.exp(-logit))).alias("score")
-    )
+    at, share = machine.at, machine.share
+
+    @F.arrow_udf("double")
+    def score(decisions: pa.Array) -> pa.Array:
+        return pa.array(np.interp(decisions.to_numpy(), at, share))
+
+    return decided(docs.select("doc_id", "text"), machine).select("doc_id", "decision", score("decision").alias("score"))
