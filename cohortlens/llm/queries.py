@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortlens.llm import minhash, mixing, neighbours, packing, quality, secrets, toxicity, warc
+from cohortlens.llm import minhash, mixing, neighbours, packing, quality, secrets, toxicity, warc, wrappers
 from cohortlens.llm.common import table
 
 
+def op1_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.extracted(table(spark, sf_dir, "pages"))
+
+
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.secrets(table(spark, sf_dir, "documents"))
     count = lambda keep: F.size(F.filter("spans", keep)).cast("long")
@@ -63,5 +67,5 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_secrets, op3_toxicity, op4_mix, op5_neighbours, op6_quality_rules, op7_packing, op8_minhash, op9_warc)
+    f.__name__: f for f in (op1_wrappers, op2_secrets, op3_toxicity, op4_mix, op5_neighbours, op6_quality_rules, op7_packing, op8_minhash, op9_warc)
 }
