@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortlens.llm import minhash, mixing, neighbours, packing, quality, secrets, toxicity, warc, wrappers
+from cohortlens.llm import minhash, mixing, neighbours, packing, quality, secrets, surrogates, toxicity, warc, wrappers
 from cohortlens.llm.common import table
 
 
@@ -66,6 +66,10 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.replaced(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_wrappers, op2_secrets, op3_toxicity, op4_mix, op5_neighbours, op6_quality_rules, op7_packing, op8_minhash, op9_warc)
+    f.__name__: f for f in (op1_wrappers, op2_secrets, op3_toxicity, op4_mix, op5_neighbours, op6_quality_rules, op7_packing, op8_minhash, op9_warc, op10_surrogates)
 }
