@@ -7,8 +7,9 @@ the k-th smallest upper bound of its query cannot be among the nearest. The othe
 vectors in double precision, the tile keeps k per query in a heap, and the heaps of all tiles are merged.
 
 Defined cases: vectors that are null, empty, all zero or hold null or non-finite components take no part; only vectors
-of equal length are compared; ties go to the smaller id; repeated rows of one id are separate candidates, and rows of
-the query's own id are none; an empty table gives an empty result.
+of equal length are compared; ties go to the smaller id; rows that repeat an id and its vector count once, rows of one id
+with different vectors are separate candidates that ask together, and rows of a query's own id are no candidates; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -81,7 +82,12 @@ def tile_neighbours(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarr
 
 def _rows(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     vectors = table.column("vector").combine_chunks()
-    return table.column("vec_id").to_numpy(), vectors.flatten().to_numpy().reshape(len(vectors), -1)
+    ids, x = table.column("vec_id").to_numpy(), vectors.flatten().to_numpy().reshape(len(vectors), -1)
+    seen = {(int(i), row.tobytes()): at for at, (i, row) in reversed(list(enumerate(zip(ids, x))))}
+    if len(seen) < len(ids):  # equal rows have equal ids, so they all lie in this block
+        once = sorted(seen.values())
+        ids, x = ids[once], x[once]
+    return ids, x
 
 
 def nearest(vectors: DataFrame, queries: Column, k: int = NEAREST) -> DataFrame:
