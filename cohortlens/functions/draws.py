@@ -16,8 +16,6 @@ REPLICATE_STEP = 0xD1342543DE82EF95
 
 _U = np.uint64
 _UNIFORM_BITS = 53
-#: A Poisson(1) draw above this count has a probability below 1e-13.
-_MAX_COUNT = 15
 
 
 def draw60(*parts: Column | str | int) -> Column:
@@ -37,13 +35,19 @@ def thinned_rate(n: int, slack: float = SLACK) -> float:
 
 @lru_cache(maxsize=256)
 def poisson_cutoffs(n: int, slack: float = SLACK) -> tuple[int, ...]:
-    """A 53-bit uniform at or above the k-th cutoff means a count above k."""
+    """A 53-bit uniform at or above the k-th cutoff means a count above k.
+
+    The cutoffs go on while another count still raises them, so no uniform is cut short.
+    """
     rate = thinned_rate(n, slack)
-    term, total, cuts = math.exp(-rate), 0.0, []
-    for k in range(_MAX_COUNT):
+    term = total = math.exp(-rate)
+    cuts = [math.floor(total * 2.0**_UNIFORM_BITS)]
+    while cuts[-1] < 2**_UNIFORM_BITS:
+        term = term * rate / len(cuts)
         total += term
+        if total == total - term:  # what is left is below the resolution of the uniform
+            break
         cuts.append(math.floor(total * 2.0**_UNIFORM_BITS))
-        term = term * rate / (k + 1)
     return tuple(cuts)
 
 

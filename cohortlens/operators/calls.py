@@ -39,9 +39,11 @@ def normalize_chrom(calls: DataFrame) -> DataFrame:
 def region_filter(calls: DataFrame, region: tuple[str, int, int] = EXTRACTION_REGION) -> DataFrame:
     """Records whose span ``pos .. pos + len(ref) - 1`` overlaps the inclusive region."""
     chrom, first, last = region
-    # The plain bound on pos reaches the file scan; the span test handles records that start before the region.
+    names = CHROM_NAMES if chrom in CHROM_NAMES else (chrom,)
+    # Plain tests of the columns as they are stored reach the file scan; the span test handles records that start
+    # before the region. Filter before renaming the chromosome.
     return calls.filter(
-        (F.col("chrom") == chrom) & (F.col("pos") <= last) & (F.col("pos") + F.length("ref") - 1 >= first)
+        F.col("chrom").isin(*names) & (F.col("pos") <= last) & (F.col("pos") + F.length("ref") - 1 >= first)
     )
 
 
@@ -51,9 +53,14 @@ def strip_fields(calls: DataFrame) -> DataFrame:
 
 
 def site_intersect(calls: DataFrame, sites: DataFrame, region: tuple[str, int, int] = EXTRACTION_REGION) -> DataFrame:
-    """Calls inside the region whose position and alleles all equal those of a site."""
-    wanted = region_filter(sites, region).select(*VARIANT)
-    return region_filter(calls, region).join(wanted, VARIANT, "left_semi")
+    """Calls inside the region whose position and alleles all equal those of a site; the chromosome is renamed.
+
+    The first wanted position (one look at the sites) bounds the scan of the calls from below.
+    """
+    wanted = normalize_chrom(region_filter(sites, region)).select(*VARIANT)
+    first = wanted.agg(F.min("pos")).first()[0]
+    inside = region_filter(calls, region).filter(F.col("pos") >= (region[1] if first is None else first))
+    return normalize_chrom(inside).join(wanted, VARIANT, "left_semi")
 
 
 def missing_sites(sites: DataFrame, extracted: DataFrame) -> DataFrame:
@@ -126,6 +133,14 @@ def is_phased(calls: DataFrame) -> DataFrame:
     )
 
 
+def _reason(sites_missing: Column, samples_missing: Column) -> Column:
+    return (
+        F.when(sites_missing > 0, F.lit("sites missing"))
+        .when(samples_missing > 0, F.lit("samples missing"))
+        .otherwise(F.lit("none"))
+    )
+
+
 def needs_imputation(sites: DataFrame, extracted: DataFrame) -> DataFrame:
     """One row: whether imputation is needed and why; missing sites take precedence over missing genotypes."""
     coverage = site_coverage(sites, extracted)
@@ -136,29 +151,36 @@ def needs_imputation(sites: DataFrame, extracted: DataFrame) -> DataFrame:
         short.alias("n_sites_missing"),
         "n_samples_missing",
         ((short > 0) | (F.col("n_samples_missing") > 0)).alias("needed"),
-        F.when(short > 0, F.lit("sites missing"))
-        .when(F.col("n_samples_missing") > 0, F.lit("samples missing"))
-        .otherwise(F.lit("none"))
-        .alias("reason"),
+        _reason(short, F.col("n_samples_missing")).alias("reason"),
     )
 
 
 def qc_summary(stages: Sequence[tuple[str, DataFrame]], sites: DataFrame, naming: DataFrame | None = None) -> DataFrame:
-    """One row per stage (for example raw, phased, imputed): coverage, samples, missing and multiallelic counts."""
+    """One row per stage (for example raw, phased, imputed): coverage, samples, missing and multiallelic counts.
+
+    Two aggregates over a stage's calls, one per variant and one per sample, hold everything.
+    """
     rows = []
+    required = sites.select(*VARIANT).distinct().agg(F.count(F.lit(1))).scalar()
     for name, calls in stages:
-        found = site_coverage(sites, calls)
-        decision = needs_imputation(sites, calls)
-        row = found.select(
+        variants = calls.groupBy(*VARIANT).agg(F.count(F.lit(1)).alias("calls")).agg(
+            F.count(F.lit(1)).alias("n_extracted"), F.count_if(F.col("alt").contains(",")).alias("n_multiallelic")
+        )
+        samples = calls.groupBy("sample").agg(F.count_if(is_missing(F.col("gt"))).alias("missing")).agg(
+            F.count("sample").alias("n_samples"), F.count_if(F.col("missing") > 0).alias("n_samples_missing")
+        )
+        # Both sides are aggregates of one row.
+        counted = variants.crossJoin(F.broadcast(samples)).withColumn("n_required", required)
+        row = counted.select(
             F.lit(name).alias("stage"),
             (naming.select("chrom_naming").scalar() if naming is not None else F.lit(CHROM)).alias("chrom_naming"),
             "n_required",
             "n_extracted",
-            "coverage_pct",
-            calls.agg(F.countDistinct("sample")).scalar().alias("n_samples"),
-            decision.select("n_samples_missing").scalar().alias("n_samples_missing"),
-            multiallelic_count(calls).scalar().alias("n_multiallelic"),
-            decision.select("reason").scalar().alias("reason"),
+            F.when(F.col("n_required") > 0, F.round(F.col("n_extracted") / F.col("n_required") * 100, 1)).alias("coverage_pct"),
+            "n_samples",
+            "n_samples_missing",
+            "n_multiallelic",
+            _reason(F.col("n_required") - F.col("n_extracted"), F.col("n_samples_missing")).alias("reason"),
         )
         rows.append(row)
     out = rows[0]

@@ -18,10 +18,13 @@ from cohortlens.config import (
     PART_UNCERTAINTY,
     TRUTH,
 )
-from cohortlens.functions.scalars import NMOL_PER_MG, nan_to_null, normal_ci, overall_or, to_nmol
+from cohortlens.functions.scalars import nan_to_null, normal_ci, overall_or, to_nmol
 from cohortlens.operators.joins import HOT_ROWS, attach, left_join_skewed, null_safe_join
 
 
+#: Codes that an error names; it says how many others there are.
+_SHOWN_CODES = 20
+
 # ---- contracts -------------------------------------------------------------------------------------------------
 
 
@@ -29,7 +32,7 @@ def require_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """``df`` itself, or an error that names the missing mandatory columns."""
     missing = [c for c in cols if c not in df.columns]
     if missing:
-        raise ValueError("Missing required columns: " + ", ".join(missing))
+        raise ValueError("The table lacks the columns " + ", ".join(missing))
     return df
 
 
@@ -49,10 +52,13 @@ def domain_violations(df: DataFrame, col: str = GROUP, valid: Sequence[str] = GR
 
 
 def require_domain(df: DataFrame, col: str = GROUP, valid: Sequence[str] = GROUP_CODES) -> DataFrame:
-    """``df`` itself, or an error that shows some of the values outside the valid set."""
-    bad = [str(r[0]) for r in domain_violations(df, col, valid).limit(20).collect()]
-    if bad:
-        raise ValueError(f"Invalid codes in {col}: {', '.join(sorted(bad))}. Valid codes: {', '.join(valid)}")
+    """``df`` itself, or an error that shows values outside the valid set and says how many there are."""
+    outside = domain_violations(df, col, valid)
+    total = outside.count()
+    if total:
+        shown = sorted(str(r[0]) for r in outside.limit(_SHOWN_CODES).collect())
+        more = f" and {total - len(shown)} more" if total > len(shown) else ""
+        raise ValueError(f"{total} codes of {col} are not among {', '.join(valid)}: {', '.join(shown)}{more}")
     return df
 
 
@@ -65,11 +71,6 @@ def max_per_person(df: DataFrame, id_col: str, value: str, unit: str | None = No
     return df.groupBy(id_col).agg(F.max(nan_to_null(v)).alias(out))
 
 
-def max_per_person_mg(df: DataFrame, id_col: str, value: str, out: str = TRUTH) -> DataFrame:
-    """Largest measurement per person where every measurement is in mg/dL."""
-    return df.groupBy(id_col).agg(F.max(nan_to_null(F.col(value) * NMOL_PER_MG)).alias(out))
-
-
 def code_flag(df: DataFrame, id_col: str, code: str, flags: dict[str, str], times: int = 2) -> DataFrame:
     """One boolean column per entry of ``flags`` (column name to code): the code occurs at least ``times`` times."""
     return df.groupBy(id_col).agg(
@@ -194,17 +195,21 @@ def take_n(df: DataFrame, n: int, *by: Column) -> DataFrame:
 
 def headline(parts: DataFrame, measured: DataFrame, valid: DataFrame, overall_numeric: DataFrame,
              truth: str = TRUTH) -> DataFrame:
-    """One row of cohort counts with overall R2 and RMSE (``overall_numeric`` has one row per metric)."""
+    """One row of cohort counts with overall R2 and RMSE (``overall_numeric`` has one row per metric).
+
+    Persons count once, however many parts their prediction has.
+    """
 
     def metric(name: str, digits: int) -> Column:
         return F.bround(F.max(F.when((F.col("metric") == name) & (F.col(GROUP) == OVERALL), F.col("estimate"))), digits)
 
+    persons = parts.select(ID).distinct().agg(F.count(F.lit(1))).scalar()
     counts = measured.agg(
         F.count(F.lit(1)).alias("n_measured_rows"), F.count(nan_to_null(F.col(truth))).alias("n_measured")
     )
     numbers = overall_numeric.agg(metric("rsq", 3).alias("rsq"), metric("rmse", 1).alias("rmse"))
     return counts.select(
-        (parts.agg(F.count(F.lit(1))).scalar() / 2).alias("n_genotyped"),
+        persons.alias("n_genotyped"),
         "n_measured_rows",
         "n_measured",
         valid.agg(F.count(F.lit(1))).scalar().alias("n_validated"),

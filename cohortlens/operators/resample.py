@@ -54,17 +54,20 @@ def bootstrap_strata(df: DataFrame, level: str, pool: float = 0.1, seed: int = 0
 
     Levels with a share of at least ``pool`` are strata. Rows of smaller levels and rows without a level are spread
     over those strata by a draw on their id; if no level is large enough there is one stratum. ``pool=0`` keeps
-    every level as its own stratum. At most 1/pool level names come to the driver.
+    every level as its own stratum, rows without one being another. At most 1/pool level names come to the driver.
     """
     if pool <= 0:
-        return df.withColumn("stratum", F.coalesce(F.col(level).cast("string"), F.lit("NA")))
-    counts, _ = settled(df.groupBy(level).agg(F.count(F.lit(1)).alias("n")))
+        text = F.col(level).cast("string")
+        # A level that reads NA is not a missing one.
+        return df.withColumn("stratum", F.when(text.isNull(), F.lit("NA")).when(text == "NA", F.lit("NA (level)")).otherwise(text))
+    # Names are texts made by Spark, here and in the comparison below: other engines write booleans and doubles differently.
+    name = F.col(level).cast("string")
+    counts, _ = settled(df.groupBy(name.alias("name")).agg(F.count(F.lit(1)).alias("n")))
     total = counts.agg(F.sum("n")).scalar()
-    kept = counts.filter(F.col(level).isNotNull() & (F.col("n") / total >= pool)).select(level).collect()
-    names = sorted(str(r[0]) for r in kept)
+    kept = counts.filter(F.col("name").isNotNull() & (F.col("n") / total >= pool)).select("name").collect()
+    names = sorted(r[0] for r in kept)
     if not names:
         return df.withColumn("stratum", F.lit(ALL))
-    name = F.col(level).cast("string")
     pick = (draw60(seed, "pool", F.coalesce(F.col(id_col).cast("string"), F.lit("NA"))) % len(names)).cast("int")
     spread = F.element_at(F.array(*[F.lit(n) for n in names]), pick + 1)
     return df.withColumn("stratum", F.when(name.isin(names), name).otherwise(spread))
@@ -311,9 +314,9 @@ def _sums_of_counts(by: list[str], names: list[str], resamples: int, slack: floa
                     values = piece[names].to_numpy()[owner]
                     for replicates, counts in _counts(piece, positions, resamples, slack):
                         total[replicates - 1] += counts.astype(np.float64) @ values
-            if len(held) > _HELD_GROUPS:
-                yield emit(held)
-                held = {}
+                if len(held) >= _HELD_GROUPS:
+                    yield emit(held)
+                    held = {}
         if held:
             yield emit(held)
 

@@ -88,7 +88,7 @@ def test_without_bootstrap(spark):
 
 def test_unknown_group_code_is_an_error(spark):
     i = Inputs(spark, SMALL)
-    with pytest.raises(ValueError, match="Invalid codes"):
+    with pytest.raises(ValueError, match="are not among"):
         build_cohort(i.predictions, i.measured.withColumn("GIA", F.lit("XXX")))
 
 

@@ -142,15 +142,20 @@ def index(keys: list[tuple[str, bool]], y: str, x: str) -> dict[str, str]:
     }
 
 
+#: The sum of the terms of a Poisson distribution with a rate of 1 at most stops growing before this one.
+_CUTOFFS = 22
+
+
 def weights(keys: list[tuple[str, bool]], y: str, x: str) -> dict[str, str]:
     """Weights of every row in every replicate."""
     names = ", ".join(n for n, _ in keys)
     content = f"stratum, {names}, {y}, {x}"
     cuts = ["greatest(0.0::DOUBLE, 1 - 3 / sqrt(size)) AS rate", "exp(-rate) AS t0", "t0 AS f0"]
-    for k in range(1, 15):
+    for k in range(1, _CUTOFFS):
         cuts += [f"t{k - 1} * rate / {k} AS t{k}", f"f{k - 1} + t{k} AS f{k}"]
-    cuts += [f"floor(f{k} * 9007199254740992)::UBIGINT AS cut{k}" for k in range(15)]
-    above = " + ".join(f"(u >> 11 >= cut{k})::INT" for k in range(15))
+    cuts += [f"floor(f{k} * 9007199254740992)::UBIGINT AS cut{k}" for k in range(_CUTOFFS)]
+    # A cutoff counts while its term still raises the sum.
+    above = " + ".join(["(u >> 11 >= cut0)::INT", *[f"(f{k} > f{k - 1} AND u >> 11 >= cut{k})::INT" for k in range(1, _CUTOFFS)]])
     pick = draw60(f"'{SEED}'", "'pick'", "stratum", "replicate::VARCHAR", "slot::VARCHAR")
     return {
         **index(keys, y, x),
@@ -360,7 +365,7 @@ add("summary_categorical", "valid", body=categorical('"GIA"', ("sex",)), doubles
 add("summary_categorical_overall", "valid", body=categorical("'Overall'", ("sex", "GIA")), doubles="pct")
 add("summary_fallback", "valid", doubles="mean_truth",
     body="SELECT 'Overall' AS stratum, count(*)::BIGINT AS cohort_size, avg(lpa_nmol_max) AS mean_truth FROM valid")
-add("bootstrap_ci", "valid", doubles=METRIC_DOUBLES, body=ci('(SELECT "GIA", lpa_pred_nm AS value FROM valid)', '"GIA"'))
+add("bootstrap_ci", "valid", doubles=METRIC_DOUBLES, extra=NUMERIC_BOOT, body="SELECT * FROM n_ci")
 add("an_ac", "extracted",
     body="""SELECT chrom, pos, ref, alt, an::BIGINT AS an, CASE WHEN alt LIKE '%,%' THEN ac1::VARCHAR || ',' || ac2::VARCHAR
     ELSE ac1::VARCHAR END AS ac FROM (SELECT chrom, pos, ref, alt,
@@ -382,15 +387,17 @@ add("needs_imputation", "extracted", extra=COVERAGE,
     FROM (SELECT n_required - n_extracted AS s, (SELECT count(*) FROM missing)::BIGINT AS m FROM coverage)""")
 add("multiallelic_count", "extracted",
     body="SELECT count(DISTINCT pos)::BIGINT AS n_multiallelic FROM extracted WHERE alt LIKE '%,%'")
-_STAGE = """SELECT '{name}' AS stage, '6' AS chrom_naming, (SELECT count(*) FROM sites)::BIGINT AS n_required,
+_STAGE = """SELECT '{name}' AS stage, (SELECT min(chrom) FROM raw_calls WHERE chrom IN ('6', 'chr6')) AS chrom_naming, (SELECT count(*) FROM sites)::BIGINT AS n_required,
     count(DISTINCT pos)::BIGINT AS n_extracted, round(count(DISTINCT pos) / (SELECT count(*) FROM sites) * 100, 1) AS coverage_pct,
     count(DISTINCT sample)::BIGINT AS n_samples, count(DISTINCT CASE WHEN gt LIKE '%.%' THEN sample END)::BIGINT AS n_samples_missing,
-    count(DISTINCT CASE WHEN alt LIKE '%,%' THEN pos END)::BIGINT AS n_multiallelic, 'sites missing' AS reason
+    count(DISTINCT CASE WHEN alt LIKE '%,%' THEN pos END)::BIGINT AS n_multiallelic,
+    CASE WHEN (SELECT count(*) FROM sites) > count(DISTINCT pos) THEN 'sites missing'
+         WHEN count(*) FILTER (gt LIKE '%.%') > 0 THEN 'samples missing' ELSE 'none' END AS reason
     FROM extracted {where}"""
-add("qc_summary", "extracted",
+add("qc_summary", "raw_calls", "extracted",
     body=_STAGE.format(name="raw", where="") + " UNION ALL " + _STAGE.format(name="complete", where="WHERE gt NOT LIKE '%.%'"))
 add("headline", "predictions", "valid", extra=NUMERIC_POINT,
-    body="""SELECT (SELECT count(*) FROM predictions) / 2 AS n_genotyped, (SELECT count(*) FROM measured)::BIGINT AS n_measured_rows,
+    body="""SELECT (SELECT count(DISTINCT "ID") FROM predictions)::BIGINT AS n_genotyped, (SELECT count(*) FROM measured)::BIGINT AS n_measured_rows,
     (SELECT count(lpa_nmol_max) FROM measured)::BIGINT AS n_measured, (SELECT count(*) FROM valid)::BIGINT AS n_validated,
     round_even(rsq, 3) AS rsq, round_even(rmse, 1) AS rmse FROM numeric_wide WHERE "GIA" = 'Overall'""")
 
@@ -599,14 +606,15 @@ add("is_phased", "raw_calls",
 add("to_nmol", doubles="value",
     body="SELECT event_id, CASE WHEN event_type = 'click' THEN value * 2.15::DOUBLE ELSE value END AS value FROM events")
 add("max_per_person", doubles="lpa_nmol_max",
-    body="SELECT user_id, max(value * 2.15::DOUBLE) AS lpa_nmol_max FROM events GROUP BY user_id")
+    body="""SELECT user_id, max(CASE WHEN event_type = 'click' THEN value * 2.15::DOUBLE ELSE value END) AS lpa_nmol_max
+    FROM events GROUP BY user_id""")
 add("code_flag",
     body="""SELECT user_id, count(*) FILTER (event_type = 'click') >= 2 AS clicked, count(*) FILTER (event_type = 'view') >= 2 AS viewed,
     count(*) FILTER (event_type = 'purchase') >= 2 AS purchased FROM events GROUP BY user_id""")
 add("id_overlap", "predictions", "measured",
     extra={
-        "a": 'SELECT DISTINCT "ID" FROM predictions WHERE "Lpa_pred_nM" > 10',
-        "b": 'SELECT DISTINCT "ID" FROM measured WHERE lpa_nmol_max IS NOT NULL',
+        "a": 'SELECT DISTINCT "ID" FROM predictions',
+        "b": 'SELECT DISTINCT "ID" FROM measured',
     },
     body="""SELECT (SELECT count(*) FROM a WHERE "ID" IN (SELECT "ID" FROM b))::BIGINT AS n_both,
     (SELECT count(*) FROM a WHERE "ID" NOT IN (SELECT "ID" FROM b))::BIGINT AS n_first_only,

@@ -339,8 +339,8 @@ def _(i):
 
 @register("bootstrap_ci")
 def _(i):
-    # Persons as replicates of a value: any long table has the needed shape.
-    return rounded(resample.bootstrap_ci(i.valid.select(GROUP, F.col(ESTIMATE).alias("value")), [GROUP]))
+    resampler = resample.numeric_resampler(written(i.valid, "valid"), REPLICATES, SEED)
+    return rounded(resample.bootstrap_ci(resample.numeric_replicates(resampler), [GROUP, "metric"]))
 
 
 @register("an_ac")
@@ -645,7 +645,8 @@ def _(i):
 
 @register("max_per_person")
 def _(i):
-    return rounded(cohort.max_per_person_mg(i.table("events"), "user_id", "value"))
+    unit = F.when(F.col("event_type") == "click", "mg/dL").when(F.col("event_type") == "view", "nmol/L")
+    return rounded(cohort.max_per_person(i.table("events").withColumn("unit", unit), "user_id", "value", "unit"))
 
 
 @register("code_flag")
@@ -656,6 +657,5 @@ def _(i):
 
 @register("id_overlap")
 def _(i):
-    measured = i.measured.filter(F.col(TRUTH).isNotNull()).select(ID)
-    return cohort.id_overlap(i.predictions.filter(F.col(PART_ESTIMATE) > 10).select(ID), measured)
+    return cohort.id_overlap(i.predictions.select(ID), i.measured.select(ID))
 
