@@ -15,7 +15,7 @@ POSITION_STEP = 0x9E3779B97F4A7C15
 REPLICATE_STEP = 0xD1342543DE82EF95
 
 _U = np.uint64
-_UNIFORM_BITS = 53
+UNIFORM_BITS = 53
 
 
 def draw60(*parts: Column | str | int) -> Column:
@@ -28,6 +28,10 @@ def draw60(*parts: Column | str | int) -> Column:
 SLACK = 3.0
 
 
+#: The same for draws per cell, where a stratum that is overfull costs a pick for each of its rows.
+CELL_SLACK = 6.0
+
+
 def thinned_rate(n: int, slack: float = SLACK) -> float:
     """Poisson rate per row such that ``n`` rows rarely exceed ``n`` draws in total; 0 for very small ``n``."""
     return max(0.0, 1.0 - slack / math.sqrt(n)) if n > 0 else 0.0
@@ -41,13 +45,13 @@ def poisson_cutoffs(n: int, slack: float = SLACK) -> tuple[int, ...]:
     """
     rate = thinned_rate(n, slack)
     term = total = math.exp(-rate)
-    cuts = [math.floor(total * 2.0**_UNIFORM_BITS)]
-    while cuts[-1] < 2**_UNIFORM_BITS:
+    cuts = [math.floor(total * 2.0**UNIFORM_BITS)]
+    while cuts[-1] < 2**UNIFORM_BITS:
         term = term * rate / len(cuts)
         total += term
         if total == total - term:  # what is left is below the resolution of the uniform
             break
-        cuts.append(math.floor(total * 2.0**_UNIFORM_BITS))
+        cuts.append(math.floor(total * 2.0**UNIFORM_BITS))
     return tuple(cuts)
 
 
@@ -67,7 +71,7 @@ def poisson_counts(
     row = _mix(_U(stratum_key) + positions.astype(_U) * _U(POSITION_STEP))
     step = replicates.astype(_U) * _U(REPLICATE_STEP)
     u = _mix(row[None, :] + step[:, None])
-    u >>= _U(64 - _UNIFORM_BITS)
+    u >>= _U(64 - UNIFORM_BITS)
     counts = np.zeros(u.shape, dtype=np.uint8)
     for cut in poisson_cutoffs(n, slack):
         above = u >= _U(cut)
@@ -75,3 +79,20 @@ def poisson_counts(
             break
         counts += above.view(np.uint8)
     return counts
+
+
+def poisson_quantiles(mean: float, u: np.ndarray) -> np.ndarray:
+    """Poisson counts of a mean of any size from 53-bit uniforms, by the cumulative table.
+
+    The table spans nine standard deviations and 30 counts to either side of the mean; what lies beyond has a
+    probability below the resolution of the uniform. Terms follow from their neighbours, so nothing under- or overflows.
+    """
+    if mean <= 0:
+        return np.zeros(len(u), np.int64)
+    reach = 9 * math.sqrt(mean) + 30
+    low, high = max(0, math.floor(mean - reach)), math.ceil(mean + reach)
+    k = np.arange(low + 1, high + 1, dtype=float)
+    logs = np.concatenate([[0.0], np.cumsum(np.log(mean / k))])
+    terms = np.exp(logs - logs.max())
+    table = np.cumsum(terms)
+    return low + np.searchsorted(table / table[-1], u / 2.0**UNIFORM_BITS, side="right").astype(np.int64)

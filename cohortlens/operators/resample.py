@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from cohortlens.config import CLASS_METRICS, ESTIMATE, GROUP, ID, NUMERIC_METRICS, TRUTH
-from cohortlens.functions.draws import SLACK, draw60, poisson_counts
+from cohortlens.functions.draws import CELL_SLACK, SLACK, UNIFORM_BITS, draw60, poisson_counts, poisson_quantiles, thinned_rate
 from cohortlens.functions.metrics import NUMERIC_SUMS, confusion_metrics, numeric_from_sums, numeric_terms
 from cohortlens.functions.scalars import nan_to_null, overall_or
 from cohortlens.operators.agreement import classified, pivot_longer
@@ -44,6 +44,7 @@ _UNITS_PER_STEP = 16_384
 _CELLS_PER_STEP = 262_144
 _HELD_GROUPS = 512
 _REPLICATES_PER_TASK = 50
+_RUNS = 1024
 
 
 # ---- strata and row positions ----------------------------------------------------------------------------------
@@ -428,45 +429,92 @@ def class_sums_by_row(df: DataFrame, thresholds: Sequence[float], resamples: int
     return resampler.sums({"n": F.lit(1.0), **_confusion_terms()})
 
 
-def class_sums_by_cell(df: DataFrame, thresholds: Sequence[float], resamples: int, seed: int, pool: float = 0.1,
-                       group: str = GROUP, truth: str = TRUTH, estimate: str = ESTIMATE, id_col: str = ID) -> DataFrame:
-    """Confusion counts of every replicate, drawn per confusion cell.
-
-    The metrics only see how many draws fall into each (group, threshold, true, predicted) cell, and those counts
-    are multinomial over the cells of a stratum. After one aggregation the cost no longer depends on the row count.
-    """
+def class_cells(df: DataFrame, thresholds: Sequence[float], seed: int, pool: float = 0.1, group: str = GROUP,
+                truth: str = TRUTH, estimate: str = ESTIMATE, id_col: str = ID) -> DataFrame:
+    """Rows per (stratum, group, threshold, true, predicted) cell: ``copies``, and ``start``, the rows of the stratum's
+    cells before it, in the order of a hash of the cell's name. The window sees one row per cell."""
     rows = _class_rows(df, thresholds, pool, seed, group, truth, estimate, id_col)
     keys = ["stratum", group, "threshold", "truth", "called"]
+    types = dict(zip(rows.columns, [f.dataType for f in rows.schema.fields]))
     cells = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
-    # The number of partitions is stated: the cells are few, but the draws made from them are not.
+    tagged = cells.withColumn("tag", F.md5(F.concat_ws("|", *[_text(F.col(c), types[c]) for c in keys])))
+    inside = Window.partitionBy("stratum")
+    before = inside.orderBy("tag").rowsBetween(Window.unboundedPreceding, -1)
+    return tagged.withColumns({
+        "size": F.sum("copies").over(inside),
+        "start": F.coalesce(F.sum("copies").over(before), F.lit(0).cast("bigint")),
+    })
+
+
+def _cell_counts(cells: DataFrame, resamples: int, seed: int) -> DataFrame:
+    """(stratum, tag, replicate, weight): the thinned Poisson count of every cell and replicate, zeros included."""
     n_blocks = (resamples - 1) // _REPLICATES_PER_TASK + 1
-    blocks = (
-        cells.withColumn("stratum_key", draw60(seed, F.col("stratum")))
-        .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
-        .repartition(n_blocks, "stratum", "block")
+    last = F.least(F.lit(resamples), (F.col("block") + 1) * _REPLICATES_PER_TASK)
+    draws = (
+        cells.select("stratum", "tag", "copies", "size", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("block"))
+        .repartition(cells.sparkSession.sparkContext.defaultParallelism, "tag", "block")
+        .withColumn("replicate", F.explode(F.sequence(F.col("block") * _REPLICATES_PER_TASK + 1, last)))
+    )
+    u = F.shiftright(draw60(seed, "cell", F.col("tag"), F.col("replicate").cast("string")), 60 - UNIFORM_BITS)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for _, part in batch.groupby("tag", sort=False):
+                mean = thinned_rate(int(part["size"].iloc[0]), CELL_SLACK) * int(part["copies"].iloc[0])
+                out = part[["stratum", "tag", "replicate"]].copy()
+                out["weight"] = poisson_quantiles(mean, part["u"].to_numpy())
+                yield out
+
+    held = draws.select("stratum", "tag", "copies", "size", "replicate", u.alias("u"))
+    return held.mapInPandas(run, "stratum string, tag string, replicate int, weight long")
+
+
+def _cell_picks(cells: DataFrame, drawn: DataFrame, resamples: int, seed: int) -> DataFrame:
+    """(tag, replicate, weight) of the draws that the counts leave out, as uniform picks of the stratum's rows.
+
+    A pick's row lies in one cell. Rows are numbered in runs of a fixed part of the stratum; cells are listed once per
+    run that they touch, so a pick meets few of them.
+    """
+    strata = cells.groupBy("stratum").agg(F.max("size").alias("size"))
+    grid = strata.withColumn("replicate", F.explode(F.sequence(F.lit(1), F.lit(resamples))))
+    total = F.coalesce(F.col("drawn"), F.lit(0).cast("bigint"))
+    needed = grid.join(drawn, ["stratum", "replicate"], "left").withColumn(
+        "missing", F.when(total > F.col("size"), F.col("size")).otherwise(F.col("size") - total)
     )
-    fields = {f.name: f for f in blocks.schema.fields}
-    schema = T.StructType(
-        [fields[k] for k in keys[1:]]
-        + [T.StructField("replicate", T.IntegerType()), T.StructField("weight", T.LongType())]
+    first = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("missing") - 1, F.lit(_PICKS_PER_CHUNK).cast("bigint")))
+    slots = (
+        needed.filter("missing > 0").withColumn("first", first)
+        .repartition(cells.sparkSession.sparkContext.defaultParallelism, "stratum", "replicate", "first")
+        .withColumn("slot", F.explode(F.sequence(F.col("first"), F.least(F.col("first") + _PICKS_PER_CHUNK, F.col("missing")) - 1)))
     )
+    draw = draw60(seed, "cell-pick", F.col("stratum"), F.col("replicate").cast("string"), F.col("slot").cast("string"))
+    run_length = F.greatest(F.lit(1).cast("bigint"), F.ceil(F.col("size") / _RUNS))
+    picks = slots.select("stratum", "replicate", (draw % F.col("size")).alias("position"), run_length.alias("long"))
+    picks = picks.withColumn("run", F.floor(F.col("position") / F.col("long")))
+    listed = cells.select("stratum", "tag", "start", (F.col("start") + F.col("copies")).alias("end"), run_length.alias("long"))
+    touched = F.sequence(F.floor(F.col("start") / F.col("long")), F.floor((F.col("end") - 1) / F.col("long")))
+    listed = listed.withColumn("run", F.explode(touched)).drop("long")
+    met = picks.join(listed, ["stratum", "run"]).filter((F.col("position") >= F.col("start")) & (F.col("position") < F.col("end")))
+    return met.groupBy("tag", "replicate").agg(F.count(F.lit(1)).alias("weight"))
+
 
-    def draw(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values(keys[1:], na_position="last", ignore_index=True)
-        block = int(part["block"].iloc[0])
-        first = block * _REPLICATES_PER_TASK + 1
-        replicates = np.arange(first, min(first + _REPLICATES_PER_TASK, resamples + 1), dtype=np.int32)
-        rng = np.random.default_rng([seed, int(part["stratum_key"].iloc[0]), block])
-        copies = part["copies"].to_numpy()
-        counts = rng.multinomial(int(copies.sum()), copies / copies.sum(), size=len(replicates))
-        r, c = np.nonzero(counts)
-        out = part[keys[1:]].iloc[c].reset_index(drop=True)
-        out["replicate"] = replicates[r]
-        out["weight"] = counts[r, c]
-        return out
-
-    drawn = blocks.groupBy("stratum", "block").applyInPandas(draw, schema)
-    return drawn.groupBy(group, "threshold", "replicate").agg(
+def class_sums_by_cell(df: DataFrame, thresholds: Sequence[float], resamples: int, seed: int, pool: float = 0.1,
+                       group: str = GROUP, truth: str = TRUTH, estimate: str = ESTIMATE, id_col: str = ID) -> DataFrame:
+    """Confusion counts of every replicate, drawn per confusion cell.
+
+    The metrics only see how many draws fall into each (group, threshold, true, predicted) cell. The sum of the Poisson
+    counts of a cell's rows is one Poisson count, so a cell draws once per replicate, from its cumulative table, and the
+    draws that are missing in a stratum are picks of rows as in the row by row resamples. After one aggregation the cost
+    grows with the square root of the row count at most.
+    """
+    cells = written(class_cells(df, thresholds, seed, pool, group, truth, estimate, id_col), "cells")
+    counts = written(_cell_counts(cells, resamples, seed), "cell-counts")
+    drawn = written(counts.groupBy("stratum", "replicate").agg(F.sum("weight").alias("drawn")), "cell-drawn")
+    overfull = drawn.join(cells.groupBy("stratum").agg(F.max("size").alias("size")), "stratum").filter("drawn > size")
+    kept = counts.join(overfull.select("stratum", "replicate"), ["stratum", "replicate"], "left_anti").drop("stratum")
+    both = kept.unionByName(_cell_picks(cells, drawn, resamples, seed)).groupBy("tag", "replicate").agg(F.sum("weight").alias("weight"))
+    named = cells.select("tag", group, "threshold", "truth", "called").join(both.filter("weight > 0"), "tag")
+    return named.groupBy(group, "threshold", "replicate").agg(
         *[F.sum(F.col("weight") * c).alias(name) for name, c in _confusion_terms().items()]
     )
 

@@ -15,7 +15,7 @@ def con():
 
 
 def test_only_the_numpy_draws_have_no_sql():
-    assert set(QUERIES) - set(ORACLE) == {"class_boot_by_cell"} and set(ORACLE) <= set(QUERIES)
+    assert set(QUERIES) == set(ORACLE)
 
 
 def test_entry(spark):

@@ -226,6 +226,44 @@ CLASS_BOOT = {
     "c_long": long("c_wide", '"GIA", threshold, replicate', CLASS, "value"),
     "c_ci": ci("c_long", '"GIA", threshold, metric'),
 }
+CLASS_REPLICATES = 1000
+_CELL = 'stratum, "GIA", threshold, truth, called'
+_CELL_TAG = ", ".join(["stratum", """coalesce("GIA"::VARCHAR, 'NA')""",
+                       *[f"coalesce({c}::DECIMAL(38,6)::VARCHAR, 'NA')" for c in ("threshold", "truth", "called")]])
+CLASS_CELLS = {
+    "class_rows": CLASS_ROWS,
+    **strata(
+        """SELECT "ID", "GIA", threshold, strata, true_class::INT::DOUBLE AS truth, pred_class::INT::DOUBLE AS called
+        FROM class_rows""",
+        "strata",
+    ),
+    "e_cells": f"""SELECT *, md5(concat_ws('|', {_CELL_TAG})) AS tag FROM (
+        SELECT {_CELL}, count(*)::BIGINT AS copies FROM b_strata GROUP BY {_CELL})""",
+    "e_placed": """SELECT *, (sum(copies) OVER (PARTITION BY stratum))::BIGINT AS size, coalesce(sum(copies) OVER (PARTITION BY stratum
+        ORDER BY tag ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start FROM e_cells""",
+    "e_means": "SELECT tag, greatest(0.0::DOUBLE, 1 - 6 / sqrt(size::DOUBLE)) * copies AS mean FROM e_placed",
+    "e_reach": "SELECT *, greatest(0, floor(mean - (9 * sqrt(mean) + 30)))::BIGINT AS low, ceil(mean + (9 * sqrt(mean) + 30))::BIGINT AS high FROM e_means WHERE mean > 0",
+    "e_logs": """SELECT tag, k, sum(CASE WHEN k > low THEN ln(mean / k) ELSE 0.0::DOUBLE END) OVER (PARTITION BY tag ORDER BY k) AS l
+        FROM (SELECT *, unnest(generate_series(low, high)) AS k FROM e_reach)""",
+    "e_terms": "SELECT tag, k, exp(l - max(l) OVER (PARTITION BY tag)) AS p FROM e_logs",
+    "e_table": "SELECT tag, k, (sum(p) OVER (PARTITION BY tag ORDER BY k)) / (sum(p) OVER (PARTITION BY tag)) AS upto FROM e_terms",
+    "e_draws": f"""SELECT tag, stratum, size, replicate, (({draw60(f"'{SEED}'", "'cell'", "tag", "replicate::VARCHAR")}) >> 7) / 9007199254740992.0::DOUBLE AS u
+        FROM e_placed, (SELECT unnest(generate_series(1, {CLASS_REPLICATES}))::INT AS replicate)""",
+    "e_counts": """SELECT d.tag, d.stratum, d.size, d.replicate, coalesce(t.k, 0)::BIGINT AS weight
+        FROM e_draws d ASOF LEFT JOIN e_table t ON d.tag = t.tag AND d.u < t.upto""",
+    "e_drawn": "SELECT stratum, size, replicate, sum(weight)::BIGINT AS drawn FROM e_counts GROUP BY stratum, size, replicate",
+    "e_slots": """SELECT stratum, size, replicate,
+        unnest(generate_series(0, CASE WHEN drawn > size THEN size ELSE size - drawn END - 1)) AS slot FROM e_drawn""",
+    "e_picks": f"""SELECT stratum, replicate, ({draw60(f"'{SEED}'", "'cell-pick'", "stratum", "replicate::VARCHAR", "slot::VARCHAR")}) % size AS pos
+        FROM e_slots""",
+    "e_picked": """SELECT c.tag, p.replicate FROM e_picks p ASOF JOIN e_placed c ON p.stratum = c.stratum AND p.pos >= c.start""",
+    "e_weights": """SELECT tag, replicate, sum(weight) AS weight FROM (
+        SELECT c.tag, c.replicate, c.weight FROM e_counts c JOIN e_drawn d ON c.stratum = d.stratum AND c.replicate = d.replicate
+        WHERE drawn <= d.size AND weight > 0 UNION ALL SELECT tag, replicate, 1 FROM e_picked) GROUP BY tag, replicate""",
+    "c_flags": """SELECT "GIA", threshold, replicate, weight, truth = 1 AS true_class, called = 1 AS pred_class
+        FROM e_weights w JOIN e_placed c ON w.tag = c.tag""",
+    **{k: CLASS_BOOT[k] for k in ("c_sums", "c_wide", "c_long", "c_ci")},
+}
 
 # ---- sources, sinks, contracts ---------------------------------------------------------------------------------
 
@@ -457,8 +495,10 @@ add("bootstrap_strata", "valid", extra=strata("SELECT * FROM valid", '"GIA"'), b
 add("bootstrap_weights", "valid", extra=NUMERIC_WEIGHTS, doubles="lpa_nmol_max lpa_pred_nm", body="SELECT * FROM b_weights")
 add("numeric_boot_grouped", "valid", extra=NUMERIC_BOOT, doubles=METRIC_DOUBLES, body="""SELECT * FROM n_ci WHERE "GIA" <> 'Overall'""")
 add("numeric_boot_overall", "valid", extra=NUMERIC_BOOT, doubles=METRIC_DOUBLES, body="""SELECT * FROM n_ci WHERE "GIA" = 'Overall'""")
-add("class_boot_grouped", "valid", extra=CLASS_BOOT, doubles=METRIC_DOUBLES, body="""SELECT * FROM c_ci WHERE "GIA" <> 'Overall'""")
-add("class_boot_overall", "valid", extra=CLASS_BOOT, doubles=METRIC_DOUBLES, body="""SELECT * FROM c_ci WHERE "GIA" = 'Overall'""")
+add("class_boot_by_row", "valid", extra=CLASS_BOOT, doubles=METRIC_DOUBLES, body="SELECT * FROM c_ci")
+add("class_boot_by_cell", "valid", extra=CLASS_CELLS, doubles=METRIC_DOUBLES, body="SELECT * FROM c_ci")
+add("class_boot_grouped", "valid", extra=CLASS_CELLS, doubles=METRIC_DOUBLES, body="""SELECT * FROM c_ci WHERE "GIA" <> 'Overall'""")
+add("class_boot_overall", "valid", extra=CLASS_CELLS, doubles=METRIC_DOUBLES, body="""SELECT * FROM c_ci WHERE "GIA" = 'Overall'""")
 
 # ---- impact ----------------------------------------------------------------------------------------------------
 
@@ -467,7 +507,7 @@ def reciprocal(c: str) -> str:
     return f"CASE WHEN {c} = 0 THEN 'Infinity'::DOUBLE ELSE 1 / {c} END"
 
 
-add("nnt", "valid", extra=CLASS_BOOT, doubles="estimate lower_ci upper_ci",
+add("nnt", "valid", extra=CLASS_CELLS, doubles="estimate lower_ci upper_ci",
     body=f"""SELECT "GIA", 'nnt' AS metric, {reciprocal('estimate')} AS estimate, {reciprocal('upper_ci')} AS lower_ci,
     {reciprocal('lower_ci')} AS upper_ci, 'Classification' AS metric_type FROM c_ci WHERE threshold = 150 AND metric = 'ppv'""")
 RATES = {

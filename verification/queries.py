@@ -14,6 +14,7 @@ from cohortlens.sources.scratch import scratch_path, written
 from verification.inputs import THRESHOLDS, Inputs, rounded
 
 REPLICATES = 20
+CLASS_REPLICATES = 1000
 SEED = 7
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -43,8 +44,9 @@ def _numeric_boot(i: Inputs) -> DataFrame:
     return resample.numeric_boot(written(i.valid, "valid"), REPLICATES, SEED)
 
 
-def _class_boot(i: Inputs, by_cell: bool = False) -> DataFrame:
-    return resample.class_boot(written(i.valid, "valid"), THRESHOLDS, REPLICATES, SEED, by_cell=by_cell)
+def _class_boot(i: Inputs) -> DataFrame:
+    """The bootstrap that a validation run makes, with as many resamples."""
+    return resample.class_boot(written(i.valid, "valid"), THRESHOLDS, CLASS_REPLICATES, SEED)
 
 
 # ---- sources, sinks, contracts ---------------------------------------------------------------------------------
@@ -520,7 +522,12 @@ def _(i):
 
 @register("class_boot_by_cell")
 def _(i):
-    return rounded(_class_boot(i, by_cell=True))
+    return rounded(_class_boot(i))
+
+
+@register("class_boot_by_row")
+def _(i):
+    return rounded(resample.class_boot(written(i.valid, "valid"), THRESHOLDS, REPLICATES, SEED, by_cell=False))
 
 
 # ---- impact ----------------------------------------------------------------------------------------------------
