@@ -36,14 +36,17 @@ def normalize_chrom(calls: DataFrame) -> DataFrame:
     return calls.withColumn("chrom", F.when(F.col("chrom") == CHROM_NAMES[0], F.lit(CHROM)).otherwise(F.col("chrom")))
 
 
-def region_filter(calls: DataFrame, region: tuple[str, int, int] = EXTRACTION_REGION) -> DataFrame:
-    """Records whose span ``pos .. pos + len(ref) - 1`` overlaps the inclusive region."""
+def region_filter(
+    calls: DataFrame, region: tuple[str, int, int] = EXTRACTION_REGION, names: Sequence[str] | None = None
+) -> DataFrame:
+    """Records whose span ``pos .. pos + len(ref) - 1`` overlaps the inclusive region.
+
+    ``names`` are accepted for the region's chromosome (default: its own name). Tests of columns as they are stored
+    reach the file scan, so filter by all names first and rename the chromosome afterwards.
+    """
     chrom, first, last = region
-    names = CHROM_NAMES if chrom in CHROM_NAMES else (chrom,)
-    # Plain tests of the columns as they are stored reach the file scan; the span test handles records that start
-    # before the region. Filter before renaming the chromosome.
     return calls.filter(
-        F.col("chrom").isin(*names) & (F.col("pos") <= last) & (F.col("pos") + F.length("ref") - 1 >= first)
+        F.col("chrom").isin(*(names or (chrom,))) & (F.col("pos") <= last) & (F.col("pos") + F.length("ref") - 1 >= first)
     )
 
 
@@ -57,9 +60,10 @@ def site_intersect(calls: DataFrame, sites: DataFrame, region: tuple[str, int, i
 
     The first wanted position (one look at the sites) bounds the scan of the calls from below.
     """
-    wanted = normalize_chrom(region_filter(sites, region)).select(*VARIANT)
+    names = CHROM_NAMES if region[0] in CHROM_NAMES else None
+    wanted = normalize_chrom(region_filter(sites, region, names)).select(*VARIANT)
     first = wanted.agg(F.min("pos")).first()[0]
-    inside = region_filter(calls, region).filter(F.col("pos") >= (region[1] if first is None else first))
+    inside = region_filter(calls, region, names).filter(F.col("pos") >= (region[1] if first is None else first))
     return normalize_chrom(inside).join(wanted, VARIANT, "left_semi")
 
 

@@ -116,3 +116,30 @@ def test_ragged_vcf_is_an_error(spark, tmp_path):
     path.write_text(VCF + "\t".join(["6", "1", ".", "A", "G", ".", ".", ".", "GT", "0|0"]) + "\n")
     with pytest.raises(Exception, match="number of samples"):
         vcf.read_calls_vcf(spark, str(path)).collect()
+
+
+def test_region_tests_reach_the_scan(spark, tmp_path):
+    rows = [("6", p, "A", "G", "S1", "0|1") for p in range(160_390_000, 160_810_000, 10_000)]
+    path = str(tmp_path / "calls")
+    spark.createDataFrame(rows, CALL).write.parquet(path)
+    sites = spark.createDataFrame([("chr6", 160_500_000, "A", "G"), ("6", 160_700_000, "A", "G")], "chrom string, pos long, ref string, alt string")
+    found = c.site_intersect(spark.read.parquet(path), sites)
+    plan = found._jdf.queryExecution().explainString(found._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    pushed = next(line for line in plan.splitlines() if "PushedFilters" in line)
+    assert "In(chrom, [6,chr6])" in pushed and "GreaterThanOrEqual(pos,160500000)" in pushed and "LessThanOrEqual(pos," in pushed
+    assert sorted((r["chrom"], r["pos"]) for r in found.collect()) == [("chr6", 160_500_000), ("chr6", 160_700_000)]
+
+
+def test_genotype_is_looked_up_in_format(spark, tmp_path):
+    head = "##x\n#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\tS1\n"
+    lines = [("DS:GT", "0.9:0|1"), ("DS", "0.98"), ("GT", "1|1"), ("DP:DS:GT", "3:1")]
+    path = tmp_path / "odd.vcf"
+    path.write_text(head + "".join(f"6\t{i}\t.\tA\tG\t.\t.\t.\t{f}\t{v}\n" for i, (f, v) in enumerate(lines)))
+    assert [r["gt"] for r in vcf.read_calls_vcf(spark, str(path)).orderBy("pos").collect()] == ["0|1", None, "1|1", None]
+
+
+def test_stages_get_a_row_each(table, spark):
+    sites = spark.createDataFrame([("chr6", 160_500_000, "A", "G")], "chrom string, pos long, ref string, alt string")
+    out = prepare_calls(table, sites, later={"phased": table, "imputed": table.limit(0)})
+    rows = out["summary"].collect()
+    assert [r["stage"] for r in rows] == ["raw", "phased", "imputed"] and rows[2]["n_extracted"] == 0

@@ -184,3 +184,34 @@ def test_poisson_counts_follow_their_rate():
     assert abs(np.corrcoef(counts[0], counts[1])[0, 1]) < 0.04
     assert abs(np.corrcoef(counts[:, 0], counts[:, 1])[0, 1]) < 0.4
     assert draws.thinned_rate(4) == 0 and draws.poisson_counts(1, 4, np.arange(4), np.arange(1, 9)).sum() == 0
+
+
+def test_strata_of_any_level_type(spark):
+    import datetime
+
+    for name, values in (("boolean", [True, False]), ("double", [1e10, 2.0]), ("int", [1, 2]), ("date", [datetime.date(2020, 1, 1), datetime.date(2021, 1, 1)])):
+        df = spark.createDataFrame([(i, values[i % 2]) for i in range(200)], f"ID int, level {name}")
+        got = resample.bootstrap_strata(df, "level").groupBy("level", "stratum").count().collect()
+        assert sorted(x["count"] for x in got) == [100, 100] and len({x["stratum"] for x in got}) == 2
+
+
+def test_level_named_like_a_missing_one(spark):
+    df = spark.createDataFrame([(1, "NA"), (2, None), (3, "x")], "ID int, level string")
+    assert len({x["stratum"] for x in resample.bootstrap_strata(df, "level", pool=0).collect()}) == 3
+
+
+def test_cutoffs_use_the_whole_uniform():
+    for n in (10, 1000, 10**12):
+        cuts = draws.poisson_cutoffs(n)
+        assert list(cuts) == sorted(cuts) and 2**53 - cuts[-1] <= 2 and len(cuts) <= 24
+
+
+def test_quantiles_of_large_means():
+    u = np.random.default_rng(3).integers(0, 2**53, 20000)
+    for mean in (0.3, 7.5, 900.0, 1e7):
+        got = draws.poisson_quantiles(mean, u)
+        assert abs(got.mean() - mean) < 5 * np.sqrt(mean / len(u)) and abs(got.var() / mean - 1) < 0.1
+    edges = np.array([0, 2**53 - 1])
+    low, high = draws.poisson_quantiles(4.0, edges)
+    assert low == 0 and 15 < high < 60
+    assert (np.diff(draws.poisson_quantiles(50.0, np.sort(u))) >= 0).all()

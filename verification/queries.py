@@ -631,7 +631,7 @@ def _(i):
 
 @register("region_filter")
 def _(i):
-    return calls.region_filter(calls.normalize_chrom(i.raw_calls))
+    return calls.normalize_chrom(calls.region_filter(i.raw_calls, names=calls.CHROM_NAMES))
 
 
 @register("strip_fields")
