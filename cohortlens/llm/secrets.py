@@ -33,6 +33,8 @@ FORMAT = (
     r"|://[^\x00-\x20/:@]{1,64}:[^\x00-\x20/:@]{6,64}@"
 )
 BARE = r"[A-Za-z0-9+/_=-]{16,}"
+#: What a text with any candidate holds. Runs without a digit are no bare candidates; the test stands where a run begins.
+_ANY = "|".join([ASSIGN, ACCESS, HEX, FORMAT, r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]{16}"])
 LEAST_ASSIGNED = 6
 KINDS = ("assign", "access", "hex", "format", "bare")
 #: A value that this many owners hold is a copied example.
@@ -46,11 +48,14 @@ REPOSITORY = ("source", "lang")
 REPLACEMENT = "[SECRET]"
 
 
+_SPANS = "array<struct<start:int,rank:int,kind:string,end:int,value:string>>"
+
+
 def _matches(text: Column, pattern: str, kind: str) -> Column:
     """array<struct(start, rank, kind, end, value)>: pieces between matches and matches, their lengths summed up."""
     rank = KINDS.index(kind)
     piece, match = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), 0)
-    empty = F.array().cast("array<struct<start:int,rank:int,kind:string,end:int,value:string>>")
+    empty = F.array().cast(_SPANS)
 
     def step(acc: Column, pair: Column) -> Column:
         start = acc["at"] + F.length(pair["piece"])
@@ -87,7 +92,14 @@ def candidates(text: Column) -> Column:
         F.filter(assigned, lambda s: F.length(s["value"]) >= LEAST_ASSIGNED),
         _matches(whole, ACCESS, "access"), _matches(whole, HEX, "hex"),
     )
-    return F.concat(base, _matches(whole, FORMAT, "format"), F.filter(_matches(whole, BARE, "bare"), lambda s: s["value"].rlike("[0-9]")))
+    bare = F.filter(_matches(whole, BARE, "bare"), lambda s: s["value"].rlike("[0-9]"))
+    every = F.concat(base, _matches(whole, FORMAT, "format"), bare)
+    return F.when(may_hold(text), every).otherwise(F.array().cast(_SPANS))
+
+
+def may_hold(text: Column) -> Column:
+    """Whether a text has any candidate at all: one scan that spares most texts the others."""
+    return F.coalesce(text.rlike(_ANY), F.lit(False))
 
 
 def _located(docs: DataFrame) -> DataFrame:
@@ -108,12 +120,17 @@ def _located(docs: DataFrame) -> DataFrame:
 
 
 def _found(docs: DataFrame, owner: tuple[str, ...], repository: tuple[str, ...]) -> DataFrame:
-    name = lambda columns: F.to_json(F.struct(*columns))
-    return _located(docs.select("doc_id", "text", name(owner).alias("owner"), name(repository).alias("repository"))).select(
-        "doc_id", "owner", "repository", F.col("__spans").alias("spans")
+    slim = _named(docs, owner, repository).select("doc_id", "text", "__owner", "__repository")
+    return _located(slim).select(
+        "doc_id", F.col("__owner").alias("owner"), F.col("__repository").alias("repository"), F.col("__spans").alias("spans")
     )
 
 
+def _named(docs: DataFrame, owner: tuple[str, ...], repository: tuple[str, ...]) -> DataFrame:
+    name = lambda columns: F.to_json(F.struct(*columns))
+    return docs.withColumns({"__owner": name(owner), "__repository": name(repository)})
+
+
 def value_owners(found: DataFrame) -> DataFrame:
     """Per candidate hash: distinct owners and repositories, whether it occurs in context, whether it is live."""
     seen = found.select("owner", "repository", F.explode("spans").alias("s")).select(
@@ -173,13 +190,13 @@ def digest(spans: Column) -> Column:
 def redacted(docs: DataFrame, owner: tuple[str, ...] = OWNER, repository: tuple[str, ...] = REPOSITORY) -> DataFrame:
     """The documents with the value of every live secret replaced; copied examples and all other text stay.
 
-    Only documents with candidates meet the verdicts; the others pass without a shuffle.
+    Only documents with candidates are written apart and meet the verdicts; the others pass without a shuffle.
     """
     columns = docs.columns
-    live = _live_sets(written(_found(docs, owner, repository).where(F.size("spans") > 0), "secrets"))
-    located = _located(docs)
-    clean = located.where(F.size("__spans") == 0).select(*columns)
-    judged = _judged(located.where(F.size("__spans") > 0), live, "__spans")
+    clean = docs.where(~may_hold(F.col("text")))
+    located = written(_located(_named(docs.where(may_hold(F.col("text"))), owner, repository)), "secret-candidates")
+    live = _live_sets(located.select(F.col("__owner").alias("owner"), F.col("__repository").alias("repository"), F.col("__spans").alias("spans")))
+    judged = _judged(located, live, "__spans")
     cuts = F.array_sort(F.transform(
         F.filter("__spans", lambda s: F.array_contains("__live", s["hash"])),
         lambda s: F.struct(s["from"].alias("from"), s["end"].alias("end")),
