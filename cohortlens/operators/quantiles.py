@@ -2,7 +2,7 @@
 
 Spark's ``percentile`` keeps all distinct values of a group in one task. Here a sketch first gives, per group, a
 narrow interval around each wanted rank; one further aggregation counts the rows between the intervals and keeps
-single values only inside them, so what reaches the final window is a small share of the distinct values.
+single values only inside them. In large groups these are ordered in slices, so no window grows with the group.
 """
 
 from __future__ import annotations
@@ -12,12 +12,40 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cohortlens.operators.joins import attach, null_safe_join, settled
+from cohortlens.sources.scratch import written
 
 #: Relative rank error of the sketch is 1 / ACCURACY.
 ACCURACY = 20_000
 _MARGIN = 4.0 / ACCURACY
 
 
+#: From this size of the largest group on, what its last window would hold is ordered slice by slice.
+SPLIT_ROWS = 20_000_000
+_SLICES = 4096
+
+
+def _ranked(counted: DataFrame, keys: list[str], split: bool) -> DataFrame:
+    """Add ``upto``, the rows of the group up to each value.
+
+    The values inside the intervals are about 0.04 % of a group per quantile. In large groups they are ordered within
+    slices of the intervals, and the rows of the slices before are added from a table of at most a few thousand rows per
+    group, so no window grows with the group.
+    """
+    value = F.asc_nulls_last("x")
+    if not split:
+        return counted.withColumn("upto", F.sum("c").over(_up_to_here(keys, "region", value)))
+    counted = written(counted, "quantile-values")
+    cut = [*keys, "region", "slice"]
+    sums = counted.groupBy(*cut).agg(F.sum("c").alias("s"))
+    sums = sums.select(*cut, (F.sum("s").over(_up_to_here(keys, "region", "slice")) - F.col("s")).alias("before"))
+    placed = null_safe_join(counted, sums, cut, "inner")
+    return placed.withColumn("upto", F.col("before") + F.sum("c").over(_up_to_here(cut, value)))
+
+
+def _up_to_here(keys: list[str], *order):
+    return Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+
 def exact_quantiles(
     df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float], also: dict[str, Column] | None = None
 ) -> DataFrame:
@@ -63,15 +91,19 @@ def exact_quantiles(
     for i in range(len(wanted)):
         inside = inside | x.between(F.col(f"lo{i}"), F.col(f"hi{i}"))
         region = region + (x >= F.col(f"lo{i}")).cast("int") + (x > F.col(f"hi{i}")).cast("int")
+    # Where the interval lies that holds x, cut into equal slices; 0 for rows that are only counted.
+    slices = [
+        F.least(F.lit(_SLICES - 1), F.floor(F.coalesce(F.try_divide(x - F.col(f"lo{i}"), F.col(f"hi{i}") - F.col(f"lo{i}")), F.lit(0.0)) * _SLICES).cast("int"))
+        for i in range(len(wanted))
+    ]
+    slice_ = F.coalesce(*[F.when(x.between(F.col(f"lo{i}"), F.col(f"hi{i}")), slices[i]) for i in range(len(wanted))], F.lit(0))
+    slice_ = F.when(F.col("n") <= ACCURACY, F.lit(0)).otherwise(F.when(inside, slice_).otherwise(F.lit(0)))
     counted = (
-        placed.select(*keys, "n", region.alias("region"), F.when(inside, x).alias("x"))
-        .groupBy(*keys, "n", "region", "x")
+        placed.select(*keys, "n", region.alias("region"), slice_.alias("slice"), F.when(inside, x).alias("x"))
+        .groupBy(*keys, "n", "region", "slice", "x")
         .agg(F.count(F.lit(1)).alias("c"))
     )
-    upto = Window.partitionBy(*keys).orderBy("region", F.asc_nulls_last("x")).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    ranked = counted.withColumn("upto", F.sum("c").over(upto))
+    ranked = _ranked(counted, keys, (sketch.agg(F.max("n")).first()[0] or 0) > SPLIT_ROWS)
 
     def at_rank(rank: Column) -> Column:
         """Value at a 1-based rank; a collapsed region there would mean the sketch broke its bound."""

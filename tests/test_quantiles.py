@@ -42,3 +42,32 @@ def test_only_few_values_reach_the_window(spark, monkeypatch):
     df = spark.range(200_000).select(F.hash("id").cast("double").alias("v"))
     got = quantiles.exact_quantiles(df, [], "v", {"m": 0.5})
     assert got.first()["m"] == pytest.approx(df.agg(F.expr("percentile(v, 0.5)")).first()[0])
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_slices_give_the_same(spark, monkeypatch, seed):
+    monkeypatch.setattr(quantiles, "SPLIT_ROWS", 100)
+    monkeypatch.setattr(quantiles, "_SLICES", 16)
+    test_large_groups_take_the_sketch_path(spark, monkeypatch, seed)
+
+
+def test_no_window_holds_more_as_a_group_grows(spark, monkeypatch):
+    """The largest number of values that one slice orders stays put while the group grows."""
+    monkeypatch.setattr(quantiles, "SPLIT_ROWS", 100)
+    monkeypatch.setattr(quantiles, "ACCURACY", 100)
+    monkeypatch.setattr(quantiles, "_MARGIN", 4.0 / 100)
+    most = []
+    ranked = quantiles._ranked
+
+    def spy(counted, keys, split):
+        assert split
+        most.append(counted.groupBy(*keys, "region", "slice").count().agg(F.max("count")).first()[0])
+        return ranked(counted, keys, split)
+
+    monkeypatch.setattr(quantiles, "_ranked", spy)
+    for n, slices in ((20_000, 64), (80_000, 256)):
+        monkeypatch.setattr(quantiles, "_SLICES", slices)
+        df = spark.range(n).select(F.rand(3).alias("v"))
+        got = quantiles.exact_quantiles(df, [], "v", {"m": 0.5}).first()["m"]
+        assert got == pytest.approx(df.agg(F.expr("percentile(v, 0.5)")).first()[0])
+    assert most[1] < 1.5 * most[0]
