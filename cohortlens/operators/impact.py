@@ -36,9 +36,14 @@ def _prevalence_counts(df: DataFrame, thresholds: Sequence[float], by: list[str]
         F.count(x).alias("predicted_available_count"),
         F.array(*[at(t) for t in thresholds]).alias("per_threshold"),
     )
-    long = counts.select(
-        *by, "total_count", "measured_available_count", "predicted_available_count", F.inline("per_threshold")
-    )
+    return _with_shares(counts.select(*by, *_AVAILABLE, F.inline("per_threshold")))
+
+
+_AVAILABLE = ("total_count", "measured_available_count", "predicted_available_count")
+_ELEVATED = ("measured_elevated_count", "predicted_elevated_count")
+
+
+def _with_shares(long: DataFrame) -> DataFrame:
     return long.withColumns(
         {
             f"{kind}_elevated_pct": F.when(
@@ -95,7 +100,12 @@ def prevalence_table(df: DataFrame, class_metrics: DataFrame, thresholds: Sequen
     ``class_metrics`` is the long metric table; its ppv rows carry their group and threshold, Overall included.
     """
     ppv = class_metrics.filter(F.col("metric") == "ppv").select(GROUP, "threshold", F.col("estimate").alias("ppv"))
-    counts = union_prevalence(prevalence_overall(df, thresholds), prevalence_by_group(df, thresholds))
+    # One pass over the cohort: groups are counted, rows without one among them, and added up to the overall rows.
+    groups = _prevalence_counts(df, thresholds, [GROUP], TRUTH, ESTIMATE).drop("measured_elevated_pct", "predicted_elevated_pct")
+    grid = df.sparkSession.createDataFrame([(float(t),) for t in thresholds], "threshold double")
+    added = groups.groupBy("threshold").agg(*[F.sum(c).alias(c) for c in (*_AVAILABLE, *_ELEVATED)])
+    overall = grid.join(added, "threshold", "left").fillna(0).withColumn(GROUP, F.lit(OVERALL))
+    counts = _with_shares(overall.unionByName(groups.filter(F.col(GROUP).isNotNull())))
     return with_ppv_adjustment(join_ppv_group(counts, ppv, [GROUP, "threshold"]))
 
 

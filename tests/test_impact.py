@@ -113,3 +113,25 @@ def test_empty_cohort(spark):
     df = spark.createDataFrame([], "ID int, GIA string, lpa_nmol_max double, lpa_pred_nm double")
     row = impact.prevalence_overall(df, [150.0]).first()
     assert row["total_count"] == 0 and row["measured_elevated_count"] == 0 and row["measured_elevated_pct"] is None
+
+
+def test_whole_support_against_exact_integers(spark):
+    """Tables whose support is wider than what is evaluated, with p neither 0 nor 1."""
+    from fractions import Fraction
+
+    tables = [(5050, 10000, 4890, 10000), (2600, 100000, 2450, 100000), (40, 9000, 71, 20000)]
+
+    def exact(a, n1, c, n2):
+        m = a + c
+        low, high = max(0, m - n2), min(m, n1)
+        terms = [math.comb(n1, low) * math.comb(n2, m - low)]
+        for v in range(low, high):
+            terms.append(terms[-1] * (m - v) * (n1 - v) // ((v + 1) * (n2 - m + v + 1)))
+        most = terms[a - low] * (10**7 + 1) // 10**7
+        return float(Fraction(sum(t for t in terms if t <= most), sum(terms)))
+
+    df = spark.createDataFrame([(i, *t) for i, t in enumerate(tables)], "k int, a long, n1 long, c long, n2 long")
+    got = {r["k"]: r["p_value"] for r in impact.fisher_exact(df, ["k"], "a", "n1", "c", "n2").collect()}
+    for i, t in enumerate(tables):
+        want = exact(*t)
+        assert 0 < want < 1 and got[i] == pytest.approx(want, rel=1e-7)
