@@ -126,6 +126,14 @@ def _covers(rule: Rule, features: dict[str, np.ndarray]) -> np.ndarray:
     return out
 
 
+def _between(values: np.ndarray, low: np.ndarray, cut: float, above: bool) -> float:
+    """A threshold half way from the cut to the low documents that it is meant for, so that it does not rest on chance."""
+    meant = values[low & (values > cut)] if above else values[values > cut]
+    if not len(meant):
+        return cut
+    return (cut + float(np.quantile(meant, 0.02) if above else meant.min())) / 2
+
+
 def _grow(features: dict[str, np.ndarray], low: np.ndarray) -> Rule:
     """Add the condition with the best gain (bits saved per low document kept) until the rule is pure."""
     rule: list[Condition] = []
@@ -143,9 +151,7 @@ def _grow(features: dict[str, np.ndarray], low: np.ndarray) -> Rule:
                     gain = np.where(p > 0, p * (np.log2(p / n) - np.log2(p0 / n0)), -1.0)
                 i = int(np.argmax(gain))
                 if gain[i] > best_gain:
-                    larger = inside[inside > cuts[i]]
-                    middle = (cuts[i] + larger.min()) / 2 if len(larger) else cuts[i]
-                    best, best_gain = Condition(name, above, float(middle)), gain[i]
+                    best, best_gain = Condition(name, above, _between(inside, low[covered], float(cuts[i]), above)), gain[i]
         if best is None:
             break
         rule.append(best)
