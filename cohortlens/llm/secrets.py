@@ -166,9 +166,11 @@ def _live_sets(found: DataFrame) -> DataFrame:
 
 
 def _judged(rows: DataFrame, live: DataFrame, spans: str) -> DataFrame:
-    """``rows`` with ``__live``, an empty list where nothing is live."""
-    joined = rows.withColumn("__set", _set_key(spans)).join(live, "__set", "left")
-    return joined.withColumn("__live", F.coalesce("__live", F.array().cast("array<string>"))).drop("__set")
+    """``rows`` with ``__live``, an empty list where nothing is live. Rows without spans, the most, take no join."""
+    none = F.array().cast("array<string>")
+    without = rows.where(F.size(spans) == 0).withColumn("__live", none)
+    joined = rows.where(F.size(spans) > 0).withColumn("__set", _set_key(spans)).join(live, "__set", "left")
+    return joined.withColumn("__live", F.coalesce("__live", none)).drop("__set").unionByName(without)
 
 
 def _reported(spans: str) -> Column:
