@@ -33,7 +33,6 @@ import xxhash
 
 from cohortlens.llm.common import BROADCAST_IDS, semi_join_ids
 from cohortlens.llm.components import components
-from cohortlens.operators.joins import null_safe_join
 from cohortlens.sources.scratch import written
 
 #: Words per shingle and least similarity in hundredths, unless a caller asks for others.
@@ -45,7 +44,7 @@ CIRCLE = 1 << 20
 #: Cells of the shingle counts that bound a similarity from above.
 _CELLS = 256
 #: Members of a bucket that are compared as one block.
-_BLOCK = 2048
+_BLOCK = 1024
 #: Words whose hashes a worker remembers.
 _REMEMBERED = 400_000
 _ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -305,7 +304,9 @@ def linked_classes(docs: DataFrame, width: int = SHINGLE_WORDS, similarity: int
         found = written(confirmed(pairs, sets, similarity).select("a", "b"), "confirmed")
         links = found if links is None else links.unionByName(found)
         labels = written(components(links), "labels")
-    return signatures.join(classes.select("class", "id"), "class", "left"), labels
+    named = signatures.where("class is not null").join(classes.select("class", "id"), "class", "left")
+    # Documents without shingles have no class; they take no join, where they would all meet.
+    return named.unionByName(signatures.where("class is null").withColumn("id", F.col("doc_id"))), labels
 
 
 def _labelled(met: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -318,7 +319,9 @@ def _labelled(met: DataFrame, labels: DataFrame | None) -> DataFrame:
 def near_duplicates(docs: DataFrame, width: int = SHINGLE_WORDS, similarity: int = SIMILARITY) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest reachable id), kept (is that id)."""
     members, labels = linked_classes(docs, width, similarity)
-    named = null_safe_join(members, labels.withColumnRenamed("node", "id"), ["id"])
+    linked = F.col("n_shingles") > 0
+    named = members.where(linked).join(labels.withColumnRenamed("node", "id"), "id", "left")
+    named = named.unionByName(members.where(~linked).withColumn("component", F.col("id")))
     component = F.coalesce("component", "id", "doc_id")
     return named.select(
         "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
