@@ -77,7 +77,8 @@ def left_join_skewed(
     apart = F.coalesce(F.col(key).isin(hot), F.lit(False)) if hot else F.lit(False)
     if nulls:
         apart = apart | F.col(key).isNull()
-    few = left.filter(apart)
-    joined_hot = null_safe_join(right.filter(apart), F.broadcast(few), [key], "inner")
+    # Few if ``left`` is unique in the key, as it should be; that is looked up, and otherwise the join is shuffled.
+    few, small = settled(left.filter(apart))
+    joined_hot = null_safe_join(right.filter(apart), F.broadcast(few) if small else few, [key], "inner")
     rest = left.filter(~apart).join(right.filter(~apart), key, "left")
     return rest.unionByName(joined_hot.select(*rest.columns))

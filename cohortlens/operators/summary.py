@@ -6,13 +6,16 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from cohortlens.config import GROUP, OVERALL, TRUTH
+from cohortlens.config import ESTIMATE, ESTIMATE_SE, GROUP, ID, OVERALL, TRUTH
 from cohortlens.functions.scalars import VARIABLE_LABELS, nan_to_null, relabel
+from cohortlens.operators.cohort import available_columns
 from cohortlens.operators.quantiles import exact_quantiles
 
 # The columns a summary shows if they exist, and how many distinct numbers make a column numeric.
 DEMOGRAPHICS = ("age", "sex", "GIA", "lpa_nmol_max", "IHD", "HTN", "HLD", "HF", "CKD", "DM", "AF", "PVD", "IS")
 FEW_VALUES = 10
+#: Columns that never stand in for missing demographic ones.
+PERSON_COLUMNS = (ID, "n", ESTIMATE, ESTIMATE_SE, "lpa_pred_lci95", "lpa_pred_uci95")
 
 
 def split_by_kind(df: DataFrame, cols: Sequence[str]) -> tuple[list[str], list[str]]:
@@ -119,6 +122,17 @@ def tidy_summary(df: DataFrame, cols: Sequence[str], group: str | None = None) -
 
 
 def demographics(df: DataFrame, group: str | None = None, wanted: Sequence[str] = DEMOGRAPHICS) -> DataFrame:
-    """Summary of the demographic columns that exist, overall or by group."""
-    cols = [c for c in wanted if c in df.columns and c != group]
-    return tidy_summary(df, cols, group)
+    """Summary of the demographic columns that exist, overall or by group.
+
+    By group, fewer than two of them are joined by up to three other columns of the table.
+    """
+    names = [c for c in wanted if c != group]
+    if not group:
+        return tidy_summary(df, available_columns(df, names))
+    return tidy_summary(df, available_columns(df, names, 2, (group, *PERSON_COLUMNS)), group)
+
+
+def wide_by_group(tidy: DataFrame, groups: Sequence[str]) -> DataFrame:
+    """The tidy summary with one text column per group, in the order given; one row per variable and level."""
+    columns = [F.max(F.when(F.col("stratum") == g, F.col("value"))).alias(g) for g in groups]
+    return tidy.groupBy("variable", "label", "level").agg(*columns).orderBy("variable", F.col("level").asc_nulls_first())

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -10,6 +11,7 @@ from cohortlens.config import GROUP, ID, PART_ESTIMATE, PART_UNCERTAINTY, TRUTH,
 from cohortlens.operators import agreement, cohort, impact, plotdata, report, resample, summary
 from cohortlens.operators.joins import settled
 from cohortlens.sources.scratch import written
+from cohortlens.sources.tables import write_results
 
 
 @dataclass(frozen=True)
@@ -54,9 +56,12 @@ def validate(parts: DataFrame, measured: DataFrame, config: ValidationConfig = V
     improvement, _ = settled(impact.detection_improvement(prevalence))
     nnt = impact.nnt(metrics, at)
     lines, _ = settled(plotdata.fit_line(valid))
+    tidy, _ = settled(summary.demographics(valid, GROUP))
+    names = [r[GROUP] for r in order.orderBy("ord").select(GROUP).collect() if r[GROUP] is not None]
     return {
         "demographics_overall": summary.demographics(valid),
-        "demographics_by_ancestry_tidy": summary.demographics(valid, GROUP),
+        "demographics_by_ancestry": summary.wide_by_group(tidy, names),
+        "demographics_by_ancestry_tidy": tidy,
         "ancestry_order": order,
         "numeric_metrics_by_group": agreement.grouped_only(metrics.filter("metric_type = 'Numeric'")),
         "numeric_metrics_overall": agreement.overall_only(metrics.filter("metric_type = 'Numeric'")),
@@ -82,3 +87,19 @@ def validate(parts: DataFrame, measured: DataFrame, config: ValidationConfig = V
         "performance_points": plotdata.performance_points(metrics, sizes, order, at),
         "nnt_points": plotdata.nnt_points(nnt, sizes, order),
     }
+
+
+# The result files of a run, each named like its table here or as said.
+RESULT_FILES = {
+    **{name: name for name in (
+        "demographics_overall", "demographics_by_ancestry", "demographics_by_ancestry_tidy", "numeric_metrics_by_group",
+        "numeric_metrics_overall", "class_metrics_by_group", "class_metrics_overall", "all_metrics", "nnt_metrics",
+    )},
+    "prevalence_by_threshold": "lpa_prevalence_by_threshold",
+    "detection_comparison": "lpa_detection_comparison_150",
+}
+
+
+def write_run(tables: dict[str, DataFrame], folder: str, fmt: str = "csv") -> Sequence[str]:
+    """Write the tables of ``validate`` that a run reports, one folder each; returns the paths."""
+    return write_results({file: tables[name] for name, file in RESULT_FILES.items()}, folder, fmt)

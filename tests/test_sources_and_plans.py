@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from cohortlens import ValidationConfig
 from cohortlens.operators import report
-from cohortlens.plans.validation import build_cohort, validate
+from cohortlens.plans.validation import build_cohort, validate, write_run
 from cohortlens.sources import scratch, tables
 from verification.inputs import Inputs
 
@@ -96,3 +96,11 @@ def test_best_group_ties_by_name(spark):
     m = spark.createDataFrame([("B", "rsq", 0.7), ("A", "rsq", 0.7), ("Overall", "rsq", 0.9), ("C", "rsq", None)],
                               "GIA string, metric string, estimate double")
     assert report.best_group(m).first()["GIA"] == "A"
+
+
+def test_a_run_writes_its_result_files(spark, tmp_path):
+    i = Inputs(spark, SMALL)
+    paths = write_run(validate(i.predictions, i.measured, ValidationConfig(do_bootstrap=False)), str(tmp_path))
+    assert len(paths) == 11 and all(spark.read.csv(p, header=True).count() for p in paths)
+    wide = spark.read.csv(str(tmp_path / "demographics_by_ancestry"), header=True)
+    assert {"variable", "label", "level", "AFR", "EUR"} <= set(wide.columns)

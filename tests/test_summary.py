@@ -48,3 +48,12 @@ def test_without_demographic_columns(spark):
 def test_fallback(people):
     got = {r["stratum"]: r for r in summary.summary_fallback(people, "GIA").collect()}
     assert got["A"]["cohort_size"] == 30 and got["B"]["cohort_size"] == 10
+
+
+def test_few_demographic_columns_take_others(spark):
+    df = spark.createDataFrame([("A", 1, 2.0, "x", "u", 5)] * 3, "GIA string, ID int, lpa_nmol_max double, site string, arm string, n int")
+    by_group = {r["variable"] for r in summary.demographics(df, "GIA").collect()}
+    assert by_group == {"lpa_nmol_max", "site", "arm"}
+    assert {r["variable"] for r in summary.demographics(df).collect()} == {"lpa_nmol_max", "GIA"}
+    wide = summary.wide_by_group(summary.demographics(df, "GIA"), ["A", "B"])
+    assert wide.columns == ["variable", "label", "level", "A", "B"] and wide.filter("B is not null").count() == 0

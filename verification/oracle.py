@@ -659,3 +659,10 @@ add("id_overlap", "predictions", "measured",
     body="""SELECT (SELECT count(*) FROM a WHERE "ID" IN (SELECT "ID" FROM b))::BIGINT AS n_both,
     (SELECT count(*) FROM a WHERE "ID" NOT IN (SELECT "ID" FROM b))::BIGINT AS n_first_only,
     (SELECT count(*) FROM b WHERE "ID" NOT IN (SELECT "ID" FROM a))::BIGINT AS n_second_only""")
+
+# ---- whole flows -----------------------------------------------------------------------------------------------
+
+ORACLE["validate_all_metrics"] = ORACLE["union_metrics"]
+ORACLE["validate_prevalence"] = ORACLE["prevalence_table"]
+ORACLE["validate_conclusions"] = ORACLE["conclusions"]
+ORACLE["prepare_calls_summary"] = ORACLE["qc_summary"]

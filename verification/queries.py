@@ -6,9 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from cohortlens import ValidationConfig
 from cohortlens.config import ESTIMATE, GROUP, ID, PART_ESTIMATE, PART_UNCERTAINTY, TRUTH
 from cohortlens.functions import scalars
 from cohortlens.operators import agreement, calls, cohort, impact, plotdata, report, resample, summary
+from cohortlens.plans.genotypes import prepare_calls
+from cohortlens.plans.validation import validate
 from cohortlens.sources import tables, vcf
 from cohortlens.sources.scratch import scratch_path, written
 from verification.inputs import THRESHOLDS, Inputs, rounded
@@ -666,3 +669,32 @@ def _(i):
 def _(i):
     return cohort.id_overlap(i.predictions.select(ID), i.measured.select(ID))
 
+
+
+# ---- whole flows -----------------------------------------------------------------------------------------------
+
+
+def _validated(i: Inputs) -> dict[str, DataFrame]:
+    return validate(i.predictions, i.measured, ValidationConfig(do_bootstrap=False))
+
+
+@register("validate_all_metrics")
+def _(i):
+    return rounded(_validated(i)["all_metrics"])
+
+
+@register("validate_prevalence")
+def _(i):
+    return rounded(_validated(i)["prevalence_by_threshold"])
+
+
+@register("validate_conclusions")
+def _(i):
+    return _validated(i)["conclusions"]
+
+
+@register("prepare_calls_summary")
+def _(i):
+    raw = written(i.raw_calls, "raw-calls")
+    later = {"complete": raw.filter(~calls.is_missing(F.col("gt")))}
+    return prepare_calls(raw, i.sites, later=later)["summary"]
