@@ -482,11 +482,18 @@ add("threshold_table", "valid", extra=CLASS_LONG,
 _LABELS = {"age": "Age (years)", "sex": "Sex", "lpa_nmol_max": "Lp(a) (nmol/L)", "HTN": "Hypertension", "DM": "Diabetes",
            "IHD": "Ischemic heart disease"}
 _LABEL = "CASE variable " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in _LABELS.items()) + " END AS label"
+
+
+def shown(x: str, digits: int = 1) -> str:
+    """Text of a number with that many digits, halves rounded up."""
+    return f"(round({x}::DECIMAL(30,9), {digits}))::DECIMAL(30,{digits})::VARCHAR"
+
+
 add("tidy_summary", "valid", doubles="stat_1 stat_2 stat_3",
     extra={"cont": continuous('"GIA"'), "cat": categorical('"GIA"', ("sex",))},
-    body=f"""SELECT variable, {_LABEL}, NULL::VARCHAR AS level, stratum, median AS stat_1, p25 AS stat_2, p75 AS stat_3
-    FROM cont WHERE variable <> 'lpa_pred_nm' UNION ALL
-    SELECT variable, {_LABEL}, level, stratum, n::DOUBLE, pct, NULL::DOUBLE FROM cat""")
+    body=f"""SELECT variable, {_LABEL}, NULL::VARCHAR AS level, stratum, {shown('median')} || ' (' || {shown('p25')} || ', ' || {shown('p75')} || ')' AS value,
+    median AS stat_1, p25 AS stat_2, p75 AS stat_3 FROM cont WHERE variable <> 'lpa_pred_nm' UNION ALL
+    SELECT variable, {_LABEL}, level, stratum, n::VARCHAR || ' (' || {shown('pct')} || '%)', n::DOUBLE, pct, NULL::DOUBLE FROM cat""")
 add("drop_na", "joined", body='SELECT "ID", "GIA" FROM joined WHERE lpa_nmol_max IS NOT NULL AND "GIA" IS NOT NULL AND "ID" IS NOT NULL')
 
 # ---- resampling ------------------------------------------------------------------------------------------------
@@ -549,13 +556,16 @@ add("fisher_exact", "joined", "valid", extra=FISHER, doubles="p_value", digits=8
     body='SELECT "GIA", threshold, p_value, rate_note FROM tested')
 add("detection_comparison", "joined", "valid", extra={**FISHER, **ORDER_OF_VALID},
     doubles="clinical_pct genetic_count genetic_pct improvement",
-    body=f"""SELECT x."GIA", {ORD}, total_count, measured_elevated_count AS clinical_count, measured_elevated_pct AS clinical_pct,
+    body=f"""SELECT *, coalesce({shown('clinical_pct')}, 'NA') || '%' AS clinical_pct_text,
+    coalesce({shown('genetic_pct')}, 'NA') || '%' AS genetic_pct_text,
+    CASE WHEN improvement IS NULL THEN 'NA' WHEN isinf(improvement) THEN '\u221e' ELSE {shown('improvement', 2)} || 'x' END AS improvement_text
+    FROM (SELECT x."GIA", {ORD}, total_count, measured_elevated_count AS clinical_count, measured_elevated_pct AS clinical_pct,
     coalesce(predicted_elevated_adjusted, predicted_elevated_unadjusted::DOUBLE) AS genetic_count,
     coalesce(predicted_elevated_adjusted_pct, predicted_elevated_unadjusted_pct) AS genetic_pct,
     coalesce({improvement('genetic_rate_per_1000')}, {improvement('genetic_rate_unadjusted_per_1000')}) AS improvement,
     CASE WHEN p_value IS NULL THEN 'NA' WHEN p_value < 0.001 THEN 'p < 0.001' WHEN p_value < 0.01 THEN 'p < 0.01'
     WHEN p_value < 0.05 THEN 'p < 0.05' ELSE 'p \u2265 0.05' END AS p_value_text, rate_note
-    FROM tested x LEFT JOIN ordering o ON x."GIA" = o."GIA" WHERE threshold = 150""")
+    FROM tested x LEFT JOIN ordering o ON x."GIA" = o."GIA" WHERE threshold = 150)""")
 add("conclusions", "valid", extra={**NUMERIC_POINT, **CLASS_POINT},
     body="""SELECT CASE WHEN rsq > 0.5 THEN 'strong' ELSE 'moderate' END AS performance, round_even(rsq, 2) AS rsq,
     b.best_group, round_even(b.best_rsq, 2) AS best_rsq, round_even(c.sens * 100, 1) AS sens_pct,

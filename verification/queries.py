@@ -480,8 +480,7 @@ def _(i):
 
 @register("tidy_summary")
 def _(i):
-    tidy = summary.tidy_summary(i.valid, ["age", "sex", TRUTH, "HTN", "DM", "IHD"], GROUP)
-    return rounded(tidy.drop("value"))
+    return rounded(summary.tidy_summary(i.valid, ["age", "sex", TRUTH, "HTN", "DM", "IHD"], GROUP))
 
 
 @register("drop_na")
@@ -564,7 +563,7 @@ def _(i):
     table = impact.detection_comparison(impact.detection_improvement(prevalence), cohort.group_order(i.valid))
     return rounded(
         table.select(GROUP, "ord", "total_count", "clinical_count", "clinical_pct", "genetic_count", "genetic_pct",
-                     "improvement", "p_value_text", "rate_note")
+                     "improvement", "p_value_text", "rate_note", "clinical_pct_text", "genetic_pct_text", "improvement_text")
     )
 
 
