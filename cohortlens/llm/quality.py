@@ -201,6 +201,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROW
     chosen = labels.where("quality is not null and doc_id is not null").select("doc_id", "quality").distinct()
     chosen = chosen.orderBy(hash_key("quality", F.col("doc_id")), "quality").limit(rows)
     picked = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    picked = picked.groupBy("doc_id", "quality").agg(F.min("text").alias("text"))  # repeated rows count once
     found = with_statistics(picked).select("quality", "__stats.*").toArrow()
     counts = np.column_stack([found.column(c).to_numpy() for c in _COUNTS]) if found.num_rows else np.empty((0, len(_COUNTS)))
     order = np.lexsort(counts.T) if len(counts) else np.empty(0, int)

@@ -323,7 +323,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROW
     usable = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     chosen = usable.select("doc_id", F.col("toxic").cast("int").alias("toxic")).distinct()
     chosen = chosen.orderBy(hash_key("toxic", F.col("doc_id")), "toxic").limit(rows)
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic")
+    picked = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    return picked.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).select("text", "toxic")  # repeated rows count once
 
 
 def scored(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> DataFrame:

@@ -12,8 +12,8 @@ comments (by element, role or class words), and without texts outside an article
 the template. Character references are decoded, white space inside a block becomes one space, blocks are joined by a line
 feed, and nothing else is dropped.
 
-Streams are counted over all pages, then aligned in two levels: groups of streams, then the groups' wrappers, so no task
-holds a host's pages. Defined cases: a null or empty html gives an empty text; a null or broken url is a host of its own;
+Streams are counted over all pages, then aligned in levels: groups of streams, then groups of the groups' wrappers, so no
+task holds a host's pages or streams. Defined cases: a null or empty html gives an empty text; a null or broken url is a host of its own;
 unclosed elements end with their parent, an unclosed script or comment at the end of the page; repeated rows give equal
 results; an empty table gives an empty result. Columns other than page_id, url and html are not read.
 """
@@ -291,13 +291,20 @@ def wrappers(counted: DataFrame) -> DataFrame:
 
     def one(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["pages", "stream"], ascending=[False, True])
-        return pd.DataFrame({"host": [rows.host.iloc[0]], "stream": [wrapper_of(rows.stream.tolist())], "pages": [rows.pages.sum()]})
+        first = rows.iloc[0]
+        return pd.DataFrame({
+            "host": [first.host], "part": [first.part], "stream": [wrapper_of(rows.stream.tolist())], "pages": [rows.pages.sum()]
+        })
 
     parts = -(-streams.count() // _STREAMS) or 1
-    dealt = streams.withColumn("part", F.pmod(F.xxhash64("stream"), F.lit(parts)))
-    schema = "host string, stream string, pages long"
-    groups = dealt.groupBy("host", "part").applyInPandas(one, schema)
-    whole = groups.groupBy("host").applyInPandas(one, schema).withColumnRenamed("stream", "wrapper")
+    whole = streams.withColumn("part", F.xxhash64("stream"))
+    while True:  # each level leaves a part of the streams, until a host has one
+        dealt = whole.withColumn("part", F.pmod("part", F.lit(parts)))
+        whole = dealt.groupBy("host", "part").applyInPandas(one, "host string, part long, stream string, pages long")
+        if parts == 1:
+            break
+        parts = -(-parts // _STREAMS)
+    whole = whole.select("host", "pages", F.col("stream").alias("wrapper"))
 
     @F.arrow_udf("array<string>")
     def slots(found: pa.Array) -> pa.Array:
