@@ -50,9 +50,9 @@ _CLOSES = {
 }
 #: Fixed list: words of classes, ids and roles that mark what is not main text, and what is.
 _MARKS = re.compile(
-    r"(?:^|[\s_-])(?:nav|navbar|navigation|menu|breadcrumbs?|header|masthead|banner|footer|sidebar|aside|complementary|"
-    r"ads?|advert|adverts|advertisement|advertising|sponsor|sponsored|promo|promotion|cookies?|consent|notice|notices|alert|"
-    r"popup|modal|newsletter|subscribe|subscription|signup|login|search|form|comments?|commentlist|respond|replies|disqus|"
+    r"(?:^|[\s_-])(?:nav|navbar|topnav|subnav|sitenav|navigation|menu|mainmenu|submenu|menubar|breadcrumbs?|header|masthead|banner|footer|"
+    r"side-?bar|aside|complementary|ads?|adbox|adslot|adsense|adunit|advert|adverts|advertisement|advertising|sponsor|sponsored|promo|promotion|cookies?|consent|notice|notices|alert|"
+    r"popup|modal|newsletter|subscribe|subscription|signup|login|search|form|dialog|alertdialog|comments?|comment-?(?:list|section|area|box|form|thread)|respond|replies|disqus|"
     r"share|sharing|social|related|recommended|widget|pagination|pager|skip|toolbar|contentinfo)(?=$|[\s_-])"
 )
 _HEADINGS = ("header", "banner", "masthead")
