@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from verification.inputs import THRESHOLDS, query, rounded_sql
 
+#: Resamples: of the row weights themselves and of classes drawn by row, and of everything else, as in a real run.
 REPLICATES = 20
+FULL_REPLICATES = 1000
 SEED = 7
 ORACLE: dict[str, str] = {}
 
@@ -146,7 +148,7 @@ def index(keys: list[tuple[str, bool]], y: str, x: str) -> dict[str, str]:
 _CUTOFFS = 22
 
 
-def weights(keys: list[tuple[str, bool]], y: str, x: str) -> dict[str, str]:
+def weights(keys: list[tuple[str, bool]], y: str, x: str, replicates: int = REPLICATES) -> dict[str, str]:
     """Weights of every row in every replicate."""
     names = ", ".join(n for n, _ in keys)
     content = f"stratum, {names}, {y}, {x}"
@@ -164,13 +166,13 @@ def weights(keys: list[tuple[str, bool]], y: str, x: str) -> dict[str, str]:
         "b_units": f"""SELECT {content}, start + unnest(generate_series(0, copies - 1)) AS pos FROM b_index""",
         "b_keyed": f"""SELECT *, ({draw60(f"'{SEED}'", 'stratum')})::UBIGINT AS skey FROM b_units""",
         "b_row": mix("b_keyed", "skey::UHUGEINT + pos::UHUGEINT * 11400714819323198485::UHUGEINT", f"{content}, pos", "rowkey"),
-        "b_pairs": f"SELECT *, unnest(generate_series(1, {REPLICATES}))::INT AS replicate FROM b_row",
+        "b_pairs": f"SELECT *, unnest(generate_series(1, {replicates}))::INT AS replicate FROM b_row",
         "b_u": mix("b_pairs", "rowkey::UHUGEINT + replicate::UHUGEINT * 15074714826142052245::UHUGEINT",
                    f"{content}, pos, replicate", "u"),
         "b_poisson": f"""SELECT {", ".join("b_u." + c.strip() for c in content.split(","))}, replicate, {above} AS w
             FROM b_u JOIN b_cuts ON b_u.stratum = b_cuts.stratum""",
         "b_drawn": f"""SELECT s.stratum, size, r.replicate, coalesce(drawn, 0)::BIGINT AS drawn
-            FROM b_sizes s CROSS JOIN (SELECT unnest(generate_series(1, {REPLICATES}))::INT AS replicate) r
+            FROM b_sizes s CROSS JOIN (SELECT unnest(generate_series(1, {replicates}))::INT AS replicate) r
             LEFT JOIN (SELECT stratum, replicate, sum(w) AS drawn FROM b_poisson GROUP BY stratum, replicate) d
             ON d.stratum = s.stratum AND d.replicate = r.replicate""",
         "b_slots": """SELECT stratum, size, replicate,
@@ -196,6 +198,7 @@ NUMERIC_KEYS = [('"GIA"', False)]
 NUMERIC_WEIGHTS = {**strata("SELECT * FROM valid", '"GIA"'), **weights(NUMERIC_KEYS, "lpa_nmol_max", "lpa_pred_nm")}
 NUMERIC_BOOT = {
     **NUMERIC_WEIGHTS,
+    **weights(NUMERIC_KEYS, "lpa_nmol_max", "lpa_pred_nm", FULL_REPLICATES),
     "n_sums": """SELECT CASE WHEN grouping(w."GIA") = 1 THEN 'Overall' ELSE w."GIA" END AS "GIA", replicate,
         sum(weight) AS n, sum(weight * lpa_nmol_max) AS sy, sum(weight * lpa_pred_nm) AS sx,
         sum(weight * lpa_nmol_max * lpa_nmol_max) AS syy, sum(weight * lpa_pred_nm * lpa_pred_nm) AS sxx,
@@ -226,7 +229,6 @@ CLASS_BOOT = {
     "c_long": long("c_wide", '"GIA", threshold, replicate', CLASS, "value"),
     "c_ci": ci("c_long", '"GIA", threshold, metric'),
 }
-CLASS_REPLICATES = 1000
 _CELL = 'stratum, "GIA", threshold, truth, called'
 _CELL_TAG = ", ".join(["stratum", """coalesce("GIA"::VARCHAR, 'NA')""",
                        *[f"coalesce({c}::DECIMAL(38,6)::VARCHAR, 'NA')" for c in ("threshold", "truth", "called")]])
@@ -248,7 +250,7 @@ CLASS_CELLS = {
     "e_terms": "SELECT tag, k, exp(l - max(l) OVER (PARTITION BY tag)) AS p FROM e_logs",
     "e_table": "SELECT tag, k, (sum(p) OVER (PARTITION BY tag ORDER BY k)) / (sum(p) OVER (PARTITION BY tag)) AS upto FROM e_terms",
     "e_draws": f"""SELECT tag, stratum, size, replicate, (({draw60(f"'{SEED}'", "'cell'", "tag", "replicate::VARCHAR")}) >> 7) / 9007199254740992.0::DOUBLE AS u
-        FROM e_placed, (SELECT unnest(generate_series(1, {CLASS_REPLICATES}))::INT AS replicate)""",
+        FROM e_placed, (SELECT unnest(generate_series(1, {FULL_REPLICATES}))::INT AS replicate)""",
     "e_counts": """SELECT d.tag, d.stratum, d.size, d.replicate, coalesce(t.k, 0)::BIGINT AS weight
         FROM e_draws d ASOF LEFT JOIN e_table t ON d.tag = t.tag AND d.u < t.upto""",
     "e_drawn": "SELECT stratum, size, replicate, sum(weight)::BIGINT AS drawn FROM e_counts GROUP BY stratum, size, replicate",

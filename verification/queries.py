@@ -17,7 +17,7 @@ from cohortlens.sources.scratch import scratch_path, written
 from verification.inputs import THRESHOLDS, Inputs, rounded
 
 REPLICATES = 20
-CLASS_REPLICATES = 1000
+FULL_REPLICATES = 1000
 SEED = 7
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -44,12 +44,12 @@ def _point_metrics(i: Inputs) -> DataFrame:
 
 
 def _numeric_boot(i: Inputs) -> DataFrame:
-    return resample.numeric_boot(written(i.valid, "valid"), REPLICATES, SEED)
+    return resample.numeric_boot(written(i.valid, "valid"), FULL_REPLICATES, SEED)
 
 
 def _class_boot(i: Inputs) -> DataFrame:
     """The bootstrap that a validation run makes, with as many resamples."""
-    return resample.class_boot(written(i.valid, "valid"), THRESHOLDS, CLASS_REPLICATES, SEED)
+    return resample.class_boot(written(i.valid, "valid"), THRESHOLDS, FULL_REPLICATES, SEED)
 
 
 # ---- sources, sinks, contracts ---------------------------------------------------------------------------------
@@ -344,7 +344,7 @@ def _(i):
 
 @register("bootstrap_ci")
 def _(i):
-    resampler = resample.numeric_resampler(written(i.valid, "valid"), REPLICATES, SEED)
+    resampler = resample.numeric_resampler(written(i.valid, "valid"), FULL_REPLICATES, SEED)
     return rounded(resample.bootstrap_ci(resample.numeric_replicates(resampler), [GROUP, "metric"]))
 
 
