@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
+from collections.abc import Callable
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from cohortlens.operators.joins import null_safe_join
@@ -60,3 +66,23 @@ def prefix_sums(df: DataFrame, groups: list[str], key: str, order: list[str], va
     for n, v in values.items():
         joined = joined.withColumn(n, F.col(f"__offset_{n}") + F.coalesce(F.sum(v).over(earlier_rows), F.lit(0)))
     return joined.drop("__range", *[f"__offset_{n}" for n in values])
+
+
+_kept_by: dict[str, Callable[[], None]] = {}
+
+
+def keeps(operator: str, forget: Callable[[], None]) -> None:
+    """An operator keeps something in its worker processes between tasks; ``forget`` drops it."""
+    _kept_by[operator] = forget
+
+
+def at_work(operator: str) -> None:
+    """Called by an operator's tasks: a worker that several operators share holds what one of them keeps, not all."""
+    others = [name for name in _kept_by if name != operator]
+    for name in others:
+        _kept_by.pop(name)()
+    if others:
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):
+            ctypes.CDLL(None).malloc_trim(0)

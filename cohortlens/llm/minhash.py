@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 import xxhash
 
-from cohortlens.llm.common import BROADCAST_IDS, semi_join_ids
+from cohortlens.llm.common import BROADCAST_IDS, at_work, keeps, semi_join_ids
 from cohortlens.llm.components import components
 from cohortlens.sources.scratch import written
 
@@ -46,7 +46,7 @@ _CELLS = 256
 #: Members of a bucket that are compared as one block.
 _BLOCK = 1024
 #: Words whose hashes a worker remembers.
-_REMEMBERED = 400_000
+_REMEMBERED = 200_000
 _ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 _runs: np.ndarray | None = None
@@ -76,6 +76,7 @@ def shingle_set(text: bytes | None, width: int) -> np.ndarray:
         return np.empty(0, np.uint64)
     if len(_hashes) > _REMEMBERED:
         _hashes.clear()
+    keeps("minhash", _hashes.clear)
     known, own = _hashes.get, []
     for w in words:
         h = known(w)
@@ -121,6 +122,7 @@ def signed(docs: DataFrame, width: int = SHINGLE_WORDS) -> DataFrame:
     """Per document: set size, a 128-bit digest of the set (null if empty), band keys, shingles per cell."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at_work("minhash")
         for batch in batches:
             sizes, classes, bands, cells = [], [], [], []
             for text in batch.column(1).cast(pa.binary()):
@@ -142,6 +144,7 @@ def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
     """(id, shingles): the sorted set as packed 64-bit numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at_work("minhash")
         for batch in batches:
             sets = [shingle_set(t.as_py(), width).tobytes() for t in batch.column(1).cast(pa.binary())]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["id", "shingles"])

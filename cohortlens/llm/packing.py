@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from cohortlens.llm.common import hash_key, prefix_sums
+from cohortlens.llm.common import at_work, hash_key, keeps, prefix_sums
 from cohortlens.sources.scratch import written
 
 CAPACITY = 2048
@@ -39,7 +39,7 @@ END_ID = 0
 SMALL_PART = 8
 #: Groups that the large pieces are rounded in.
 GROUPS = 192
-_REMEMBERED = 400_000
+_REMEMBERED = 200_000
 #: A space next to other white space; its tokens depend on more than the word that follows.
 _WIDE_SPACE = re.compile(r" \s|\s ")
 
@@ -90,6 +90,7 @@ _tokenizers: dict[tuple[str, str | None], _Words] = {}
 def _tokenizer(name: str, ranks: str | None) -> _Words:
     if (name, ranks) not in _tokenizers:
         _tokenizers[name, ranks] = _Words(name, ranks)
+    keeps("packing", _tokenizers.clear)
     return _tokenizers[name, ranks]
 
 
@@ -132,6 +133,7 @@ def pieces(
     being the shorter one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at_work("packing")
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)

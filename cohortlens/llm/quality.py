@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cohortlens.llm.common import hash_key
+from cohortlens.llm.common import at_work, hash_key
 
 #: Labelled documents that train the list at most, those with the smallest hash of their id.
 TRAINING_ROWS = 20_000
@@ -76,6 +76,7 @@ def with_statistics(docs: DataFrame) -> DataFrame:
 
     @F.arrow_udf(", ".join(f"{c} long" for c in _COUNTS))
     def measure(texts: pa.Array) -> pa.Array:
+        at_work("quality")
         rows = [text_statistics(t.as_py()) for t in texts]
         columns = list(zip(*rows)) or [()] * len(_COUNTS)
         return pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in columns], names=_COUNTS)

@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cohortlens.llm.common import hash_key
+from cohortlens.llm.common import at_work, hash_key, keeps
 from cohortlens.sources.scratch import written
 
 #: Labelled documents that train at most (those with the smallest hash of their id), and segments kept of either class.
@@ -297,6 +297,8 @@ def _decisions(machine: Machine, whole_texts: bool):
 
     @F.arrow_udf("double")
     def decide(texts: pa.Array) -> pa.Array:
+        at_work("toxicity")
+        keeps("toxicity", _worker.clear)
         if name not in _worker:
             _worker.clear()
             _worker[name] = Machine(weights.astype(float), offset)
