@@ -64,7 +64,7 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"(?<![\w-])(class|id|role|itemprop|hidden|aria-hidden|style)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _SPACE = re.compile(r"\s+")
-#: A text is a constant of its host's template if this many pages, and this share of those that have the slot, hold it.
+#: A text is a constant of its host's template if this many different pages, and this share of those that have the slot, hold it.
 LEAST_PAGES, LEAST_SHARE = 3, 0.6
 #: Streams that one task aligns, on average.
 _STREAMS = 64
@@ -261,28 +261,38 @@ def wrapper_slots(wrapper: str) -> list[str]:
     return sorted({w.lstrip("(")[1:].rstrip("?*+)") for w in places if w.lstrip("(").startswith("#") and w.lstrip("(")[1:2] != "-"})
 
 
+def _page_digest(texts: list[Text]) -> int:
+    """What tells a page from its copies: all that it says outside what is dropped."""
+    said = "\0".join(f"{t.region}{t.path}\0{t.said.strip()}" for t in texts if not t.dropped)
+    return xxhash.xxh3_64_intdigest(said) - (1 << 63)
+
+
 def observed(pages: DataFrame) -> DataFrame:
-    """Counts over all pages: (host, stream, null, null) pages of a stream, (host, null, path, digest) pages that hold a
-    text in a slot outside articles, (host, null, path, null) pages that have the slot."""
+    """Counts: (host, stream, null, null) pages of a stream, (host, null, path, digest) different pages that hold a text in
+    a slot outside articles, (host, null, path, null) different pages that have the slot. Copies of a page count once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts: Counter[tuple] = Counter()
             for name, page in zip(batch.column(0).to_pylist(), batch.column(1)):
                 stream, texts = parse(page.as_py())
-                counts[name, "\t".join(folded(stream)), None, None] += 1
+                counts[name, "\t".join(folded(stream)), None, None, None] += 1
                 own = {(t.path, _digest(t.said)) for t in texts if not t.dropped and t.region < 3}
-                counts.update((name, None, p, s) for p, s in own)
-                counts.update((name, None, p, None) for p in {p for p, _ in own})
+                voter = _page_digest(texts)
+                counts.update((name, None, p, s, voter) for p, s in own)
+                counts.update((name, None, p, None, voter) for p in {p for p, _ in own})
             keys = list(counts)
+            kinds = (pa.string(), pa.string(), pa.string(), pa.string(), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array([k[i] for k in keys], pa.string()) for i in range(4)] + [pa.array(list(counts.values()), pa.int64())],
-                names=["host", "stream", "path", "digest", "pages"],
+                [pa.array([k[i] for k in keys], kind) for i, kind in enumerate(kinds)] + [pa.array(list(counts.values()), pa.int64())],
+                names=["host", "stream", "path", "digest", "voter", "pages"],
             )
 
-    schema = "host string, stream string, path string, digest string, pages long"
+    schema = "host string, stream string, path string, digest string, voter long, pages long"
     found = pages.select(host(F.col("url")).alias("host"), "html").mapInArrow(run, schema)
-    return found.groupBy("host", "stream", "path", "digest").agg(F.sum("pages").alias("pages"))
+    once = found.groupBy("host", "stream", "path", "digest", "voter").agg(F.sum("pages").alias("pages"))
+    counted = F.sum(F.when(F.col("stream").isNull(), 1).otherwise(F.col("pages")))
+    return once.groupBy("host", "stream", "path", "digest").agg(counted.alias("pages"))
 
 
 def wrappers(counted: DataFrame) -> DataFrame:

@@ -83,3 +83,15 @@ def test_text_of_the_test_pages(spark, sf):
         blocks = re.split(r"<(?:p|/p|br|h1|/h1)>", re.sub(r"</?b>", "", article))
         lines = (re.sub(r"\s+", " ", html.unescape(b)).strip() for b in blocks)
         assert got[page_id] == "\n".join(line for line in lines if line)
+
+
+def test_copies_of_a_page_do_not_make_its_text_a_constant(spark):
+    page = "<div class='x1'>Our site</div><div class='x2'>{}</div>"
+    rows = [(i, "http://copies.example/a", page.format("Only story")) for i in range(5)]
+    rows += [(10 + i, None, f"<p>pool of copies</p><!-- {i} -->") for i in range(4)] + [(20, "broken", "<p>another page</p>")]
+    rows += [(30 + i, "http://three.example/", "<p>equal</p><p>pages</p>") for i in range(3)]
+    rows += [(40 + i, "http://stories.example/", page.format(f"story {i % 4}")) for i in range(8)]
+    got = {r["page_id"]: r["text"] for r in wrappers.extracted(spark.createDataFrame(rows, PAGES)).collect()}
+    assert {got[i] for i in range(5)} == {"Our site\nOnly story"} and {got[10 + i] for i in range(4)} == {"pool of copies"}
+    assert got[20] == "another page" and {got[30 + i] for i in range(3)} == {"equal\npages"}
+    assert [got[40 + i] for i in range(8)] == [f"story {i % 4}" for i in range(8)]
