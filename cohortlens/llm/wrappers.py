@@ -3,14 +3,19 @@
 A page is a stream of tags and texts. Runs of equal groups are folded into one repeated group, so pages of one template
 give few distinct streams. Per host the distinct streams are aligned one after the other: where the next stream and the
 wrapper so far disagree, the group that only one of them has becomes optional, or repeated if it repeats its neighbour;
-texts that differ between pages become slots. The result is a wrapper: a union-free expression of tags, optional and
-repeated groups, and text slots.
+every text is a place of its own. The result is a wrapper: a union-free expression of tags, optional and repeated
+groups, and text places.
+
+Every page is then matched to its host's wrapper, which says the place of each of its texts. Texts are compared place by
+place over the different pages of the host: what most of them say in one place is a constant of the template, everything
+else fills a slot. Outside articles a place's pages decide, there also by its path where the alignment splits a place;
+inside articles all pages with an article, and a page that would lose more than half of its article keeps it all, as it
+is rather one of several near copies. Near copies outside articles count as different pages.
 
 The main text is what fills the wrapper's slots in the content region: inside ``article``, else ``main``, else a content
 container, else the body, without menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader
-comments (by element, role or class words), and without texts outside an article that the wrapper holds as constants of
-the template. Character references are decoded, white space inside a block becomes one space, blocks are joined by a line
-feed, and nothing else is dropped.
+comments (by fixed lists of elements, roles and class words). Character references are decoded, white space inside a
+block becomes one space, blocks are joined by a line feed, and nothing else is dropped.
 
 Streams are counted over all pages, then aligned in levels: groups of streams, then groups of the groups' wrappers, so no
 task holds a host's pages or streams. Defined cases: a null or empty html gives an empty text; a null or broken url is a host of its own;
@@ -66,6 +71,10 @@ _ATTRIBUTE = re.compile(r"(?<![\w-])(class|id|role|itemprop|hidden|aria-hidden|s
 _SPACE = re.compile(r"\s+")
 #: A text is a constant of its host's template if this many different pages, and this share of those that have the slot, hold it.
 LEAST_PAGES, LEAST_SHARE = 3, 0.6
+#: An article keeps its constants if they are more than this share of its characters.
+MOST_CONSTANT = 0.5
+#: Hosts whose wrappers, and streams whose places, a task keeps at hand.
+_HOSTS, _MATCHED = 256, 4096
 #: Streams that one task aligns, on average.
 _STREAMS = 64
 #: The hosts' slots and constants are broadcast if their text is no longer than this, else joined by a shuffle.
@@ -161,23 +170,81 @@ def parse(page: str | None) -> tuple[list[str], list[Text]]:
     return stream, texts
 
 
-def main_text(page: str | None, slots: set[str], constants: set[tuple[str, str]]) -> str:
+def main_text(page: str | None, slots: set[str], constants: set[tuple[str, int]], wrapper: Wrapper | None = None) -> str:
     """What fills the wrapper's content slots of the innermost region that the page has.
 
-    ``slots`` are the wrapper's text places, ``constants`` (path, digest of the text) pairs that it holds outside articles.
+    ``slots`` are the wrapper's text places by region and path, ``constants`` (place, digest of the text) pairs.
     """
-    kept: dict[int, dict[int, list[str]]] = {}
-    for t in parse(page)[1]:
-        if not t.dropped and f"{t.region}{t.path}" in slots:
-            if t.region == 3 or not constants or (t.path, _digest(t.said)) not in constants:
-                kept.setdefault(t.region, {}).setdefault(t.block, []).append(t.said)
-    blocks = kept[max(kept)] if kept else {}
+    stream, texts = parse(page)
+    constant = _constant_texts(stream, texts, constants, wrapper) if constants and wrapper else set()
+    kept: dict[int, list[tuple[Text, bool]]] = {}
+    for i, t in enumerate(texts):
+        if not t.dropped and f"{t.region}{t.path}" in slots and (t.region == 3 or i not in constant):
+            kept.setdefault(t.region, []).append((t, i in constant))
+    region = max(kept, default=0)
+    chosen = kept.get(region, [])
+    if region == 3:
+        size, gone = sum(len(t.said) for t, _ in chosen), sum(len(t.said) for t, c in chosen if c)
+        if gone <= MOST_CONSTANT * size:
+            chosen = [(t, c) for t, c in chosen if not c]
+    blocks: dict[int, list[str]] = {}
+    for t, _ in chosen:
+        blocks.setdefault(t.block, []).append(t.said)
     joined = (_SPACE.sub(" ", "".join(parts)).strip() for parts in blocks.values())
     return "\n".join(b for b in joined if b)
 
 
-def _digest(said: str) -> str:
-    return xxhash.xxh3_128_hexdigest(said.strip())
+def _digest(said: str) -> int:
+    return xxhash.xxh3_64_intdigest(said.strip()) - (1 << 63)
+
+
+class Wrapper:
+    """A host's wrapper, to which its pages are matched."""
+
+    def __init__(self, wrapper: str):
+        self._cores = [_plain(item) for item in wrapper.split("\t")]
+        self._known: dict[tuple[str, ...], list[str]] = {}
+        self.slots = set(wrapper_slots(wrapper))
+
+    def places(self, stream: list[str]) -> list[str]:
+        """For each text of a page, in order, its place: the item of the wrapper and the text in it, or else its path."""
+        items = folded(stream)
+        found = self._known.get(name := tuple(items))
+        if found is None:
+            cores = [_plain(item) for item in items]
+            item_of: dict[int, int] = {}
+            for at, own, n in SequenceMatcher(None, self._cores, cores, autojunk=False).get_matching_blocks():
+                item_of.update((own + k, at + k) for k in range(n))
+            found = []  # per folded item, the places of its texts
+            for i, core in enumerate(cores):
+                words = [w for w in core.split(" ") if w.startswith("#")]
+                found.append([f"{item_of[i]}.{k}" if i in item_of else f"/{w[1:]}" for k, w in enumerate(words)])
+            if len(self._known) >= _MATCHED:
+                self._known.clear()
+            self._known[name] = found
+        out: list[str] = []
+        at = 0
+        for item, own in zip(items, found):
+            group = _plain(item).split(" ") if item.startswith("(") else [item]
+            while True:
+                out += own
+                at += len(group)
+                if not item.startswith("(") or stream[at : at + len(group)] != group:
+                    break
+        return out
+
+
+def _named_places(t: Text, place: str) -> tuple[str, ...]:
+    """The names under which a text is counted: its place, outside articles its path, too."""
+    return (f"3:{place}",) if t.region == 3 else (place, f"/{t.region}{t.path}")
+
+
+def _constant_texts(stream: list[str], texts: list[Text], constants: set[tuple[str, int]], wrapper: Wrapper) -> set[int]:
+    """The numbers of the texts that are constants in their places."""
+    digests = {d for _, d in constants}
+    maybe = [(i, t, d) for i, t in enumerate(texts) if not t.dropped and (d := _digest(t.said)) in digests]
+    places = wrapper.places(stream) if maybe else []
+    return {i for i, t, d in maybe if any((place, d) in constants for place in _named_places(t, places[i]))}
 
 
 def folded(stream: list[str], longest: int = 12) -> list[str]:
@@ -258,7 +325,7 @@ def host(url: Column) -> Column:
 def wrapper_slots(wrapper: str) -> list[str]:
     """The content slots of a wrapper, each as its region and path."""
     places = (word for item in wrapper.split("\t") for word in _plain(item).split(" "))
-    return sorted({w.lstrip("(")[1:].rstrip("?*+)") for w in places if w.lstrip("(").startswith("#") and w.lstrip("(")[1:2] != "-"})
+    return sorted({w[1:] for w in places if w.startswith("#") and w[1:2] != "-"})
 
 
 def _page_digest(texts: list[Text]) -> int:
@@ -268,36 +335,60 @@ def _page_digest(texts: list[Text]) -> int:
 
 
 def observed(pages: DataFrame) -> DataFrame:
-    """Counts: (host, stream, null, null) pages of a stream, (host, null, path, digest) different pages that hold a text in
-    a slot outside articles, (host, null, path, null) different pages that have the slot. Copies of a page count once."""
+    """(host, stream, pages): the distinct folded streams of every host and their pages."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts: Counter[tuple] = Counter()
-            for name, page in zip(batch.column(0).to_pylist(), batch.column(1)):
+            each = zip(batch.column(0).to_pylist(), batch.column(1))
+            counts = Counter((name, "\t".join(folded(parse(page.as_py())[0]))) for name, page in each)
+            columns = list(zip(*counts)) or [(), ()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, pa.string()) for c in columns] + [pa.array(list(counts.values()), pa.int64())], names=["host", "stream", "pages"]
+            )
+
+    found = pages.select(host(F.col("url")).alias("host"), "html").mapInArrow(run, "host string, stream string, pages long")
+    return found.groupBy("host", "stream").agg(F.sum("pages").alias("pages"))
+
+
+def _at_hand(known: dict[str, Wrapper], name: str, wrapper: pa.Scalar) -> Wrapper:
+    if name not in known:
+        if len(known) >= _HOSTS:
+            known.clear()
+        known[name] = Wrapper(wrapper.as_py() or "")
+    return known[name]
+
+
+def placed_texts(rows: DataFrame) -> DataFrame:
+    """(host, place, digest, pages): how many different pages of a host say a text in a place; with a null digest, how many
+    have the place, and under the place ``3`` how many have an article. ``rows`` are host, html, wrapper. Copies count once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, Wrapper] = {}
+        for batch in batches:
+            seen: set[tuple] = set()
+            for name, page, wrapper in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
                 stream, texts = parse(page.as_py())
-                counts[name, "\t".join(folded(stream)), None, None, None] += 1
-                own = {(t.path, _digest(t.said)) for t in texts if not t.dropped and t.region < 3}
-                voter = _page_digest(texts)
-                counts.update((name, None, p, s, voter) for p, s in own)
-                counts.update((name, None, p, None, voter) for p in {p for p, _ in own})
-            keys = list(counts)
-            kinds = (pa.string(), pa.string(), pa.string(), pa.string(), pa.int64())
+                if all(t.dropped for t in texts):
+                    continue
+                places, voter = _at_hand(known, name, wrapper).places(stream), _page_digest(texts)
+                for t, place in zip(texts, places):
+                    if not t.dropped:
+                        names, digest = _named_places(t, place), _digest(t.said)
+                        seen.update((name, p, digest, voter) for p in names)
+                        seen.update((name, p, None, voter) for p in (("3",) if t.region == 3 else names))
+            columns = list(zip(*seen)) or [(), (), (), ()]
+            kinds = (pa.string(), pa.string(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array([k[i] for k in keys], kind) for i, kind in enumerate(kinds)] + [pa.array(list(counts.values()), pa.int64())],
-                names=["host", "stream", "path", "digest", "voter", "pages"],
+                [pa.array(c, kind) for c, kind in zip(columns, kinds)], names=["host", "place", "digest", "voter"]
             )
 
-    schema = "host string, stream string, path string, digest string, voter long, pages long"
-    found = pages.select(host(F.col("url")).alias("host"), "html").mapInArrow(run, schema)
-    once = found.groupBy("host", "stream", "path", "digest", "voter").agg(F.sum("pages").alias("pages"))
-    counted = F.sum(F.when(F.col("stream").isNull(), 1).otherwise(F.col("pages")))
-    return once.groupBy("host", "stream", "path", "digest").agg(counted.alias("pages"))
+    found = rows.select("host", "html", "wrapper").mapInArrow(run, "host string, place string, digest long, voter long").distinct()
+    return found.groupBy("host", "place", "digest").agg(F.count("*").alias("pages"))
 
 
 def wrappers(counted: DataFrame) -> DataFrame:
     """(host, pages, wrapper, slots): the wrapper of every host, from all its distinct streams."""
-    streams = counted.where("stream is not null").select("host", "stream", "pages")
+    streams = counted.select("host", "stream", "pages")
 
     def one(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["pages", "stream"], ascending=[False, True])
@@ -323,32 +414,39 @@ def wrappers(counted: DataFrame) -> DataFrame:
     return whole.withColumn("slots", slots("wrapper"))
 
 
-def template_constants(counted: DataFrame) -> DataFrame:
-    """(host, constants): texts outside articles that most of a host's pages hold in the same slot."""
-    slots = counted.where("path is not null and digest is null").select("host", "path", F.col("pages").alias("all"))
-    texts = counted.where(f"digest is not null and pages >= {LEAST_PAGES}")
-    constant = texts.join(slots, ["host", "path"]).where(F.col("pages") >= LEAST_SHARE * F.col("all"))
-    return constant.groupBy("host").agg(F.collect_set(F.struct("path", "digest")).alias("constants"))
+def template_constants(placed: DataFrame) -> DataFrame:
+    """(host, constants): the texts that most of a host's different pages hold in the same place."""
+    pages = placed.where("digest is null").select("host", F.col("place").alias("of"), F.col("pages").alias("all"))
+    texts = placed.where(f"digest is not null and pages >= {LEAST_PAGES}")
+    texts = texts.withColumn("of", F.when(F.col("place").startswith("3:"), "3").otherwise(F.col("place")))
+    constant = texts.join(pages, ["host", "of"]).where(F.col("pages") >= LEAST_SHARE * F.col("all"))
+    return constant.groupBy("host").agg(F.collect_set(F.struct("place", "digest")).alias("constants"))
+
+
+def _with_hosts(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """``rows`` with what is known of their hosts."""
+    size = known.agg(F.sum(F.length(F.to_json(F.struct("*")))).alias("n")).first()["n"] or 0
+    return rows.join(F.broadcast(known) if size <= BROADCAST_BYTES else known, "host", "left")
 
 
 def extracted(pages: DataFrame) -> DataFrame:
     """Per page: page_id, url, text, n_chars."""
-    counted = written(observed(pages), "streams")
-    known = wrappers(counted).select("host", "slots").join(template_constants(counted), "host", "left")
-    known = written(known, "wrappers")
-    size = known.agg(F.sum(F.length(F.to_json(F.struct("*")))).alias("n")).first()["n"] or 0
     rows = pages.select("page_id", "url", "html").withColumn("host", host(F.col("url")))
-    rows = rows.join(F.broadcast(known) if size <= BROADCAST_BYTES else known, "host", "left")
+    known = written(wrappers(written(observed(pages), "streams")).select("host", "wrapper"), "wrappers")
+    placed = written(placed_texts(_with_hosts(rows.select("host", "html"), known)), "texts")
+    rows = _with_hosts(rows, written(known.join(template_constants(placed), "host", "left"), "templates"))
 
     @F.arrow_udf("string")
-    def extract(content: pa.Array, slots: pa.Array, constants: pa.Array) -> pa.Array:
-        out, last = [], (None, set())
-        for page, own, held in zip(content, slots.to_pylist(), constants):
-            if own != last[0]:
-                last = own, set(own or ())
-            pairs = {(c["path"], c["digest"]) for c in held.as_py()} if held.is_valid else set()
-            out.append(main_text(page.as_py(), last[1], pairs))
+    def extract(names: pa.Array, content: pa.Array, wrappers: pa.Array, constants: pa.Array) -> pa.Array:
+        out: list[str] = []
+        known: dict[str, Wrapper] = {}
+        pairs: dict[str, set[tuple[str, int]]] = {}
+        for name, page, wrapper, held in zip(names.to_pylist(), content, wrappers, constants):
+            own = _at_hand(known, name, wrapper)
+            if name not in pairs:
+                pairs[name] = {(c["place"], c["digest"]) for c in held.as_py()} if held.is_valid else set()
+            out.append(main_text(page.as_py(), own.slots, pairs[name], own))
         return pa.array(out, pa.string())
 
-    done = rows.select("page_id", "url", extract("html", "slots", "constants").alias("text"))
+    done = rows.select("page_id", "url", extract("host", "html", "wrapper", "constants").alias("text"))
     return done.withColumn("n_chars", F.length("text").cast("long"))

@@ -95,3 +95,28 @@ def test_copies_of_a_page_do_not_make_its_text_a_constant(spark):
     assert {got[i] for i in range(5)} == {"Our site\nOnly story"} and {got[10 + i] for i in range(4)} == {"pool of copies"}
     assert got[20] == "another page" and {got[30 + i] for i in range(3)} == {"equal\npages"}
     assert [got[40 + i] for i in range(8)] == [f"story {i % 4}" for i in range(8)]
+
+
+def test_constants_inside_articles_go_by_their_place_in_the_wrapper(spark):
+    page = "<article><h1>{0}</h1><div class='by'>Our staff writes</div><p>{1}</p><h2 class='a+'>More {0}</h2>{2}<div class='end'>Read the daily letter</div></article>"
+    rows = [(i, f"http://daily.example/{i}", page.format(f"Title {i}", f"What happened on day {i} " * 4, "<p>extra</p><p>more</p>" * (i % 2)))
+            for i in range(6)]
+    said = "Our staff writes"  # the same words elsewhere in an article are its own
+    rows.append((9, "http://daily.example/9", page.format("Title 9", said, "<p>and a text that is long enough to be the article</p>")))
+    copy = "<article><p>" + "The same long words in every copy. " * 5 + "</p><p>seen {} times</p></article>"
+    rows += [(20 + i, "http://near.example/", copy.format(i)) for i in range(4)]
+    got = {r["page_id"]: r["text"] for r in wrappers.extracted(spark.createDataFrame(rows, PAGES)).collect()}
+    for i in range(6):
+        story = ("What happened on day %d " % i * 4).strip()
+        assert got[i] == "\n".join([f"Title {i}", story, f"More Title {i}", *["extra", "more"] * (i % 2)])
+    assert got[9].split("\n") == ["Title 9", said, "More Title 9", "and a text that is long enough to be the article"]
+    assert all(got[20 + i].startswith("The same long words") for i in range(4))
+
+
+def test_places_of_repeated_and_optional_texts():
+    streams = [wrappers.parse(p)[0] for p in ("<p>a</p><p>b</p><i>c</i>", "<p>a</p><p>b</p><p>c</p><b>d</b><i>e</i>")]
+    wrapper = wrappers.Wrapper(wrappers.wrapper_of(["\t".join(wrappers.folded(s)) for s in streams]))
+    one, two = map(wrapper.places, streams)
+    assert one[0] == one[1] == two[0] == two[2] and one[2] == two[4] != two[3]
+    odd = wrappers.parse("<p class='a?'>x</p>")[0]
+    assert wrappers.wrapper_slots("\t".join(wrappers.folded(odd))) == ["0p.a?"]
