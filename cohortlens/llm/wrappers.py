@@ -14,7 +14,8 @@ is rather one of several near copies. Near copies outside articles count as diff
 
 The main text is what fills the wrapper's slots in the content region: inside ``article``, else ``main``, else a content
 container, else the body, without menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader
-comments (by fixed lists of elements, roles and class words). Character references are decoded, white space inside a
+comments (by fixed lists of elements, roles and class words; by ids outside content, in content if the id has no other
+words, inside articles if most of the host's different pages have it, too). Character references are decoded, white space inside a
 block becomes one space, blocks are joined by a line feed, and nothing else is dropped.
 
 Streams are counted over all pages, then aligned in levels: groups of streams, then groups of the groups' wrappers, so no
@@ -61,6 +62,12 @@ _MARKS = re.compile(
     r"share|sharing|social|related|recommended|widget|pagination|pager|skip|toolbar|contentinfo)(?=$|[\s_-])"
 )
 _HEADINGS = ("header", "banner", "masthead")
+_TITLED = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Fixed list: words of an id that say nothing of their own beside a mark, as in ``top-nav`` or ``comment-list``.
+_BESIDE = frozenset(
+    "top bottom left right main site page post posts global primary secondary mobile inner outer wrap wrapper container block box "
+    "bar list item items area section links link buttons button icons thread content title text".split()
+)
 _CONTENT = re.compile(r"(?:^|[\s_-])(?:content|article|post|entry|story|main|text|articlebody)(?=$|[\s_-])")
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>\"'<]*+)"
@@ -90,28 +97,39 @@ class Text:
     block: int
     dropped: bool
     region: int
+    ids: tuple[str, ...] = ()  # around it inside an article, ids that mark what is not main text if the host repeats them
+
 
+def _marking_id(value: str) -> bool:
+    """Whether an id consists of marks and the words beside them; ids made of a title (related-work) have other words, too."""
+    pieces = [piece for piece in re.split(r"[\s_-]+", value) if piece and not piece.isdigit()]
+    return bool(_MARKS.fullmatch(value)) or any(_MARKS.search(piece) for piece in pieces) and all(piece in _BESIDE or _MARKS.search(piece) for piece in pieces)
 
-def _attributes(rest: str) -> tuple[str, bool, bool]:
-    """Class, id and role as words, whether the element is hidden, whether it is marked as content."""
-    words, hidden, content = [], False, False
+
+def _attributes(rest: str) -> tuple[str, str, str, bool, bool]:
+    """Class, id and role as words, class and role alone, the id, whether the element is hidden, whether it is marked as content."""
+    words, roles, own, hidden, content = [], [], "", False, False
     for name, *values in _ATTRIBUTE.findall(rest):
         value, name = next((v for v in values if v), "").lower(), name.lower()
         if name in ("class", "id", "role"):
             words.append(value)
+            if name == "id":
+                own = own or value.strip()
+            else:
+                roles.append(value)
         hidden |= name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and "display:none" in value.replace(" ", "")
         content |= name in ("class", "id", "itemprop") and bool(_CONTENT.search(value))
         if name == "role" and value == "main":
             content = True
-    return " ".join(words), hidden, content
+    return " ".join(words), " ".join(roles), own, hidden, content
 
 
 def parse(page: str | None) -> tuple[list[str], list[Text]]:
     """The page's stream of tags and text places, and its texts."""
     stream: list[str] = []
     texts: list[Text] = []
-    # name, label, dropped so far, region so far (0 body, 1 content container, 2 main, 3 article)
-    stack: list[tuple[str, str, bool, int]] = [("", "", False, 0)]
+    # name, label, dropped so far, region so far (0 body, 1 content container, 2 main, 3 article), ids that may mark
+    stack: list[tuple[str, str, bool, int, tuple[str, ...]]] = [("", "", False, 0, ())]
     block, at, page = 0, 0, page or ""
     while at < len(page):
         token = _TOKEN.search(page, at)
@@ -120,7 +138,7 @@ def parse(page: str | None) -> tuple[list[str], list[Text]]:
             said = _SPACE.sub(" ", html.unescape(page[at:upto]))
             if said.strip():
                 path = "/".join(entry[1] for entry in stack[1:])
-                texts.append(Text(path, said, block, stack[-1][2], stack[-1][3]))
+                texts.append(Text(path, said, block, *stack[-1][2:]))
                 stream.append(f"#{'-' if stack[-1][2] else stack[-1][3]}{path}")
             elif said and texts and texts[-1].block == block:
                 texts[-1].said += " "
@@ -145,7 +163,8 @@ def parse(page: str | None) -> tuple[list[str], list[Text]]:
                 depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] in _BLOCK), 0)
                 if depth and stack[depth][0] == "p":
                     del stack[depth:]
-        words, hidden, content = _attributes(token["rest"]) if "=" in token["rest"] or "hidden" in token["rest"] else ("", False, False)
+        known = "=" in token["rest"] or "hidden" in token["rest"]
+        words, roles, own_id, hidden, content = _attributes(token["rest"]) if known else ("", "", "", False, False)
         label = name + ("." + ".".join(words.split()) if words else "")
         stream.append(label)
         if name in _VOID or token["rest"].endswith("/"):
@@ -155,18 +174,23 @@ def parse(page: str | None) -> tuple[list[str], list[Text]]:
             if end or name in ("script", "style"):
                 at = end.end() if end else len(page)
             continue
-        before, region = stack[-1][2], stack[-1][3]
+        before, region, ids = stack[-1][2:]
         # A header inside an article is the article's own heading.
         own = name in _NO_TEXT and not (name == "header" and region == 3)
-        marked = bool(words) and name not in ("body", "html", "article", "main") and any(
-            region < 3 or m.strip(" _-") not in _HEADINGS for m in _MARKS.findall(words)
-        )
+        # An id is often made of a title: it marks no heading, in content only as a whole, in an article if the host repeats it.
+        marked = bool(words) and name not in ("body", "html", "article", "main")
+        if marked and own_id:
+            marking = name not in _TITLED and _marking_id(own_id)
+            if region == 3 and marking and own_id not in _HEADINGS:
+                ids += (own_id,)
+            words = words if region == 0 and name not in _TITLED or region < 3 and marking else roles
+        marked = marked and any(region < 3 or m.strip(" _-") not in _HEADINGS for m in _MARKS.findall(words))
         dropped = before or hidden or own or marked
         content = content and name not in ("body", "html")
         if name == "article" and words and re.search(r"(?:^|[\s_-])comments?(?=$|[\s_-])", words):
             dropped = True
         region = max(region, 3 if name == "article" else 2 if name == "main" else 1 if content and not dropped else 0)
-        stack.append((name, label, dropped, region))
+        stack.append((name, label, dropped, region, ids))
     return stream, texts
 
 
@@ -177,6 +201,9 @@ def main_text(page: str | None, slots: set[str], constants: set[tuple[str, int]]
     """
     stream, texts = parse(page)
     constant = _constant_texts(stream, texts, constants, wrapper) if constants and wrapper else set()
+    if constants:
+        for t in texts:
+            t.dropped |= any((f"3:#{own}", 0) in constants for own in t.ids)
     kept: dict[int, list[tuple[Text, bool]]] = {}
     for i, t in enumerate(texts):
         if not t.dropped and f"{t.region}{t.path}" in slots and (t.region == 3 or i not in constant):
@@ -360,7 +387,8 @@ def _at_hand(known: dict[str, Wrapper], name: str, wrapper: pa.Scalar) -> Wrappe
 
 def placed_texts(rows: DataFrame) -> DataFrame:
     """(host, place, digest, pages): how many different pages of a host say a text in a place; with a null digest, how many
-    have the place, and under the place ``3`` how many have an article. ``rows`` are host, html, wrapper. Copies count once."""
+    have the place, and under the place ``3`` how many have an article; an id that may mark is a place ``3:#id`` with the
+    digest 0. ``rows`` are host, html, wrapper. Copies count once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, Wrapper] = {}
@@ -373,6 +401,7 @@ def placed_texts(rows: DataFrame) -> DataFrame:
                 places, voter = _at_hand(known, name, wrapper).places(stream), _page_digest(texts)
                 for t, place in zip(texts, places):
                     if not t.dropped:
+                        seen.update((name, f"3:#{own}", 0, voter) for own in t.ids)
                         names, digest = _named_places(t, place), _digest(t.said)
                         seen.update((name, p, digest, voter) for p in names)
                         seen.update((name, p, None, voter) for p in (("3",) if t.region == 3 else names))

@@ -120,3 +120,16 @@ def test_places_of_repeated_and_optional_texts():
     assert one[0] == one[1] == two[0] == two[2] and one[2] == two[4] != two[3]
     odd = wrappers.parse("<p class='a?'>x</p>")[0]
     assert wrappers.wrapper_slots("\t".join(wrappers.folded(odd))) == ["0p.a?"]
+
+
+def test_ids_made_of_titles_keep_their_text(spark):
+    slugs = """<article><h2 id='related-work'>Related work</h2><p>a</p><section id='search-algorithms'><p>b</p></section>
+    <div id='social-history'>c</div><section id='comments'><h3>Comments</h3><p>d</p></section><div class='share'>no</div></article>"""
+    assert text_of(slugs) == "Related work\na\nb\nc\nComments\nd"
+    assert text_of("<main><section id='login-forms'><h2 id='search'>Search</h2></section><div id='top-nav'>no</div></main>") == "Search"
+    assert text_of("<div id='left-sidebar'>no</div><div id='comments'>no</div><p>yes</p>") == "yes"
+    page = "<article><p>Story of {0}</p><div id='comments'><p>reader {0}</p></div><h2 id='related-work'>Work {0}</h2></article>"
+    rows = [(i, "http://many.example/", page.format(i)) for i in range(5)] + [(9, "http://few.example/", page.format(9))]
+    got = {r["page_id"]: r["text"] for r in wrappers.extracted(spark.createDataFrame(rows, PAGES)).collect()}
+    assert [got[i] for i in range(5)] == [f"Story of {i}\nWork {i}" for i in range(5)]
+    assert got[9] == "Story of 9\nreader 9\nWork 9"
