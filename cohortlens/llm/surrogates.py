@@ -42,16 +42,35 @@ _TITLES = {
 }
 _GENDERS = {t: g for g, titles in _TITLES.items() for t in titles}
 _NAME = r"[^\W\d_a-zß-öø-ÿа-яё][^\W\d_]+(?:[-'’][^\W\d_]+)?"
+_ADDRESS = r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\d|\.\d)"
 _ENTITY = re.compile(
     r"(?P<email>[\w.%+-]+@[\w-]+(?:\.[\w-]+)*\.[^\W\d_]{2,})"
     r"|(?P<iban>\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b)"
-    r"|(?P<ip>(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\d|\.\d))"
+    rf"|(?P<ip>{_ADDRESS})"
     r"|(?P<card>(?<![\w.+-])\d(?:[ -]?\d){12,18}(?![\w-]))"
     r"|(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))"
     r"|(?P<phone>(?<![\w.])(?:\+\d{1,3}[ .-]?(?:\(\d{1,5}\)|\d{1,5})(?:[ .-]?\d{2,5}){1,5}|\(\d{3}\)[ -]?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?![\w-]))"
     rf"|(?P<name>\b(?:{'|'.join(t for titles in _TITLES.values() for t in titles)})\b\.?[  ](?:{_NAME})(?:[  ](?:{_NAME})){{0,2}})"
 )
 _HINT = re.compile(r"[0-9@]")
+#: One kind each, to try at a place where another kind's check failed.
+_IP = re.compile(_ADDRESS)
+_SSN = re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])")
+_HOME_PHONE = re.compile(r"(?<![\w.])(?:\(\d{3}\)[ -]?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?![\w-])")
+#: Fixed list: card numbers as issued, by grouping and first digits, the longer ones first.
+_CARDS = tuple(re.compile(rf"(?<![\w.+-]){form}(?![\w-])") for form in (
+    r"[456]\d{3}([ -])\d{4}\1\d{4}\1\d{4}\1\d{3}", r"(?:[3-6]\d{3}|22(?:0[0-4]|2[1-9]|[3-9]\d)|2[3-6]\d{2}|27(?:[01]\d|20))([ -])\d{4}\1\d{4}\1\d{4}", r"3[47]\d{2}([ -])\d{6}\1\d{5}",
+    r"3[0689]\d{2}([ -])\d{6}\1\d{4}", r"\d{13,19}",
+))
+_IBAN = re.compile(r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}")
+#: Fixed list: characters of an account number by country (the registry's).
+_IBAN_LENGTHS = {country: int(n) for n, countries in (e.split(":") for e in (
+    "15:NO;16:BE;18:DK FI FO GL NL SD FK;19:MK SI;20:AT BA EE KZ LT LU XK MN;21:CH HR LI LV;22:BG BH CR DE GB GE IE ME RS VA;"
+    "23:AE GI IL IQ OM SO TL;24:AD CZ ES MD PK RO SA SE SK TN VG;25:LY PT ST;26:IS TR;27:BI DJ FR GR IT MC MR SM;"
+    "28:AL AZ BY CY DO GT HN HU LB NI PL SV;29:BR EG PS QA UA;30:JO KW MU YE;31:MT SC;32:LC;33:RU"
+).split(";")) for country in countries.split()}
+#: Digits of a phone number with its country code at most, and at least where another entity follows it.
+_MOST_DIGITS, _LEAST_DIGITS = 15, 8
 _TITLE = re.compile(rf"\b(?:{'|'.join(t for titles in _TITLES.values() for t in titles)})\b")
 #: Syllables of invented names, by script; fixed values.
 _SYLLABLES = {
@@ -98,12 +117,85 @@ def canonical(kind: str, said: str) -> str:
     return said
 
 
+def _iban_end(text: str, start: int) -> int | None:
+    """Where an account number ends: after the length of its country, else where the longest one that checks ends."""
+    m = _IBAN.match(text, start)
+    if not m:
+        return None
+    ends = [i + 1 for i in range(start, m.end()) if text[i] != " "]
+    length = _IBAN_LENGTHS.get(text[start : start + 2])
+    tried = [length] if length else range(len(ends), 14, -1)
+    return next((
+        ends[n - 1] for n in tried if n <= len(ends) and not text[ends[n - 1] : ends[n - 1] + 1].isalnum()
+        and _valid("iban", text[start : ends[n - 1]])
+    ), None)
+
+
+def _card_end(text: str, start: int, checked: bool) -> int | None:
+    """Where a card number in one of the issued forms ends; ``checked``: its check digit has to be right."""
+    ends = [m.end() for form in _CARDS if (m := form.match(text, start))]
+    right = [e for e in ends if _luhn(re.sub(r"\D", "", text[start:e])) == 0]
+    return next(iter(right), None) or next((e for e in ends if not checked and _valid("card", text[start:e])), None)
+
+
+def _strict(text: str, start: int, checked: bool) -> tuple[int, str] | None:
+    """(end, kind) of an entity in a form of its own at ``start``."""
+    if end := _iban_end(text, start):
+        return end, "iban"
+    if end := _card_end(text, start, checked):
+        return end, "card"
+    for kind, form in (("ip", _IP), ("ssn", _SSN), ("phone", _HOME_PHONE)):
+        if m := form.match(text, start):
+            return m.end(), kind
+    return None
+
+
+def _inside(text: str, start: int, end: int) -> int | None:
+    """Where the first entity in a form of its own begins after ``start`` and before ``end``."""
+    return next((i for i in range(start + 1, end) if not text[i - 1].isalnum() and _strict(text, i, True)), None)
+
+
+def _phone_end(text: str, start: int, end: int) -> int:
+    """The end of an international phone number, before an entity that follows it and within the digits one can have."""
+    digits = lambda upto: sum(c.isdigit() for c in text[start:upto])
+    at = start
+    while (at := _inside(text, at, end)) is not None:
+        cut = start + len(text[start:at].rstrip(" .-("))
+        if digits(cut) >= _LEAST_DIGITS:
+            end = cut
+            break
+    while digits(end) > _MOST_DIGITS:
+        cut = max(text.rfind(c, start, end) for c in " .-")
+        if cut <= start or digits(cut) < _LEAST_DIGITS:
+            break
+        end = cut
+    return end
+
+
+def _scanned(text: str) -> Iterator[tuple[int, int, str]]:
+    """(start, end, kind) of every entity, in order. Where a check fails, other kinds and shorter ends are tried from the
+    same start, then the search goes on right after it; only entities that are found take their characters with them."""
+    at, loose = 0, 0  # before ``loose``, a run of digits that is no card as a whole was seen
+    while m := _ENTITY.search(text, at):
+        start, end, kind = m.start(), m.end(), m.lastgroup
+        if kind in ("iban", "card"):
+            found = _strict(text, start, start < loose)
+            if not found and kind == "card" and start >= loose:
+                loose = end
+                if _valid(kind, m.group()) and _inside(text, start, end) is None:
+                    found = end, kind
+        else:
+            found = _phone_end(text, start, end) if kind == "phone" and m.group()[0] == "+" else end, kind
+        if found:
+            yield start, *found
+        at = found[0] if found else start + 1
+
+
 def entities(text: str | None) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, canonical form) of every entity, in order."""
     if not text or not (_HINT.search(text) or _TITLE.search(text)):
         return []
-    found = ((m.start(), m.end(), m.lastgroup, m.group()) for m in _ENTITY.finditer(text))
-    return [(a, b, kind, canonical(kind, said)) for a, b, kind, said in found if _valid(kind, said)]
+    return [(a, b, kind, canonical(kind, text[a:b])) for a, b, kind in _scanned(text)]
 
 
 class _Draw:

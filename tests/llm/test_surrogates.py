@@ -70,3 +70,25 @@ def test_documents(spark, docs, corpus, monkeypatch):
     monkeypatch.setattr(surrogates, "BROADCAST_IDS", -1)
     assert {r["doc_id"]: r["text"] for r in surrogates.replaced(docs(rows)).collect()} == new
     assert surrogates.replaced(docs([])).collect() == []
+
+
+def test_entities_next_to_other_digits_or_capitals():
+    def said(text):
+        return [(k, text[a:b]) for a, b, k, _ in surrogates.entities(text)]
+
+    assert said("123-45-6789 555-123-4567") == [("ssn", "123-45-6789"), ("phone", "555-123-4567")]
+    assert said("123-45-6789 987-65-4321") == [("ssn", "123-45-6789"), ("ssn", "987-65-4321")]
+    for day in range(10, 29):  # whatever the check digit of the whole run
+        assert said(f"2024-01-{day} 555-123-4567") == [("phone", "555-123-4567")]
+        assert said(f"20{day} 4111 1111 1111 1111") == [("card", "4111 1111 1111 1111")]
+        assert said(f"19{day} 555-123-4567 2024") == [("phone", "555-123-4567")]
+    assert said("4111 1111 1111 1111 123") in ([("card", "4111 1111 1111 1111")], [("card", "4111 1111 1111 1111 123")])
+    for after in (" BIC XYZ", " 2024", "", ".", " AND 4111 1111 1111 1111"):
+        assert said("ES91 2100 0418 4502 0005 1332" + after)[0] == ("iban", "ES91 2100 0418 4502 0005 1332")
+    assert said("ES91 2100 0418 4502 0005 1332 AND 4111 1111 1111 1111")[1] == ("card", "4111 1111 1111 1111")
+    assert said("GB82WEST12345698765432 and NO93 8601 1117 947 OK")[:2] == [("iban", "GB82WEST12345698765432"), ("iban", "NO93 8601 1117 947")]
+    assert said("AB12 4111 1111 1111 1111") == [("card", "4111 1111 1111 1111")]
+    assert said("+1 499 555 6503 123-45-6789") == [("phone", "+1 499 555 6503"), ("ssn", "123-45-6789")]
+    assert said("+1 499-555-6503") == [("phone", "+1 499-555-6503")] and said("2019 2020 2021") == []
+    assert said("+1 (608) 555-2280 37.92.178.161") == [("phone", "+1 (608) 555-2280"), ("ip", "37.92.178.161")]
+    assert said("4451718024887799 27.65.93.188") == [("card", "4451718024887799"), ("ip", "27.65.93.188")]
