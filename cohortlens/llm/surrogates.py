@@ -1,7 +1,9 @@
 """Surrogates for personal data: keyed replacements that keep type, format, script and gender.
 
 Detected entities are mail addresses, IP addresses, account numbers, card numbers, social security numbers, phone numbers,
-and names after a title. Each gets a replacement drawn from a keyed hash of its type and canonical form, so the same
+and names after a title or another cue (a name label, an introduction, a salutation, a closing). The other mentions of such
+a name in its document, in full or by the surname, are found without a cue. Not found are names that have no cue anywhere
+in their document, and given names that stand alone. Each gets a replacement drawn from a keyed hash of its type and canonical form, so the same
 entity has the same replacement in every document, and nothing else about it can be read off without the key. Parts keep
 their meaning: the same mail domain, given name or surname has the same replacement in all entities that hold it, given
 names follow the gender of the title, letters stay in their script and case, separators, lengths, country codes and check
@@ -72,6 +74,19 @@ _IBAN_LENGTHS = {country: int(n) for n, countries in (e.split(":") for e in (
 #: Digits of a phone number with its country code at most, and at least where another entity follows it.
 _MOST_DIGITS, _LEAST_DIGITS = 15, 8
 _TITLE = re.compile(rf"\b(?:{'|'.join(t for titles in _TITLES.values() for t in titles)})\b")
+#: Fixed lists: what stands before an untitled name, and capitalised words that end a name.
+_CUE = re.compile(
+    r"(?:\b(?:[Mm]y name is|[Mm]y name['’]s|[Mm]ein Name ist|[Ii]ch heiße|[Jj]e m['’]appelle|[Mm]on nom est|[Mm]e llamo|[Mm]i nombre es|"
+    r"[Мм]еня зовут|[Μμ]ε λένε|Dear|Cher|Chère|Lieber|Liebe|Querido|Querida|Уважаемый|Уважаемая|Αγαπητέ|Αγαπητή)[  ]+"
+    r"|\b(?:Full [Nn]ame|Name|NAME|[Ss]igned|Patient|Customer|Contact|[Aa]uthor|Nombre|Nom|Имя|ФИО|Όνομα)[  ]?:[  ]*"
+    r"|\b(?:[Ss]incerely|[Rr]egards|[Yy]ours truly|[Mm]it freundlichen Grüßen|[Cc]ordialement|[Aa]tentamente|[Сс] уважением),[  ]*\r?\n?\s*)"
+    rf"(?P<name>(?:{_NAME})(?:[  ](?:{_NAME})){{0,2}})"
+)
+_NOT_NAMES = frozenset(
+    "The An On In At By To Of And But For From With He She It They We You Is Was Has Had Will Who That This All Sir Madam Customer Team "
+    "Friends Friend Colleagues Sie Er Es Der Die Das Und Ich Wir Le La Les Il Elle Et Je Nous El Los Las Ella Yo Он Она Они Мы Вы Это И "
+    "Address Email Mail Phone Date Tel Age Title".split()
+)
 #: Syllables of invented names, by script; fixed values.
 _SYLLABLES = {
     "latin": "ba be bo da de do fa fe ga go ka ke ko la le lo ma me mo na ne no pa pe po ra re ro sa se so ta te to va ve vo".split(),
@@ -191,11 +206,56 @@ def _scanned(text: str) -> Iterator[tuple[int, int, str]]:
         at = found[0] if found else start + 1
 
 
+def _trimmed(said: str) -> str:
+    """A name without the words after it that are no names, and without a possessive ending."""
+    while (cut := max(said.rfind(c) for c in " \u00a0")) > 0 and said[cut + 1 :] in _NOT_NAMES:
+        said = said[:cut]
+    return said[:-2] if said.endswith(("'s", "’s")) else said
+
+
+def _names(text: str, found: list[tuple[int, int, str, str]]) -> list[tuple[int, int, str, str]]:
+    """The untitled names of a document: those after a cue, and the other mentions of all names found, in full or by surname."""
+    known: dict[tuple[str, ...], str] = {}  # names as parts, gender
+    for *_, kind, entity in found:
+        if kind == "name":
+            gender, *parts = entity.split(" ")
+            known.setdefault(tuple(parts), gender)
+    for m in _CUE.finditer(text):
+        parts = re.split("[  ]", _trimmed(m["name"]))
+        if parts[0] not in _NOT_NAMES and parts[0] not in _GENDERS:
+            known.setdefault(tuple(parts), ":")
+    if not known:
+        return []
+    for parts, gender in list(known.items()):
+        known.setdefault(parts[-1:], gender)
+    genders: dict[tuple[str, ...], str] = {}
+    for parts, gender in known.items():
+        genders.setdefault(tuple(p.upper() for p in parts), gender)
+    spelled = sorted({*known, *genders}, key=lambda parts: (-len(parts), parts))
+    mention = re.compile(r"(?<![\w-])(?:" + "|".join("[  ]".join(map(re.escape, parts)) for parts in spelled) + r")(?!\w|-\w)")
+    taken = [False] * len(text)
+    for a, b, *_ in found:
+        taken[a:b] = [True] * (b - a)
+    out = []
+    for m in mention.finditer(text):
+        if not any(taken[m.start() : m.end()]):
+            parts = re.split("[  ]", m.group())
+            out.append((m.start(), m.end(), "name", " ".join([genders[tuple(p.upper() for p in parts)], *parts])))
+    return out
+
+
 def entities(text: str | None) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, canonical form) of every entity, in order."""
-    if not text or not (_HINT.search(text) or _TITLE.search(text)):
+    if not text or not (_HINT.search(text) or _TITLE.search(text) or _CUE.search(text)):
         return []
-    return [(a, b, kind, canonical(kind, text[a:b])) for a, b, kind in _scanned(text)]
+    found = []
+    for a, b, kind in _scanned(text):
+        if kind == "name":
+            b = a + len(_trimmed(text[a:b]))
+        said = canonical(kind, text[a:b])
+        if not said.endswith(":"):
+            found.append((a, b, kind, said))
+    return sorted(found + _names(text, found))
 
 
 class _Draw:
@@ -288,6 +348,8 @@ def _formatted(kind: str, said: str, new: str) -> str:
     if kind == "name":
         pieces = re.split(r"(\.?[  ])", said)
         parts = new.split(" ")[1:]
+        if len(pieces) // 2 + 1 == len(parts):  # no title
+            return "".join(part + sep for part, sep in zip(parts, [*pieces[1::2], ""]))
         return pieces[0] + "".join(sep + part for sep, part in zip(pieces[1::2], parts))
     signs = iter(new.lstrip("+") if kind == "phone" else new)
     return "".join(next(signs) if c.isalnum() or c == "." and kind == "ip" else c for c in said) if kind != "ip" else new

@@ -92,3 +92,17 @@ def test_entities_next_to_other_digits_or_capitals():
     assert said("+1 499-555-6503") == [("phone", "+1 499-555-6503")] and said("2019 2020 2021") == []
     assert said("+1 (608) 555-2280 37.92.178.161") == [("phone", "+1 (608) 555-2280"), ("ip", "37.92.178.161")]
     assert said("4451718024887799 27.65.93.188") == [("card", "4451718024887799"), ("ip", "27.65.93.188")]
+
+
+def test_untitled_mentions_and_cues():
+    text = "Mr John Smith wrote. John Smith said so; SMITH left, Smith's car and Smith-Jones stayed. Ms. Ana García The end. García!"
+    new, counts = surrogates.rewritten(text, KEY, {})
+    assert counts["name"] == 6 and "García" not in new
+    assert "Smith-Jones" in new and not re.search(r"(?i)john |smith(?!-)", new) and new.endswith("!") and "The end" in new
+    given, family = re.match(r"Mr (\w+) (\w+) wrote\. ", new).groups()
+    assert f"{given} {family} said so; {family.upper()} left, {family}'s car" in new
+    for said in ("My name is Ada Lovelace. Lovelace it is", "Name: Ada Lovelace\nLovelace", "Best regards,\nAda Lovelace", "Меня зовут Анна Иванова, Иванова"):
+        new, counts = surrogates.rewritten(said, KEY, {})
+        assert counts["name"] >= 1 and not re.search("Ada|Lovelace|Анна|Иванова", new), new
+    for said in ("Dear Sir", "Dear Customer", "The name is short", "Smith left"):
+        assert surrogates.rewritten(said, KEY, {})[0] == said
