@@ -6,7 +6,8 @@ random is a live credential. Values known to be live are then found wherever the
 
 Kinds, in order: ``assign``, ``access``, ``hex`` (the base kinds, always reported), ``format`` (vendor prefixes, signed
 tokens, key headers, passwords in addresses) and ``bare`` (a live value without context); the last two are reported only
-if live, and only where they overlap no earlier kind. Positions count code points, ends are exclusive.
+if live, and only where they overlap no earlier kind, but private keys with their body always. A private key is one span
+from its header to its end, counted by its body. Positions count code points, ends are exclusive.
 
 All of it is column expressions, aggregations and joins. Defined cases: a null text is empty and has no spans; a null
 owner or repository is an owner of its own; repeated rows count once per repository; an empty table gives an empty
@@ -32,6 +33,18 @@ FORMAT = (
     r"|-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----"
     r"|://[^\x00-\x20/:@]{1,64}:[^\x00-\x20/:@]{6,64}@"
 )
+#: A private key as a block: its header, lines of the format and of base 64, as they are or quoted, and its end if it is
+#: there. A header alone stays a candidate. Java only: the SQL reads headers by FORMAT.
+_KEY_HEAD = r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----"
+_KEY_END = r"-----END [A-Z ]{0,30}PRIVATE KEY-----"
+_KEY_LINE = r"[A-Z][A-Za-z]{0,20}(?:-[A-Za-z]{1,20})?: [^\r\n\\]{0,200}"
+_BETWEEN = r"""(?:\\[nrt]|[\s"'+,;|#>*])"""
+_KEY = (
+    rf"{_KEY_HEAD}(?:(?:{_BETWEEN}{{1,80}}{_KEY_LINE}){{0,4}}(?:"
+    rf"{_BETWEEN}{{0,80}}+[A-Za-z0-9+/=]{{16,}}+(?:{_BETWEEN}{{0,80}}+[A-Za-z0-9+/=]++){{0,400}}+{_BETWEEN}{{0,80}}+{_KEY_END}"
+    rf"|(?:{_BETWEEN}{{0,80}}+[A-Za-z0-9+/=]{{32,}}+){{1,400}}+(?:{_BETWEEN}{{1,80}}+[A-Za-z0-9+/=]{{1,31}}+(?=\s*\z))?))?"
+)
+_FORMAT = FORMAT.replace(_KEY_HEAD, _KEY)
 BARE = r"[A-Za-z0-9+/_=-]{16,}"
 #: What a text with any candidate holds. Runs without a digit are no bare candidates; the test stands where a run begins.
 _ANY = "|".join([ASSIGN, ACCESS, HEX, FORMAT, r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]{16}"])
@@ -46,6 +59,8 @@ PLACEHOLDER = r"(?i)example|sample|dummy|changeme|placeholder|your[_-]|xxxx|test
 OWNER = ("source",)
 REPOSITORY = ("source", "lang")
 REPLACEMENT = "[SECRET]"
+#: As PLACEHOLDER, of words that a key's body holds by chance in less than 1 of 10,000 cases.
+_KEY_PLACEHOLDER = r"(?i)example|sample|dummy|changeme|placeholder|x{8}"
 
 
 _SPANS = "array<struct<start:int,rank:int,kind:string,end:int,value:string>>"
@@ -77,9 +92,20 @@ def _free_of(own: Column, others: Column) -> Column:
     return F.filter(own, lambda s: ~F.exists(others, lambda o: (o["start"] < s["end"]) & (s["start"] < o["end"])))
 
 
+def _is_block(value: Column) -> Column:
+    return value.rlike(f"(?s)^{_KEY_HEAD}.")
+
+
+def _identity(value: Column) -> Column:
+    """What a value is counted by: itself, of a private key the base 64 text of its body, however it is broken or quoted."""
+    body = F.regexp_replace(value, f"{_KEY_HEAD}|{_KEY_END}|{_KEY_LINE}", "")
+    return F.when(_is_block(value), F.regexp_replace(body, r"\\[nrt]|[^A-Za-z0-9/=]", "")).otherwise(value)
+
+
 def _live_looking(value: Column) -> Column:
-    different = F.size(F.array_distinct(F.split(value, "")))
-    return (different >= LEAST_DIFFERENT) & ~value.rlike(PLACEHOLDER)
+    different = F.size(F.array_distinct(F.split(_identity(value), "")))
+    placeholder = F.when(_is_block(value), _identity(value).rlike(_KEY_PLACEHOLDER)).otherwise(value.rlike(PLACEHOLDER))
+    return (different >= LEAST_DIFFERENT) & ~placeholder
 
 
 def candidates(text: Column) -> Column:
@@ -93,7 +119,7 @@ def candidates(text: Column) -> Column:
         _matches(whole, ACCESS, "access"), _matches(whole, HEX, "hex"),
     )
     bare = F.filter(_matches(whole, BARE, "bare"), lambda s: s["value"].rlike("[0-9]"))
-    every = F.concat(base, _matches(whole, FORMAT, "format"), bare)
+    every = F.concat(base, _matches(whole, _FORMAT, "format"), bare)
     return F.when(may_hold(text), every).otherwise(F.array().cast(_SPANS))
 
 
@@ -106,13 +132,15 @@ def _located(docs: DataFrame) -> DataFrame:
     """The documents with ``__spans``, in order: start, rank, kind, end, from (where the value starts), hash, random."""
     found = docs.withColumn("__all", candidates(F.col("text")))
     base = F.filter("__all", lambda s: s["rank"] < 3)
-    formats = _free_of(F.filter("__all", lambda s: s["rank"] == 3), base)
-    found = found.withColumn("__context", F.concat(base, formats))
+    # A key's block stays where an earlier kind takes a part of it, such as the header after "secret =".
+    blocks = F.filter("__all", lambda s: (s["rank"] == 3) & _is_block(s["value"]))
+    formats = _free_of(F.filter("__all", lambda s: (s["rank"] == 3) & ~_is_block(s["value"])), base)
+    found = found.withColumn("__context", F.concat(base, blocks, formats))
     spans = F.concat("__context", _free_of(F.filter("__all", lambda s: s["rank"] == 4), F.col("__context")))
     hashed = F.transform(
         spans, lambda s: F.struct(
             s["start"].alias("start"), s["rank"].alias("rank"), s["kind"].alias("kind"), s["end"].alias("end"),
-            (s["end"] - F.length(s["value"])).alias("from"), F.sha2(s["value"], 256).alias("hash"),
+            (s["end"] - F.length(s["value"])).alias("from"), F.sha2(_identity(s["value"]), 256).alias("hash"),
             _live_looking(s["value"]).alias("random"),
         )
     )

@@ -72,3 +72,25 @@ def test_query_equals_sql_on_odd_texts(spark, docs, tmp_path):
     got = op2_secrets(spark, str(tmp_path))
     assert sorted(tuple(r[n] for n in sorted(names)) for r in got.collect()) == want
     assert hashlib.sha256(b"").hexdigest() in {r["base_sha256"] for r in got.collect()}
+
+
+def test_private_keys_are_counted_and_redacted_whole(docs):
+    import base64
+
+    def key(i, kind="RSA ", width=64, end="\n"):
+        body = base64.b64encode(b"".join(hashlib.sha512(bytes([i, j])).digest() for j in range(12))).decode()
+        lines = [f"-----BEGIN {kind}PRIVATE KEY-----", *[body[a : a + width] for a in range(0, len(body), width)], f"-----END {kind}PRIVATE KEY-----"]
+        return end.join(lines)
+
+    headed = key(20).replace("KEY-----\n", "KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A1B2C3D4E5F6071\n\n", 1)
+    rows = [(i, f"before {key(i)} after", f"s{i}") for i in range(5)]  # different keys of one kind
+    rows += [(10 + i, f"copied {key(9, end=end)} here", f"c{i}") for i, end in enumerate(("\n", "\\n", "\r\n", '" +\n    "'))]
+    rows += [(20, f"secret = \"{headed}\".", "a"), (21, f"cut {key(21)[:-60]}", "b"), (22, key(22, "", 10**6), "c"),
+             (23, "starts with -----BEGIN PRIVATE KEY----- and ends with -----END PRIVATE KEY-----", "d")]
+    got = {r["doc_id"]: r["text"] for r in secrets.redacted(docs(rows)).collect()}
+    assert [got[i] for i in range(5)] == ["before [SECRET] after"] * 5
+    assert all(got[d] == text for d, text, _ in rows if 10 <= d < 20)
+    assert got[20] == 'secret = "[SECRET]".' and got[21] == "cut [SECRET]" and got[22] == "[SECRET]"
+    assert "and ends with" in got[23]
+    spans = {r["doc_id"]: [(s["kind"], s["start"], s["end"], s["live"]) for s in r["spans"]] for r in secrets.secrets(docs(rows)).collect()}
+    assert all(spans[i] == [("format", 7, 7 + len(key(i)), True)] for i in range(5)) and spans[10] == spans[11] == []
