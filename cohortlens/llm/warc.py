@@ -6,7 +6,9 @@ folder. Between records stands an empty gzip member, which every gzip reader ski
 
 The reader checks each record: gzip checksum, version line, header lines, block length and digest. Where a check fails
 it searches for the next place that passes all of them (a gzip member or a version line), goes on there, and reports the
-bytes between as a quarantined gap.
+bytes between as a quarantined gap. In a member of several records it searches the content likewise and reports gaps at the
+member's place, in bytes of the content; of a member that is cut off or broken, the records before the damage whose digests
+hold are kept, and the member is a gap.
 
 Defined cases: a null html is an empty payload, a null url an empty address; of repeated rows with one id all are
 responses or all revisits; a null page_id is written and read back as null; an empty table gives no records. An archive
@@ -137,21 +139,54 @@ def _member_at(data: bytes, at: int) -> tuple[bytes, int] | None:
     return (b"".join(parts), upto - len(unpacker.unused_data)) if unpacker.eof else None
 
 
-def _at(data: bytes, at: int) -> tuple[list[tuple[int, dict[str, str], bytes]], int] | None:
-    """Records that start at ``at`` (none in an empty member) and where they end; None if a check fails there."""
-    if data.startswith(_GZIP, at):
-        member = _member_at(data, at)
-        if member is None:
-            return None
-        content, end = member
-        inside, found = 0, []
-        while inside < len(content):
-            parsed = parse_record(content, inside)
-            if parsed is None:
-                return None
+def _broken_member_at(data: bytes, at: int) -> bytes:
+    """What can be read of the gzip member at ``at`` before it breaks."""
+    parts, step, upto = [], 4096, at
+    unpacker = zlib.decompressobj(31)
+    while upto < len(data) and not unpacker.eof:
+        try:
+            # Each large step from a copy, so that one that fails can be taken again byte by byte.
+            ahead = unpacker.copy() if step > 1 else unpacker
+            parts.append(ahead.decompress(data[upto : upto + step]))
+            unpacker, upto = ahead, upto + step
+        except zlib.error:
+            if step == 1:
+                break
+            step = 1
+    return b"".join(parts)
+
+
+def _inside(content: bytes, at: int, checked: bool) -> list[tuple[int, dict[str, str] | None, bytes | int]]:
+    """The records of a member's content and the gaps between them; ``checked``: only records with a digest."""
+    found: list[tuple[int, dict[str, str] | None, bytes | int]] = []
+    inside, gap = 0, None
+    while inside < len(content):
+        parsed = parse_record(content, inside)
+        if parsed is not None and (not checked or parsed[0].get("warc-block-digest")):
+            if gap is not None:
+                found.append((at, None, inside - gap))
+                gap = None
             found.append((at, parsed[0], parsed[1]))
             inside = parsed[2]
-        return found, end
+            continue
+        gap = inside if gap is None else gap
+        version = _VERSION_LINE.search(content, inside + 1)
+        inside = version.start() if version else len(content)
+    if gap is not None:
+        found.append((at, None, len(content) - gap))
+    return found
+
+
+def _at(data: bytes, at: int) -> tuple[list[tuple[int, dict[str, str] | None, bytes | int]], int | None] | None:
+    """Records that start at ``at`` (none in an empty member) and where they end; None if a check fails there. A broken
+    member has no end."""
+    if data.startswith(_GZIP, at):
+        member = _member_at(data, at)
+        content, end = member or (_broken_member_at(data, at), None)
+        found = _inside(content, at, end is None)
+        if end is None:  # the member as a whole is the gap
+            found = [f for f in found if f[1] is not None]
+        return (found, end) if any(f[1] is not None for f in found) or end is not None and not content else None
     parsed = parse_record(data, at)
     return None if parsed is None else ([(at, parsed[0], parsed[1])], parsed[2])
 
@@ -166,8 +201,9 @@ def salvage(data: bytes) -> Iterator[tuple[int, dict[str, str] | None, bytes | i
                 yield gap, None, at - gap
                 gap = None
             yield from found[0]
-            at = found[1]
-            continue
+            if found[1] is not None:
+                at = found[1]
+                continue
         gap = at if gap is None else gap
         version = _VERSION_LINE.search(data, at + 1)
         starts = [data.find(_GZIP, at + 1), version.start() if version else -1]

@@ -80,3 +80,20 @@ def test_digest_form():
     import base64
 
     assert warc.base32_sha1(b"") == base64.b32encode(hashlib.sha1(b"").digest()).decode() == "3I42H3S6NNFQ2MSVX7XZKYAYSCX5QBYJ"
+
+
+def test_salvage_inside_members_of_many_records():
+    parts = [warc.record(i, f"http://h/{i}", random.Random(i).randbytes(3000), None) for i in range(6)]
+    name = lambda *ids: [f"<urn:page:{i}>" for i in ids]
+    bad = bytearray(parts[2])
+    bad[-20] ^= 1
+    member = gzip.compress(b"".join([*parts[:2], bad, *parts[3:]]))
+    after = gzip.compress(warc.record(9, "u", b"x", None))
+    data = member + after
+    assert [r[1] for r in records(data)] == name(0, 1, 3, 4, 5, 9) and gaps(data) == [(0, len(bad))]
+    whole = gzip.compress(b"".join(parts))
+    cut = whole[: len(whole) // 2]
+    assert [r[1] for r in records(cut + after)][:2] == name(0, 1) and records(cut + after)[-1][1] == "<urn:page:9>"
+    assert gaps(cut)[-1] == (0, len(cut))
+    checksum = whole[:-8] + bytes([whole[-8] ^ 1]) + whole[-7:]
+    assert [r[1] for r in records(checksum + after)] == name(0, 1, 2, 3, 4, 5, 9) and gaps(checksum + after) == [(0, len(checksum))]
