@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cohortlens.llm import mixing, secrets
+from cohortlens.llm import decontamination, mixing, secrets
 from cohortlens.llm.common import WORD
 
 _WEIGHTS = ", ".join(map(str, mixing.WEIGHTS))
@@ -117,4 +117,26 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = keeper THEN '
 FROM kept
 """
 
-ORACLE: dict[str, str] = {"op2_secrets": OP2, "op4_mix": OP4, "op5_neighbours": OP5, "op9_warc": OP9}
+_WORDS_11 = """regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"""
+
+OP11 = f"""
+WITH docs AS (SELECT row_number() OVER () AS row, doc_id, coalesce({_WORDS_11}, []) AS w FROM documents
+), items AS (SELECT item_id, w, least({decontamination.WINDOW}, len(w)) AS size FROM (SELECT item_id, {_WORDS_11} AS w FROM benchmark) WHERE len(w) > 0
+), windows AS (
+  SELECT DISTINCT item_id, size, array_to_string(w[p:p + size - 1], ' ') AS held
+  FROM (SELECT *, unnest(range(1, len(w) - size + 2)) AS p FROM items)
+), places AS (
+  SELECT row, p, size, array_to_string(w[p:p + size - 1], ' ') AS held
+  FROM (SELECT row, w, size, unnest(range(1, len(w) - size + 2)) AS p FROM docs, (SELECT DISTINCT size FROM windows) WHERE len(w) >= size)
+), met AS (SELECT * FROM places WHERE held IN (SELECT held FROM windows)
+), hit AS (SELECT row, count(DISTINCT p + shift) AS n_hit FROM (SELECT row, p, unnest(range(size)) AS shift FROM met) GROUP BY row
+), found AS (
+  SELECT row, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS said
+  FROM (SELECT DISTINCT row, held FROM met) JOIN windows USING (held) GROUP BY row
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(said, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit USING (row) LEFT JOIN found USING (row)
+"""
+
+ORACLE: dict[str, str] = {"op2_secrets": OP2, "op4_mix": OP4, "op5_neighbours": OP5, "op9_warc": OP9, "op11_suffix_arrays": OP11}

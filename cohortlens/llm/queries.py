@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortlens.llm import minhash, mixing, neighbours, packing, quality, secrets, surrogates, toxicity, warc, wrappers
+from cohortlens.llm import decontamination, minhash, mixing, neighbours, packing, quality, secrets, surrogates, toxicity, warc, wrappers
 from cohortlens.llm.common import table
 
 
@@ -70,6 +70,16 @@ def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return surrogates.replaced(table(spark, sf_dir, "documents"))
 
 
+def op11_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")
+    found = decontamination.matched(docs, benchmark, keep_text=False)
+    hit = F.aggregate("__spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    return found.select(
+        "doc_id", F.col("__n_words").alias("n_words"), hit.alias("n_hit"), F.size("__items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("__items", ","), 256).alias("items_sha256"), (hit > 0).alias("contaminated"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_wrappers, op2_secrets, op3_toxicity, op4_mix, op5_neighbours, op6_quality_rules, op7_packing, op8_minhash, op9_warc, op10_surrogates)
+    f.__name__: f for f in (op1_wrappers, op2_secrets, op3_toxicity, op4_mix, op5_neighbours, op6_quality_rules, op7_packing, op8_minhash, op9_warc, op10_surrogates, op11_suffix_arrays)
 }
