@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cohortlens.llm import decontamination, mixing, secrets
+from cohortlens.llm import collocations, decontamination, mixing, secrets
 from cohortlens.llm.common import WORD
 
 _WEIGHTS = ", ".join(map(str, mixing.WEIGHTS))
@@ -139,4 +139,33 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM docs LEFT JOIN hit USING (row) LEFT JOIN found USING (row)
 """
 
-ORACLE: dict[str, str] = {"op2_secrets": OP2, "op4_mix": OP4, "op5_neighbours": OP5, "op9_warc": OP9, "op11_suffix_arrays": OP11}
+OP13 = f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents
+), split AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces
+), phrases AS (
+  SELECT lang, array_to_string(w[p:p + size - 1], ' ') AS phrase, size, count(*) AS f
+  FROM (SELECT *, unnest(range(1, len(w) - size + 2)) AS p FROM (SELECT *, unnest(range(1, {collocations.LONGEST + 1})) AS size FROM split) WHERE len(w) >= size)
+  GROUP BY ALL
+), totals AS (SELECT lang, sum(f)::BIGINT AS n FROM phrases WHERE size = 1 GROUP BY lang
+), candidates AS (SELECT lang, phrase, size, f AS a, string_split(phrase, ' ') AS w FROM phrases WHERE size > 1 AND f >= {collocations.LEAST_COUNT}
+), cuts AS (
+  SELECT c.lang, c.phrase, c.a, k, l.f AS l, r.f AS r, {collocations.SCALE}::HUGEINT * c.a // (l.f + r.f) AS score
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM candidates) c
+  JOIN phrases l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:k], ' ')
+  JOIN phrases r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[k + 1:], ' ')
+), lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), inside AS (
+  SELECT lang, array_to_string(w[p:p + part - 1], ' ') AS phrase, max(a) AS longer
+  FROM (SELECT *, unnest(range(1, size - part + 2)) AS p FROM (SELECT *, unnest(range(2, size)) AS part FROM candidates))
+  GROUP BY ALL
+), ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, score::BIGINT AS score
+  FROM lowest LEFT JOIN inside USING (lang, phrase) WHERE 100 * coalesce(longer, 0) < {collocations.CONTAINED} * a
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= {collocations.BEST}
+"""
+
+ORACLE: dict[str, str] = {"op2_secrets": OP2, "op4_mix": OP4, "op5_neighbours": OP5, "op9_warc": OP9, "op11_suffix_arrays": OP11, "op13_collocations": OP13}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortlens.llm import alignment, decontamination, minhash, mixing, neighbours, packing, quality, secrets, surrogates, toxicity, warc, wrappers
+from cohortlens.llm import alignment, collocations, decontamination, minhash, mixing, neighbours, packing, quality, secrets, surrogates, toxicity, warc, wrappers
 from cohortlens.llm.common import table
 
 
@@ -84,6 +84,10 @@ def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.cross_tokenized(table(spark, sf_dir, "documents"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_wrappers, op2_secrets, op3_toxicity, op4_mix, op5_neighbours, op6_quality_rules, op7_packing, op8_minhash, op9_warc, op10_surrogates, op11_suffix_arrays, op12_alignment)
+    f.__name__: f for f in (op1_wrappers, op2_secrets, op3_toxicity, op4_mix, op5_neighbours, op6_quality_rules, op7_packing, op8_minhash, op9_warc, op10_surrogates, op11_suffix_arrays, op12_alignment, op13_collocations)
 }
