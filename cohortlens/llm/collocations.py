@@ -1,8 +1,9 @@
 """Phrase collocations from count streams kept in prefix and in suffix order.
 
-Counting. One pass per phrase length writes a stream of frequent phrases with their counts. A phrase can only be
-frequent if the two phrases one word shorter in it are; a fixed-size bit table of those lets a task skip most others.
-What the table lets through by chance is counted like the rest and dropped by its count, so the streams are exact.
+Counting. A phrase can only be frequent if the two phrases one word shorter in it are. Occurrences of two-word phrases
+are first counted in a table of ``CELLS`` cells, then those of three-word phrases whose parts may be frequent; a phrase
+whose cell has too few is skipped. Whatever the tables let through, also by chance, is counted as it is and dropped by
+its count: the streams of frequent phrases are exact, and a crowded table costs time only.
 
 Estimation. The stream of all phrases, sorted by (language, last word, last but one, ...), is read once: a phrase's
 endings lie on the path above it, so one stack of at most ``LONGEST`` entries hands it the counts of all its endings
@@ -25,12 +26,11 @@ from __future__ import annotations
 
 from bisect import bisect_right
 from collections.abc import Iterator
-from functools import reduce
 from itertools import islice
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 import xxhash
 
 from cohortlens.llm.common import at_work, hash_key
@@ -43,32 +43,33 @@ LEAST_COUNT = 30
 CONTAINED = 80
 SCALE = 2_000_000
 BEST = 2000
-#: Bits of the table of phrases that may be frequent; a fuller table lets more through, which costs time only.
-FILTER_BITS = 1 << 25
-#: Words that a task counts at once.
+#: Cells of a table, one byte each in every task, and cells that are added up as one row.
+CELLS = 1 << 23
+_CELL_ROW = 1 << 16
+#: Words that a task counts at once, and rows of a batch it hands on.
 CHUNK_WORDS = 1 << 20
+_BATCH_ROWS = 1 << 16
 #: Phrases between two bounds of a sorted stream, and bounds at most.
 BOUND_ROWS = 100_000
 MOST_BOUNDS = 2_000
 _SAMPLED = 16
 
-_PIECE_BYTES = bytes(10 if c in b".,;:!?\n\x0b\x0c\r" else 32 if c == 9 else c + 32 if 65 <= c <= 90 else c for c in range(256))
+#: Signs that end a piece become full stops, which no word holds.
+_PIECE_BYTES = bytes(46 if c in b".,;:!?\n\x0b\x0c\r" else 32 if c == 9 else c + 32 if 65 <= c <= 90 else c for c in range(256))
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def pieces(text: bytes | None) -> list[list[bytes]]:
-    """The words of each piece of a UTF-8 text."""
-    if not text:
-        return []
-    split = [[w for w in p.split(b" ") if w] for p in text.translate(_PIECE_BYTES).split(b"\n")]
-    return [p for p in split if p]
+def words_and_stops(text: bytes | None) -> list[bytes]:
+    """The words of a UTF-8 text, with a full stop after each piece."""
+    return text.translate(_PIECE_BYTES).replace(b".", b" . ").split() + [b"."] if text else []
 
 
 class _Numbers(dict):
-    """Words in the order they came; their hashes stand beside."""
+    """Words by number, in the order they came; a full stop is 0."""
 
     def __init__(self):
-        self.words: list[bytes] = []
+        self.words = [b"."]
+        self[b"."] = 0
 
     def __missing__(self, word: bytes) -> int:
         self[word] = n = len(self.words)
@@ -81,18 +82,8 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def _cells(hashes: np.ndarray, length: int, seed: int, n_bits: int) -> np.ndarray:
-    """Cell of the ``length`` words from each position on; past a piece's end it means nothing."""
-    n = len(hashes)
-    out = np.full(n, seed, np.uint64)
-    padded = np.concatenate([hashes, np.zeros(length, np.uint64)])
-    for k in range(length):
-        out = _mixed(out * np.uint64(5) + padded[k : k + n])
-    return (out % np.uint64(n_bits)).astype(np.int64)
-
-
 def _counted(ids: np.ndarray, length: int, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First position and number of every distinct phrase among those that start at the given positions."""
+    """A position and the number of every distinct phrase among those that start at the given positions."""
     if not len(at):
         return at, at
     key = ids[at].astype(np.int64)
@@ -100,94 +91,152 @@ def _counted(ids: np.ndarray, length: int, at: np.ndarray) -> tuple[np.ndarray,
         if k > 1:
             key = np.unique(key, return_inverse=True)[1].ravel()
         key = key << 31 | ids[at + k]
-    order = np.argsort(key, kind="stable")
-    new = np.flatnonzero(np.concatenate([[True], np.diff(key[order]) != 0]))
-    return at[order[new]], np.diff(np.concatenate([new, [len(key)]]))
+    order = np.argsort(key)
+    key = key[order]
+    new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    return at[order[new]], np.diff(np.append(new, len(key)))
 
 
 class _Chunk:
-    """Words of one language's pieces, as numbers."""
+    """Words of one language's texts, as numbers."""
 
     def __init__(self):
-        self.numbers, self.ids, self.sizes, self.size = _Numbers(), [], [], 0
+        self.numbers, self.parts, self.size = _Numbers(), [], 0
 
     def add(self, words: list[bytes]) -> None:
-        self.ids.append(np.fromiter(map(self.numbers.__getitem__, words), np.int32, len(words)))
-        self.sizes.append(len(words))
+        self.parts.append(np.fromiter(map(self.numbers.__getitem__, words), np.int32, len(words)))
         self.size += len(words)
 
-    def phrases(self, lang: str, lengths: tuple[int, ...], bits: np.ndarray | None, n_bits: int) -> Iterator[pa.RecordBatch]:
-        """Distinct phrases of each length with their number, if both phrases of one word less may be frequent."""
-        sizes = np.array(self.sizes, np.int64)
-        ids = np.concatenate(self.ids)
-        left = np.repeat(np.cumsum(sizes), sizes) - np.arange(self.size)
-        words = self.numbers.words
-        hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64)[ids]
-        seed = xxhash.xxh3_64_intdigest(lang)
-        may = bits[_cells(hashes, lengths[0] - 1, seed, n_bits)] if lengths[0] > 1 else None
+    def settle(self, lang: str, cells: int) -> None:
+        self.ids, self.lang, self.cells = np.concatenate(self.parts), lang, np.uint64(cells)
+        hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in self.numbers.words], np.uint64)
+        self.hashes = hashes[self.ids]
+        stops = np.flatnonzero(self.ids == 0)
+        self.left = np.repeat(stops, np.diff(stops, prepend=-1)) - np.arange(len(self.ids))
+
+    def at_cells(self, length: int, at: np.ndarray) -> np.ndarray:
+        out = np.full(len(at), xxhash.xxh3_64_intdigest(self.lang), np.uint64)
+        for k in range(length):
+            out = _mixed(out * np.uint64(5) + self.hashes[at + k])
+        return (out % self.cells).astype(np.int64)
+
+    def starts(self, length: int, tables: list[np.ndarray]) -> np.ndarray:
+        """Where phrases start that may be frequent by the tables of two words, three words, ..."""
+        if length == 1:
+            return np.flatnonzero(self.left > 0)
+        if length > 2:
+            shorter = np.zeros(len(self.ids) + 1, bool)
+            shorter[self.starts(length - 1, tables)] = True
+            at = np.flatnonzero(shorter[:-1] & shorter[1:])
+        else:
+            at = np.flatnonzero(self.left >= length)
+        return at[tables[length - 2][self.at_cells(length, at)]] if length - 2 < len(tables) else at
+
+    def rows(self, lengths: tuple[int, ...], tables: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         for length in lengths:
-            fits = left >= length
-            if may is not None:
-                fits &= may & np.append(may[1:], False)
-            may = fits
-            first, n = _counted(ids, length, np.flatnonzero(fits))
-            rows = ids[first[:, None] + np.arange(length)].tolist()
-            spelled = pa.array([b" ".join([words[i] for i in row]) for row in rows], pa.binary()).cast(pa.string())
-            cells = _cells(hashes, length, seed, n_bits)[first]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(first), pa.string()), spelled, pa.array(n, pa.int64()), pa.array(cells, pa.int64())],
-                names=["lang", "phrase", "n", "cell"],
-            )
-
-
-def phrase_counts(
-    docs: DataFrame, lengths: tuple[int, ...], bits: np.ndarray | None = None, n_bits: int = FILTER_BITS, chunk_words: int = CHUNK_WORDS
-) -> DataFrame:
-    """(lang, phrase, n, cell): numbers of the phrases of these lengths whose parts pass the bit table."""
-    shared = None if bits is None else docs.sparkSession.sparkContext.broadcast(np.packbits(bits))
+            first, n = _counted(self.ids, length, self.starts(length, tables))
+            words = self.numbers.words
+            for i in range(0, len(first), _BATCH_ROWS):
+                own = self.ids[first[i : i + _BATCH_ROWS, None] + np.arange(length)]
+                phrases = [b" ".join([words[w] for w in row]) for row in own.tolist()] if length > 1 else [words[w] for w in own[:, 0].tolist()]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([self.lang] * len(own)), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(n[i : i + _BATCH_ROWS])],
+                    names=["lang", "phrase", "n"],
+                )
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], cells: int, chunk_words: int) -> Iterator[_Chunk]:
+    """A task's texts by language, in chunks; a very long text is a chunk of its own."""
+    held: dict[str, _Chunk] = {}
+    for batch in batches:
+        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary())):
+            held.setdefault(lang, _Chunk()).add(words_and_stops(text.as_py()))
+            if sum(c.size for c in held.values()) >= chunk_words:
+                largest = max(held, key=lambda k: held[k].size)
+                chunk = held.pop(largest)
+                chunk.settle(largest, cells)
+                yield chunk
+    for lang in list(held):
+        chunk = held.pop(lang)
+        if chunk.size:
+            chunk.settle(lang, cells)
+            yield chunk
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text").where("length(text) > 0")
+
+
+class _Tables:
+    """Tables of cells with enough occurrences, for two words, three words, ...; tasks get them as bits."""
+
+    def __init__(self, spark: SparkSession, tables: list[np.ndarray]):
+        self.shared = [spark.sparkContext.broadcast(np.packbits(t)) for t in tables]
+
+    def read(self) -> list[np.ndarray]:
+        return [np.unpackbits(b.value).view(bool) for b in self.shared]
+
+
+def cell_table(docs: DataFrame, length: int, tables: list[np.ndarray], least: int, cells: int = CELLS, chunk_words: int = CHUNK_WORDS) -> np.ndarray:
+    """Which cells hold at least ``least`` occurrences of phrases of that length. Its size does not depend on the input."""
+    known = _Tables(docs.sparkSession, tables)
+    enough, row = min(least, 255), min(_CELL_ROW, cells)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at_work("collocations")
-        table = None if shared is None else np.unpackbits(shared.value).view(bool)
-        chunks: dict[str, _Chunk] = {}
+        own, held = known.read(), np.zeros(cells, np.uint8)
+        for chunk in _chunks(batches, cells, chunk_words):
+            found, n = np.unique(chunk.at_cells(length, chunk.starts(length, own)), return_counts=True)
+            held[found] = np.minimum(held[found] + np.minimum(n, 255), 255)
+        for i in range(0, cells, row):
+            if held[i : i + row].any():
+                yield pa.RecordBatch.from_arrays([pa.array([i]), pa.array([held[i : i + row].tobytes()])], names=["row", "counts"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, total = None, None
         for batch in batches:
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary())):
-                for words in pieces(text.as_py()):
-                    chunk = chunks.setdefault(lang, _Chunk())
-                    chunk.add(words)
-                    if chunk.size >= chunk_words:
-                        yield from chunks.pop(lang).phrases(lang, lengths, table, n_bits)
-            if sum(c.size for c in chunks.values()) >= 2 * chunk_words:
-                for lang in list(chunks):
-                    yield from chunks.pop(lang).phrases(lang, lengths, table, n_bits)
-        for lang, chunk in chunks.items():
-            yield from chunk.phrases(lang, lengths, table, n_bits)
-
-    rows = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text").where("text is not null")
-    parts = rows.mapInArrow(run, "lang string, phrase string, n long, cell long")
-    return parts.groupBy("lang", "phrase").agg(F.sum("n").alias("n"), F.min("cell").alias("cell"))
-
-
-def bit_table(frequent: DataFrame, n_bits: int = FILTER_BITS) -> np.ndarray:
-    """The cells of the phrases, as a table of ``n_bits`` bits: its size does not depend on their number."""
-    bits = F.expr("bit_or(shiftleft(1L, cast(cell % 64 AS int)))").alias("bits")
-    held = frequent.groupBy(F.expr("cell div 64").alias("place")).agg(bits).toArrow()
-    table = np.zeros(n_bits // 64, "<i8")
-    table[held.column("place").to_numpy()] = held.column("bits").to_numpy()
-    return np.unpackbits(table.view(np.uint8), bitorder="little").view(bool)
-
-
-def frequent_phrases(
-    docs: DataFrame, least: int = LEAST_COUNT, n_bits: int = FILTER_BITS, chunk_words: int = CHUNK_WORDS
-) -> tuple[DataFrame, DataFrame]:
+            for i, counts in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if i != now:
+                    if now is not None:
+                        yield said(now, total)
+                    now, total = i, np.zeros(row, np.int64)
+                total += np.frombuffer(counts.as_buffer(), np.uint8)
+        if now is not None:
+            yield said(now, total)
+
+    def said(i: int, total: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([i]), pa.array([np.packbits(total >= enough).tobytes()])], names=["row", "bits"])
+
+    parts = _texts(docs).mapInArrow(count, "row long, counts binary")
+    added = parts.repartition("row").sortWithinPartitions("row").mapInArrow(add, "row long, bits binary")
+    table = np.zeros(cells, bool)
+    for i, bits in added.collect():
+        table[i : i + row] = np.unpackbits(np.frombuffer(bits, np.uint8))
+    return table
+
+
+def phrase_counts(docs: DataFrame, lengths: tuple[int, ...], tables: list[np.ndarray], cells: int = CELLS, chunk_words: int = CHUNK_WORDS) -> DataFrame:
+    """(lang, phrase, n): numbers of the phrases of these lengths that may be frequent by the tables."""
+    known = _Tables(docs.sparkSession, tables)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at_work("collocations")
+        own = known.read()
+        for chunk in _chunks(batches, cells, chunk_words):
+            yield from chunk.rows(lengths, own)
+
+    return _texts(docs).mapInArrow(run, "lang string, phrase string, n long").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+
+
+def frequent_phrases(docs: DataFrame, least: int = LEAST_COUNT, cells: int = CELLS, chunk_words: int = CHUNK_WORDS) -> tuple[DataFrame, DataFrame]:
     """((lang, words, n) of all phrases with at least so many occurrences, (lang, total) words of each language)."""
-    single = written(phrase_counts(docs, (1,), None, n_bits, chunk_words), "words")
-    streams = [single.where(F.col("n") >= least)]
-    for lengths in ((2,), tuple(range(3, LONGEST + 1))):
-        counted = phrase_counts(docs, lengths, bit_table(streams[-1], n_bits), n_bits, chunk_words).where(F.col("n") >= least)
-        streams.append(written(counted, "phrases"))
-    joined = reduce(DataFrame.unionByName, streams).select("lang", F.split("phrase", " ").alias("words"), "n")
-    return joined, single.groupBy("lang").agg(F.sum("n").alias("total"))
+    tables: list[np.ndarray] = []
+    for length in range(2, LONGEST):
+        tables.append(cell_table(docs, length, tables, least, cells, chunk_words))
+    counted = written(phrase_counts(docs, tuple(range(1, LONGEST + 1)), tables, cells, chunk_words), "phrases")
+    single = counted.where(~F.contains("phrase", F.lit(" ")))
+    stream = counted.where(F.col("n") >= least).select("lang", F.split("phrase", " ").alias("words"), "n")
+    return stream, single.groupBy("lang").agg(F.sum("n").alias("total"))
 
 
 class _Last:

@@ -69,7 +69,7 @@ def test_equals_counts_of_all_phrases_on_the_test_documents(spark, corpus, sf):
     assert want and got(op13_collocations(spark, sf)) == want
 
 
-def test_full_bit_table_and_small_chunks_lose_nothing(spark, made):
+def test_crowded_tables_and_small_chunks_lose_nothing(spark, made):
     docs = spark.createDataFrame([(i, t, lang) for i, (lang, t) in enumerate(made)], "doc_id long, text string, lang string")
     plain, crowded = (collocations.frequent_phrases(docs, 3, *sizes)[0] for sizes in ((), (64, 100)))
     rows = [sorted((r["lang"], tuple(r["words"]), r["n"]) for r in df.collect()) for df in (plain, crowded)]
