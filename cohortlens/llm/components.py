@@ -36,3 +36,14 @@ def components(links: DataFrame) -> DataFrame:
         raise RuntimeError("components did not settle")
     roots = edges.select(F.col("v").alias("node")).distinct().withColumn("component", F.col("node"))
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
+
+
+def joined_components(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` (node, component) after further links (a, b): only the components that a link joins are looked at again."""
+    own = labels.select(F.col("node").alias("a"), F.col("component").alias("x"))
+    other = labels.select(F.col("node").alias("b"), F.col("component").alias("y"))
+    between = links.join(own, "a", "left").join(other, "b", "left").select(F.coalesce("x", "a").alias("a"), F.coalesce("y", "b").alias("b"))
+    joined = written(components(between), "joined")
+    again = labels.join(joined.select(F.col("node").alias("component"), F.col("component").alias("lower")), "component", "left")
+    new = joined.join(labels, "node", "left_anti").select("node", "component")
+    return again.select("node", F.coalesce("lower", "component").alias("component")).unionByName(new)

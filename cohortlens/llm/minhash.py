@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, functions as F
 import xxhash
 
 from cohortlens.llm.common import BROADCAST_IDS, at_work, keeps, semi_join_ids
-from cohortlens.llm.components import components
+from cohortlens.llm.components import components, joined_components
 from cohortlens.sources.scratch import written
 
 #: Words per shingle and least similarity in hundredths, unless a caller asks for others.
@@ -184,9 +184,10 @@ def confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
 def pivot_pairs(members: DataFrame, seed: int) -> DataFrame:
     """Distinct pairs of a member with its bucket's pivot, the member whose random number is smallest.
 
-    ``members`` has (band, id, component); buckets of one component are left out.
+    The number depends on the member only, so the many buckets that a group of near copies shares have few different
+    pivots. ``members`` has (band, id, component); buckets of one component are left out.
     """
-    drawn = F.struct(F.xxhash64("band", "id", F.lit(seed)).alias("draw"), F.col("id"))
+    drawn = F.struct(F.xxhash64("id", F.lit(seed)).alias("draw"), F.col("id"))
     buckets = (
         members.groupBy("band")
         .agg(F.min(drawn).alias("pivot"), F.min("component").alias("low"), F.max("component").alias("high"))
@@ -300,13 +301,12 @@ def linked_classes(docs: DataFrame, width: int = SHINGLE_WORDS, similarity: int
     involved = met.select("id").distinct()
     texts = semi_join_ids(docs.withColumn("__id", F.col("doc_id").cast("long")), involved.withColumnRenamed("id", "__id"), "__id")
     sets = written(shingle_sets(texts, width), "sets")
-    links, labels = None, None
+    labels = None
     for step in range(3):
         members = _labelled(met, labels)
         pairs = pivot_pairs(members, step) if step < 2 else remaining_pairs(members, classes, similarity)
-        found = written(confirmed(pairs, sets, similarity).select("a", "b"), "confirmed")
-        links = found if links is None else links.unionByName(found)
-        labels = written(components(links), "labels")
+        found = confirmed(pairs, sets, similarity).select("a", "b")
+        labels = written(components(found) if labels is None else joined_components(labels, found), "labels")
     named = signatures.where("class is not null").join(classes.select("class", "id"), "class", "left")
     # Documents without shingles have no class; they take no join, where they would all meet.
     return named.unionByName(signatures.where("class is null").withColumn("id", F.col("doc_id"))), labels
