@@ -34,6 +34,8 @@ def test_kernel_equals_all_subsequences():
 def test_segments():
     found = toxicity.segments("You i d i o t! Fine. S.t.u.p.i.d " + "x" * 60)
     assert {"idiot!"} & {w + "!" for w in found} and "you" in found
+    assert {"idiot"} <= toxicity.segments("(i d i o t)") & toxicity.segments('"i d i o t?"')
+    assert toxicity.segment_counts("No no x") == {"no": 2, "x": 1}
     assert all(len(w) <= toxicity.WINDOW for w in found)
     assert toxicity.segments(None) == set() == toxicity.segments("  ")
 
@@ -43,6 +45,7 @@ def test_machine_equals_landmark_kernels():
     machine = toxicity._fitted(toxic + toxicity._disguised(toxic), clean)
     assert machine.values(toxic).min() > 0 > machine.values(clean).max()
     assert machine.values(["id.iot", "s-t-u-p-i-d", "morxon"]).min() > machine.values(["thing", "winter"]).max()
+    assert min(machine.values(["idxiot", "iddiot", "i*diot", "stupxid", "mo.ron"])) > machine.values(["thing", "winter"]).max()
     assert machine.values(["", "1"]).tolist() == [toxicity.LOWEST] * 2
 
 
