@@ -380,7 +380,11 @@ def numeric_replicates(resampler: Resampler, group: str = GROUP) -> DataFrame:
     centre = resampler.units.agg(
         (F.sum(y * F.col("copies")) / F.sum("copies")).alias("y"), (F.sum(x * F.col("copies")) / F.sum("copies")).alias("x")
     ).first()
-    sums = resampler.sums(numeric_terms(y, x, centre["y"] or 0.0, centre["x"] or 0.0))
+    return replicate_metrics(resampler.sums(numeric_terms(y, x, centre["y"] or 0.0, centre["x"] or 0.0)), group)
+
+
+def replicate_metrics(sums: DataFrame, group: str = GROUP) -> DataFrame:
+    """Numeric metrics per group and overall from the weighted sums of every replicate, long form."""
     totals = (
         sums.groupingSets([[group, "replicate"], ["replicate"]], group, "replicate")
         .agg(overall_or(group).alias("__name"), *[F.sum(c).alias(c) for c in NUMERIC_SUMS])

@@ -280,6 +280,7 @@ add("read_calls_vcf", "raw_calls",
     body="""SELECT v.chrom, v.pos, v.ref, v.alt, s.sample, coalesce(c.gt, '.|.') AS gt
     FROM (SELECT DISTINCT chrom, pos, ref, alt FROM raw_calls) v CROSS JOIN (SELECT DISTINCT sample FROM raw_calls) s
     LEFT JOIN raw_calls c ON c.pos = v.pos AND c.alt = v.alt AND c.sample = s.sample""")
+ORACLE["read_calls_vcf_blocks"] = ORACLE["read_calls_vcf"]
 add("read_sites", "sites", body="SELECT * FROM sites")
 
 # ---- projections, filters, scalar functions --------------------------------------------------------------------
@@ -427,6 +428,9 @@ add("needs_imputation", "extracted", extra=COVERAGE,
     FROM (SELECT n_required - n_extracted AS s, (SELECT count(*) FROM missing)::BIGINT AS m FROM coverage)""")
 add("multiallelic_count", "extracted",
     body="SELECT count(DISTINCT pos)::BIGINT AS n_multiallelic FROM extracted WHERE alt LIKE '%,%'")
+for _name in ("an_ac", "sample_missingness", "multiallelic_count"):
+    ORACLE[f"{_name}_packed"] = ORACLE[_name]
+add("unpack_calls", "extracted", body="SELECT * FROM extracted")
 _STAGE = """SELECT '{name}' AS stage, (SELECT min(chrom) FROM raw_calls WHERE chrom IN ('6', 'chr6')) AS chrom_naming, (SELECT count(*) FROM sites)::BIGINT AS n_required,
     count(DISTINCT pos)::BIGINT AS n_extracted, round(count(DISTINCT pos) / (SELECT count(*) FROM sites) * 100, 1) AS coverage_pct,
     count(DISTINCT sample)::BIGINT AS n_samples, count(DISTINCT CASE WHEN gt LIKE '%.%' THEN sample END)::BIGINT AS n_samples_missing,
@@ -502,6 +506,15 @@ add("drop_na", "joined", body='SELECT "ID", "GIA" FROM joined WHERE lpa_nmol_max
 
 add("bootstrap_strata", "valid", extra=strata("SELECT * FROM valid", '"GIA"'), body='SELECT "ID", "GIA", stratum FROM b_strata')
 add("bootstrap_weights", "valid", extra=NUMERIC_WEIGHTS, doubles="lpa_nmol_max lpa_pred_nm", body="SELECT * FROM b_weights")
+add("bootstrap_weight_vectors", "valid", doubles="lpa_nmol_max lpa_pred_nm",
+    extra={**NUMERIC_BOOT, "b_maps": """SELECT stratum, "GIA", lpa_nmol_max, lpa_pred_nm,
+        map_from_entries(list((replicate, weight))) AS weights FROM b_weights GROUP BY stratum, "GIA", lpa_nmol_max, lpa_pred_nm"""},
+    body=f"""SELECT c.stratum, c."GIA", c.lpa_nmol_max, c.lpa_pred_nm, block::INT AS block,
+    md5(array_to_string([coalesce(weights[r::INT], 0) FOR r IN range(block * 250 + 1, least(block * 250 + 250, {FULL_REPLICATES}) + 1)], ','))
+        AS digest FROM b_cells c CROSS JOIN range(({FULL_REPLICATES} + 249) // 250) AS blocks(block)
+    LEFT JOIN b_maps m ON c.stratum = m.stratum AND c."GIA" IS NOT DISTINCT FROM m."GIA"
+      AND c.lpa_nmol_max = m.lpa_nmol_max AND c.lpa_pred_nm = m.lpa_pred_nm""")
+add("numeric_boot_from_vectors", "valid", extra=NUMERIC_BOOT, doubles=METRIC_DOUBLES, body="SELECT * FROM n_ci")
 add("numeric_boot_grouped", "valid", extra=NUMERIC_BOOT, doubles=METRIC_DOUBLES, body="""SELECT * FROM n_ci WHERE "GIA" <> 'Overall'""")
 add("numeric_boot_overall", "valid", extra=NUMERIC_BOOT, doubles=METRIC_DOUBLES, body="""SELECT * FROM n_ci WHERE "GIA" = 'Overall'""")
 add("class_boot_by_row", "valid", extra=CLASS_BOOT, doubles=METRIC_DOUBLES, body="SELECT * FROM c_ci")

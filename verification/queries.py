@@ -9,10 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from cohortlens import ValidationConfig
 from cohortlens.config import ESTIMATE, GROUP, ID, PART_ESTIMATE, PART_UNCERTAINTY, TRUTH
 from cohortlens.functions import scalars
-from cohortlens.operators import agreement, calls, cohort, impact, plotdata, report, resample, summary
+from cohortlens.operators import agreement, calls, cohort, impact, packed, plotdata, replicates, report, resample, summary
 from cohortlens.plans.genotypes import prepare_calls
 from cohortlens.plans.validation import validate
-from cohortlens.sources import tables, vcf
+from cohortlens.sources import blockgzip, tables, vcf
 from cohortlens.sources.scratch import scratch_path, written
 from verification.inputs import THRESHOLDS, Inputs, rounded
 
@@ -91,16 +91,13 @@ def _(i):
     return cohort.domain_violations(i.joined, GROUP, ["AFR", "AMR", "EAS", "EUR"])
 
 
-@register("read_calls_vcf")
-def _(i):
+def _variant_lines(i: Inputs) -> tuple[DataFrame, DataFrame]:
+    """Header line and record lines of a variant file: one line per variant, samples without a call are missing."""
     raw = written(i.raw_calls, "raw-calls")
     names = raw.select("sample").distinct().agg(F.array_sort(F.collect_list("sample")).alias("s"))
-    path = scratch_path(i.spark, "calls-vcf")
     header = names.select(
         F.concat(F.lit("#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\t"), F.array_join("s", "\t")).alias("value")
     )
-    header.coalesce(1).write.mode("append").text(path)
-    # One text line per variant, as the format has it; samples without a call are missing.
     per_variant = raw.groupBy("chrom", "pos", "ref", "alt").agg(
         F.map_from_entries(F.collect_list(F.struct("sample", "gt"))).alias("gts")
     )
@@ -112,7 +109,22 @@ def _(i):
             F.lit("GT:DS"), F.array_join(entries, "\t"),
         ).alias("value")
     )
-    lines.write.mode("append").text(path)
+    return header.coalesce(1), lines
+
+
+@register("read_calls_vcf")
+def _(i):
+    path = scratch_path(i.spark, "calls-vcf")
+    for part in _variant_lines(i):
+        part.write.mode("append").text(path)
+    return vcf.read_calls_vcf(i.spark, path, 8)
+
+
+@register("read_calls_vcf_blocks")
+def _(i):
+    path = scratch_path(i.spark, "calls-vcf-gz")
+    for part in _variant_lines(i):
+        blockgzip.write_lines(part, path)
     return vcf.read_calls_vcf(i.spark, path, 8)
 
 
@@ -502,6 +514,24 @@ def _(i):
     return rounded(resampler.weights())
 
 
+def _weight_vectors(i: Inputs) -> DataFrame:
+    resampler = resample.numeric_resampler(written(i.valid, "valid"), FULL_REPLICATES, SEED)
+    return written(replicates.weight_vectors(resampler), "weight-vectors")
+
+
+@register("bootstrap_weight_vectors")
+def _(i):
+    """Every replicate's weights; the digest is that of the block's counts, joined by commas."""
+    digest = F.md5(F.array_join(F.col("weights").cast("array<string>"), ","))
+    return rounded(_weight_vectors(i).select("stratum", GROUP, TRUTH, ESTIMATE, "block", digest.alias("digest")))
+
+
+@register("numeric_boot_from_vectors")
+def _(i):
+    found = replicates.vector_replicates(_weight_vectors(i), TRUTH, ESTIMATE)
+    return rounded(resample.bootstrap_ci(found, [GROUP, "metric"]))
+
+
 @register("numeric_boot_grouped")
 def _(i):
     return rounded(agreement.grouped_only(_numeric_boot(i)))
@@ -641,6 +671,32 @@ def _(i):
     return calls.strip_fields(i.raw_calls)
 
 
+def _packed(i: Inputs) -> tuple[DataFrame, DataFrame]:
+    found = written(_extracted(i), "extracted")
+    samples = packed.sample_places(found)
+    return written(packed.pack_calls(found, samples), "packed-calls"), samples
+
+
+@register("an_ac_packed")
+def _(i):
+    return packed.packed_an_ac(_packed(i)[0])
+
+
+@register("sample_missingness_packed")
+def _(i):
+    return packed.packed_sample_missingness(*_packed(i))
+
+
+@register("multiallelic_count_packed")
+def _(i):
+    return packed.packed_multiallelic_count(_packed(i)[0])
+
+
+@register("unpack_calls")
+def _(i):
+    return packed.unpack_calls(*_packed(i))
+
+
 @register("is_phased")
 def _(i):
     return calls.is_phased(i.raw_calls)
