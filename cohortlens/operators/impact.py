@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from cohortlens.config import ESTIMATE, GROUP, OVERALL, TRUTH
 from cohortlens.functions.scalars import nan_to_null, p_value_band, pct_label, prefer_adjusted, ratio, ratio_label
 from cohortlens.operators.cohort import overall_first
-from cohortlens.operators.joins import null_safe_join
+from cohortlens.operators.joins import null_safe_join, settled
 
 # Notes of the comparison table.
 ADJUSTED_NOTE = "PPV adjusted"
@@ -100,8 +100,11 @@ def prevalence_table(df: DataFrame, class_metrics: DataFrame, thresholds: Sequen
     ``class_metrics`` is the long metric table; its ppv rows carry their group and threshold, Overall included.
     """
     ppv = class_metrics.filter(F.col("metric") == "ppv").select(GROUP, "threshold", F.col("estimate").alias("ppv"))
-    # One pass over the cohort: groups are counted, rows without one among them, and added up to the overall rows.
-    groups = _prevalence_counts(df, thresholds, [GROUP], TRUTH, ESTIMATE).drop("measured_elevated_pct", "predicted_elevated_pct")
+    # One pass over the cohort: groups are counted, rows without one among them, and added up to the overall rows. They
+    # are settled first, since the optimizer would otherwise push the filter below into a second scan.
+    groups, _ = settled(
+        _prevalence_counts(df, thresholds, [GROUP], TRUTH, ESTIMATE).drop("measured_elevated_pct", "predicted_elevated_pct")
+    )
     grid = df.sparkSession.createDataFrame([(float(t),) for t in thresholds], "threshold double")
     added = groups.groupBy("threshold").agg(*[F.sum(c).alias(c) for c in (*_AVAILABLE, *_ELEVATED)])
     overall = grid.join(added, "threshold", "left").fillna(0).withColumn(GROUP, F.lit(OVERALL))

@@ -691,3 +691,22 @@ ORACLE["validate_all_metrics"] = ORACLE["union_metrics"]
 ORACLE["validate_prevalence"] = ORACLE["prevalence_table"]
 ORACLE["validate_conclusions"] = ORACLE["conclusions"]
 ORACLE["prepare_calls_summary"] = ORACLE["qc_summary"]
+
+# ---- samples, sketches, regions and runs -----------------------------------------------------------------------
+
+_DRAW = draw60(f"'{SEED}'", "'sample'", *[f"coalesce({c}::DECIMAL(38,6)::VARCHAR, 'NA')" for c in ('"ID"', "lpa_nmol_max", "lpa_pred_nm")])
+add("scatter_sample", "valid", doubles="predicted measured weight",
+    body=f"""SELECT "GIA", "GIA" || ' (n = ' || n::VARCHAR || ')' AS label, lpa_pred_nm AS predicted, lpa_nmol_max AS measured,
+    n / least(n, 300)::DOUBLE AS weight FROM (SELECT *, row_number() OVER (PARTITION BY "GIA"
+    ORDER BY {_DRAW}, "ID") AS place FROM valid) WHERE place <= 300""")
+add("summary_continuous_approx", "valid",
+    extra={"v_long": " UNION ALL ".join(f"""SELECT "GIA" AS stratum, '{c}' AS variable, {c}::DOUBLE AS value FROM valid""" for c in ("age", "lpa_nmol_max", "lpa_pred_nm"))},
+    body="""SELECT stratum, variable, count(value)::BIGINT AS n, p, true AS "within" FROM v_long
+    CROSS JOIN (VALUES (0.25::DOUBLE), (0.5::DOUBLE), (0.75::DOUBLE)) t(p) GROUP BY stratum, variable, p""")
+add("overlaps", "raw_calls",
+    body="""SELECT c.chrom, pos, pos + 1 + pos % 7 * 90 - 1 AS last, alt, sample, 'r' || s_suppkey::VARCHAR AS region
+    FROM raw_calls c JOIN supplier ON c.chrom = CASE WHEN s_suppkey % 10 = 0 THEN 'chr6' ELSE '6' END
+    AND pos <= 160395000 + s_suppkey * 701 + s_suppkey % 1000 AND pos + pos % 7 * 90 >= 160395000 + s_suppkey * 701""")
+add("commit_run", "sites", "pred", "valid",
+    body="""SELECT 'sites' AS table_name, count(*)::BIGINT AS row_count FROM sites UNION ALL
+    SELECT 'sizes', 1 + count(DISTINCT coalesce("GIA", '?'))::BIGINT FROM valid UNION ALL SELECT 'summary', count(*)::BIGINT FROM pred""")

@@ -9,12 +9,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from cohortlens import ValidationConfig
 from cohortlens.config import ESTIMATE, GROUP, ID, PART_ESTIMATE, PART_UNCERTAINTY, TRUTH
 from cohortlens.functions import scalars
-from cohortlens.operators import agreement, calls, cohort, impact, packed, plotdata, replicates, report, resample, summary
+from cohortlens.operators import agreement, calls, cohort, impact, intervals, packed, plotdata, replicates, report, resample, sampling, sketches, summary
 from cohortlens.plans.genotypes import prepare_calls
 from cohortlens.plans.validation import validate
-from cohortlens.sources import blockgzip, tables, vcf
+from cohortlens.sources import blockgzip, runs, tables, vcf
 from cohortlens.sources.scratch import scratch_path, written
-from verification.inputs import THRESHOLDS, Inputs, rounded
+from verification.inputs import CHROM_OFFSET, THRESHOLDS, Inputs, rounded
 
 REPLICATES = 20
 FULL_REPLICATES = 1000
@@ -135,6 +135,16 @@ def _(i):
     return tables.read_sites(i.spark, f"{path}/sites")
 
 
+@register("commit_run")
+def _(i):
+    """A run of three tables, read back with its counts and hashes compared."""
+    folder = scratch_path(i.spark, "run")
+    valid = written(i.valid, "valid")
+    runs.commit_run(i.spark, {"sites": i.sites, "sizes": cohort.group_sizes(valid), "summary": i.summary}, folder)
+    runs.read_run(i.spark, folder, verify=True)
+    return runs.manifests(i.spark, folder).select("table_name", "row_count")
+
+
 # ---- projections, filters, scalar functions --------------------------------------------------------------------
 
 
@@ -635,6 +645,21 @@ def _(i):
     return rounded(plotdata.scatter_points(i.valid))
 
 
+@register("scatter_sample")
+def _(i):
+    return rounded(sampling.scatter_sample(written(i.valid, "valid"), 300, SEED))
+
+
+@register("summary_continuous_approx")
+def _(i):
+    """Sketches per part of the cohort, merged, and held against the exact ranks of all rows."""
+    valid, cols, folder = written(i.valid, "valid"), ["age", TRUTH, ESTIMATE], scratch_path(i.spark, "sketches")
+    parts = sketches.sketch_parts(valid.withColumn("day", F.pmod(F.col(ID), F.lit(8))), cols, "day", GROUP)
+    sketches.store_sketches(parts, folder)
+    summed = sketches.approx_summary(sketches.stored_sketches(i.spark, folder))
+    return sketches.rank_check(summed, valid, cols, GROUP).select("stratum", "variable", "n", "p", "within")
+
+
 @register("performance_points")
 def _(i):
     valid = written(i.valid, "valid")
@@ -666,6 +691,21 @@ def _(i):
     return calls.normalize_chrom(calls.region_filter(i.raw_calls, names=calls.CHROM_NAMES))
 
 
+@register("overlaps")
+def _(i):
+    """Records of several bases against the regions of all suppliers, over a table laid out by position."""
+    folder = scratch_path(i.spark, "laid-out")
+    spans = i.raw_calls.withColumn("ref", F.repeat(F.lit("A"), (1 + F.pmod(F.col("pos"), F.lit(7)) * 90).cast("int")))
+    intervals.lay_out(spans, folder)
+    key = F.col("s_suppkey")
+    regions = i.table("supplier").select(
+        F.concat(F.lit("r"), key).alias("region"), F.when(key % 10 == 0, "chr6").otherwise("6").alias("chrom"),
+        (F.lit(CHROM_OFFSET) + key * 701).alias("first"), (F.lit(CHROM_OFFSET) + key * 701 + key % 1000).alias("last"),
+    )
+    pairs = intervals.overlaps(intervals.read_laid_out(i.spark, folder), regions)
+    return pairs.select("chrom", "pos", "last", "alt", "sample", "region")
+
+
 @register("strip_fields")
 def _(i):
     return calls.strip_fields(i.raw_calls)
