@@ -76,6 +76,8 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"(?<![\w-])(class|id|role|itemprop|hidden|aria-hidden|style)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _SPACE = re.compile(r"\s+")
+#: A path inside a heading.
+_HEADING = re.compile(r"(?:^|/)h[1-6](?=[./]|$)")
 #: A text is a constant of its host's template if this many different pages, and this share of those that have the slot, hold it.
 LEAST_PAGES, LEAST_SHARE = 3, 0.6
 #: An article keeps its constants if they are more than this share of its characters.
@@ -211,6 +213,8 @@ def main_text(page: str | None, slots: set[str], constants: set[tuple[str, int]]
     region = max(kept, default=0)
     chosen = kept.get(region, [])
     if region == 3:
+        headings = _section_headings(chosen)
+        chosen = [(t, c and t.block not in headings) for t, c in chosen]
         size, gone = sum(len(t.said) for t, _ in chosen), sum(len(t.said) for t, c in chosen if c)
         if gone <= MOST_CONSTANT * size:
             chosen = [(t, c) for t, c in chosen if not c]
@@ -221,6 +225,23 @@ def main_text(page: str | None, slots: set[str], constants: set[tuple[str, int]]
     return "\n".join(b for b in joined if b)
 
 
+def _section_headings(chosen: list[tuple[Text, bool]]) -> set[int]:
+    """Blocks of an article's headings under which a slot stands: main text, though most of a host's articles repeat them."""
+    found: set[int] = set()
+    open_blocks: set[int] = set()
+    after = True  # whether something else than a heading came since the last heading
+    for t, constant in chosen:
+        heading = bool(_HEADING.search(t.path))
+        if heading and after:
+            open_blocks = set()
+        if not constant:
+            found |= open_blocks
+        if heading:
+            open_blocks.add(t.block)
+        after = not heading
+    return found
+
+
 def _digest(said: str) -> int:
     return xxhash.xxh3_64_intdigest(said.strip()) - (1 << 63)
 

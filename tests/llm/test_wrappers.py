@@ -133,3 +133,12 @@ def test_ids_made_of_titles_keep_their_text(spark):
     got = {r["page_id"]: r["text"] for r in wrappers.extracted(spark.createDataFrame(rows, PAGES)).collect()}
     assert [got[i] for i in range(5)] == [f"Story of {i}\nWork {i}" for i in range(5)]
     assert got[9] == "Story of 9\nreader 9\nWork 9"
+
+
+def test_section_headings_inside_an_article_stay(spark):
+    page = ("<article><p>Share this recipe</p><h2>Serves four</h2><h1>Recipe {0}</h1><h2>Ingredients</h2><h3>Main part</h3><p>Eggs, {0} of them</p>"
+            "<p>Advertisement</p><h2>Method</h2><p>Wash first.</p><p>Stir {0} times, then wait for {0} minutes.</p><h2>Read on</h2><p>Subscribe</p></article>")
+    rows = [(i, f"http://cook.example/{i}", page.format(i)) for i in range(6)]
+    found = {r["page_id"]: r["text"] for r in wrappers.extracted(spark.createDataFrame(rows, PAGES)).collect()}
+    for i in range(6):
+        assert found[i] == f"Serves four\nRecipe {i}\nIngredients\nMain part\nEggs, {i} of them\nMethod\nStir {i} times, then wait for {i} minutes."
