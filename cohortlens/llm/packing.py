@@ -54,7 +54,8 @@ class _Words:
 
         place = lambda n: n if os.path.isabs(n) else public_tokenizers.path(n)
         self.whole = Tokenizer.from_file(place(name))
-        self.whole.encode_special_tokens = True
+        #: Special tokens whose strings the tokenizer finds in texts; none holds white space.
+        self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
         self.by_rank = None
         if ranks:
@@ -102,14 +103,14 @@ def encode(texts: list[str | None], name: str = TOKENIZER, ranks: str | None = R
     """Token ids of whole texts as little-endian 32-bit numbers, the end id last.
 
     The tokenizer starts a new piece at every space before a word, so ids of a text are those of its space-separated
-    words, each with its space; words are looked up and only unknown ones are encoded. Texts with wider white space
-    are encoded as they are.
+    words, each with its space; words are looked up and only unknown ones are encoded. Texts with wider white space or
+    the string of a special token, which becomes that token, are encoded as they are.
     """
     own = _tokenizer(name, ranks)
     known = own.known
     if len(known) > _REMEMBERED:
         known.clear()
-    split = [t.split(" ") if t and not _WIDE_SPACE.search(t) else None for t in texts]
+    split = [t.split(" ") if t and not _WIDE_SPACE.search(t) and not any(s in t for s in own.special) else None for t in texts]
     unknown = set().union(*[s[1:] for s in split if s]).difference(known)
     new = list(unknown)
     known.update(zip(new, own.words([" " + w for w in new])))

@@ -11,9 +11,7 @@ from cohortlens.llm import packing
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    own = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    own.encode_special_tokens = True
-    return own
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def valid(rows, capacity):
@@ -32,11 +30,16 @@ def valid(rows, capacity):
 
 def test_ids_equal_the_tokenizer_on_odd_white_space(tokenizer):
     texts = ["", None, " a", "a ", "a  b", "a   b", "a \n b", "\n\na\n b\t c", "x  y", "it's we'll 's", "a\r\n b", "日本 語 🙂 x",
-             "<|endoftext|> x", " ", "  ", "w" * 500 + " v", "a\n\n\nb", "é è z", "tab\tand space"]
+             "<|endoftext|> x", "a <|endoftext|>b <|endoftext|>", "x<|endoftext|> c d", " ", "  ", "w" * 500 + " v", "a\n\n\nb", "é è z", "tab\tand space"]
     for text, ids in zip(texts, packing.encode(texts)):
         assert np.frombuffer(ids, "<u4").tolist() == (tokenizer.encode(text, add_special_tokens=False).ids if text else []) + [0]
 
 
+def test_strings_of_special_tokens_become_that_token():
+    got = np.frombuffer(packing.encode(["a <|endoftext|> b"])[0], "<u4").tolist()
+    assert 50256 in got and len(got) == 5
+
+
 def best_fit_decreasing(lengths, capacity):
     """Sequences that best fit needs with all lengths in one place, longest first."""
     spaces = [0] * (capacity + 1)
