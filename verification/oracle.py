@@ -372,6 +372,10 @@ add("pred_summary", "pred", body="SELECT * FROM pred", doubles=PRED_DOUBLES)
 add("group_counts", "joined", body='SELECT "GIA", count(*)::BIGINT AS n FROM joined GROUP BY "GIA"')
 add("group_sizes", "valid", extra=GROUP_SIZES, body="SELECT * FROM sizes")
 add("metrics_numeric", "valid", extra=NUMERIC_POINT, body="SELECT * FROM numeric_wide", doubles=" ".join(NUMERIC))
+add("metrics_numeric_exact", "valid", extra=NUMERIC_POINT, body="SELECT * FROM numeric_wide", doubles=" ".join(NUMERIC))
+add("exact_sums", doubles="price price_quantity", digits=2,
+    body="""SELECT l_suppkey, fsum(l_extendedprice) AS price, fsum(l_extendedprice * l_quantity) AS price_quantity
+    FROM lineitem GROUP BY l_suppkey""")
 add("metrics_class", "valid", extra=CLASS_POINT, body="""SELECT * FROM class_wide WHERE "GIA" <> 'Overall'""", doubles=" ".join(CLASS))
 add("metrics_class_by_threshold_grouping", "valid", extra=CLASS_POINT, body="SELECT * FROM class_wide", doubles=" ".join(CLASS))
 add("prevalence_overall", "joined", body=prevalence(THRESHOLD_VALUES, False), doubles=PREVALENCE_DOUBLES)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from cohortlens import ValidationConfig
 from cohortlens.config import ESTIMATE, GROUP, ID, PART_ESTIMATE, PART_UNCERTAINTY, TRUTH
 from cohortlens.functions import scalars
-from cohortlens.operators import agreement, calls, cohort, impact, intervals, packed, plotdata, replicates, report, resample, sampling, sketches, summary
+from cohortlens.operators import agreement, calls, cohort, exactsums, impact, intervals, packed, plotdata, replicates, report, resample, sampling, sketches, summary
 from cohortlens.plans.genotypes import prepare_calls
 from cohortlens.plans.validation import validate
 from cohortlens.sources import blockgzip, runs, tables, vcf
@@ -308,6 +308,18 @@ def _(i):
     return rounded(agreement.metrics_numeric(i.valid))
 
 
+@register("metrics_numeric_exact")
+def _(i):
+    return rounded(exactsums.metrics_numeric_exact(i.valid))
+
+
+@register("exact_sums")
+def _(i):
+    price, quantity = F.col("l_extendedprice"), F.col("l_quantity")
+    terms = {"price": price, "price_quantity": (price, quantity)}
+    return rounded(exactsums.exact_sums(i.table("lineitem"), ["l_suppkey"], terms), 2)
+
+
 @register("metrics_class")
 def _(i):
     return rounded(agreement.metrics_class(agreement.confusion_counts(i.valid, THRESHOLDS)))
