@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from cohortlens.config import CLASS_METRICS, ESTIMATE, GROUP, ID, NUMERIC_METRICS, TRUTH
 from cohortlens.functions.draws import CELL_SLACK, SLACK, UNIFORM_BITS, draw60, poisson_counts, poisson_quantiles, thinned_rate
 from cohortlens.functions.metrics import NUMERIC_SUMS, confusion_metrics, numeric_from_sums, numeric_terms
-from cohortlens.functions.scalars import nan_to_null, overall_or
+from cohortlens.functions.scalars import exceeds, nan_to_null, overall_or, strata_key
 from cohortlens.operators.agreement import classified, pivot_longer
 from cohortlens.operators.joins import attach, settled
 from cohortlens.sources.scratch import written
@@ -63,15 +63,27 @@ def bootstrap_strata(df: DataFrame, level: str, pool: float = 0.1, seed: int = 0
         return df.withColumn("stratum", F.when(text.isNull(), F.lit("NA")).when(text == "NA", F.lit("NA (level)")).otherwise(text))
     # Names are texts made by Spark, here and in the comparison below: other engines write booleans and doubles differently.
     name = F.col(level).cast("string")
-    counts, _ = settled(df.groupBy(name.alias("name")).agg(F.count(F.lit(1)).alias("n")))
+    names = _large_levels(df.groupBy(name.alias("name")).agg(F.count(F.lit(1)).alias("n")), pool)
+    return df.withColumn("stratum", _stratum(name, names, _pick(names, seed, id_col)))
+
+
+def _large_levels(counts: DataFrame, pool: float) -> list[str]:
+    """Names of the levels (name, n) that are strata of their own, in order."""
+    counts, _ = settled(counts)
     total = counts.agg(F.sum("n")).scalar()
     kept = counts.filter(F.col("name").isNotNull() & (F.col("n") / total >= pool)).select("name").collect()
-    names = sorted(r[0] for r in kept)
+    return sorted(r[0] for r in kept)
+
+
+def _pick(names: list[str], seed: int, id_col: str) -> Column:
+    """Which of the strata a row joins if its own level is too small."""
+    return (draw60(seed, "pool", F.coalesce(F.col(id_col).cast("string"), F.lit("NA"))) % max(1, len(names))).cast("int")
+
+
+def _stratum(name: Column, names: list[str], pick: Column) -> Column:
     if not names:
-        return df.withColumn("stratum", F.lit(ALL))
-    pick = (draw60(seed, "pool", F.coalesce(F.col(id_col).cast("string"), F.lit("NA"))) % len(names)).cast("int")
-    spread = F.element_at(F.array(*[F.lit(n) for n in names]), pick + 1)
-    return df.withColumn("stratum", F.when(name.isin(names), name).otherwise(spread))
+        return F.lit(ALL)
+    return F.when(name.isin(names), name).otherwise(F.element_at(F.array(*[F.lit(n) for n in names]), pick + 1))
 
 
 def _text(c: Column, data_type: T.DataType) -> Column:
@@ -433,14 +445,44 @@ def class_sums_by_row(df: DataFrame, thresholds: Sequence[float], resamples: int
     return resampler.sums({"n": F.lit(1.0), **_confusion_terms()})
 
 
+def _cell_rows(df: DataFrame, thresholds: Sequence[float], pool: float, seed: int, group: str, truth: str,
+               estimate: str, id_col: str) -> DataFrame:
+    """The rows of ``_class_rows`` counted: ``copies`` of each, some in several rows.
+
+    Classes at all thresholds are counted side by side; only the counted table is multiplied by the thresholds. Which
+    stratum a row of a small level joins depends on its id alone, so that choice is counted along.
+    """
+    def exceeded(c: str) -> Column:
+        return F.array(*[exceeds(F.col(c), F.lit(float(t))) for t in thresholds])
+
+    def by_threshold(counted: DataFrame, *more: str) -> DataFrame:
+        levels = F.array(*[F.lit(float(t)) for t in thresholds])
+        zipped = F.arrays_zip("threshold", "truths", "calls")
+        each = counted.withColumn("threshold", levels).select(group, *more, "copies", F.inline(zipped))
+        return each.withColumn("strata", strata_key(F.col(group), F.col("truths"), F.col("threshold")))
+
+    flags = df.select(group, id_col, exceeded(truth).alias("truths"), exceeded(estimate).alias("calls"))
+    copies = F.count(F.lit(1)).alias("copies")
+    if pool > 0:
+        first = by_threshold(flags.groupBy(group, "truths", "calls").agg(copies))
+        names = _large_levels(first.groupBy(F.col("strata").alias("name")).agg(F.sum("copies").alias("n")), pool)
+        counted = flags.withColumn("pick", _pick(names, seed, id_col)).groupBy(group, "truths", "calls", "pick").agg(copies)
+        placed = by_threshold(counted, "pick").withColumn("stratum", _stratum(F.col("strata"), names, F.col("pick")))
+    else:
+        placed = bootstrap_strata(by_threshold(flags.groupBy(group, "truths", "calls").agg(copies)), "strata", pool)
+    return placed.select(
+        "stratum", group, "threshold", F.col("truths").cast("double").alias("truth"),
+        F.col("calls").cast("double").alias("called"), "copies",
+    )
+
+
 def class_cells(df: DataFrame, thresholds: Sequence[float], seed: int, pool: float = 0.1, group: str = GROUP,
                 truth: str = TRUTH, estimate: str = ESTIMATE, id_col: str = ID) -> DataFrame:
     """Rows per (stratum, group, threshold, true, predicted) cell: ``copies``, and ``start``, the rows of the stratum's
     cells before it, in the order of a hash of the cell's name. The window sees one row per cell."""
-    rows = _class_rows(df, thresholds, pool, seed, group, truth, estimate, id_col)
     keys = ["stratum", group, "threshold", "truth", "called"]
-    types = dict(zip(rows.columns, [f.dataType for f in rows.schema.fields]))
-    cells = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
+    cells = _cell_rows(df, thresholds, pool, seed, group, truth, estimate, id_col).groupBy(*keys).agg(F.sum("copies").alias("copies"))
+    types = {f.name: f.dataType for f in cells.schema.fields}
     tagged = cells.withColumn("tag", F.md5(F.concat_ws("|", *[_text(F.col(c), types[c]) for c in keys])))
     inside = Window.partitionBy("stratum")
     before = inside.orderBy("tag").rowsBetween(Window.unboundedPreceding, -1)

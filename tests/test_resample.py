@@ -215,3 +215,15 @@ def test_quantiles_of_large_means():
     low, high = draws.poisson_quantiles(4.0, edges)
     assert low == 0 and 15 < high < 60
     assert (np.diff(draws.poisson_quantiles(50.0, np.sort(u))) >= 0).all()
+
+
+@pytest.mark.parametrize("pool", [0.0, 0.1, 0.9])
+def test_cells_counted_side_by_side_are_the_rows_counted(pairs, pool):
+    rows = [(None if i % 7 == 0 else "ABCDE"[i * i % 5], None if i % 13 == 0 else i % 40, i * 3 % 41) for i in range(300)]
+    args = (pairs(rows), [5.0, 17.5, 30.0])
+    keys = ["stratum", "GIA", "threshold", "truth", "called"]
+    plain = resample._class_rows(*args, pool, 4, "GIA", "lpa_nmol_max", "lpa_pred_nm", "ID").groupBy(*keys).count()
+    cells = resample.class_cells(*args, 4, pool).select(*keys, "copies")
+    assert sorted(map(repr, map(tuple, cells.collect()))) == sorted(map(repr, map(tuple, plain.collect())))
+    plan = resample._cell_rows(*args, pool, 4, "GIA", "lpa_nmol_max", "lpa_pred_nm", "ID")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate inline") < plan.index("Aggregate")  # rows are counted below, multiplied above
