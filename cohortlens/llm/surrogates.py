@@ -3,18 +3,23 @@
 Detected entities are mail addresses, IP addresses, account numbers, card numbers, social security numbers, phone numbers,
 and names after a title or another cue (a name label, an introduction, a salutation, a closing). The other mentions of such
 a name in its document, in full or by the surname, are found without a cue. Not found are names that have no cue anywhere
-in their document, and given names that stand alone. Each gets a replacement drawn from a keyed hash of its type and canonical form, so the same
-entity has the same replacement in every document, and nothing else about it can be read off without the key. Parts keep
-their meaning: the same mail domain, given name or surname has the same replacement in all entities that hold it, given
-names follow the gender of the title, letters stay in their script and case, separators, lengths, country codes and check
-digits stay valid.
+in their document, and given names that stand alone.
 
-All distinct entities of the corpus are held against each other: an entity whose replacement is that of another one, or
-is itself a real entity of the corpus, draws again with the next number until no two meet. Most draw once, so documents
-are rewritten with the key and the few exceptions.
+An entity consists of parts: a name of given names and a surname, a mail address of its domain and the rest; all others
+are one part. Each part gets a replacement drawn from a keyed hash of it, so the same part has the same replacement in
+every entity and document that holds it, and nothing about it can be read off without the key. Given names follow the
+gender of the title, letters stay in their script and case; separators, lengths, country codes and check digits stay valid.
+
+All distinct parts of the corpus are held against each other, as they are read and whatever their gender: a part whose
+replacement is that of another one, or is itself a real part of the corpus, draws again with the next number until no two
+meet. A redrawn surname is redrawn in full names and alone. Names get longer with the number of their draw, mail addresses,
+domains and phone numbers after several draws, so a corpus may hold more of them than there are short replacements; card,
+account and social security numbers have one length, hence at most about 10^11, 10^11 and 10^9 replacements. Most parts
+draw once, so documents are rewritten with the key and the few exceptions.
 
 Defined cases: a null text stays null; a text without entities stays as it is; repeated rows are rewritten alike; an
-empty table gives an empty result. Only doc_id and text are read.
+empty table gives an empty result. Only doc_id and text are read. Texts may be long and names have any number of parts:
+the work grows in proportion to the text, however many names it holds.
 """
 
 from __future__ import annotations
@@ -22,7 +27,7 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
@@ -31,11 +36,9 @@ import xxhash
 from cohortlens.llm.common import BROADCAST_IDS
 from cohortlens.sources.scratch import written
 
-#: The key of a run; keep one to keep replacements stable, change it to make them unlinkable.
-KEY = "change-me"
 KINDS = ("email", "ip", "iban", "card", "ssn", "phone", "name")
-#: Rounds of drawing again; the chance that one entity needs this many is far below 1 in 10^18.
-_MOST_ROUNDS = 40
+#: Draws in the same format before a replacement may be longer than what it replaces, and draws of a name per syllable.
+_SAME_FORMAT, _SAME_SYLLABLES = 8, 2
 #: Fixed lists: titles by gender (f, m, or either).
 _TITLES = {
     "f": ("Mrs", "Ms", "Miss", "Frau", "Mme", "Mlle", "Madame", "Sra", "Srta", "Señora", "Doña", "Госпожа", "Κυρία"),
@@ -52,7 +55,7 @@ _ENTITY = re.compile(
     r"|(?P<card>(?<![\w.+-])\d(?:[ -]?\d){12,18}(?![\w-]))"
     r"|(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))"
     r"|(?P<phone>(?<![\w.])(?:\+\d{1,3}[ .-]?(?:\(\d{1,5}\)|\d{1,5})(?:[ .-]?\d{2,5}){1,5}|\(\d{3}\)[ -]?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?![\w-]))"
-    rf"|(?P<name>\b(?:{'|'.join(t for titles in _TITLES.values() for t in titles)})\b\.?[  ](?:{_NAME})(?:[  ](?:{_NAME})){{0,2}})"
+    rf"|(?P<name>\b(?:{'|'.join(t for titles in _TITLES.values() for t in titles)})\b\.?[  ](?:{_NAME})(?:[  ](?:{_NAME}))*)"
 )
 _HINT = re.compile(r"[0-9@]")
 #: One kind each, to try at a place where another kind's check failed.
@@ -80,13 +83,17 @@ _CUE = re.compile(
     r"[Мм]еня зовут|[Μμ]ε λένε|Dear|Cher|Chère|Lieber|Liebe|Querido|Querida|Уважаемый|Уважаемая|Αγαπητέ|Αγαπητή)[  ]+"
     r"|\b(?:Full [Nn]ame|Name|NAME|[Ss]igned|Patient|Customer|Contact|[Aa]uthor|Nombre|Nom|Имя|ФИО|Όνομα)[  ]?:[  ]*"
     r"|\b(?:[Ss]incerely|[Rr]egards|[Yy]ours truly|[Mm]it freundlichen Grüßen|[Cc]ordialement|[Aa]tentamente|[Сс] уважением),[  ]*\r?\n?\s*)"
-    rf"(?P<name>(?:{_NAME})(?:[  ](?:{_NAME})){{0,2}})"
+    rf"(?P<name>(?:{_NAME})(?:[  ](?:{_NAME}))*)"
 )
 _NOT_NAMES = frozenset(
     "The An On In At By To Of And But For From With He She It They We You Is Was Has Had Will Who That This All Sir Madam Customer Team "
     "Friends Friend Colleagues Sie Er Es Der Die Das Und Ich Wir Le La Les Il Elle Et Je Nous El Los Las Ella Yo Он Она Они Мы Вы Это И "
     "Address Email Mail Phone Date Tel Age Title".split()
 )
+#: A part of a name in a text, and how much of it stands before a hyphen or an apostrophe.
+_PART = re.compile(r"([^\W\d_]+)(?:[-'’][^\W\d_]+)?")
+_WORD_START = re.compile(r"(?<![\w-])[^\W\d_]+")
+_GOES_ON = re.compile(r"\w|-\w")
 #: Syllables of invented names, by script; fixed values.
 _SYLLABLES = {
     "latin": "ba be bo da de do fa fe ga go ka ke ko la le lo ma me mo na ne no pa pe po ra re ro sa se so ta te to va ve vo".split(),
@@ -207,12 +214,29 @@ def _scanned(text: str) -> Iterator[tuple[int, int, str]]:
 
 
 def _trimmed(said: str) -> str:
-    """A name without the words after it that are no names, and without a possessive ending."""
-    while (cut := max(said.rfind(c) for c in " \u00a0")) > 0 and said[cut + 1 :] in _NOT_NAMES:
-        said = said[:cut]
+    """A name up to the first word in it that belongs to no name, and without a possessive ending."""
+    words = list(re.finditer("[^  ]+", said))
+    said = next((said[: one.end()] for one, two in zip(words, words[1:]) if two.group() in _NOT_NAMES), said)
     return said[:-2] if said.endswith(("'s", "’s")) else said
 
 
+def _mention(text: str, start: int, spelled: set[tuple[str, ...]], beginnings: set[tuple[str, ...]]) -> tuple[int, tuple[str, ...]] | None:
+    """(end, parts) of the longest name of ``spelled`` that stands at ``start``."""
+    best, tried = None, [(start, ())]
+    while tried:
+        longer = []
+        for at, parts in tried:
+            m = _PART.match(text, at)
+            for end in sorted({m.end(1), m.end()}) if m else ():
+                said = (*parts, text[at:end])
+                if said in spelled and not _GOES_ON.match(text, end) and (best is None or end > best[0]):
+                    best = end, said
+                if said in beginnings and text[end : end + 1] in (" ", "\u00a0"):
+                    longer.append((end + 1, said))
+        tried = longer
+    return best
+
+
 def _names(text: str, found: list[tuple[int, int, str, str]]) -> list[tuple[int, int, str, str]]:
     """The untitled names of a document: those after a cue, and the other mentions of all names found, in full or by surname."""
     known: dict[tuple[str, ...], str] = {}  # names as parts, gender
@@ -231,16 +255,21 @@ def _names(text: str, found: list[tuple[int, int, str, str]]) -> list[tuple[int,
     genders: dict[tuple[str, ...], str] = {}
     for parts, gender in known.items():
         genders.setdefault(tuple(p.upper() for p in parts), gender)
-    spelled = sorted({*known, *genders}, key=lambda parts: (-len(parts), parts))
-    mention = re.compile(r"(?<![\w-])(?:" + "|".join("[  ]".join(map(re.escape, parts)) for parts in spelled) + r")(?!\w|-\w)")
-    taken = [False] * len(text)
+    spelled = {*known, *genders}
+    beginnings = {parts[:n] for parts in spelled for n in range(1, len(parts))}
+    heads = {_PART.match(parts[0])[1] for parts in spelled}
+    taken = bytearray(len(text))
     for a, b, *_ in found:
-        taken[a:b] = [True] * (b - a)
-    out = []
-    for m in mention.finditer(text):
-        if not any(taken[m.start() : m.end()]):
-            parts = re.split("[  ]", m.group())
-            out.append((m.start(), m.end(), "name", " ".join([genders[tuple(p.upper() for p in parts)], *parts])))
+        taken[a:b] = b"\1" * (b - a)
+    out, at = [], 0
+    for m in _WORD_START.finditer(text):
+        if m.start() < at or m.group() not in heads:
+            continue
+        mention = _mention(text, m.start(), spelled, beginnings)
+        if mention:
+            at, parts = mention
+            if not any(taken[m.start() : at]):
+                out.append((m.start(), at, "name", " ".join([genders[tuple(p.upper() for p in parts)], *parts])))
     return out
 
 
@@ -286,14 +315,29 @@ def _letter(c: str, draw: _Draw) -> str:
     return chr(ord(low) - ord(low) % 32 + draw.below(32)) if ord(low) > 0x2E80 else c
 
 
-def _name_part(part: str, gender: str, place: str, key: str, attempt: str) -> str:
-    """An invented name in the script and case of the old one; the same part has the same replacement everywhere."""
-    low = part.lower()
-    script = "cyrillic" if "а" <= low[0] <= "я" else "greek" if "α" <= low[0] <= "ω" else "latin"
-    draw = _Draw(key, "name", place, gender if place == "given" else "", low, attempt)
-    syllables = [_SYLLABLES[script][draw.below(len(_SYLLABLES[script]))] for _ in range(3)]
-    new = "".join(syllables) + (_ENDINGS[script][gender] if place == "given" else "")
-    return new.upper() if part.isupper() and len(part) > 1 else new.capitalize()
+def _invented(part: str, key: str, attempt: int) -> str:
+    """An invented name part in the script of the old one, given as ``name_parts`` has it."""
+    sign = ":" if ":" in part else "/"
+    gender, _, low = part.partition(sign)
+    script = "cyrillic" if "а" <= low[:1] <= "я" else "greek" if "α" <= low[:1] <= "ω" else "latin"
+    draw = _Draw(key, "name", part, str(attempt))
+    syllables = (_SYLLABLES[script][draw.below(len(_SYLLABLES[script]))] for _ in range(3 + attempt // _SAME_SYLLABLES))
+    return "".join(syllables) + (_ENDINGS[script][gender] if sign == ":" else "")
+
+
+def name_parts(entity: str) -> list[str]:
+    """The parts of a name in canonical form: given names as ``f:anna``, ``m:john`` or ``:kim``, the surname as ``/smith``."""
+    gender, *names = entity.lower().split(" ")
+    return [gender + n for n in names[:-1]] + ["/" + names[-1]]
+
+
+def parts_of(kind: str, entity: str) -> list[tuple[str, str]]:
+    """(kind, part) of everything in an entity that gets a replacement of its own."""
+    if kind == "name":
+        return [("name", part) for part in name_parts(entity)]
+    if kind == "email":
+        return [("domain", entity.rpartition("@")[2]), ("email", entity)]
+    return [(kind, entity)]
 
 
 def _digits(form: str, draw: _Draw, keep: int = 0) -> str:
@@ -308,37 +352,46 @@ def _digits(form: str, draw: _Draw, keep: int = 0) -> str:
     return "".join(out)
 
 
-def surrogate(kind: str, entity: str, key: str, attempt: int = 0) -> str:
-    """The replacement of a canonical form, in canonical form."""
-    again = str(attempt)
-    draw = _Draw(key, kind, entity, again)
+def drawn(kind: str, part: str, key: str, attempt: int = 0) -> str:
+    """The replacement of a part; that of a mail address still has the real domain."""
+    draw = _Draw(key, kind, part, str(attempt))
+    longer = attempt // _SAME_FORMAT
+    if kind == "name":
+        return _invented(part, key, attempt)
     if kind == "email":
-        local, _, domain = entity.rpartition("@")
-        labels = domain.split(".")
-        of_domain = _Draw(key, "domain", domain)
-        host = ".".join("".join(_letter(c, of_domain) for c in label) for label in labels[:-1])
-        return "".join(_letter(c, draw) for c in local) + "@" + host + "." + labels[-1]
+        local, _, domain = part.rpartition("@")
+        return "".join(_letter(c, draw) for c in local + "a" * longer) + "@" + domain
+    if kind == "domain":
+        host, _, top = part.rpartition(".")
+        return "".join(_letter(c, draw) for c in host + "a" * longer) + "." + top
     if kind == "ip":
         octets = ((0, 10), (10, 90), (100, 156))
-        return ".".join(str(octets[len(o) - 1][0] + draw.below(octets[len(o) - 1][1])) for o in entity.split("."))
+        widths = [(0, 256) if longer else octets[len(o) - 1] for o in part.split(".")]
+        return ".".join(str(least + draw.below(n)) for least, n in widths)
     if kind == "card":
-        new = entity[0] + _digits(entity[1:], draw)
-        if _luhn(entity) == 0:
+        new = part[0] + _digits(part[1:], draw)
+        if _luhn(part) == 0:
             new = next(new[:-1] + d for d in "0123456789" if _luhn(new[:-1] + d) == 0)
         return new
     if kind == "ssn":
-        return "9" + _digits(entity[1:], draw)
+        return _digits(part, draw) if longer else "9" + _digits(part[1:], draw)
     if kind == "phone":
-        keep = max(0, len(entity) - 1 - 10) if entity.startswith("+") else 0
-        return _digits(entity, draw, keep)
-    if kind == "iban":
-        rest = "".join(str(draw.below(10)) if c.isdigit() else _letter(c, draw) for c in entity[4:])
-        check = 98 - int("".join(str(int(c, 36)) for c in rest + entity[:2] + "00")) % 97
-        return f"{entity[:2]}{check:02d}{rest}"
-    gender, *names = entity.split(" ")
-    gender = gender[:-1]
-    given = [_name_part(n, gender, "given", key, "0") for n in names[:-1]]
-    return " ".join([gender + ":", *given, _name_part(names[-1], gender, "family", key, again)])
+        keep = max(0, len(part) - 1 - 10) if part.startswith("+") else 0
+        return _digits(part + "0" * longer, draw, keep)
+    rest = "".join(str(draw.below(10)) if c.isdigit() else _letter(c, draw) for c in part[4:])
+    check = 98 - int("".join(str(int(c, 36)) for c in rest + part[:2] + "00")) % 97
+    return f"{part[:2]}{check:02d}{rest}"
+
+
+def surrogate(kind: str, entity: str, key: str, attempts: Mapping[tuple[str, str], int]) -> str:
+    """The replacement of a canonical form, in canonical form; ``attempts``: numbers of draws of parts that draw again."""
+    new = [drawn(k, part, key, attempts.get((k, part), 0)) for k, part in parts_of(kind, entity)]
+    if kind == "email":
+        return new[1].rpartition("@")[0] + "@" + new[0]
+    if kind == "name":
+        gender, *names = entity.split(" ")
+        return " ".join([gender, *(n.upper() if old.isupper() and len(old) > 1 else n.capitalize() for old, n in zip(names, new))])
+    return new[0]
 
 
 def _formatted(kind: str, said: str, new: str) -> str:
@@ -352,23 +405,23 @@ def _formatted(kind: str, said: str, new: str) -> str:
             return "".join(part + sep for part, sep in zip(parts, [*pieces[1::2], ""]))
         return pieces[0] + "".join(sep + part for sep, part in zip(pieces[1::2], parts))
     signs = iter(new.lstrip("+") if kind == "phone" else new)
-    return "".join(next(signs) if c.isalnum() or c == "." and kind == "ip" else c for c in said) if kind != "ip" else new
+    return new if kind == "ip" else "".join(next(signs) if c.isalnum() else c for c in said) + "".join(signs)
 
 
-def rewritten(text: str | None, key: str, attempts: dict[tuple[str, str], int]) -> tuple[str | None, dict[str, int]]:
+def rewritten(text: str | None, key: str, attempts: Mapping[tuple[str, str], int]) -> tuple[str | None, dict[str, int]]:
     """The text with replacements, and the number of entities by kind."""
     found = entities(text)
     out, at, counts = [], 0, dict.fromkeys(KINDS, 0)
     for start, end, kind, entity in found:
-        new = surrogate(kind, entity, key, attempts.get((kind, entity), 0))
+        new = surrogate(kind, entity, key, attempts)
         out += [text[at:start], _formatted(kind, text[start:end], new)]
         at = end
         counts[kind] += 1
     return (text if not found else "".join(out) + text[at:]), counts
 
 
-def _entity_rows(docs: DataFrame) -> DataFrame:
-    """(text_key, kind, entity): the distinct entities of every distinct text."""
+def _part_rows(docs: DataFrame) -> DataFrame:
+    """(text_key, kind, part): the distinct parts of the entities of every distinct text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -378,11 +431,11 @@ def _entity_rows(docs: DataFrame) -> DataFrame:
                 found = entities(said)
                 if found:
                     name = _text_key(said)
-                    rows.update((name, kind, entity) for *_, kind, entity in found)
+                    rows.update((name, *part) for *_, kind, entity in found for part in parts_of(kind, entity))
             columns = list(zip(*sorted(rows))) or [(), (), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], names=["text_key", "kind", "entity"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], names=["text_key", "kind", "part"])
 
-    return docs.select("text").mapInArrow(run, "text_key string, kind string, entity string").distinct()
+    return docs.select("text").mapInArrow(run, "text_key string, kind string, part string").distinct()
 
 
 def _text_key(text: str) -> str:
@@ -390,35 +443,41 @@ def _text_key(text: str) -> str:
 
 
 def assigned(rows: DataFrame, key: str) -> DataFrame:
-    """(kind, entity, attempt, surrogate) of all distinct entities, no two alike and none a real entity."""
+    """(kind, part, attempt, surrogate) of all distinct parts, no two surrogates alike and none a real part."""
 
     @F.arrow_udf("string")
     def draw(kinds: pa.Array, found: pa.Array, attempts: pa.Array) -> pa.Array:
         each = zip(kinds.to_pylist(), found.to_pylist(), attempts.to_pylist())
-        return pa.array([surrogate(k, e, key, a) for k, e, a in each], pa.string())
-
-    real = written(rows.select("kind", "entity").distinct(), "entities")
-    table = written(real.withColumn("attempt", F.lit(0)).withColumn("surrogate", draw("kind", "entity", "attempt")), "surrogates")
-    for _ in range(_MOST_ROUNDS):
-        # Of entities with one replacement, the one that has drawn least often keeps it, then the first.
-        keeper = table.groupBy("kind", "surrogate").agg(F.min(F.struct("attempt", "entity")).alias("keeper"), F.count("*").alias("n"))
-        shared = keeper.where("n > 1").select("kind", "surrogate", F.col("keeper.entity").alias("keeper"))
-        taken = real.select("kind", F.col("entity").alias("surrogate"), F.lit(True).alias("real"))
+        return pa.array([drawn(k, part, key, a) for k, part, a in each], pa.string())
+
+    real = written(rows.select("kind", "part").distinct(), "parts")
+    # What is read of a part of a name: neither its gender nor its place.
+    read = F.when(F.col("kind") == "name", F.regexp_replace("part", "^[fm]?[:/]", "")).otherwise(F.col("part"))
+    taken = written(real.select("kind", read.alias("surrogate")).distinct().withColumn("real", F.lit(True)), "real-parts")
+    table = written(real.withColumn("attempt", F.lit(0)).withColumn("surrogate", draw("kind", "part", "attempt")), "surrogates")
+    while True:
+        # Of parts with one replacement, the one that has drawn least often keeps it, then the first.
+        keeper = table.groupBy("kind", "surrogate").agg(F.min(F.struct("attempt", "part")).alias("keeper"), F.count("*").alias("n"))
+        shared = keeper.where("n > 1").select("kind", "surrogate", F.col("keeper.part").alias("keeper"))
         marked = table.join(shared, ["kind", "surrogate"], "left").join(taken, ["kind", "surrogate"], "left")
-        again = F.coalesce(F.col("real"), F.lit(False)) | F.coalesce(F.col("keeper") != F.col("entity"), F.lit(False))
-        marked = written(marked.select("kind", "entity", "attempt", "surrogate", again.alias("again")), "surrogates")
+        again = F.coalesce(F.col("real"), F.lit(False)) | F.coalesce(F.col("keeper") != F.col("part"), F.lit(False))
+        marked = written(marked.select("kind", "part", "attempt", "surrogate", again.alias("again")), "surrogates")
         lost = marked.where("again")
         if not lost.limit(1).count():
             return marked.drop("again")
-        redrawn = lost.withColumn("attempt", F.col("attempt") + 1).withColumn("surrogate", draw("kind", "entity", "attempt"))
+        redrawn = lost.withColumn("attempt", F.col("attempt") + 1).withColumn("surrogate", draw("kind", "part", "attempt"))
         table = written(marked.where("not again").unionByName(redrawn).drop("again"), "surrogates")
-    raise RuntimeError("replacements still meet")
 
 
-def replaced(docs: DataFrame, key: str = KEY) -> DataFrame:
-    """Per document: doc_id, the rewritten text, and the number of entities by kind (``n_email`` and so on)."""
-    rows = written(_entity_rows(docs), "text-entities")
-    exceptions = written(assigned(rows, key).where("attempt > 0").select("kind", "entity", "attempt"), "exceptions")
+def replaced(docs: DataFrame, key: str) -> DataFrame:
+    """Per document: doc_id, the rewritten text, and the number of entities by kind (``n_email`` and so on).
+
+    Keep the key secret, keep one to keep replacements stable, and change it to make them unlinkable.
+    """
+    if not key:
+        raise ValueError("a key is needed: without one replacements can be computed by anyone")
+    rows = written(_part_rows(docs), "text-parts")
+    exceptions = written(assigned(rows, key).where("attempt > 0").select("kind", "part", "attempt"), "exceptions")
     few = exceptions.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
     counts = ", ".join(f"n_{k} int" for k in KINDS)
 
@@ -429,7 +488,7 @@ def replaced(docs: DataFrame, key: str = KEY) -> DataFrame:
             for i, text in enumerate(texts):
                 mine = known
                 if own is not None and own[i].is_valid:
-                    mine = {(e["kind"], e["entity"]): e["attempt"] for e in own[i].as_py()}
+                    mine = {(e["kind"], e["part"]): e["attempt"] for e in own[i].as_py()}
                 new, n = rewritten(text.as_py(), key, mine)
                 out.append(new)
                 found.append(n)
@@ -441,7 +500,7 @@ def replaced(docs: DataFrame, key: str = KEY) -> DataFrame:
     schema = f"text string, {counts}"
     slim = docs.select("doc_id", "text")
     if few:
-        known = {(r["kind"], r["entity"]): r["attempt"] for r in exceptions.toLocalIterator()}
+        known = {(r["kind"], r["part"]): r["attempt"] for r in exceptions.toLocalIterator()}
         one = rewrite(known)
 
         @F.arrow_udf(schema)
@@ -451,8 +510,8 @@ def replaced(docs: DataFrame, key: str = KEY) -> DataFrame:
         new: Column = alone(F.col("text"))
     else:
         # Too many for every worker to hold: each text meets its own exceptions.
-        own = rows.join(exceptions, ["kind", "entity"]).groupBy("text_key").agg(
-            F.collect_list(F.struct("kind", "entity", "attempt")).alias("own")
+        own = rows.join(exceptions, ["kind", "part"]).groupBy("text_key").agg(
+            F.collect_list(F.struct("kind", "part", "attempt")).alias("own")
         )
 
         @F.arrow_udf("string")

@@ -1,4 +1,7 @@
 import re
+import time
+
+import pytest
 
 from cohortlens.llm import surrogates
 
@@ -45,17 +48,17 @@ def test_parts_keep_their_meaning():
 def test_distinct_and_never_real(spark):
     """With a tiny space of replacements, draws meet and are repeated until all differ."""
     real = [("ssn", str(100 + n)) for n in range(40)]
-    rows = spark.createDataFrame([("t", k, e) for k, e in real], "text_key string, kind string, entity string")
+    rows = spark.createDataFrame([("t", k, e) for k, e in real], "text_key string, kind string, part string")
     got = surrogates.assigned(rows, KEY).collect()
     assert len({r["surrogate"] for r in got}) == 40
     names = spark.createDataFrame([("t", "ip", f"1.{a}.1.{b}") for a in range(10) for b in range(10)], rows.schema)
     found = surrogates.assigned(names, KEY).collect()
-    assert len({r["surrogate"] for r in found}) == 100 and not {r["surrogate"] for r in found} & {r["entity"] for r in found}
+    assert len({r["surrogate"] for r in found}) == 100 and not {r["surrogate"] for r in found} & {r["part"] for r in found}
 
 
 def test_documents(spark, docs, corpus, monkeypatch):
     rows = [(d, t) for d, t, *_ in corpus] + [(9001, TEXT), (9002, "also Jo.Doe+1@mail3.example.com"), (9003, None), (9004, "clean"), (9002, "also Jo.Doe+1@mail3.example.com"), (None, "x@y.example.com")]
-    got = surrogates.replaced(docs(rows, extra=True)).collect()
+    got = surrogates.replaced(docs(rows, extra=True), KEY).collect()
     assert len(got) == len(rows)
     new = {r["doc_id"]: r["text"] for r in got}
     for doc_id, text in rows:
@@ -68,8 +71,8 @@ def test_documents(spark, docs, corpus, monkeypatch):
     address = re.search(r"\S+@\S+", new[9002]).group()
     assert address in new[9001]
     monkeypatch.setattr(surrogates, "BROADCAST_IDS", -1)
-    assert {r["doc_id"]: r["text"] for r in surrogates.replaced(docs(rows)).collect()} == new
-    assert surrogates.replaced(docs([])).collect() == []
+    assert {r["doc_id"]: r["text"] for r in surrogates.replaced(docs(rows), KEY).collect()} == new
+    assert surrogates.replaced(docs([]), KEY).collect() == []
 
 
 def test_entities_next_to_other_digits_or_capitals():
@@ -106,3 +109,87 @@ def test_untitled_mentions_and_cues():
         assert counts["name"] >= 1 and not re.search("Ada|Lovelace|Анна|Иванова", new), new
     for said in ("Dear Sir", "Dear Customer", "The name is short", "Smith left"):
         assert surrogates.rewritten(said, KEY, {})[0] == said
+
+
+def test_a_key_is_needed(docs):
+    with pytest.raises(ValueError):
+        surrogates.replaced(docs([(1, "x")]), "")
+    with pytest.raises(TypeError):
+        surrogates.replaced(docs([(1, "x")]))
+
+
+def test_more_surnames_than_short_replacements(spark):
+    """60,000 surnames and 50,653 replacements of three syllables: the others get longer ones."""
+    rows = spark.range(60_000).selectExpr("'t' AS text_key", "'name' AS kind", "concat('/', translate(cast(id AS string), '0123456789', 'qwxyzhjcvu')) AS part")
+    got = surrogates.assigned(rows, KEY).collect()
+    assert len({r["part"] for r in got}) == len({r["surrogate"] for r in got}) == 60_000
+    assert {len(r["surrogate"]) for r in got} >= {6, 8}
+
+
+@pytest.mark.parametrize("kind, parts", [
+    ("email", [f"{c}@x.org" for c in "abcdefghijklmnopqrstuvwxyzéü"]),
+    ("domain", [f"{c}.org" for c in "abcdefghijklmnopqrstuvwxyz"]),
+    ("ip", [f"1.1.{a}.{b}" for a in range(10) for b in range(10)]),
+    ("name", [f"{g}{n}" for g in ("f:", "m:", ":", "/") for n in "anna kim john smith".split()]),
+    ("phone", [f"+1 {n:02}".replace(" ", "") for n in range(100)]),
+])
+def test_small_spaces_grow(spark, kind, parts):
+    rows = spark.createDataFrame([("t", kind, p) for p in parts], "text_key string, kind string, part string")
+    got = surrogates.assigned(rows, KEY).collect()
+    read = {re.sub("^[fm]?[:/]", "", p) if kind == "name" else p for p in parts}
+    assert len(got) == len({r["surrogate"] for r in got}) == len(parts) and not {r["surrogate"] for r in got} & read
+
+
+def test_a_redrawn_part_is_redrawn_everywhere():
+    text = "Mr John Smith came. Smith left, Ms Smith too; a@x.org, b@x.org"
+    first, _ = surrogates.rewritten(text, KEY, {})
+    again, _ = surrogates.rewritten(text, KEY, {("name", "/smith"): 3, ("domain", "x.org"): 9})
+    form = r"Mr (\w+) (\w+) came\. (\w+) left, Ms (\w+) too; (\w)@(\w+)\.org, (\w)@(\w+)\.org"
+    one, two = re.fullmatch(form, first).groups(), re.fullmatch(form, again).groups()
+    assert one[1] == one[2] == one[3] and two[1] == two[2] == two[3] != one[1]
+    assert one[0] == two[0] and one[4] == two[4] and one[6] == two[6]
+    assert one[5] == one[7] != two[5] == two[7] and len(two[5]) == 2
+
+
+def test_longer_names_go_whole():
+    new, counts = surrogates.rewritten("Señora Ana Lucía García Márquez Ruiz; Mr John Smith The Great House", KEY, {})
+    assert counts["name"] == 2 and not re.search("Ana|Luc|Garc|Rqu|Ruiz|John|Smith", new) and new.endswith(" The Great House")
+
+
+def test_many_names_in_a_long_text():
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    name = lambda i: "Q" + "".join(letters[i // 26**k % 26] for k in range(4))
+    texts = [" ".join(f"Mr John {name(i)} met. {name(i)} left." for i in range(n)) for n in (4_000, 16_000)]
+    seconds = []
+    for text in texts:
+        start = time.process_time()
+        new, counts = surrogates.rewritten(text, KEY, {})
+        seconds.append(time.process_time() - start)
+        assert counts["name"] == 2 * text.count("Mr ") and "Q" not in new
+    assert seconds[1] < 12 * seconds[0]  # four times the text
+
+
+def test_distinct_and_coherent_over_the_documents(spark, docs, corpus):
+    """Every entity of the test documents has one replacement, no two the same, none a real entity."""
+    rows = [(d, t) for d, t, *_ in corpus]
+    new = {r["doc_id"]: r["text"] for r in surrogates.replaced(docs(rows), KEY).collect()}
+    of: dict[tuple[str, str], str] = {}
+    for doc_id, text in rows:
+        found = surrogates.entities(text)
+        if not found:
+            continue
+        at, form = 0, ""
+        for a, b, *_ in found:
+            form += re.escape(text[at:a]) + "(.+?)"
+            at = b
+        said = re.fullmatch(form + re.escape(text[at:]), new[doc_id], re.DOTALL).groups()
+        for (_, _, kind, entity), replacement in zip(found, said):
+            plain = re.sub(r"\W", "", replacement.lower()) if kind in ("phone", "card", "ssn", "iban") else replacement.lower()
+            plain = plain.split(" ")[-1] if kind == "name" else plain  # surnames
+            entity = entity.lower().split(" ")[-1] if kind == "name" else entity
+            entity = re.sub(r"\W", "", entity) if kind == "phone" else entity
+            assert of.setdefault((kind, entity), plain) == plain
+    for kind in surrogates.KINDS:
+        mine = {e: r for (k, e), r in of.items() if k == kind}
+        assert len(set(mine.values())) == len(mine) and not set(mine.values()) & {e.lower() for e in mine}
+    assert {"email", "ip", "card"} <= {kind for kind, _ in of}
