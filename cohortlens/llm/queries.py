@@ -65,8 +65,7 @@ def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = warc.archived(table(spark, sf_dir, "pages")).where("kind = 'record'")
-    return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return warc.archived(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,8 @@ hold are kept, and the member is a gap.
 
 Defined cases: a null html is an empty payload, a null url an empty address; of repeated rows with one id all are
 responses or all revisits; a null page_id is written and read back as null; an empty table gives no records. An archive
-file holds at most ``FILE_RECORDS`` records, so a task that reads one is bounded.
+file ends at ``FILE_BYTES`` or with the record that reaches them, so a task that reads one holds about that much, or one very
+long page. Pages that were archived and read back have all their records, or the query ends with an error.
 """
 
 from __future__ import annotations
@@ -29,7 +30,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from cohortlens.operators.joins import attach
 from cohortlens.sources.scratch import scratch_path
 
-FILE_RECORDS = 4000
+#: Compressed size of an archive file, and of the rows that the writer counts to keep to it.
+FILE_BYTES, ROW_BYTES = 32 << 20, 1 << 20
 #: Payloads from this size on are stored once.
 LEAST_BYTES = 0
 #: Fixed values of the format.
@@ -85,17 +87,29 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = LEAST_BYTES)
     refers = F.when(F.col("page_id") != F.col("keeper"), F.col("keeper"))
     kept = kept.select("page_id", "url", "html", refers.alias("refers_to"))
 
-    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def of(parts: list[bytes]) -> pa.RecordBatch:
+            # A row for each ROW_BYTES: those after the first of a long member are empty, which writes an empty member more.
+            fill = [b""] * (sum(map(len, parts)) // ROW_BYTES)
+            return pa.RecordBatch.from_arrays([pa.array([EMPTY_MEMBER.join(parts), *fill], pa.binary())], names=["members"])
+
+        waiting: list[bytes] = []
+        size = 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                rows = batch.slice(at, 512).to_pylist()
-                packed = [_member(record(r["page_id"], r["url"], r["html"].encode(), r["refers_to"])) for r in rows]
-                yield pa.RecordBatch.from_arrays([pa.array(packed, pa.binary())], names=["member"])
+            for page_id, url, html, refers_to in zip(*batch.columns):
+                member = _member(record(page_id.as_py(), url.as_py(), html.as_py().encode(), refers_to.as_py()))
+                if waiting and size + len(member) > ROW_BYTES:
+                    yield of(waiting)
+                    waiting, size = [], 0
+                waiting.append(member)
+                size += len(member)
+        if waiting:
+            yield of(waiting)
 
     # The text writer puts a row's bytes out as they are; Latin-1 maps the separator's characters to its bytes.
-    written = kept.mapInArrow(members, "member binary").select(F.col("member").cast("string").alias("value"))
+    written = kept.mapInArrow(rows, "members binary").select(F.col("members").cast("string").alias("value"))
     written.write.option("lineSep", EMPTY_MEMBER.decode("latin-1")).option("encoding", "ISO-8859-1").option(
-        "maxRecordsPerFile", FILE_RECORDS
+        "maxRecordsPerFile", FILE_BYTES // ROW_BYTES
     ).text(path)
 
 
@@ -268,9 +282,16 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = True) ->
     return files.select("path", "content").mapInArrow(parse, _READ)
 
 
+def intact(rows: DataFrame) -> DataFrame:
+    """What ``read_archives`` read, or an error where it holds a gap or a payload that differs from its digest."""
+    whole = (F.col("kind") == "record") & F.col("record_type").isin("response", "revisit")
+    at = F.concat(F.lit("damaged archive: "), F.col("file"), F.lit(" at "), F.col("position").cast("string"))
+    return rows.where(F.when(whole, F.lit(True)).otherwise(F.raise_error(at).cast("boolean")))
+
+
 def archived(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
-    """Write the pages to archives in the shared folder and read every record back."""
+    """Write the pages to archives in the shared folder and read every record back; damage is an error."""
     spark = pages.sparkSession
     path = scratch_path(spark, "warc")
     write_archives(pages, path, least_bytes)
-    return read_archives(spark, path, with_payload=False)
+    return intact(read_archives(spark, path, with_payload=False))

@@ -1,7 +1,10 @@
 import gzip
 import hashlib
+import os
 import random
 
+import pytest
+
 from cohortlens.llm import warc
 from cohortlens.sources.scratch import scratch_path
 
@@ -97,3 +100,34 @@ def test_salvage_inside_members_of_many_records():
     assert gaps(cut)[-1] == (0, len(cut))
     checksum = whole[:-8] + bytes([whole[-8] ^ 1]) + whole[-7:]
     assert [r[1] for r in records(checksum + after)] == name(0, 1, 2, 3, 4, 5, 9) and gaps(checksum + after) == [(0, len(checksum))]
+
+
+def test_files_are_bounded_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(warc, "ROW_BYTES", 1000)
+    monkeypatch.setattr(warc, "FILE_BYTES", 8000)
+    noise = random.Random(3)
+    rows = [(i, "u", noise.randbytes(size // 2).hex()) for i, size in enumerate([200] * 60 + [40_000, 10, 3_000, 9_000, 10] + [200] * 20)]
+    path = scratch_path(spark, "warc-bytes")
+    warc.write_archives(spark.createDataFrame(rows, PAGES).coalesce(1), path)
+    sizes = [os.path.getsize(os.path.join(path, f)) for f in os.listdir(path) if f.startswith("part-")]
+    assert len(sizes) >= 6 and sorted(sizes)[-2] < 8000 + 9000 and max(sizes) < 8000 + 40_000
+    got = warc.intact(warc.read_archives(spark, path)).collect()
+    assert sorted((r["page_id"], r["payload"].decode()) for r in got) == sorted((i, html) for i, _, html in rows)
+
+
+def test_damage_is_an_error(spark):
+    path = scratch_path(spark, "warc-damage")
+    warc.write_archives(spark.createDataFrame([(i, "u", f"<p>{i}</p>") for i in range(5)], PAGES).coalesce(1), path)
+    assert warc.intact(warc.read_archives(spark, path)).count() == 5
+    (name,) = [f for f in os.listdir(path) if f.startswith("part-")]
+    with open(os.path.join(path, name), "rb") as file:
+        data = bytearray(file.read())
+    data[60] ^= 0x5A
+    broken = scratch_path(spark, "warc-damaged")
+    os.makedirs(broken)
+    with open(os.path.join(broken, name), "wb") as file:
+        file.write(data)
+    rows = warc.read_archives(spark, broken)
+    assert rows.where("kind = 'gap'").count() >= 1
+    with pytest.raises(Exception, match="damaged archive"):
+        warc.intact(rows).collect()
