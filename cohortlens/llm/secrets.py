@@ -11,11 +11,13 @@ from its header to its end, counted by its body. Positions count code points, en
 
 All of it is column expressions, aggregations and joins. Defined cases: a null text is empty and has no spans; a null
 owner or repository is an owner of its own; repeated rows count once per repository; an empty table gives an empty
-result; columns that are not named do not matter.
+result; columns that are not named do not matter. Texts may be long and hold any number of spans.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cohortlens.sources.scratch import written
@@ -63,33 +65,73 @@ REPLACEMENT = "[SECRET]"
 _KEY_PLACEHOLDER = r"(?i)example|sample|dummy|changeme|placeholder|x{8}"
 
 
+#: Numbers that a running total takes at a time, and a place behind every text.
+_BLOCK, _FAR = 128, 2**31 - 1
 _SPANS = "array<struct<start:int,rank:int,kind:string,end:int,value:string>>"
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, the value computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _running(numbers: Column, join: Callable[[Column, Column], Column], zero: int) -> Column:
+    """Running totals of a list of integers by an associative ``join``. Lists grow by copying, so totals are taken within
+    blocks, then over the blocks: far from the square of the length for any text."""
+    start = F.struct(F.lit(zero).alias("at"), F.array().cast("array<int>").alias("out"))
+
+    def within(acc: Column, number: Column) -> Column:
+        at = join(acc["at"], number)
+        return F.struct(at.alias("at"), F.concat(acc["out"], F.array(at)).alias("out"))
+
+    def before(acc: Column, block: Column) -> Column:
+        return F.struct(join(acc["at"], block["at"]).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out"))
+
+    def blocks(each: Column) -> Column:
+        firsts = F.sequence(F.lit(1), F.greatest(F.size(each), F.lit(1)), F.lit(_BLOCK))
+        return F.transform(firsts, lambda first: F.aggregate(F.slice(each, first, _BLOCK), start, within))
+
+    def added(cut: Column) -> Column:
+        offsets = F.aggregate(cut, start, before)["out"]
+        return F.flatten(F.zip_with(cut, offsets, lambda block, at: F.transform(block["out"], lambda n: join(at, n))))
+
+    return _once(_once(numbers, blocks), added)
+
+
 def _matches(text: Column, pattern: str, kind: str) -> Column:
     """array<struct(start, rank, kind, end, value)>: pieces between matches and matches, their lengths summed up."""
     rank = KINDS.index(kind)
-    piece, match = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), 0)
-    empty = F.array().cast(_SPANS)
-
-    def step(acc: Column, pair: Column) -> Column:
-        start = acc["at"] + F.length(pair["piece"])
-        end = start + F.length(pair["match"])
-        own = F.struct(
-            start.alias("start"), F.lit(rank).alias("rank"), F.lit(kind).alias("kind"), end.alias("end"),
-            pair["match"].alias("value"),
-        )
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(own)).alias("out"))
 
-    pairs = F.zip_with(
-        F.slice(piece, 1, F.size(match)), match, lambda p, m: F.struct(p.alias("piece"), m.alias("match"))
-    )
-    summed = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), empty.alias("out")), step)["out"]
-    return F.when(text.rlike(pattern), summed).otherwise(empty)
+    def spans(match: Column) -> Column:
+        piece = F.slice(F.split(text, pattern, -1), 1, F.size(match))
+        ends = _running(F.zip_with(piece, match, lambda p, m: F.length(p) + F.length(m)), lambda x, y: x + y, 0)
+        return F.zip_with(ends, match, lambda end, m: F.struct(
+            (end - F.length(m)).alias("start"), F.lit(rank).alias("rank"), F.lit(kind).alias("kind"), end.alias("end"), m.alias("value"),
+        ))
+
+    found = _once(F.regexp_extract_all(text, F.lit(pattern), 0), spans)
+    return F.when(text.rlike(pattern), found).otherwise(F.array().cast(_SPANS))
 
 
 def _free_of(own: Column, others: Column) -> Column:
-    return F.filter(own, lambda s: ~F.exists(others, lambda o: (o["start"] < s["end"]) & (s["start"] < o["end"])))
+    """The spans of ``own`` that overlap none of ``others``, in order: all are sorted once, then each is held against how far
+    the others before it reach and where the next one starts."""
+
+    def tagged(spans: Column, mine: bool) -> Column:
+        return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(mine).alias("mine"), s.alias("span")))
+
+    def free(every: Column) -> Column:
+        reach = _running(F.transform(every, lambda s: F.when(s["mine"], F.lit(0)).otherwise(s["end"])), F.greatest, 0)
+        starts = F.transform(every, lambda s: F.when(s["mine"], F.lit(_FAR)).otherwise(s["start"]))
+        ahead = F.reverse(_running(F.reverse(starts), F.least, _FAR))
+        around = F.zip_with(reach, ahead, lambda r, n: F.struct(r.alias("reach"), n.alias("next")))
+        judged = F.zip_with(every, around, lambda s, o: F.struct(
+            s["span"].alias("span"), (s["mine"] & (o["reach"] <= s["start"]) & (o["next"] >= s["end"])).alias("free")
+        ))
+        return F.transform(F.filter(judged, lambda s: s["free"]), lambda s: s["span"])
+
+    some = (F.size(own) > 0) & (F.size(others) > 0)
+    return F.when(some, _once(F.sort_array(F.concat(tagged(own, True), tagged(others, False))), free)).otherwise(own)
 
 
 def _is_block(value: Column) -> Column:

@@ -1,7 +1,10 @@
 import hashlib
+import random
 import re
+import time
 
 import duckdb
+from pyspark.sql import functions as F
 
 from cohortlens.llm import oracle, secrets
 
@@ -94,3 +97,29 @@ def test_private_keys_are_counted_and_redacted_whole(docs):
     assert "and ends with" in got[23]
     spans = {r["doc_id"]: [(s["kind"], s["start"], s["end"], s["live"]) for s in r["spans"]] for r in secrets.secrets(docs(rows)).collect()}
     assert all(spans[i] == [("format", 7, 7 + len(key(i)), True)] for i in range(5)) and spans[10] == spans[11] == []
+
+
+def test_overlaps_equal_brute_force(spark):
+    draw = random.Random(5)
+
+    def spans(n, rank):
+        return [(a, rank, "k", a + 1 + draw.randrange(12), f"{rank}.{i}") for i, a in enumerate(sorted(draw.sample(range(6000), n)))]
+
+    rows = [(i, spans(n, 4), spans(m, 0) + spans(m // 2, 1)) for i, (n, m) in enumerate([(0, 0), (5, 0), (0, 5), (1, 2), (40, 60), (128, 129), (700, 300), (257, 1)])]
+    got = spark.createDataFrame(rows, f"i int, own {secrets._SPANS}, others {secrets._SPANS}").select("i", secrets._free_of(F.col("own"), F.col("others")).alias("free"))
+    for i, free in got.collect():
+        _, own, others = rows[i]
+        assert [tuple(s) for s in free] == [s for s in own if not any(o[0] < s[3] and s[0] < o[3] for o in others)]
+
+
+def test_many_spans_in_a_text(docs):
+    """The time grows about as the text does."""
+    made = lambda n: " ".join(f"token=v{i}a6c8e ghp_{i:020d} {i:024x} {hashlib.md5(str(i).encode()).hexdigest()[:20].upper()}" for i in range(n))
+    seconds = []
+    for n in (1_000, 8_000):
+        text = made(n)
+        start = time.time()
+        (row,) = secrets.secrets(docs([(1, text)])).collect()
+        seconds.append(time.time() - start)
+        assert ",".join(f"{s['kind']}:{s['start']}:{s['end']}" for s in row["spans"] if s["rank"] < 3) == base(text)
+    assert seconds[1] < 8 * seconds[0] + 10
