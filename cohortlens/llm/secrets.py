@@ -67,6 +67,7 @@ _KEY_PLACEHOLDER = r"(?i)example|sample|dummy|changeme|placeholder|x{8}"
 
 #: Numbers that a running total takes at a time, and a place behind every text.
 _BLOCK, _FAR = 128, 2**31 - 1
+_HASHED = "struct<start:int,rank:int,kind:string,end:int,from:int,hash:string,random:boolean>"
 _SPANS = "array<struct<start:int,rank:int,kind:string,end:int,value:string>>"
 
 
@@ -243,10 +244,28 @@ def _judged(rows: DataFrame, live: DataFrame, spans: str) -> DataFrame:
     return joined.withColumn("__live", F.coalesce("__live", none)).drop("__set").unionByName(without)
 
 
+def _verdicts(spans: Column, live: Column) -> Column:
+    """The spans in order, each with ``live``: whether its hash is among the live ones. Both are sorted by hash once, a live
+    hash before its spans."""
+
+    def said(every: Column) -> Column:
+        places = F.transform(every, lambda e, i: F.when(e["span"].isNull(), i).otherwise(F.lit(-1)))
+        latest = _running(places, F.greatest, -1)
+        judged = F.zip_with(every, latest, lambda e, at: F.when(
+            e["span"].isNotNull(), e["span"].withField("live", F.coalesce(F.get(every, at)["hash"] == e["hash"], F.lit(False)))
+        ))
+        return F.sort_array(F.filter(judged, lambda s: s.isNotNull()))
+
+    none = F.lit(None).cast(_HASHED)
+    hashes = F.transform(live, lambda h: F.struct(h.alias("hash"), F.lit(0).alias("after"), none.alias("span")))
+    tagged = F.transform(spans, lambda s: F.struct(s["hash"].alias("hash"), F.lit(1).alias("after"), s.alias("span")))
+    plain = F.transform(spans, lambda s: s.withField("live", F.lit(False)))
+    return F.when(F.size(live) > 0, _once(F.sort_array(F.concat(hashes, tagged)), said)).otherwise(plain)
+
+
 def _reported(spans: str) -> Column:
     """Base spans and the live ones of the other kinds, each with its verdict, in order."""
-    judged = F.transform(spans, lambda s: s.withField("live", F.array_contains("__live", s["hash"])))
-    return F.filter(judged, lambda s: (s["rank"] < 3) | s["live"])
+    return F.filter(_verdicts(F.col(spans), F.col("__live")), lambda s: (s["rank"] < 3) | s["live"])
 
 
 def secrets(docs: DataFrame, owner: tuple[str, ...] = OWNER, repository: tuple[str, ...] = REPOSITORY) -> DataFrame:
@@ -270,7 +289,7 @@ def redacted(docs: DataFrame, owner: tuple[str, ...] = OWNER, repository: tuple[
     live = _live_sets(located.select(F.col("__owner").alias("owner"), F.col("__repository").alias("repository"), F.col("__spans").alias("spans")))
     judged = _judged(located, live, "__spans")
     cuts = F.array_sort(F.transform(
-        F.filter("__spans", lambda s: F.array_contains("__live", s["hash"])),
+        F.filter(_verdicts(F.col("__spans"), F.col("__live")), lambda s: s["live"]),
         lambda s: F.struct(s["from"].alias("from"), s["end"].alias("end")),
     ))
 
