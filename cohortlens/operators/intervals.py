@@ -7,6 +7,7 @@ the number of a region's bins is its length over ``bin_bases``.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -14,6 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from cohortlens.operators.joins import settled
 
 BIN_BASES = 16_384
+#: Rows of one laid out file as they are held in memory, where a task sorts them; shuffled and stored they are far smaller.
+FILE_BYTES = 96 << 20
 #: Bounds of at most this many chromosomes are pushed one by one, else the outermost ones.
 _CHROMOSOMES = 200
 
@@ -23,14 +26,25 @@ def with_last(calls: DataFrame) -> DataFrame:
     return calls.withColumn("last", F.col("pos") + F.greatest(F.length("ref"), F.lit(1)) - 1)
 
 
+def _held_bytes(rows: DataFrame) -> int:
+    """About how many bytes the rows take while they are sorted: their texts, and some words per row and column."""
+    texts = [F.coalesce(F.octet_length(f"`{n}`"), F.lit(0)) for n, t in rows.dtypes if t == "string"]
+    words = F.lit(8 * (6 + 2 * len(rows.columns))).cast("bigint")
+    return rows.agg(F.sum(reduce(lambda a, b: a + b, texts, words))).first()[0] or 0
+
+
 def lay_out(calls: DataFrame, folder: str, files: int | None = None) -> None:
     """Write ``calls`` with their ``last`` base, in files of neighbouring positions.
 
     Row groups then span short stretches of one chromosome, and the scan skips those that no region reaches. ``files``
-    is the number of position ranges, by default that of the session's shuffle partitions.
+    is the number of position ranges, by default one per ``FILE_BYTES`` of rows in memory and at least one per core: long
+    alleles shrink so much when they are shuffled that ranges of a given shuffled size would be too large to sort. The calls
+    are read three times (size, bounds of the ranges, rows), so they should come from a table.
     """
     spans = with_last(calls)
-    ranged = spans.repartitionByRange(files, "chrom", "pos") if files else spans.repartitionByRange("chrom", "pos")
+    if not files:
+        files = max(math.ceil(_held_bytes(spans) / FILE_BYTES), spans.sparkSession.sparkContext.defaultParallelism)
+    ranged = spans.repartitionByRange(files, "chrom", "pos")
     ranged.sortWithinPartitions("chrom", "pos").write.parquet(folder)
 
 

@@ -63,3 +63,14 @@ def test_nothing_to_find(spark):
     assert iv.overlaps(calls.limit(0), spark.createDataFrame([("a", "6", 1, 9)], REGION)).count() == 0
     with pytest.raises(ValueError):
         iv.overlaps(calls, none, "outer")
+
+
+def test_files_of_long_alleles_stay_small_in_memory(spark, tmp_path, monkeypatch):
+    # Such texts shrink to nothing when shuffled, so the number of files must not depend on shuffled sizes.
+    monkeypatch.setattr(iv, "FILE_BYTES", 1 << 20, raising=False)
+    calls = spark.range(2000).selectExpr("'6' as chrom", "id * 3 as pos", "repeat('A', 5000) as ref", "'G' as alt", "'s' as sample")
+    iv.lay_out(calls, str(tmp_path / "calls"))
+    held = [sum(len(t) for t in pq.read_table(f)["ref"].to_pylist()) for f in Path(tmp_path / "calls").glob("*.parquet")]
+    assert len(held) >= 10 and max(held) < 3 << 20 and sum(held) == 10_000_000
+    iv.lay_out(calls.limit(0), str(tmp_path / "none"))
+    assert iv.read_laid_out(spark, str(tmp_path / "none")).count() == 0

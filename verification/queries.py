@@ -719,7 +719,7 @@ def _(i):
 def _(i):
     """Records of several bases against the regions of all suppliers, over a table laid out by position."""
     folder = scratch_path(i.spark, "laid-out")
-    spans = i.raw_calls.withColumn("ref", F.repeat(F.lit("A"), (1 + F.pmod(F.col("pos"), F.lit(7)) * 90).cast("int")))
+    spans = written(i.raw_calls, "raw-calls").withColumn("ref", F.repeat(F.lit("A"), (1 + F.pmod(F.col("pos"), F.lit(7)) * 90).cast("int")))
     intervals.lay_out(spans, folder)
     key = F.col("s_suppkey")
     regions = i.table("supplier").select(
