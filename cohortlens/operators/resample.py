@@ -36,7 +36,8 @@ CONFUSION = ("tp", "fp", "tn", "fn")
 _ROWS_PER_BUCKET = 250_000
 _COPIES_PER_CHUNK = 1024
 _PICKS_PER_CHUNK = 65_536
-_DRAWS_PER_TASK = 20_000_000
+# A task also hands on a row per group and replicate, so tasks must be long enough for that not to outweigh their draws.
+_DRAWS_PER_TASK = 200_000_000
 _PICKS_PER_TASK = 1_000_000
 _MAX_TASKS = 50_000
 _BROADCAST_UNITS = 200_000
@@ -232,7 +233,7 @@ class Resampler:
     # -- results --
 
     def sums(self, terms: dict[str, Column]) -> DataFrame:
-        """Weighted sums of per-row ``terms`` by (keys, replicate); the first term must be the constant 1."""
+        """Weighted sums of per-row ``terms`` (of keys, truth and estimate) by (keys, replicate); the first must be the constant 1."""
         names = list(terms)
         held = self._chunks().select("stratum", *self.keys, "size", "start", "copies", "stratum_key",
                                      *[c.cast("double").alias(n) for n, c in terms.items()])
@@ -250,8 +251,9 @@ class Resampler:
         counted = written(counted, "replicate-sums")
         drawn = counted.groupBy("stratum", "replicate").agg(F.sum(names[0]).alias("drawn"))
         kept = counted.join(self._overfull(drawn), ["stratum", "replicate"], "left_anti")
-        picked = self._picked(drawn, [*[F.col(k) for k in self.keys], *[c.cast("double").alias(n) for n, c in terms.items()]])
-        picked = picked.groupBy(*self.keys, "replicate").agg(*[F.sum(n).alias(n) for n in names])
+        # The terms are made of the picked values, so that they are not carried along with every row of the cohort.
+        picked = self._picked(drawn, [F.col(c) for c in (*self.keys, self.truth, self.estimate)])
+        picked = picked.groupBy(*self.keys, "replicate").agg(*[F.sum(c.cast("double")).alias(n) for n, c in terms.items()])
         both = kept.select(*self.keys, "replicate", *names).unionByName(picked)
         return both.groupBy(*self.keys, "replicate").agg(*[F.sum(n).alias(n) for n in names])
 

@@ -43,13 +43,18 @@ def _point_metrics(i: Inputs) -> DataFrame:
     )
 
 
+def _valid(i: Inputs) -> DataFrame:
+    """The rows of ``i.valid``, from pairs that are written first: once for the groups' sizes and once for the rows."""
+    return written(cohort.min_group_filter(written(i.pairs, "pairs")), "valid")
+
+
 def _numeric_boot(i: Inputs) -> DataFrame:
-    return resample.numeric_boot(written(i.valid, "valid"), FULL_REPLICATES, SEED)
+    return resample.numeric_boot(_valid(i), FULL_REPLICATES, SEED)
 
 
 def _class_boot(i: Inputs) -> DataFrame:
     """The bootstrap that a validation run makes, with as many resamples."""
-    return resample.class_boot(written(i.valid, "valid"), THRESHOLDS, FULL_REPLICATES, SEED)
+    return resample.class_boot(_valid(i), THRESHOLDS, FULL_REPLICATES, SEED)
 
 
 # ---- sources, sinks, contracts ---------------------------------------------------------------------------------
@@ -390,7 +395,7 @@ def _(i):
 
 @register("bootstrap_ci")
 def _(i):
-    resampler = resample.numeric_resampler(written(i.valid, "valid"), FULL_REPLICATES, SEED)
+    resampler = resample.numeric_resampler(_valid(i), FULL_REPLICATES, SEED)
     return rounded(resample.bootstrap_ci(resample.numeric_replicates(resampler), [GROUP, "metric"]))
 
 
@@ -544,12 +549,12 @@ def _(i):
 
 @register("bootstrap_weights")
 def _(i):
-    resampler = resample.numeric_resampler(written(i.valid, "valid"), REPLICATES, SEED)
+    resampler = resample.numeric_resampler(_valid(i), REPLICATES, SEED)
     return rounded(resampler.weights())
 
 
 def _weight_vectors(i: Inputs) -> DataFrame:
-    resampler = resample.numeric_resampler(written(i.valid, "valid"), FULL_REPLICATES, SEED)
+    resampler = resample.numeric_resampler(_valid(i), FULL_REPLICATES, SEED)
     return written(replicates.weight_vectors(resampler), "weight-vectors")
 
 
@@ -593,7 +598,7 @@ def _(i):
 
 @register("class_boot_by_row")
 def _(i):
-    return rounded(resample.class_boot(written(i.valid, "valid"), THRESHOLDS, REPLICATES, SEED, by_cell=False))
+    return rounded(resample.class_boot(_valid(i), THRESHOLDS, REPLICATES, SEED, by_cell=False))
 
 
 # ---- impact ----------------------------------------------------------------------------------------------------
