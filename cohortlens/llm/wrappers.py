@@ -32,6 +32,7 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from difflib import SequenceMatcher
+from functools import lru_cache
 
 import pandas as pd
 import pyarrow as pa
@@ -75,7 +76,6 @@ _TOKEN = re.compile(
     re.S,
 )
 _ATTRIBUTE = re.compile(r"(?<![\w-])(class|id|role|itemprop|hidden|aria-hidden|style)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
-_SPACE = re.compile(r"\s+")
 #: A path inside a heading.
 _HEADING = re.compile(r"(?:^|/)h[1-6](?=[./]|$)")
 #: A text is a constant of its host's template if this many different pages, and this share of those that have the slot, hold it.
@@ -108,6 +108,7 @@ def _marking_id(value: str) -> bool:
     return bool(_MARKS.fullmatch(value)) or any(_MARKS.search(piece) for piece in pieces) and all(piece in _BESIDE or _MARKS.search(piece) for piece in pieces)
 
 
+@lru_cache(maxsize=4096)
 def _attributes(rest: str) -> tuple[str, str, str, bool, bool]:
     """Class, id and role as words, class and role alone, the id, whether the element is hidden, whether it is marked as content."""
     words, roles, own, hidden, content = [], [], "", False, False
@@ -126,32 +127,43 @@ def _attributes(rest: str) -> tuple[str, str, str, bool, bool]:
     return " ".join(words), " ".join(roles), own, hidden, content
 
 
+def _spaced(said: str) -> str:
+    """The text with every run of white space as one space."""
+    words = said.split()
+    if not words:
+        return " " if said else ""
+    return (" " if said[0].isspace() else "") + " ".join(words) + (" " if said[-1].isspace() else "")
+
+
 def parse(page: str | None) -> tuple[list[str], list[Text]]:
     """The page's stream of tags and text places, and its texts."""
     stream: list[str] = []
     texts: list[Text] = []
-    # name, label, dropped so far, region so far (0 body, 1 content container, 2 main, 3 article), ids that may mark
+    # name, path, dropped so far, region so far (0 body, 1 content container, 2 main, 3 article), ids that may mark
     stack: list[tuple[str, str, bool, int, tuple[str, ...]]] = [("", "", False, 0, ())]
     block, at, page = 0, 0, page or ""
     while at < len(page):
         token = _TOKEN.search(page, at)
         upto = token.start() if token else len(page)
         if upto > at:
-            said = _SPACE.sub(" ", html.unescape(page[at:upto]))
-            if said.strip():
-                path = "/".join(entry[1] for entry in stack[1:])
-                texts.append(Text(path, said, block, *stack[-1][2:]))
-                stream.append(f"#{'-' if stack[-1][2] else stack[-1][3]}{path}")
+            said = _spaced(html.unescape(page[at:upto]))
+            if said and said != " ":
+                path, dropped, region, ids = stack[-1][1:]
+                texts.append(Text(path, said, block, dropped, region, ids))
+                stream.append(f"#{'-' if dropped else region}{path}")
             elif said and texts and texts[-1].block == block:
                 texts[-1].said += " "
         if token is None:
             break
-        at, name = token.end(), (token["name"] or "").lower()
+        at, (end, name, rest) = token.end(), token.group("end", "name", "rest")
         if not name:
             continue
-        if token["end"]:
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == name), 0)
-            if depth:
+        name = name.lower()
+        if end:
+            if stack[-1][0] == name:
+                stack.pop()
+                stream.append(f"/{name}")
+            elif depth := next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == name), 0):
                 del stack[depth:]
                 stream.append(f"/{name}")
             block += name in _BLOCK
@@ -162,21 +174,23 @@ def parse(page: str | None) -> tuple[list[str], list[Text]]:
             while stack[-1][0] in closed:
                 stack.pop()
             if name != "br":  # a block ends an open paragraph and the inline elements in it
-                depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] in _BLOCK), 0)
+                depth = len(stack) - 1
+                while depth and stack[depth][0] not in _BLOCK:
+                    depth -= 1
                 if depth and stack[depth][0] == "p":
                     del stack[depth:]
-        known = "=" in token["rest"] or "hidden" in token["rest"]
-        words, roles, own_id, hidden, content = _attributes(token["rest"]) if known else ("", "", "", False, False)
+        known = "=" in rest or "hidden" in rest
+        words, roles, own_id, hidden, content = _attributes(rest) if known else ("", "", "", False, False)
         label = name + ("." + ".".join(words.split()) if words else "")
         stream.append(label)
-        if name in _VOID or token["rest"].endswith("/"):
+        if name in _VOID or rest.endswith("/"):
             continue
         if name in _RAW:
-            end = re.compile(rf"</{name}\b[^>]*>?", re.I).search(page, at)
-            if end or name in ("script", "style"):
-                at = end.end() if end else len(page)
+            closing = re.compile(rf"</{name}\b[^>]*>?", re.I).search(page, at)
+            if closing or name in ("script", "style"):
+                at = closing.end() if closing else len(page)
             continue
-        before, region, ids = stack[-1][2:]
+        path, before, region, ids = stack[-1][1:]
         # A header inside an article is the article's own heading.
         own = name in _NO_TEXT and not (name == "header" and region == 3)
         # An id is often made of a title: it marks no heading, in content only as a whole, in an article if the host repeats it.
@@ -192,7 +206,7 @@ def parse(page: str | None) -> tuple[list[str], list[Text]]:
         if name == "article" and words and re.search(r"(?:^|[\s_-])comments?(?=$|[\s_-])", words):
             dropped = True
         region = max(region, 3 if name == "article" else 2 if name == "main" else 1 if content and not dropped else 0)
-        stack.append((name, label, dropped, region, ids))
+        stack.append((name, f"{path}/{label}" if len(stack) > 1 else label, dropped, region, ids))
     return stream, texts
 
 
@@ -221,7 +235,7 @@ def main_text(page: str | None, slots: set[str], constants: set[tuple[str, int]]
     blocks: dict[int, list[str]] = {}
     for t, _ in chosen:
         blocks.setdefault(t.block, []).append(t.said)
-    joined = (_SPACE.sub(" ", "".join(parts)).strip() for parts in blocks.values())
+    joined = (" ".join("".join(parts).split()) for parts in blocks.values())
     return "\n".join(b for b in joined if b)
 
 

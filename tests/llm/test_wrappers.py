@@ -142,3 +142,22 @@ def test_section_headings_inside_an_article_stay(spark):
     found = {r["page_id"]: r["text"] for r in wrappers.extracted(spark.createDataFrame(rows, PAGES)).collect()}
     for i in range(6):
         assert found[i] == f"Serves four\nRecipe {i}\nIngredients\nMain part\nEggs, {i} of them\nMethod\nStir {i} times, then wait for {i} minutes."
+
+
+def test_white_space_and_repeated_attributes():
+    import re
+    import sys
+
+    from cohortlens.llm import wrappers
+
+    for code in range(sys.maxunicode + 1):
+        c = chr(code)
+        if c.isspace() or re.match(r"\s", c) or code < 0x300:
+            for said in (c, f"a{c}{c}b", f"{c} a", f"a{c}", f"{c}{c}"):
+                assert wrappers._spaced(said) == re.sub(r"\s+", " ", said), hex(code)
+    # Attributes of a template are read once, not at every tag of every page.
+    wrappers._attributes.cache_clear()
+    page = '<html><body><div class="a b">' + '<p class="text lead">x</p>' * 50 + "</div></body></html>"
+    stream, texts = wrappers.parse(page)
+    assert wrappers._attributes.cache_info().misses == 2
+    assert {t.path for t in texts} == {"html/body/div.a.b/p.text.lead"} and len(texts) == 50
