@@ -1,9 +1,11 @@
 """Phrase collocations from count streams kept in prefix and in suffix order.
 
 Counting. A phrase can only be frequent if the two phrases one word shorter in it are. Occurrences of two-word phrases
-are first counted in a table of ``CELLS`` cells, then those of three-word phrases whose parts may be frequent; a phrase
+are first counted in a table of cells, then those of three-word phrases whose parts may be frequent; a phrase
 whose cell has too few is skipped. Whatever the tables let through, also by chance, is counted as it is and dropped by
-its count: the streams of frequent phrases are exact, and a crowded table costs time only.
+its count: the streams of frequent phrases are exact, and a crowded table costs time only. So that it does not crowd, a
+table has cells in proportion to the bytes of the texts, up to ``MOST_CELLS``. A task hands on the cells it met, and the
+tables go to the tasks as bits.
 
 Estimation. The stream of all phrases, sorted by (language, last word, last but one, ...), is read once: a phrase's
 endings lie on the path above it, so one stack of at most ``LONGEST`` entries hands it the counts of all its endings
@@ -30,6 +32,7 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 import xxhash
 
@@ -43,9 +46,13 @@ LEAST_COUNT = 30
 CONTAINED = 80
 SCALE = 2_000_000
 BEST = 2000
-#: Cells of a table, one byte each in every task, and cells that are added up as one row.
+#: Cells of a table at least and at most (a bit each in every task), bytes of text per cell, and cells that are added up as one row.
 CELLS = 1 << 23
+MOST_CELLS = 1 << 29
+BYTES_PER_CELL = 40
 _CELL_ROW = 1 << 16
+#: Met cells that a task holds before it hands them on.
+_HELD_CELLS = 1 << 22
 #: Words that a task counts at once, and rows of a batch it hands on.
 CHUNK_WORDS = 1 << 20
 _BATCH_ROWS = 1 << 16
@@ -59,22 +66,11 @@ _PIECE_BYTES = bytes(46 if c in b".,;:!?\n\x0b\x0c\r" else 32 if c == 9 else c +
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def words_and_stops(text: bytes | None) -> list[bytes]:
-    """The words of a UTF-8 text, with a full stop after each piece."""
-    return text.translate(_PIECE_BYTES).replace(b".", b" . ").split() + [b"."] if text else []
-
-
-class _Numbers(dict):
-    """Words by number, in the order they came; a full stop is 0."""
-
-    def __init__(self):
-        self.words = [b"."]
-        self[b"."] = 0
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = n = len(self.words)
-        self.words.append(word)
-        return n
+def words_and_stops(texts: list[bytes]) -> pa.DictionaryArray:
+    """The words of UTF-8 texts by number, with a full stop, which has the number 0, around every piece."""
+    marked = b".".join([b"", *texts, b""]).translate(_PIECE_BYTES).replace(b".", b" . ").strip()
+    whole = pa.LargeStringArray.from_buffers(1, pa.py_buffer(np.array([0, len(marked)], np.int64)), pa.py_buffer(marked))
+    return pc.ascii_split_whitespace(whole).values.dictionary_encode()
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -86,11 +82,13 @@ def _counted(ids: np.ndarray, length: int, at: np.ndarray) -> tuple[np.ndarray,
     """A position and the number of every distinct phrase among those that start at the given positions."""
     if not len(at):
         return at, at
-    key = ids[at].astype(np.int64)
+    key, bits = ids[at].astype(np.uint64), int(ids.max()).bit_length()
+    used = bits
     for k in range(1, length):
-        if k > 1:
-            key = np.unique(key, return_inverse=True)[1].ravel()
-        key = key << 31 | ids[at + k]
+        if used + bits > 64:
+            key = np.unique(key, return_inverse=True)[1].ravel().astype(np.uint64)
+            used = len(at).bit_length()
+        key, used = key << np.uint64(bits) | ids[at + k].astype(np.uint64), used + bits
     order = np.argsort(key)
     key = key[order]
     new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
@@ -101,15 +99,20 @@ class _Chunk:
     """Words of one language's texts, as numbers."""
 
     def __init__(self):
-        self.numbers, self.parts, self.size = _Numbers(), [], 0
+        self.texts, self.size = [], 0
 
-    def add(self, words: list[bytes]) -> None:
-        self.parts.append(np.fromiter(map(self.numbers.__getitem__, words), np.int32, len(words)))
-        self.size += len(words)
+    def add(self, text: bytes) -> int:
+        """Take a text; about how many words it has."""
+        own = text.count(b" ") + 1
+        self.texts.append(text)
+        self.size += own
+        return own
 
     def settle(self, lang: str, cells: int) -> None:
-        self.ids, self.lang, self.cells = np.concatenate(self.parts), lang, np.uint64(cells)
-        hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in self.numbers.words], np.uint64)
+        found = words_and_stops(self.texts)
+        self.ids, self.words, self.texts = found.indices.to_numpy(), found.dictionary, []
+        self.lang, self.cells = lang, np.uint64(cells)
+        hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in self.words.cast(pa.large_binary()).to_pylist()], np.uint64)
         self.hashes = hashes[self.ids]
         stops = np.flatnonzero(self.ids == 0)
         self.left = np.repeat(stops, np.diff(stops, prepend=-1)) - np.arange(len(self.ids))
@@ -130,17 +133,17 @@ class _Chunk:
             at = np.flatnonzero(shorter[:-1] & shorter[1:])
         else:
             at = np.flatnonzero(self.left >= length)
-        return at[tables[length - 2][self.at_cells(length, at)]] if length - 2 < len(tables) else at
+        return at[_has(tables[length - 2], self.at_cells(length, at))] if length - 2 < len(tables) else at
 
     def rows(self, lengths: tuple[int, ...], tables: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         for length in lengths:
             first, n = _counted(self.ids, length, self.starts(length, tables))
-            words = self.numbers.words
             for i in range(0, len(first), _BATCH_ROWS):
-                own = self.ids[first[i : i + _BATCH_ROWS, None] + np.arange(length)]
-                phrases = [b" ".join([words[w] for w in row]) for row in own.tolist()] if length > 1 else [words[w] for w in own[:, 0].tolist()]
+                own = first[i : i + _BATCH_ROWS]
+                parts = [self.words.take(pa.array(self.ids[own + k])) for k in range(length)]
+                phrases = pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string())) if length > 1 else parts[0]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([self.lang] * len(own)), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(n[i : i + _BATCH_ROWS])],
+                    [pa.repeat(self.lang, len(own)), phrases.cast(pa.string()), pa.array(n[i : i + _BATCH_ROWS])],
                     names=["lang", "phrase", "n"],
                 )
 
@@ -148,70 +151,105 @@ class _Chunk:
 def _chunks(batches: Iterator[pa.RecordBatch], cells: int, chunk_words: int) -> Iterator[_Chunk]:
     """A task's texts by language, in chunks; a very long text is a chunk of its own."""
     held: dict[str, _Chunk] = {}
+    size = 0
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary())):
-            held.setdefault(lang, _Chunk()).add(words_and_stops(text.as_py()))
-            if sum(c.size for c in held.values()) >= chunk_words:
+            size += held.setdefault(lang, _Chunk()).add(text.as_py())
+            if size >= chunk_words:
                 largest = max(held, key=lambda k: held[k].size)
                 chunk = held.pop(largest)
+                size -= chunk.size
                 chunk.settle(largest, cells)
                 yield chunk
     for lang in list(held):
         chunk = held.pop(lang)
-        if chunk.size:
-            chunk.settle(lang, cells)
-            yield chunk
+        chunk.settle(lang, cells)
+        yield chunk
 
 
 def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text").where("length(text) > 0")
 
 
+def cells_for(docs: DataFrame) -> int:
+    """Cells of a table for these texts: few phrases share one unless the texts are many times ``MOST_CELLS``."""
+    size = _texts(docs).agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return min(MOST_CELLS, max(CELLS, 1 << (size // BYTES_PER_CELL).bit_length()))
+
+
 class _Tables:
-    """Tables of cells with enough occurrences, for two words, three words, ...; tasks get them as bits."""
+    """Bits of the cells with enough occurrences, for two words, three words, ..."""
 
     def __init__(self, spark: SparkSession, tables: list[np.ndarray]):
-        self.shared = [spark.sparkContext.broadcast(np.packbits(t)) for t in tables]
+        self.shared = [spark.sparkContext.broadcast(t.tobytes()) for t in tables]
 
     def read(self) -> list[np.ndarray]:
-        return [np.unpackbits(b.value).view(bool) for b in self.shared]
+        return [np.frombuffer(b.value, np.uint8) for b in self.shared]
+
+
+def _has(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return bits[at >> 3] << (at & 7).astype(np.uint8) & 128 > 0
+
+
+def _added(found: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Cells in order, each once, with their counts added up, to 255 at most."""
+    cell, n = np.concatenate(found), np.concatenate(counts)
+    order = np.argsort(cell, kind="stable")
+    cell, n = cell[order], n[order]
+    new = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]]))
+    return cell[new], np.minimum(np.add.reduceat(n, new, dtype=np.int64), 255).astype(np.uint8)
+
+
+def _cell_rows(cell: np.ndarray, n: np.ndarray, row: int) -> Iterator[pa.RecordBatch]:
+    """Met cells in order as rows: the first cell of each run of ``row`` cells, places of two bytes in it, their counts."""
+    which = cell // row
+    first = np.flatnonzero(np.concatenate([[True], which[1:] != which[:-1]]))
+    ends = np.append(first, len(cell)).astype(np.int32)
+    places = pa.py_buffer((cell - which * row).astype(np.uint16))
+    at = pa.array(which[first] * row)
+    where = pa.BinaryArray.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(ends * 2), places])
+    counts = pa.BinaryArray.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(ends), pa.py_buffer(n)])
+    yield from pa.table([at, where, counts], names=["row", "places", "counts"]).to_batches(_BATCH_ROWS)
 
 
 def cell_table(docs: DataFrame, length: int, tables: list[np.ndarray], least: int, cells: int = CELLS, chunk_words: int = CHUNK_WORDS) -> np.ndarray:
-    """Which cells hold at least ``least`` occurrences of phrases of that length. Its size does not depend on the input."""
+    """Bits of the cells that hold at least ``least`` occurrences of phrases of that length."""
     known = _Tables(docs.sparkSession, tables)
     enough, row = min(least, 255), min(_CELL_ROW, cells)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at_work("collocations")
-        own, held = known.read(), np.zeros(cells, np.uint8)
+        own, found, counts = known.read(), [], []
         for chunk in _chunks(batches, cells, chunk_words):
-            found, n = np.unique(chunk.at_cells(length, chunk.starts(length, own)), return_counts=True)
-            held[found] = np.minimum(held[found] + np.minimum(n, 255), 255)
-        for i in range(0, cells, row):
-            if held[i : i + row].any():
-                yield pa.RecordBatch.from_arrays([pa.array([i]), pa.array([held[i : i + row].tobytes()])], names=["row", "counts"])
+            cell, n = np.unique(chunk.at_cells(length, chunk.starts(length, own)), return_counts=True)
+            found.append(cell)
+            counts.append(np.minimum(n, 255).astype(np.uint8))
+            if sum(map(len, found)) >= _HELD_CELLS:
+                yield from _cell_rows(*_added(found, counts), row)
+                found, counts = [], []
+        if sum(map(len, found)):
+            yield from _cell_rows(*_added(found, counts), row)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, total = None, None
         for batch in batches:
-            for i, counts in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for i, places, counts in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
                 if i != now:
                     if now is not None:
                         yield said(now, total)
                     now, total = i, np.zeros(row, np.int64)
-                total += np.frombuffer(counts.as_buffer(), np.uint8)
+                total[np.frombuffer(places.as_buffer(), np.uint16)] += np.frombuffer(counts.as_buffer(), np.uint8)
         if now is not None:
             yield said(now, total)
 
     def said(i: int, total: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([i]), pa.array([np.packbits(total >= enough).tobytes()])], names=["row", "bits"])
 
-    parts = _texts(docs).mapInArrow(count, "row long, counts binary")
+    parts = _texts(docs).mapInArrow(count, "row long, places binary, counts binary")
     added = parts.repartition("row").sortWithinPartitions("row").mapInArrow(add, "row long, bits binary")
-    table = np.zeros(cells, bool)
+    table = np.zeros(-(-cells // 8), np.uint8)
     for i, bits in added.collect():
-        table[i : i + row] = np.unpackbits(np.frombuffer(bits, np.uint8))
+        table[i // 8 : i // 8 + len(bits)] = np.frombuffer(bits, np.uint8)
     return table
 
 
@@ -228,13 +266,17 @@ def phrase_counts(docs: DataFrame, lengths: tuple[int, ...], tables: list[np.nda
     return _texts(docs).mapInArrow(run, "lang string, phrase string, n long").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
 
 
-def frequent_phrases(docs: DataFrame, least: int = LEAST_COUNT, cells: int = CELLS, chunk_words: int = CHUNK_WORDS) -> tuple[DataFrame, DataFrame]:
+def frequent_phrases(docs: DataFrame, least: int = LEAST_COUNT, cells: int | None = None, chunk_words: int = CHUNK_WORDS) -> tuple[DataFrame, DataFrame]:
     """((lang, words, n) of all phrases with at least so many occurrences, (lang, total) words of each language)."""
+    cells = cells or cells_for(docs)
     tables: list[np.ndarray] = []
     for length in range(2, LONGEST):
         tables.append(cell_table(docs, length, tables, least, cells, chunk_words))
-    counted = written(phrase_counts(docs, tuple(range(1, LONGEST + 1)), tables, cells, chunk_words), "phrases")
-    single = counted.where(~F.contains("phrase", F.lit(" ")))
+    is_single = ~F.contains("phrase", F.lit(" "))
+    counted = phrase_counts(docs, tuple(range(1, LONGEST + 1)), tables, cells, chunk_words)
+    # All words stay, for the languages' totals; rare longer phrases are of no use.
+    counted = written(counted.where(is_single | (F.col("n") >= least)), "phrases")
+    single = counted.where(is_single)
     stream = counted.where(F.col("n") >= least).select("lang", F.split("phrase", " ").alias("words"), "n")
     return stream, single.groupBy("lang").agg(F.sum("n").alias("total"))
 

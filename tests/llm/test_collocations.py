@@ -2,6 +2,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from cohortlens.llm import collocations
@@ -76,6 +77,38 @@ def test_crowded_tables_and_small_chunks_lose_nothing(spark, made):
     assert rows[0] == rows[1] and len(rows[0]) > 100
 
 
+def test_tables_grow_with_the_texts(spark, monkeypatch):
+    """Texts of many rare phrases: a table of a fixed size lets all of them through, one of the texts' size next to none."""
+    monkeypatch.setattr(collocations, "CELLS", 64)
+    draw = random.Random(3)
+    texts = [" ".join(f"w{draw.randrange(3000)}" for _ in range(200)) + " new york." for _ in range(60)]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+
+    def let_through(cells):
+        table = collocations.cell_table(docs, 2, [], 30, cells, 1000)
+        return {r["phrase"]: r["n"] for r in collocations.phrase_counts(docs, (2,), [table], cells, 1000).collect()}
+
+    assert len(let_through(64)) > 10_000
+    cells = collocations.cells_for(docs)
+    assert cells >= 60 * 200 * 5 // 40 and len(few := let_through(cells)) < 600 and few["new york"] == 60
+    monkeypatch.setattr(collocations, "MOST_CELLS", 128)
+    assert collocations.cells_for(docs) == 128
+    # What is written holds no rare phrase but the words, which the languages' totals need.
+    kept = {}
+    monkeypatch.setattr(collocations, "written", lambda df, name: kept.setdefault(name, df))
+    collocations.frequent_phrases(docs, 30)
+    assert min(r["n"] for r in kept["phrases"].collect() if " " in r["phrase"]) >= 30
+
+
+def test_met_cells_as_rows():
+    cell, n = collocations._added([np.array([3, 70, 200]), np.array([3, 69, 5000])], [np.array([200, 1, 7], np.uint8), np.array([200, 2, 255], np.uint8)])
+    got = {}
+    for batch in collocations._cell_rows(cell, n, 64):
+        for at, places, counts in zip(*batch.to_pydict().values()):
+            got |= {at + p: c for p, c in zip(np.frombuffer(places, np.uint16).tolist(), counts)}
+    assert got == {3: 255, 69: 2, 70: 1, 200: 7, 5000: 255}
+
+
 def test_large_counts_stay_exact(spark):
     """Products beyond 64 bits."""
     n = 9 * 10**15
