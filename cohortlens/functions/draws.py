@@ -64,23 +64,56 @@ def _mix(z: np.ndarray) -> np.ndarray:
     return z
 
 
+#: Cells that are drawn at once, in buffers that stay in the processor's cache.
+_CELLS_AT_ONCE = 32_768
+#: Cutoffs that are compared with every cell; the few cells above them are compared with the others alone.
+_COMMON_CUTOFFS = 5
+
+
 def poisson_counts(
     stratum_key: int, n: int, positions: np.ndarray, replicates: np.ndarray, slack: float = SLACK
 ) -> np.ndarray:
     """Counts (replicates x positions, uint8) of a thinned Poisson draw per row and replicate."""
     row = _mix(_U(stratum_key) + positions.astype(_U) * _U(POSITION_STEP))
     step = replicates.astype(_U) * _U(REPLICATE_STEP)
-    u = _mix(row[None, :] + step[:, None])
-    u >>= _U(64 - UNIFORM_BITS)
-    counts = np.zeros(u.shape, dtype=np.uint8)
-    for cut in poisson_cutoffs(n, slack):
-        above = u >= _U(cut)
-        if not above.any():
-            break
-        counts += above.view(np.uint8)
+    # Uniforms are the upper bits; a cutoff above all of them has no effect.
+    cuts = [_U(c << (64 - UNIFORM_BITS)) for c in poisson_cutoffs(n, slack) if c < 2**UNIFORM_BITS]
+    counts = np.zeros((len(step), len(row)), dtype=np.uint8)
+    if not (len(row) and len(step) and cuts):
+        return counts
+    # Blocks of whole rows of ``counts``, or of a part of one: either lies in one piece.
+    height, width = min(max(1, _CELLS_AT_ONCE // len(row)), len(step)), min(len(row), _CELLS_AT_ONCE)
+    u, spare, above = (np.empty(height * width, t) for t in (_U, _U, bool))
+    for top in range(0, len(step), height):
+        steps = step[top : top + height, None]
+        for left in range(0, len(row), width):
+            own, block = row[left : left + width], counts[top : top + height, left : left + width]
+            n = block.size
+            np.add(own[None, :], steps, out=u[:n].reshape(block.shape))
+            _cells_above(cuts, block.reshape(-1), u[:n], spare[:n], above[:n])
     return counts
 
 
+def _cells_above(cuts: list[np.uint64], counts: np.ndarray, u: np.ndarray, spare: np.ndarray, above: np.ndarray) -> None:
+    """Add to ``counts`` how many of the cutoffs each cell's uniform reaches, which ``u`` becomes by the finaliser."""
+    for shift, factor in zip(MIX_SHIFTS, MIX_MULTIPLIERS):
+        np.right_shift(u, _U(shift), out=spare)
+        np.bitwise_xor(u, spare, out=u)
+        np.multiply(u, _U(factor), out=u)
+    np.right_shift(u, _U(MIX_SHIFTS[2]), out=spare)
+    np.bitwise_xor(u, spare, out=u)
+    for cut in cuts[:_COMMON_CUTOFFS]:
+        np.greater_equal(u, cut, out=above)
+        np.add(counts, above.view(np.uint8), out=counts)
+    far = np.flatnonzero(above)
+    rest = u[far]
+    for cut in cuts[_COMMON_CUTOFFS:]:
+        reached = rest >= cut
+        if not reached.any():
+            break
+        counts[far] += reached.view(np.uint8)
+
+
 def poisson_quantiles(mean: float, u: np.ndarray) -> np.ndarray:
     """Poisson counts of a mean of any size from 53-bit uniforms, by the cumulative table.
 

@@ -16,96 +16,39 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from cohortlens.config import GROUP
-from cohortlens.functions.draws import poisson_counts
 from cohortlens.functions.metrics import numeric_terms
-from cohortlens.operators.joins import attach
-from cohortlens.operators.resample import (
-    Resampler, _CELLS_PER_STEP, _DRAWS_PER_TASK, _HELD_GROUPS, _pieces, _positions, _sums_of_counts, replicate_metrics,
-)
-from cohortlens.sources.scratch import written
+from cohortlens.operators.resample import Resampler, _HELD_GROUPS, replicate_metrics
 
 PER_VECTOR = 250
 
 
-def _drawn(resampler: Resampler) -> DataFrame:
-    """(stratum, replicate, drawn): totals of the counts."""
-    held = resampler._chunks().select("stratum", "size", "start", "copies", "stratum_key", F.lit(1.0).alias("n"))
-    counted = held.sortWithinPartitions("stratum", "start").mapInPandas(
-        _sums_of_counts(["stratum"], ["n"], resampler.resamples, resampler.slack), "stratum string, replicate int, n double"
-    )
-    return written(counted.groupBy("stratum", "replicate").agg(F.sum("n").alias("drawn")), "drawn")
-
-
 def weight_vectors(resampler: Resampler, per_vector: int = PER_VECTOR) -> DataFrame:
     """(stratum, keys, truth, estimate, start, copies, block, weights): counts of replicates ``block * per_vector + 1`` on.
 
     ``start`` tells runs of equal rows apart. A run's weights are those of all its copies together.
     """
-    drawn = _drawn(resampler)
-    picked = resampler._picked(drawn, [F.col("start").alias("run")])
-    # At most one entry per replicate.
-    per_run = picked.groupBy("stratum", "run", "replicate").agg(F.count(F.lit(1)).cast("int").alias("n")).groupBy(
-        "stratum", "run"
-    ).agg(F.collect_list(F.struct("replicate", "n")).alias("p"))
-    full = resampler._overfull(drawn).groupBy("stratum").agg(F.collect_list("replicate").alias("overfull"))
-    runs = resampler._chunks()
-    picks = per_run.select(
-        F.col("stratum").alias("s"), "run", F.col("p.replicate").alias("pick_replicates"), F.col("p.n").alias("pick_counts")
-    )
-    with_picks = runs.join(picks, (F.col("stratum") == F.col("s")) & (F.col("start") == F.col("run")), "left").drop("s", "run")
-    held = attach(with_picks, full, ["stratum"])
-    tasks = resampler._tasks(resampler.rows * resampler.resamples, _DRAWS_PER_TASK)
     content = ["stratum", *resampler.keys, resampler.truth, resampler.estimate, "start", "copies"]
-    fields = {f.name: f for f in held.schema.fields}
+    runs = resampler._runs(resampler.units)
+    fields = {f.name: f for f in runs.schema.fields}
     schema = T.StructType(
         [fields[c] for c in content]
         + [T.StructField("block", T.IntegerType()), T.StructField("weights", T.ArrayType(T.IntegerType()))]
     )
-    return held.repartition(tasks, "stratum", "start").mapInPandas(
-        _vectors(content, resampler.resamples, resampler.slack, per_vector), schema
-    )
-
 
-def _vectors(content: list[str], resamples: int, slack: float, per_vector: int):
-    """Per task: the vectors of its runs, a bounded number of rows and replicates at a time."""
+    def rows(part: pa.RecordBatch, replicates: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        block, n = (int(replicates[0]) - 1) // per_vector, len(replicates)
+        ends = pa.array(np.arange(part.num_rows + 1, dtype=np.int32) * n)
+        vectors = pa.ListArray.from_arrays(ends, pa.array(counts.T.ravel()))
+        yield pa.RecordBatch.from_arrays(
+            [*part.columns, pa.array(np.full(part.num_rows, block, np.int32)), vectors], names=[*content, "block", "weights"]
+        )
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for _, part in batch.groupby("stratum", sort=False):
-                for piece in _pieces(part):
-                    yield from _piece_vectors(piece, content, resamples, slack, per_vector)
-
-    return run
-
-
-def _piece_vectors(piece: pd.DataFrame, content: list[str], resamples: int, slack: float, per_vector: int):
-    positions, owner = _positions(piece)
-    starts = np.searchsorted(owner, np.arange(len(piece)))
-    key, size = int(piece["stratum_key"].iloc[0]), int(piece["size"].iloc[0])
-    full = piece["overfull"].iloc[0]
-    overfull = np.array([] if full is None else full, dtype=np.int64)
-    has = [i for i, v in enumerate(piece["pick_replicates"]) if v is not None]
-    places = [np.asarray(piece["pick_replicates"].iloc[i]) for i in has]
-    rows = np.repeat(np.array(has, dtype=np.int64), [len(p) for p in places])
-    replicate = np.concatenate(places) if has else np.array([], np.int64)
-    number = np.concatenate([np.asarray(piece["pick_counts"].iloc[i]) for i in has]) if has else np.array([], np.int64)
-    width = max(1, _CELLS_PER_STEP // len(positions))
-    for block, first in enumerate(range(1, resamples + 1, per_vector)):
-        replicates = np.arange(first, min(first + per_vector, resamples + 1))
-        counts = np.empty((len(piece), len(replicates)), np.int32)
-        for at in range(0, len(replicates), width):
-            each = poisson_counts(key, size, positions, replicates[at : at + width], slack)
-            counts[:, at : at + width] = np.add.reduceat(each.astype(np.int32), starts, axis=1).T
-        counts[:, np.isin(replicates, overfull)] = 0
-        inside = (replicate >= first) & (replicate <= replicates[-1])
-        np.add.at(counts, (rows[inside], replicate[inside] - first), number[inside])
-        out = piece[content].reset_index(drop=True)
-        out["block"] = np.int32(block)
-        out["weights"] = list(counts)
-        yield out
+    return resampler.resampled(runs, resampler.drawn(), content, per_vector, rows, schema)
 
 
 def vector_sums(vectors: DataFrame, keys: Sequence[str], terms: dict[str, Column], per_vector: int = PER_VECTOR) -> DataFrame:
@@ -129,20 +72,31 @@ def vector_sums(vectors: DataFrame, keys: Sequence[str], terms: dict[str, Column
             frames.append(frame)
         return pd.concat(frames, ignore_index=True)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[tuple, np.ndarray] = {}
         for batch in batches:
-            for key, part in batch.groupby(by, dropna=False, sort=False):
-                key = (*[None if pd.isna(v) else v for v in key[:-1]], int(key[-1]))
-                product = np.stack(part["weights"].to_numpy()).T.astype(np.float64) @ part[names].to_numpy()
+            table = pa.table(batch)
+            number = table.select(by).append_column("__row", pa.array(np.arange(len(table))))
+            for own in number.group_by(by).aggregate([("__row", "list")]).to_pylist():
+                # NaN is a group like NULL.
+                key = tuple(None if own[k] != own[k] else own[k] for k in by)
+                part = table.take(pa.array(own["__row_list"]))
+                lists = part.column("weights").combine_chunks()
+                weights = lists.flatten().to_numpy().reshape(len(part), -1)
+                values = np.stack([part.column(c).to_numpy().astype(np.float64) for c in names], axis=1)
+                product = weights.T.astype(np.float64) @ values
                 sums[key] = sums[key] + product if key in sums else product
                 if len(sums) >= _HELD_GROUPS:
-                    yield emit(sums)
+                    yield from batched(sums)
                     sums = {}
         if sums:
-            yield emit(sums)
+            yield from batched(sums)
+
+    def batched(sums: dict[tuple, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        yield from pa.Table.from_pandas(emit(sums), arrow_schema, preserve_index=False).to_batches()
 
-    summed = held.mapInPandas(run, schema)
+    arrow_schema = to_arrow_schema(schema)
+    summed = held.mapInArrow(run, schema)
     return summed.groupBy(*keys, "replicate").agg(*[F.sum(n).alias(n) for n in names])
 
 

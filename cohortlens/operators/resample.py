@@ -16,10 +16,12 @@ All draws are functions of (seed, stratum, row position, replicate).
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from hashlib import md5
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from cohortlens.config import CLASS_METRICS, ESTIMATE, GROUP, ID, NUMERIC_METRICS, TRUTH
@@ -46,6 +48,10 @@ _CELLS_PER_STEP = 262_144
 _HELD_GROUPS = 512
 _REPLICATES_PER_TASK = 50
 _RUNS = 1024
+#: Row positions that are dealt out together at most, and their draws.
+_POSITIONS_PER_RANGE = 65_536
+_DRAWS_PER_RANGE = 1 << 26
+_ROWS_PER_BATCH = 65_536
 
 
 # ---- strata and row positions ----------------------------------------------------------------------------------
@@ -159,27 +165,28 @@ class Resampler:
         parallel = self.units.sparkSession.sparkContext.defaultParallelism
         return min(max(math.ceil(draws / per_task), parallel), _MAX_TASKS)
 
-    def _chunks(self) -> DataFrame:
-        """Units cut into runs of at most ``_COPIES_PER_CHUNK`` equal rows and spread evenly over the tasks."""
-        tasks = self._tasks(self.rows * self.resamples, _DRAWS_PER_TASK)
+    def _runs(self, units: DataFrame) -> DataFrame:
+        """Units cut into runs of at most ``_COPIES_PER_CHUNK`` equal rows."""
         zero = F.lit(0).cast("bigint")
-        runs = self.units.withColumn("at", F.explode(F.sequence(zero, F.col("copies") - 1, zero + _COPIES_PER_CHUNK)))
-        return (
-            runs.select(
-                "stratum",
-                *self.keys,
-                self.truth,
-                self.estimate,
-                "size",
-                (F.col("start") + F.col("at")).alias("start"),
-                F.least(F.lit(_COPIES_PER_CHUNK), F.col("copies") - F.col("at")).alias("copies"),
-                draw60(self.seed, F.col("stratum")).alias("stratum_key"),
-            )
-            .repartition(tasks, "stratum", "start")
+        runs = units.withColumn("at", F.explode(F.sequence(zero, F.col("copies") - 1, zero + _COPIES_PER_CHUNK)))
+        return runs.select(
+            "stratum",
+            *self.keys,
+            self.truth,
+            self.estimate,
+            "size",
+            (F.col("start") + F.col("at")).alias("start"),
+            F.least(F.lit(_COPIES_PER_CHUNK), F.col("copies") - F.col("at")).alias("copies"),
+            draw60(self.seed, F.col("stratum")).alias("stratum_key"),
         )
 
-    def _picks(self, drawn: DataFrame) -> DataFrame:
-        """Row positions of the draws that the counts do not cover: (stratum, replicate, position).
+    def _chunks(self) -> DataFrame:
+        """The runs of all units, spread evenly over the tasks."""
+        tasks = self._tasks(self.rows * self.resamples, _DRAWS_PER_TASK)
+        return self._runs(self.units).repartition(tasks, "stratum", "start")
+
+    def _pick_runs(self, drawn: DataFrame) -> DataFrame:
+        """Draws that the counts do not cover, in runs: (stratum, replicate, size, missing, first), spread over the tasks.
 
         ``drawn`` has one row per (stratum, replicate) with the summed counts.
         """
@@ -198,7 +205,11 @@ class Resampler:
             "first", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("missing") - 1, F.lit(_PICKS_PER_CHUNK).cast("bigint")))
         )
         expected = int(3 * math.sqrt(self.rows) * self.resamples)
-        slots = runs.repartition(self._tasks(expected, _PICKS_PER_TASK), "stratum", "replicate", "first").select(
+        return runs.repartition(self._tasks(expected, _PICKS_PER_TASK), "stratum", "replicate", "first")
+
+    def _picks(self, drawn: DataFrame) -> DataFrame:
+        """Row positions of the draws that the counts do not cover: (stratum, replicate, position)."""
+        slots = self._pick_runs(drawn).select(
             "stratum",
             "replicate",
             "size",
@@ -258,22 +269,66 @@ class Resampler:
         return both.groupBy(*self.keys, "replicate").agg(*[F.sum(n).alias(n) for n in names])
 
     def weights(self) -> DataFrame:
-        """The resamples themselves: weight per (stratum, keys, truth, estimate, replicate), zero weights left out."""
+        """The resamples themselves: weight per (stratum, keys, truth, estimate, replicate), zero weights left out.
+
+        Weights are whole where a run of equal rows is; only those of values that fill several runs are added up.
+        """
         content = ["stratum", *self.keys, self.truth, self.estimate]
-        held = self._chunks()
-        fields = {f.name: f for f in held.schema.fields}
+        fields = {f.name: f for f in self.units.schema.fields}
         schema = T.StructType(
             [fields[c] for c in content]
             + [T.StructField("replicate", T.IntegerType()), T.StructField("weight", T.LongType())]
         )
-        counts = written(held.mapInPandas(_counts_of_rows(content, self.resamples, self.slack), schema), "replicate-counts")
-        drawn = counts.groupBy("stratum", "replicate").agg(F.sum("weight").alias("drawn"))
-        kept = counts.join(self._overfull(drawn), ["stratum", "replicate"], "left_anti")
-        picked = self._picked(drawn, [F.col(c) for c in content if c != "stratum"]).withColumn(
-            "weight", F.lit(1).cast("bigint")
+        drawn, step = self.drawn(), max(1, min(self.resamples, 256))
+
+        def rows(part: pa.RecordBatch, replicates: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+            r, c = np.nonzero(counts)
+            for at in range(0, len(r), _ROWS_PER_BATCH):
+                place, value = r[at : at + _ROWS_PER_BATCH], c[at : at + _ROWS_PER_BATCH]
+                own = part.take(pa.array(value))
+                yield pa.RecordBatch.from_arrays(
+                    [*own.columns, pa.array(replicates[place].astype(np.int32)), pa.array(counts[place, value].astype(np.int64))],
+                    names=[*content, "replicate", "weight"],
+                )
+
+        def of(units: DataFrame) -> DataFrame:
+            return self.resampled(self._runs(units), drawn, content, step, rows, schema)
+
+        one_run = F.col("copies") <= _COPIES_PER_CHUNK
+        if not self.units.filter(~one_run).limit(1).count():
+            return of(self.units)
+        added = of(self.units.filter(~one_run)).groupBy(*content, "replicate").agg(F.sum("weight").alias("weight"))
+        return of(self.units.filter(one_run)).unionByName(added)
+
+    def drawn(self) -> DataFrame:
+        """(stratum, replicate, drawn): totals of the counts."""
+        held = self._chunks().select("stratum", "size", "start", "copies", "stratum_key")
+        counted = held.mapInPandas(_totals_of_counts(self.resamples, self.slack), "stratum string, replicate int, n long")
+        return written(counted.groupBy("stratum", "replicate").agg(F.sum("n").alias("drawn")), "drawn")
+
+    def resampled(self, runs: DataFrame, drawn: DataFrame, content: list[str], step: int, rows: Callable, schema: T.StructType) -> DataFrame:
+        """What ``rows`` makes of the weights of runs: it gets rows of ``content``, ``step`` replicate numbers and the
+        weights (replicates x rows).
+
+        Runs and picks are dealt out by stratum and range of positions. The picks of a range come before its runs and
+        are looked up among them as they pass, so they are neither joined nor shuffled one by one. A run may begin in a
+        range and end in the next; the picks at a range's beginning therefore go to the range before, too, and count
+        only where their run is.
+        """
+        reach = _COPIES_PER_CHUNK - 1
+        parallel = self.units.sparkSession.sparkContext.defaultParallelism
+        wide = max(1, min(_POSITIONS_PER_RANGE, _DRAWS_PER_RANGE // max(1, self.resamples), self.rows // (4 * parallel)), reach + 1)
+        overfull = self._overfull(drawn).groupBy("stratum").agg(F.collect_list("replicate").alias("overfull"))
+        held = attach(runs, overfull, ["stratum"]).withColumns(
+            {"__range": F.floor(F.col("start") / wide), "__kind": F.lit(1)}
         )
-        both = kept.select(*content, "replicate", "weight").unionByName(picked.select(*content, "replicate", "weight"))
-        return both.groupBy(*content, "replicate").agg(F.sum("weight").alias("weight"))
+        picks = self._pick_runs(drawn).select("stratum", "replicate", "size", "missing", "first").mapInArrow(
+            _picks_by_range(self.seed, wide, reach), "stratum string, __range long, pick_replicates binary, pick_positions binary"
+        ).withColumn("__kind", F.lit(0))
+        both = held.unionByName(picks, allowMissingColumns=True)
+        dealt = both.repartition(self._tasks(self.rows * self.resamples, _DRAWS_PER_TASK), "stratum", "__range")
+        in_order = dealt.sortWithinPartitions("stratum", "__range", "__kind", "start")
+        return in_order.mapInArrow(_resampled_runs(content, self.resamples, self.slack, step, rows), schema)
 
 
 # ---- small helpers that run inside the tasks -------------------------------------------------------------------
@@ -338,26 +393,135 @@ def _sums_of_counts(by: list[str], names: list[str], resamples: int, slack: floa
     return run
 
 
-def _counts_of_rows(content: list[str], resamples: int, slack: float):
-    """Per task: the positive counts of each row and replicate."""
+def _totals_of_counts(resamples: int, slack: float):
+    """Per task: sums of the counts by (stratum, replicate)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[str | None, np.ndarray] = {}
         for batch in batches:
-            for _, part in batch.groupby("stratum", sort=False):
+            for stratum, part in batch.groupby("stratum", sort=False):
+                total = held.setdefault(stratum, np.zeros(resamples, np.int64))
                 for piece in _pieces(part):
-                    positions, owner = _positions(piece)
-                    first = np.searchsorted(owner, np.arange(len(piece)))
-                    for replicates, counts in _counts(piece, positions, resamples, slack):
-                        per_row = np.add.reduceat(counts.astype(np.int64), first, axis=1)
-                        r, c = np.nonzero(per_row)
-                        out = piece[content].iloc[c].reset_index(drop=True)
-                        out["replicate"] = replicates[r].astype(np.int32)
-                        out["weight"] = per_row[r, c]
-                        yield out
+                    for replicates, counts in _counts(piece, _positions(piece)[0], resamples, slack):
+                        total[replicates - 1] += counts.sum(axis=1, dtype=np.int64)
+            if len(held) >= _HELD_GROUPS:
+                yield from said(held)
+                held = {}
+        yield from said(held)
+
+    def said(held: dict[str | None, np.ndarray]) -> Iterator[pd.DataFrame]:
+        for stratum, total in held.items():
+            yield pd.DataFrame({"stratum": stratum, "replicate": np.arange(1, resamples + 1, dtype=np.int32), "n": total})
 
     return run
 
 
+def _picks_by_range(seed: int, wide: int, reach: int):
+    """Per task: picked positions by stratum and range of ``wide`` positions; those in the first ``reach`` go to the range before, too."""
+
+    def said(stratum: str, replicates: list[np.ndarray], positions: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        r, p = np.concatenate(replicates), np.concatenate(positions)
+        early = (p >= wide) & (p % wide < reach)
+        own = np.concatenate([p // wide, p[early] // wide - 1])
+        r, p = np.concatenate([r, r[early]]), np.concatenate([p, p[early]])
+        order = np.argsort(own, kind="stable")
+        own, r, p = own[order], r[order], p[order]
+        first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+        ends = np.append(first, len(own))
+        columns = [[values[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])] for values in (r, p)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.repeat(stratum, len(first)), pa.array(own[first]), *[pa.array(c, pa.binary()) for c in columns]],
+            names=["stratum", "__range", "pick_replicates", "pick_positions"],
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, tuple[list[np.ndarray], list[np.ndarray]]] = {}
+        for batch in batches:
+            for stratum, replicate, size, missing, first in zip(*batch.to_pydict().values()):
+                # The same draws as those of ``draw60``.
+                text = f"{seed}|pick|{stratum}|{replicate}|".encode()
+                slots = range(first, min(first + _PICKS_PER_CHUNK, missing))
+                draws = np.frombuffer(b"".join([md5(b"%s%d" % (text, slot)).digest()[:8] for slot in slots]), ">u8") >> 4
+                replicates, positions = held.setdefault(stratum, ([], []))
+                replicates.append(np.full(len(draws), replicate, np.int32))
+                positions.append(draws.astype(np.int64) % size)
+                if sum(map(len, positions)) >= _PICKS_PER_TASK:
+                    yield from said(stratum, *held.pop(stratum))
+        for stratum, parts in held.items():
+            yield from said(stratum, *parts)
+
+    return run
+
+
+def _resampled_runs(content: list[str], resamples: int, slack: float, step: int, rows: Callable):
+    """Per task: what ``rows`` makes of the weights of the runs, a bounded number of rows and replicates at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, picked = None, []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            strata = batch.column("stratum").to_pylist()
+            ranges, kinds = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("__range", "__kind"))
+            number = batch.column("stratum").dictionary_encode().indices.to_numpy()
+            change = np.diff(number) | np.diff(ranges) | np.diff(kinds)
+            cuts = [0, *(np.flatnonzero(change) + 1).tolist(), batch.num_rows]
+            for a, b in zip(cuts[:-1], cuts[1:]):
+                if (strata[a], ranges[a]) != now:
+                    now, picked = (strata[a], ranges[a]), []
+                part = batch.slice(a, b - a)
+                if kinds[a] == 0:
+                    picked += zip(part.column("pick_replicates"), part.column("pick_positions"))
+                    continue
+                if not isinstance(picked, tuple):
+                    picked = _sorted_picks(picked)
+                copies = part.column("copies").to_numpy()
+                which = (np.cumsum(copies) - 1) // _UNITS_PER_STEP
+                ends = [0, *(np.flatnonzero(np.diff(which)) + 1).tolist(), len(copies)]
+                for c, d in zip(ends[:-1], ends[1:]):
+                    own = part.slice(c, d - c)
+                    kept = own.select(content)
+                    for replicates, weights in _weights_of_runs(own, *picked, resamples, slack, step):
+                        yield from rows(kept, replicates, weights)
+
+    return run
+
+
+def _sorted_picks(picked: list[tuple[pa.BinaryScalar, pa.BinaryScalar]]) -> tuple[np.ndarray, np.ndarray]:
+    """Replicates and positions of picks in the order of their positions."""
+    replicates, positions = (
+        np.concatenate([np.empty(0, t), *[np.frombuffer(row[i].as_buffer(), t) for row in picked]]) for i, t in enumerate((np.int32, np.int64))
+    )
+    order = np.argsort(positions)
+    return replicates[order], positions[order]
+
+
+def _weights_of_runs(
+    runs: pa.RecordBatch, replicates: np.ndarray, positions: np.ndarray, resamples: int, slack: float, step: int
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Replicate numbers with the weights (replicates x runs): counts, those of overfull replicates left out, and picks."""
+    start, copies = (runs.column(c).to_numpy() for c in ("start", "copies"))
+    key, size = runs.column("stratum_key")[0].as_py(), runs.column("size")[0].as_py()
+    overfull = np.array(runs.column("overfull")[0].as_py() or [], np.int64)
+    low, high = np.searchsorted(positions, [start[0], start[-1] + copies[-1]])
+    owner = np.searchsorted(start, positions[low:high], side="right") - 1
+    inside = positions[low:high] < (start + copies)[owner]
+    owner, of = owner[inside], replicates[low:high][inside]
+    order = np.argsort(of, kind="stable")
+    owner, of = owner[order], of[order]
+    single = bool((copies == 1).all())
+    first_of = np.cumsum(copies) - copies
+    places = start if single else np.repeat(start - first_of, copies) + np.arange(copies.sum())
+    for first in range(1, resamples + 1, step):
+        numbers = np.arange(first, min(first + step, resamples + 1))
+        counts = poisson_counts(key, size, places, numbers, slack)
+        weights = counts.astype(np.int32) if single else np.add.reduceat(counts, first_of, axis=1, dtype=np.int32)
+        weights[np.isin(numbers, overfull)] = 0
+        a, b = np.searchsorted(of, [first, first + step])
+        np.add.at(weights, (of[a:b] - first, owner[a:b]), 1)
+        yield numbers, weights
+
+
 # ---- intervals over replicates ---------------------------------------------------------------------------------
 
 

@@ -62,3 +62,29 @@ def test_no_rows(pairs):
     drawn = resample.numeric_resampler(cohort(pairs).limit(0), 5, 3)
     vectors = replicates.weight_vectors(drawn)
     assert vectors.count() == 0 and replicates.vector_replicates(vectors, "lpa_nmol_max", "lpa_pred_nm").count() == 0
+
+
+def test_picks_are_neither_joined_nor_shuffled_one_by_one(pairs):
+    drawn = resample.numeric_resampler(cohort(pairs), 30, 3)
+    for df in (replicates.weight_vectors(drawn), drawn.weights()):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        # Runs are listed by one explode and runs of picks by another; no row per position, per pick, or sum per replicate.
+        assert plan.count("Generate") <= 3 and "position" not in plan.replace("pick_positions", "") and "count(1)" not in plan
+        assert "sum(weight" not in plan
+
+
+@pytest.mark.parametrize("wide, copies, slack", [(1, 7, 3.0), (64, 7, 0.0), (64, 1024, 3.0), (5000, 1, -2.0), (1, 1, 1e9)])
+def test_ranges_do_not_change_the_weights(pairs, monkeypatch, wide, copies, slack):
+    """Runs that begin in one range of positions and end in the next, values of several runs, many picks."""
+    strata = resample.bootstrap_strata(cohort(pairs), "GIA", 0.1, 3)
+    y = F.col("lpa_nmol_max")
+
+    def sums(drawn):
+        explicit = drawn.weights().groupBy("GIA", "replicate").agg(F.sum("weight").cast("double").alias("n"), F.sum(F.col("weight") * y).alias("sy"))
+        return [{(r["GIA"], r["replicate"]): (r["n"], pytest.approx(r["sy"])) for r in df.collect()} for df in (explicit, drawn.sums({"n": F.lit(1.0), "sy": y}))]
+
+    monkeypatch.setattr(resample, "_POSITIONS_PER_RANGE", wide)
+    monkeypatch.setattr(resample, "_COPIES_PER_CHUNK", copies)
+    explicit, by_term = sums(resample.Resampler(strata, ["GIA"], "lpa_nmol_max", "lpa_pred_nm", 12, 3, slack))
+    assert explicit.keys() == by_term.keys()
+    assert all(explicit[k][0] == by_term[k][0] and by_term[k][1].expected == explicit[k][1] for k in explicit)
