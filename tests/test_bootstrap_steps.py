@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.operators import cohort, resample
 from verification import queries
+from verification.oracle import ORACLE
 
 
 def _plan(df) -> str:
@@ -51,3 +52,18 @@ def test_group_sizes_do_not_join_the_pairs_again(spark, pairs, monkeypatch):
     inputs = SimpleNamespace(pairs=joined)
     assert queries._valid(inputs).count() == 300
     assert seen and "Join" not in seen[0]
+
+
+def test_registered_weights_are_those_of_a_whole_run(pairs, monkeypatch):
+    """As many resamples as the bootstrap of a validation run has, in the query and in its SQL."""
+    asked, found = [], resample.numeric_resampler
+    monkeypatch.setattr(resample, "numeric_resampler", lambda df, n, seed: asked.append(n) or found(df, 3, seed))
+    build = {q: f for q, f in queries.QUERIES.items() if q == "bootstrap_weights"}["bootstrap_weights"]
+    monkeypatch.setattr(queries, "Inputs", lambda spark, sf_dir: SimpleNamespace(pairs=_cohort(pairs)))
+    assert build(None, "").agg(F.max("replicate")).first()[0] == 3 and asked == [1000]
+    assert "generate_series(1, 1000)" in ORACLE["bootstrap_weights"] and "generate_series(1, 20)" not in ORACLE["bootstrap_weights"]
+
+
+def test_bootstraps_write_only_what_they_read(pairs):
+    inputs = SimpleNamespace(pairs=_cohort(pairs).withColumn("age", F.lit(1.0)))
+    assert set(queries._valid(inputs).columns) == {"ID", "GIA", "lpa_nmol_max", "lpa_pred_nm", "n"}

@@ -509,7 +509,7 @@ add("drop_na", "joined", body='SELECT "ID", "GIA" FROM joined WHERE lpa_nmol_max
 # ---- resampling ------------------------------------------------------------------------------------------------
 
 add("bootstrap_strata", "valid", extra=strata("SELECT * FROM valid", '"GIA"'), body='SELECT "ID", "GIA", stratum FROM b_strata')
-add("bootstrap_weights", "valid", extra=NUMERIC_WEIGHTS, doubles="lpa_nmol_max lpa_pred_nm", body="SELECT * FROM b_weights")
+add("bootstrap_weights", "valid", extra={**NUMERIC_WEIGHTS, **weights(NUMERIC_KEYS, "lpa_nmol_max", "lpa_pred_nm", FULL_REPLICATES)}, doubles="lpa_nmol_max lpa_pred_nm", body="SELECT * FROM b_weights")
 add("bootstrap_weight_vectors", "valid", doubles="lpa_nmol_max lpa_pred_nm",
     extra={**NUMERIC_BOOT, "b_maps": """SELECT stratum, "GIA", lpa_nmol_max, lpa_pred_nm,
         map_from_entries(list((replicate, weight))) AS weights FROM b_weights GROUP BY stratum, "GIA", lpa_nmol_max, lpa_pred_nm"""},

@@ -44,8 +44,9 @@ def _point_metrics(i: Inputs) -> DataFrame:
 
 
 def _valid(i: Inputs) -> DataFrame:
-    """The rows of ``i.valid``, from pairs that are written first: once for the groups' sizes and once for the rows."""
-    return written(cohort.min_group_filter(written(i.pairs, "pairs")), "valid")
+    """The rows of ``i.valid`` with what a bootstrap reads of them, from pairs that are written first: once for the groups'
+    sizes and once for the rows."""
+    return written(cohort.min_group_filter(written(i.pairs.select(ID, GROUP, TRUTH, ESTIMATE), "pairs")), "valid")
 
 
 def _numeric_boot(i: Inputs) -> DataFrame:
@@ -549,7 +550,7 @@ def _(i):
 
 @register("bootstrap_weights")
 def _(i):
-    resampler = resample.numeric_resampler(_valid(i), REPLICATES, SEED)
+    resampler = resample.numeric_resampler(_valid(i), FULL_REPLICATES, SEED)
     return rounded(resampler.weights())
 
 
